@@ -199,3 +199,220 @@ SELECT symbol, date, 'P' AS only_in FROM (SELECT * FROM b EXCEPT SELECT * FROM a
 )
 def q_dates_only(spark: SparkSession, sf: str) -> DataFrame:
     return crossval.dates_only(ADAPTERS["ord"](spark, sf), "F", "P")
+
+
+# ---------------------------------------------------------------- checks
+
+from barlake.functions.calendar import last_trading_day as _ltd  # noqa: E402
+from barlake.functions.calendar import trading_days_between as _tdb  # noqa: E402
+from barlake.functions.calendar_frames import trading_calendar  # noqa: E402
+from barlake.operators import checks  # noqa: E402
+from barlake.plans.table_bars import with_defects  # noqa: E402
+
+CHECK_SYMBOLS = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW", "9-ABSENT"]
+STALE_AS_OF = ["2001-07-20", "2001-08-02", "2001-08-04", "2001-08-13", "2001-09-03"]
+RUN_AS_OF = "2001-08-04"
+
+
+def _profile_oracle(adapter: str, defects: bool, symbols: list[str] | None) -> str:
+    syms = (
+        f"SELECT * FROM (VALUES {', '.join(f'({chr(39)}{s}{chr(39)})' for s in symbols)}) t(symbol)"
+        if symbols
+        else "SELECT DISTINCT symbol FROM bars"
+    )
+    return f"""
+{bars_cte(adapter, defects=defects)},
+syms AS ({syms}),
+agg AS (
+  SELECT symbol, count(*) AS n_rows,
+         count(*) FILTER (WHERE open < 0 OR high < 0 OR low < 0 OR close < 0) AS n_negative,
+         count(*) FILTER (WHERE high < low) AS n_high_low,
+         count(*) FILTER (WHERE close = 0) AS n_zero_close,
+         count(*) FILTER (WHERE volume < 0) AS n_negative_volume,
+         count(*) FILTER (WHERE open = high AND high = low AND low = close) AS n_flat,
+         count(*) FILTER (WHERE volume = 0 AND abs(close - open) / open > 0.01) AS n_zero_vol_move,
+         count(DISTINCT date) AS n_days, min(date) AS first_date, max(date) AS latest_date
+  FROM bars GROUP BY symbol),
+cal AS (SELECT symbol, CAST(unnest(generate_series(first_date, latest_date, INTERVAL 1 DAY)) AS DATE) AS date FROM agg),
+miss AS (SELECT symbol, date FROM cal WHERE isodow(date) <= 5 EXCEPT SELECT symbol, date FROM bars),
+mruns AS (SELECT symbol, date, sum(brk) OVER (PARTITION BY symbol ORDER BY date) AS run,
+                 row_number() OVER (PARTITION BY symbol ORDER BY date) AS rn
+          FROM (SELECT symbol, date,
+                       CASE WHEN date - lag(date) OVER (PARTITION BY symbol ORDER BY date) <= 3 THEN 0 ELSE 1 END AS brk
+                FROM miss) x),
+gap AS (SELECT symbol, max(n) AS longest_gap, sum(n) AS n_missing FROM (SELECT symbol, run, count(*) AS n FROM mruns GROUP BY ALL) y GROUP BY symbol),
+head AS (SELECT symbol, string_agg(strftime(date, '%Y-%m-%d'), ',' ORDER BY date) AS missing_dates FROM mruns WHERE rn <= 20 GROUP BY symbol),
+prof AS (
+  SELECT s.symbol, coalesce(a.n_rows, 0) AS n_rows,
+         coalesce(a.n_negative, 0) AS n_negative, coalesce(a.n_high_low, 0) AS n_high_low,
+         coalesce(a.n_zero_close, 0) AS n_zero_close, coalesce(a.n_negative_volume, 0) AS n_negative_volume,
+         coalesce(a.n_flat, 0) AS n_flat, coalesce(a.n_zero_vol_move, 0) AS n_zero_vol_move,
+         coalesce(a.n_days, 0) AS n_days, a.first_date, a.latest_date,
+         CASE WHEN a.n_rows IS NULL THEN NULL ELSE coalesce(g.n_missing, 0) END AS n_missing,
+         CAST(coalesce(g.longest_gap, 0) AS INTEGER) AS longest_gap,
+         coalesce(h.missing_dates, '') AS missing_dates
+  FROM syms s LEFT JOIN agg a USING (symbol) LEFT JOIN gap g USING (symbol) LEFT JOIN head h USING (symbol))"""
+
+
+_GAPS_SQL = """CASE WHEN n_rows = 0 THEN 'fail' WHEN n_missing = 0 THEN 'pass' WHEN longest_gap > 3 THEN 'fail' ELSE 'warn' END AS status,
+       CASE WHEN n_rows = 0 THEN 'No data for ' || symbol
+            WHEN n_missing = 0 THEN printf('No gaps found (%d trading days)', n_days)
+            ELSE printf('%d missing trading day(s), longest gap: %d', n_missing, longest_gap) END AS message"""
+_SANITY_N = "((n_negative > 0)::INT + (n_high_low > 0)::INT + (n_zero_close > 0)::INT + (n_negative_volume > 0)::INT)"
+_SANITY_SQL = f"""CASE WHEN {_SANITY_N} > 0 THEN 'fail' ELSE 'pass' END AS status,
+       CASE WHEN {_SANITY_N} = 0 THEN 'All price sanity checks passed' ELSE concat_ws('; ',
+            CASE WHEN n_negative > 0 THEN printf('%d rows with negative prices', n_negative) END,
+            CASE WHEN n_high_low > 0 THEN printf('%d rows where high < low', n_high_low) END,
+            CASE WHEN n_zero_close > 0 THEN printf('%d rows with zero close', n_zero_close) END,
+            CASE WHEN n_negative_volume > 0 THEN printf('%d rows with negative volume', n_negative_volume) END) END AS message"""
+_OHLC_N = "((n_flat > 0)::INT + (n_zero_vol_move > 0)::INT)"
+_OHLC_SQL = f"""CASE WHEN {_OHLC_N} > 0 THEN 'warn' ELSE 'pass' END AS status,
+       CASE WHEN {_OHLC_N} = 0 THEN 'OHLC consistency checks passed' ELSE concat_ws('; ',
+            CASE WHEN n_flat > 0 THEN printf('%d rows with identical OHLC (possible placeholder)', n_flat) END,
+            CASE WHEN n_zero_vol_move > 0 THEN printf('%d rows with zero volume but >1%% price movement', n_zero_vol_move) END) END AS message"""
+
+
+def _stale_sql(as_of: str, with_days: bool = True) -> str:
+    ltd = f"({as_of} - CASE isodow({as_of}) WHEN 6 THEN 1 WHEN 7 THEN 2 ELSE 0 END)"
+    db = (f"((SELECT count(*) FROM generate_series(latest_date, {ltd}, INTERVAL 1 DAY) t(d) "
+          f"WHERE isodow(d) <= 5) - 1)")
+    return f"""CASE WHEN n_rows = 0 THEN 'fail' WHEN {db} <= 1 THEN 'pass' WHEN {db} <= 5 THEN 'warn' ELSE 'fail' END AS status,
+       CASE WHEN n_rows = 0 THEN 'No data for ' || symbol
+            WHEN {db} <= 1 THEN 'Data is current (latest: ' || strftime(latest_date, '%Y-%m-%d') || ')'
+            ELSE printf('Data is %d trading day(s) behind (latest: %s)', {db}, strftime(latest_date, '%Y-%m-%d')) END AS message""" + (
+        f""",
+       CASE WHEN n_rows = 0 THEN NULL ELSE CAST({db} AS INTEGER) END AS days_behind""" if with_days else "")
+
+
+def _profile(spark, sf, adapter="ord", defects=False, symbols=None):
+    bars = ADAPTERS[adapter](spark, sf)
+    if defects:
+        bars = with_defects(bars)
+    return checks.symbol_profile(bars, symbols)
+
+
+@register(
+    "check_gaps",
+    f"""WITH {_profile_oracle("ord", False, None)}
+SELECT symbol, 'trading_day_gaps' AS check_name, {_GAPS_SQL},
+       n_missing, longest_gap, n_days, missing_dates FROM prof""",
+)
+def q_check_gaps(spark, sf):
+    out = checks.check_gaps(None, profile=_profile(spark, sf))
+    return out.withColumn("missing_dates", F.array_join("missing_dates", ","))
+
+
+@register(
+    "check_price_sanity",
+    f"""WITH {_profile_oracle("ord", True, None)}
+SELECT symbol, 'price_sanity' AS check_name, {_SANITY_SQL}, CAST({_SANITY_N} AS INTEGER) AS issue_count,
+       n_negative, n_high_low, n_zero_close, n_negative_volume FROM prof""",
+)
+def q_check_price_sanity(spark, sf):
+    return checks.check_price_sanity(None, profile=_profile(spark, sf, defects=True))
+
+
+@register(
+    "check_ohlc_consistency",
+    f"""WITH {_profile_oracle("ord", True, None)}
+SELECT symbol, 'ohlc_consistency' AS check_name, {_OHLC_SQL}, n_flat, n_zero_vol_move FROM prof""",
+)
+def q_check_ohlc(spark, sf):
+    return checks.check_ohlc_consistency(None, profile=_profile(spark, sf, defects=True))
+
+
+@register(
+    "check_stale",
+    f"""WITH {_profile_oracle("ord", False, CHECK_SYMBOLS)},
+as_ofs AS (SELECT * FROM (VALUES {", ".join(f"(DATE '{d}')" for d in STALE_AS_OF)}) t(as_of)),
+p AS (SELECT * FROM prof CROSS JOIN as_ofs)
+SELECT symbol, 'stale_data' AS check_name, {_stale_sql("as_of")}, latest_date, as_of FROM p""",
+)
+def q_check_stale(spark, sf):
+    p = _profile(spark, sf, symbols=CHECK_SYMBOLS)
+    p = p.withColumn("as_of", F.explode(F.array(*[F.to_date(F.lit(d)) for d in STALE_AS_OF])))
+    return checks.check_stale(None, as_of=F.col("as_of"), profile=p)
+
+
+_RUN_CHECKS_SQL = f"""WITH {_profile_oracle("ord", True, CHECK_SYMBOLS)},
+rc AS (
+  SELECT symbol, 1 AS pos, 'trading_day_gaps' AS check_name, {_GAPS_SQL} FROM prof
+  UNION ALL SELECT symbol, 2, 'price_sanity', {_SANITY_SQL} FROM prof
+  UNION ALL SELECT symbol, 3, 'stale_data', {_stale_sql("DATE '" + RUN_AS_OF + "'", with_days=False)} FROM prof
+  UNION ALL SELECT symbol, 4, 'ohlc_consistency', {_OHLC_SQL} FROM prof)"""
+
+
+@register("run_checks", _RUN_CHECKS_SQL + "\nSELECT symbol, CAST(pos AS INTEGER) AS pos, check_name, status, message FROM rc")
+def q_run_checks(spark, sf):
+    bars = with_defects(ADAPTERS["ord"](spark, sf))
+    return checks.run_checks(bars, CHECK_SYMBOLS, as_of=RUN_AS_OF)
+
+
+@register(
+    "validation_summary",
+    _RUN_CHECKS_SQL
+    + """
+SELECT symbol,
+       CASE max(CASE status WHEN 'pass' THEN 1 WHEN 'warn' THEN 2 ELSE 3 END)
+            WHEN 1 THEN 'pass' WHEN 2 THEN 'warn' ELSE 'fail' END AS status,
+       count(*) FILTER (WHERE status = 'pass') AS passed,
+       count(*) AS total,
+       coalesce(string_agg(check_name, ', ' ORDER BY pos) FILTER (WHERE status <> 'pass'), '-') AS issues
+FROM rc GROUP BY symbol""",
+)
+def q_validation_summary(spark, sf):
+    bars = with_defects(ADAPTERS["ord"](spark, sf))
+    return checks.validation_summary(bars, CHECK_SYMBOLS, as_of=RUN_AS_OF)
+
+
+@register(
+    "missing_days",
+    f"""WITH {bars_cte("ord")},
+b AS (SELECT symbol, min(date) AS s, max(date) AS e FROM bars GROUP BY symbol),
+cal AS (SELECT symbol, CAST(unnest(generate_series(s, e, INTERVAL 1 DAY)) AS DATE) AS date FROM b)
+SELECT symbol, date FROM cal WHERE isodow(date) <= 5
+EXCEPT SELECT symbol, date FROM bars""",
+)
+def q_missing_days(spark, sf):
+    return checks.missing_days(ADAPTERS["ord"](spark, sf))
+
+
+@register(
+    "trading_calendar",
+    f"""WITH {bars_cte("ord")},
+b AS (SELECT symbol, source, min(date) AS start, max(date) AS "end" FROM bars GROUP BY ALL
+      UNION ALL SELECT DISTINCT symbol, 'reversed', DATE '2001-01-10', DATE '2001-01-01' FROM bars),
+cal AS (SELECT symbol, source, start, "end", CAST(unnest(generate_series(start, "end", INTERVAL 1 DAY)) AS DATE) AS date FROM b)
+SELECT * FROM cal WHERE isodow(date) <= 5""",
+)
+def q_trading_calendar(spark, sf):
+    bars = ADAPTERS["ord"](spark, sf)
+    bounds = bars.groupBy("symbol", "source").agg(F.min("date").alias("start"), F.max("date").alias("end"))
+    # Reversed bounds must yield no days (sequence would count down).
+    rev = bars.select("symbol").distinct().select(
+        "symbol", F.lit("reversed").alias("source"),
+        F.to_date(F.lit("2001-01-10")).alias("start"), F.to_date(F.lit("2001-01-01")).alias("end"),
+    )
+    return trading_calendar(bounds.unionByName(rev))
+
+
+@register(
+    "last_trading_day",
+    """WITH d AS (SELECT DISTINCT CAST(ts AS DATE) AS date FROM events),
+x AS (SELECT date, date - CASE isodow(date) WHEN 6 THEN 1 WHEN 7 THEN 2 ELSE 0 END AS last_trading_day,
+             isodow(date) <= 5 AS is_trading_day FROM d)
+SELECT date, last_trading_day, is_trading_day,
+       CAST((SELECT count(*) FROM generate_series(DATE '2024-01-10', date, INTERVAL 1 DAY) t(g) WHERE isodow(g) <= 5) AS INTEGER)
+         AS trading_days_from_jan10
+FROM x""",
+)
+def q_last_trading_day(spark, sf):
+    from barlake.functions.calendar import is_trading_day
+
+    d = ADAPTERS["ev"](spark, sf).select("date").distinct()
+    return d.select(
+        "date",
+        _ltd(F.col("date")).alias("last_trading_day"),
+        is_trading_day(F.col("date")).alias("is_trading_day"),
+        _tdb(F.to_date(F.lit("2024-01-10")), F.col("date")).alias("trading_days_from_jan10"),
+    )
