@@ -8,6 +8,7 @@ between engines.
 
 from __future__ import annotations
 
+import datetime as _dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -416,3 +417,154 @@ def q_last_trading_day(spark, sf):
         is_trading_day(F.col("date")).alias("is_trading_day"),
         _tdb(F.to_date(F.lit("2024-01-10")), F.col("date")).alias("trading_days_from_jan10"),
     )
+
+
+# ---------------------------------------------------------------- store, views, queries
+
+from barlake.operators import query as qops  # noqa: E402
+from barlake.session import scratch_path  # noqa: E402
+from barlake.sources import store  # noqa: E402
+
+_STORE_CACHE: dict[tuple[str, str], str] = {}
+STORE_COLS = ["symbol", "source", "year", "date", "open", "high", "low", "close", "adjusted_close", "volume"]
+_BAR_SELECT = "symbol, source, CAST(year(date) AS INTEGER) AS year, date, open, high, low, close, adjusted_close, volume"
+
+
+def shared_store(spark: SparkSession, sf: str) -> str:
+    """A processed dir holding ``daily_ohlcv`` (orders bars) and
+    ``daily_events`` (event bars), written once per session and sf."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _STORE_CACHE:
+        root = scratch_path(spark, "store", unique=True)
+        store.write_bars(ADAPTERS["ord"](spark, sf), root)
+        store.write_bars(ADAPTERS["ev"](spark, sf), root, "daily_events")
+        _STORE_CACHE[key] = root
+    return _STORE_CACHE[key]
+
+
+def _store_view(spark, sf, name="daily_ohlcv"):
+    store.register_views(spark, shared_store(spark, sf))
+    return spark.table(name)
+
+
+@register("write_roundtrip", f"WITH {bars_cte('ord')} SELECT {_BAR_SELECT} FROM bars")
+def q_write_roundtrip(spark, sf):
+    root = scratch_path(spark, "roundtrip", unique=True)
+    store.write_bars(ADAPTERS["ord"](spark, sf), root)
+    return store.read_store(spark, root).select(*STORE_COLS)
+
+
+@register(
+    "partition_counts",
+    f"""WITH {bars_cte('li')}
+SELECT symbol, source, CAST(year(date) AS INTEGER) AS year, count(*) AS rows FROM bars GROUP BY ALL""",
+)
+def q_partition_counts(spark, sf):
+    root = scratch_path(spark, "partitions", unique=True)
+    return store.write_bars(ADAPTERS["li"](spark, sf), root)
+
+
+@register(
+    "reprocess_idempotent",
+    f"""WITH {bars_cte('ord')}
+SELECT {_BAR_SELECT} FROM bars WHERE year(date) < 1998 OR date >= DATE '1998-07-01'""",
+)
+def q_reprocess(spark, sf):
+    # Process twice (idempotent), then re-process a shorter re-fetch: the
+    # touched years are replaced whole, older years stay.
+    root = scratch_path(spark, "reprocess", unique=True)
+    bars = ADAPTERS["ord"](spark, sf)
+    store.write_bars(bars, root)
+    store.write_bars(bars, root)
+    store.write_bars(bars.filter(F.col("date") >= F.lit("1998-07-01").cast("date")), root)
+    return store.read_store(spark, root).select(*STORE_COLS)
+
+
+@register("view_scan", f"WITH {bars_cte('ord')} SELECT {_BAR_SELECT} FROM bars")
+def q_view_scan(spark, sf):
+    return _store_view(spark, sf).select(*STORE_COLS)
+
+
+_VIEW_COLS = "date, open, high, low, close, adjusted_close, volume, ingested_at, symbol, source, year"
+
+
+@register(
+    "views_info",
+    f"""WITH {bars_cte('ord', 'b1')}, {bars_cte('ev', 'b2')}
+SELECT 'daily_events' AS name, (SELECT count(*) FROM b2) AS rows, 11 AS columns, '{_VIEW_COLS}' AS column_names,
+       CAST(NULL AS VARCHAR) AS error
+UNION ALL
+SELECT 'daily_ohlcv', (SELECT count(*) FROM b1), 11, '{_VIEW_COLS}', NULL""",
+)
+def q_views_info(spark, sf):
+    names = store.register_views(spark, shared_store(spark, sf))
+    return store.views_info(spark, names)
+
+
+@register(
+    "q_latest",
+    f"""WITH {bars_cte('ord')}
+SELECT {_BAR_SELECT} FROM bars WHERE symbol = '3-MEDIUM' ORDER BY date DESC, source LIMIT 10""",
+)
+def q_latest(spark, sf):
+    return qops.latest(_store_view(spark, sf), " 3-medium", rows=10).select(*STORE_COLS)
+
+
+@register(
+    "q_range",
+    f"""WITH {bars_cte('ord')}
+SELECT {_BAR_SELECT} FROM bars
+WHERE symbol = '2-HIGH' AND date BETWEEN DATE '1997-03-01' AND DATE '1998-06-30'""",
+)
+def q_range(spark, sf):
+    return qops.date_range(_store_view(spark, sf), "2-high", "1997-03-01", "1998-06-30").select(*STORE_COLS)
+
+
+@register(
+    "q_preview",
+    f"""WITH {bars_cte('ev')},
+t AS (SELECT symbol, source, date, close, volume FROM bars WHERE volume > 10)
+SELECT *, (SELECT count(*) FROM t) AS total_rows FROM t ORDER BY date, symbol, source LIMIT 50""",
+)
+def q_preview(spark, sf):
+    _store_view(spark, sf)
+    df = spark.sql(
+        "SELECT symbol, source, date, close, volume FROM daily_events WHERE volume > 10 ORDER BY date, symbol, source"
+    )
+    return qops.preview(df, 50)
+
+
+@register(
+    "q_sql",
+    f"""WITH {bars_cte('ord')}
+SELECT symbol, source, CAST(year(date) AS INTEGER) AS year, count(*) AS n, min(low) AS min_low, max(high) AS max_high,
+       sum(volume) AS volume
+FROM bars WHERE date >= DATE '1996-01-01' AND source <> 'P' GROUP BY ALL""",
+)
+def q_sql(spark, sf):
+    return qops.run_sql(
+        spark,
+        "SELECT symbol, source, year, count(*) AS n, min(low) AS min_low, max(high) AS max_high, "
+        "sum(volume) AS volume FROM daily_ohlcv WHERE date >= :start AND source <> :src "
+        "GROUP BY symbol, source, year",
+        args={"start": _dt.date(1996, 1, 1), "src": "P"},
+        processed_dir=shared_store(spark, sf),
+    )
+
+
+@register(
+    "export_csv",
+    f"""WITH {bars_cte('ev')}
+SELECT symbol, source, date, open, close, volume FROM bars WHERE symbol IN ('click', 'view')""",
+)
+def q_export_csv(spark, sf):
+    df = qops.run_sql(
+        spark,
+        "SELECT symbol, source, date, open, close, volume FROM daily_events WHERE symbol IN ('click', 'view')",
+        processed_dir=shared_store(spark, sf),
+    )
+    path = scratch_path(spark, "export", unique=True)
+    store.export_csv(df, path)
+    return spark.read.schema(
+        "symbol string, source string, date date, open double, close double, volume bigint"
+    ).option("header", True).csv(path)
