@@ -568,3 +568,182 @@ def q_export_csv(spark, sf):
     return spark.read.schema(
         "symbol string, source string, date date, open double, close double, volume bigint"
     ).option("header", True).csv(path)
+
+
+# ---------------------------------------------------------------- raw tier
+
+from barlake.operators import normalize as norm  # noqa: E402
+from barlake.operators.symbols import filter_symbols, symbols_df  # noqa: E402
+from barlake.plans import landing_render as LR  # noqa: E402
+from barlake.plans.process import process  # noqa: E402
+from barlake.plans.table_bars import INGESTED_AT, table  # noqa: E402
+from barlake.sources.landing import latest_raw  # noqa: E402
+from barlake.sources.manifest import intraday_manifest, payload_manifest  # noqa: E402
+
+NORM_COLS = ["date", "open", "high", "low", "close", "adjusted_close", "volume", "source", "symbol"]
+PROVIDERS = ["yfinance", "stooq", "alpha_vantage"]
+_PROVIDER_SQL = "CASE source WHEN 'F' THEN 'yfinance' WHEN 'O' THEN 'stooq' WHEN 'P' THEN 'alpha_vantage' END"
+_ADJ_SQL = """CASE WHEN provider = 'stooq' THEN close
+            WHEN provider = 'yfinance' AND year(date) % 4 = 3 THEN close
+            WHEN provider = 'alpha_vantage' AND year(date) % 2 = 1 THEN close
+            ELSE adjusted_close END"""
+_PB = f"""{bars_cte('ord')},
+pb AS (SELECT *, {_PROVIDER_SQL} AS provider FROM bars)"""
+_NORM_SELECT = f"SELECT date, open, high, low, close, {_ADJ_SQL} AS adjusted_close, volume, provider AS source, symbol FROM pb"
+
+
+def _landing(spark, sf):
+    return LR.render_landing(ADAPTERS["ord"](spark, sf))
+
+
+def _normalized(spark, sf, sources):
+    return norm.normalize(_landing(spark, sf), sources, INGESTED_AT).bars.select(*NORM_COLS)
+
+
+for _src, _code in (("yfinance", "F"), ("alpha_vantage", "P"), ("stooq", "O")):
+    register(f"normalize_{_src}", f"WITH {_PB} {_NORM_SELECT} WHERE source = '{_code}'")(
+        (lambda s: lambda spark, sf: _normalized(spark, sf, [s]))(_src)
+    )
+
+register("normalize_all", f"WITH {_PB} {_NORM_SELECT}")(lambda spark, sf: _normalized(spark, sf, None))
+
+
+_LATEST_SQL = f"""{_PB},
+files AS (SELECT provider, symbol, year(date) AS y FROM pb GROUP BY ALL),
+err AS (SELECT *, CASE WHEN (provider = 'stooq' AND y IN (1997, 1999)) OR (provider = 'alpha_vantage' AND y IN (1996, 2000))
+                         OR (provider = 'yfinance' AND y = 1998)
+                         OR (provider = 'stooq' AND symbol = '5-LOW' AND y = 2001)
+                         OR (provider = 'alpha_vantage' AND symbol = '4-NOT SPECIFIED' AND y = 2001) THEN 1 ELSE 0 END AS bad
+        FROM files),
+latest AS (SELECT provider, symbol, max(y) AS y FROM files GROUP BY ALL)"""
+
+
+@register(
+    "process_pipeline",
+    f"""WITH {_LATEST_SQL}
+SELECT pb.symbol, pb.provider AS source, CAST(year(pb.date) AS INTEGER) AS year, pb.date, pb.open, pb.high, pb.low, pb.close,
+       {_ADJ_SQL.replace("provider", "pb.provider").replace("close", "pb.close").replace("adjusted_pb.close", "pb.adjusted_close").replace("year(date)", "year(pb.date)")} AS adjusted_close,
+       pb.volume
+FROM pb JOIN latest l ON pb.provider = l.provider AND pb.symbol = l.symbol AND year(pb.date) = l.y
+JOIN err e ON e.provider = l.provider AND e.symbol = l.symbol AND e.y = l.y
+WHERE e.bad = 0""",
+)
+def q_process_pipeline(spark, sf):
+    raw = LR.with_bad_latest(LR.with_payload_errors(_landing(spark, sf)))
+    root = scratch_path(spark, "process", unique=True)
+    res = process(spark, raw, root, ingested_at=INGESTED_AT)
+    res.written.count()  # the write happened in process(); counts are read back
+    return store.read_store(spark, root).select(*STORE_COLS)
+
+
+@register(
+    "process_rejects",
+    f"""WITH {_LATEST_SQL}
+SELECT 'stooq' AS source, '5-LOW' AS symbol, '2001-12-31_daily.csv' AS file_name, 'missing column Date' AS error,
+       CAST(1 AS BIGINT) AS bad_rows
+UNION ALL
+SELECT 'alpha_vantage', '4-NOT SPECIFIED', '2001-12-31_daily.json', 'unparseable open', count(*)
+FROM pb WHERE provider = 'alpha_vantage' AND symbol = '4-NOT SPECIFIED' AND year(date) = 2001""",
+)
+def q_process_rejects(spark, sf):
+    raw = LR.with_bad_latest(LR.with_payload_errors(_landing(spark, sf)))
+    latest = norm.normalize(
+        __import__("barlake.sources.landing", fromlist=["x"]).select_latest(raw), None, INGESTED_AT
+    )
+    return latest.rejects
+
+
+@register(
+    "latest_raw",
+    f"""WITH {_PB},
+files AS (SELECT provider AS source, symbol, max(year(date)) AS y,
+                 CASE WHEN provider = 'alpha_vantage' THEN 'json' ELSE 'csv' END AS ext FROM pb GROUP BY ALL),
+grid AS (SELECT * FROM (VALUES {", ".join(f"('{p}')" for p in PROVIDERS)}) a(source)
+         CROSS JOIN (VALUES {", ".join(f"('{s}')" for s in CHECK_SYMBOLS)}) b(symbol))
+SELECT g.source, g.symbol, CAST(f.y AS VARCHAR) || '-12-31_daily.' || f.ext AS file_name, f.y IS NOT NULL AS found
+FROM grid g LEFT JOIN files f USING (source, symbol)""",
+)
+def q_latest_raw(spark, sf):
+    landing = _landing(spark, sf)
+    listing = landing.unionByName(LR.render_sidecars(landing))
+    intraday = landing.select("source", "symbol").distinct().select(
+        "source", "symbol",
+        F.when(F.col("source") == "alpha_vantage", F.lit("2002-01-04_5min.json"))
+        .otherwise(F.lit("2002-01-04_5m.csv")).alias("file_name"),
+        F.lit("").alias("body"),
+    )
+    listing = listing.unionByName(intraday).select("source", "symbol", "file_name")
+    return latest_raw(listing, PROVIDERS, CHECK_SYMBOLS)
+
+
+MANIFEST_START, MANIFEST_END = "1996-03-01", "2000-06-30"
+
+
+@register(
+    "payload_manifest",
+    f"""WITH {_PB},
+f AS (SELECT provider AS source, symbol, year(date) AS y, count(*) AS n, min(date) AS d0, max(date) AS d1,
+             count(*) FILTER (WHERE date BETWEEN DATE '{MANIFEST_START}' AND DATE '{MANIFEST_END}') AS n_in,
+             min(date) FILTER (WHERE date BETWEEN DATE '{MANIFEST_START}' AND DATE '{MANIFEST_END}') AS d0_in,
+             max(date) FILTER (WHERE date BETWEEN DATE '{MANIFEST_START}' AND DATE '{MANIFEST_END}') AS d1_in
+      FROM pb GROUP BY ALL),
+k AS (SELECT *, CASE WHEN source = 'stooq' AND y = 1997 THEN 'limit_exceeded'
+                     WHEN source = 'stooq' AND y = 1999 THEN 'no_data'
+                     WHEN source = 'alpha_vantage' AND y = 1996 THEN 'rate_limit'
+                     WHEN source = 'alpha_vantage' AND y = 2000 THEN 'api_error'
+                     WHEN source = 'yfinance' AND y = 1998 THEN 'no_data' END AS error_kind FROM f)
+SELECT source, symbol,
+       CAST(y AS VARCHAR) || '-12-31_daily.' || CASE WHEN source = 'alpha_vantage' THEN 'json' ELSE 'csv' END AS file_name,
+       'daily' AS kind, CAST(NULL AS VARCHAR) AS interval, error_kind,
+       CASE error_kind
+         WHEN 'limit_exceeded' THEN 'Stooq daily hit limit exceeded for ' || symbol
+         WHEN 'rate_limit' THEN 'AV rate limit hit: Thank you for using the API.'
+         WHEN 'api_error' THEN 'AV API error: Invalid API call.'
+         WHEN 'no_data' THEN CASE WHEN source = 'stooq' THEN 'No data from Stooq for ' ELSE 'No data returned for ' END
+                             || symbol || ' ({MANIFEST_START} to {MANIFEST_END})' END AS error,
+       CASE WHEN error_kind IS NULL THEN CASE WHEN source = 'alpha_vantage' THEN n_in ELSE n END END AS rows_received,
+       CASE WHEN error_kind IS NULL THEN CASE WHEN source = 'alpha_vantage' THEN coalesce(d0_in, DATE '{MANIFEST_START}') ELSE d0 END END AS start_date,
+       CASE WHEN error_kind IS NULL THEN CASE WHEN source = 'alpha_vantage' THEN coalesce(d1_in, DATE '{MANIFEST_END}') ELSE d1 END END AS end_date,
+       CASE WHEN source = 'stooq' THEN lower(symbol) || '.us' END AS provider_symbol,
+       '{MANIFEST_START.replace("-", "")}' AS request_start, '{MANIFEST_END.replace("-", "")}' AS request_end
+FROM k""",
+)
+def q_payload_manifest(spark, sf):
+    return payload_manifest(LR.with_payload_errors(_landing(spark, sf)), MANIFEST_START, MANIFEST_END)
+
+
+@register(
+    "intraday_manifest",
+    """WITH e AS (SELECT event_type AS symbol, CASE WHEN user_id % 2 = 0 THEN '5' ELSE '1h' END AS tok,
+                  CAST(ts AS DATE) AS day, time_bucket(INTERVAL 5 MINUTE, ts) AS b FROM events),
+g AS (SELECT symbol, tok, day, count(DISTINCT b) AS n FROM e GROUP BY ALL)
+SELECT 'alpha_vantage' AS source, symbol,
+       strftime(day, '%Y-%m-%d') || '_' || CASE tok WHEN '5' THEN '5min' ELSE '1h' END || '.json' AS file_name,
+       'intraday' AS kind, CASE tok WHEN '5' THEN '5min' ELSE '1h' END AS interval,
+       CASE WHEN tok = '1h' THEN 'invalid_interval' END AS error_kind,
+       CASE WHEN tok = '1h' THEN 'Invalid interval ''1h''. Valid: [''15min'', ''1min'', ''30min'', ''5min'', ''60min'']' END AS error,
+       CASE WHEN tok = '5' THEN n END AS rows_received,
+       CASE WHEN tok = '5' THEN day END AS start_date, CASE WHEN tok = '5' THEN day END AS end_date
+FROM g
+UNION ALL
+SELECT 'yfinance', symbol, strftime(day, '%Y-%m-%d') || '_' || CASE tok WHEN '5' THEN '5m' ELSE '1h' END || '.csv',
+       'intraday', CASE tok WHEN '5' THEN '5m' ELSE '1h' END, NULL, NULL, n, day, day
+FROM g
+UNION ALL
+SELECT 'stooq', symbol, strftime(day, '%Y-%m-%d') || '_5m.csv', 'intraday', '5m', 'unsupported',
+       'Stooq does not support intraday data via CSV download. Use yfinance or Alpha Vantage for intraday.', NULL, NULL, NULL
+FROM g WHERE tok = '5'""",
+)
+def q_intraday_manifest(spark, sf):
+    return intraday_manifest(LR.render_intraday(table(spark, sf, "events")))
+
+
+@register(
+    "symbol_filter",
+    f"""WITH {bars_cte('ord')}
+SELECT date, open, high, low, close, adjusted_close, volume, source, symbol FROM bars
+WHERE symbol IN ('1-URGENT', '3-MEDIUM', '9-ABSENT')""",
+)
+def q_symbol_filter(spark, sf):
+    wanted = symbols_df(spark, " 1-urgent, 3-medium ,, 9-absent ")
+    return filter_symbols(ADAPTERS["ord"](spark, sf), wanted).select(*NORM_COLS)
