@@ -76,8 +76,8 @@ def payload_manifest(raw: DataFrame, start=None, end=None) -> DataFrame:
     e_lit = date_lit(end) if end is not None else F.lit(None).cast("date")
     rng = _range_text(start, end)
 
-    # stooq
-    sb = F.trim(body)
+    # stooq (Python's strip(): all surrounding whitespace, newlines included)
+    sb = F.regexp_replace(body, r"^\s+|\s+$", "")
     st_kind, st_msg = _chain(
         ("no_data", sb.contains("No data") | (sb == ""), F.concat(F.lit("No data from Stooq for "), sym, rng)),
         ("limit_exceeded", sb.contains("Exceeded"), F.concat(F.lit("Stooq daily hit limit exceeded for "), sym)),
