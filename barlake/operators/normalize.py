@@ -1,10 +1,11 @@
 """Provider payloads -> canonical bars, with file-level rejects.
 
-Each normalizer maps raw payload rows (source, symbol, file_name, body) to
-canonical rows plus an ``error`` column; ``normalize`` dispatches by
-source, unions the results and moves every file with any error to the
-rejects (a file is accepted or rejected whole, like one failed call in the
-reference), so one bad payload never stops the others.
+A landed payload is one row, so every check and parse runs per file with
+array functions: the file's lines (or series entries) become an array of
+parsed structs, the file's error is the first error among them (or a header
+problem), and only accepted files are exploded into bars. One pass, no
+shuffle, no join: a file is accepted or rejected whole (like one failed
+call in the reference), and one bad payload never stops the others.
 """
 
 from __future__ import annotations
@@ -24,6 +25,8 @@ from barlake.schema import (
 from barlake.sources import payloads as P
 
 FILE_KEYS = ["source", "symbol", "file_name"]
+VALUE_FIELDS = ["open", "high", "low", "close", "adjusted_close", "volume"]
+REJECT_COLUMNS = FILE_KEYS + ["error", "bad_rows"]
 
 # Provider CSV header names.
 YF_DATE_HEADERS = ["Date", "Datetime"]
@@ -39,172 +42,184 @@ def _ts(ingested_at) -> Column:
     return F.lit(ingested_at).cast("timestamp")
 
 
-def _first_error(*checks: tuple[Column, str | None]) -> Column:
-    """The message of the first true condition (a None message stops the
-    chain with no error)."""
+def _first_error(*checks: tuple[Column, str]) -> Column:
     expr = None
     for cond, msg in checks:
-        value = F.lit(msg) if msg is not None else F.lit(None).cast("string")
-        expr = F.when(cond, value) if expr is None else expr.when(cond, value)
+        expr = F.when(cond, F.lit(msg)) if expr is None else expr.when(cond, F.lit(msg))
     return expr
 
 
-def _num_error(text: Column, parsed: Column, name: str) -> tuple[Column, str]:
-    return (text.isNotNull() & parsed.isNull(), f"unparseable {name}")
+def _finish_files(files: DataFrame, entries: Column, header_error: Column, source: str, date_parser,
+                  volume_parser, required: tuple = ()) -> DataFrame:
+    """``entries``: array of structs with t_date, t_open, ... t_volume text.
+    Returns per-file rows: keys, ``error``, ``bad_rows``, ``bars`` array.
 
-
-def _csv_canonical(rows: DataFrame, date_text: Column, adj_text: Column, source: str, ingested_at, date_mode: str,
-                   required: list[str], first_checks: tuple = ()) -> DataFrame:
-    """Staged projections (cell text -> parsed values -> error) keep each
-    generated expression small enough for whole-stage codegen."""
-    texts = {
-        "t_date": date_text,
-        "t_open": P.cell(CSV_OPEN),
-        "t_high": P.cell(CSV_HIGH),
-        "t_low": P.cell(CSV_LOW),
-        "t_close": P.cell(CSV_CLOSE),
-        "t_adj": adj_text,
-        "t_volume": P.cell(CSV_VOLUME),
-    }
-    header_errors = _first_error(*first_checks, *[(~P.has_header(n), f"missing column {n}") for n in required])
-    staged = rows.select(
-        "symbol", "file_name", "placeholder", header_errors.alias("header_error"),
-        *[c.alias(n) for n, c in texts.items()],
-    )
-    t = F.col
-    if date_mode == "strict":
-        date = F.try_to_timestamp(t("t_date"), F.lit("yyyy-MM-dd")).cast("date")
-    else:
-        date = P.parse_date(t("t_date"), date_mode)
-    parsed = staged.select(
-        "*",
-        date.alias("date"),
-        P.to_double(t("t_open")).alias("open"),
-        P.to_double(t("t_high")).alias("high"),
-        P.to_double(t("t_low")).alias("low"),
-        P.to_double(t("t_close")).alias("close"),
-        P.to_double(t("t_adj")).alias("adjusted_close"),
-        P.to_long(t("t_volume")).alias("volume"),
-    )
-    error = F.coalesce(
-        t("header_error"),
-        _first_error(
-            (t("placeholder"), None),
-            (t("t_date").isNull() | t("date").isNull(), "unparseable date"),
-            *[_num_error(t(f"t_{k}"), t(k), k) for k in ("open", "high", "low", "close")],
-            _num_error(t("t_adj"), t("adjusted_close"), "adjusted_close"),
-            _num_error(t("t_volume"), t("volume"), "volume"),
-        ),
-    )
+    Each array is produced by its own projection and consumed by name, so
+    the optimizer never inlines (and re-evaluates) the parse; callers select
+    accepted files with ``explode(when(error IS NULL, bars))`` rather than
+    a filter that would be pushed below the parse.
+    """
+    staged = files.select(*FILE_KEYS, header_error.alias("header_error"), entries.alias("texts"))
+
+    def parse(t: Column) -> Column:
+        date = date_parser(t["t_date"])
+        nums = {k: P.to_double(t[f"t_{k}"]) for k in ("open", "high", "low", "close", "adjusted_close")}
+        vol = volume_parser(t["t_volume"])
+        err = _first_error(
+            *[(t[f"t_{k}"].isNull(), f"missing field {k}") for k in required],
+            (t["t_date"].isNull() | date.isNull(), "unparseable date"),
+            *[(t[f"t_{k}"].isNotNull() & nums[k].isNull(), f"unparseable {k}") for k in
+              ("open", "high", "low", "close", "adjusted_close")],
+            (t["t_volume"].isNotNull() & vol.isNull(), "unparseable volume"),
+        )
+        return F.struct(date.alias("date"), *[nums[k].alias(k) for k in nums], vol.alias("volume"), err.alias("err"))
+
+    parsed = staged.select(*FILE_KEYS, "header_error", F.transform("texts", parse).alias("bars"))
+    bad = F.filter("bars", lambda b: b["err"].isNotNull())
     return parsed.select(
-        "date", "open", "high", "low", "close", "adjusted_close", "volume",
-        F.lit(source).alias("source"),
-        _ts(ingested_at).alias("ingested_at"),
-        "symbol",
-        "file_name",
-        error.alias("error"),
-        "placeholder",
+        *FILE_KEYS,
+        F.coalesce(F.col("header_error"), F.try_element_at(bad, F.lit(1))["err"]).alias("error"),
+        F.when(F.col("header_error").isNotNull(), F.size("bars")).otherwise(F.size(bad)).cast("bigint").alias("bad_rows"),
+        "bars",
+        F.lit(source).alias("parsed_as"),
     )
 
 
-def normalize_yfinance(raw: DataFrame, ingested_at=None, date_mode: str = "local") -> DataFrame:
+def _csv_files(raw: DataFrame, date_pos: Column, adj_pos: Column, required: list[str], first_checks, source,
+               date_parser) -> DataFrame:
+    f = P.csv_files(raw)
+    pos = {
+        "p_date": date_pos, "p_open": P.header_pos(CSV_OPEN), "p_high": P.header_pos(CSV_HIGH),
+        "p_low": P.header_pos(CSV_LOW), "p_close": P.header_pos(CSV_CLOSE), "p_adj": adj_pos,
+        "p_volume": P.header_pos(CSV_VOLUME),
+    }
+    header_error = _first_error(*first_checks, *[(P.header_pos(n) == 0, f"missing column {n}") for n in required])
+    f = f.select(*FILE_KEYS, "lines", header_error.alias("header_error"), *[c.alias(n) for n, c in pos.items()])
+    cells = F.transform("lines", lambda line: F.split(line, ","))
+    f = f.select(*FILE_KEYS, "header_error", *pos, cells.alias("cells"))
+
+    def texts(c: Column) -> Column:
+        at = lambda p: P.cell_at(c, F.col(p))
+        adj = F.when(F.col("p_adj") > 0, at("p_adj")).otherwise(at("p_close"))
+        return F.struct(
+            at("p_date").alias("t_date"), at("p_open").alias("t_open"), at("p_high").alias("t_high"),
+            at("p_low").alias("t_low"), at("p_close").alias("t_close"), adj.alias("t_adjusted_close"),
+            at("p_volume").alias("t_volume"),
+        )
+
+    return _finish_files(f, F.transform("cells", texts), F.col("header_error"), source, date_parser, P.to_long)
+
+
+def yfinance_files(raw: DataFrame, date_mode: str = "local") -> DataFrame:
     """yfinance daily CSV: ``Date`` or ``Datetime`` first column; adjusted
-    close from the first present of the alias headers, else the close."""
-    rows = P.csv_rows(raw)
-    date_text = F.when(P.has_header("Date"), P.cell("Date")).otherwise(P.cell("Datetime"))
-    adj = P.first_present(YF_ADJ_CLOSE_HEADERS, P.cell(CSV_CLOSE))
-    required = [CSV_OPEN, CSV_HIGH, CSV_LOW, CSV_CLOSE, CSV_VOLUME]
-    no_date_col = ~P.has_header("Date") & ~P.has_header("Datetime")
-    return _csv_canonical(rows, date_text, adj, SOURCE_YFINANCE, ingested_at, date_mode, required,
-                          first_checks=((no_date_col, "missing column Datetime"),))
+    close from the first present alias header, else the close."""
+    date_pos = P.first_header_pos(YF_DATE_HEADERS)
+    no_date = (date_pos == 0, "missing column Datetime")
+    return _csv_files(raw, date_pos, P.first_header_pos(YF_ADJ_CLOSE_HEADERS),
+                      [CSV_OPEN, CSV_HIGH, CSV_LOW, CSV_CLOSE, CSV_VOLUME], [no_date], SOURCE_YFINANCE,
+                      lambda c: P.parse_date(c, date_mode))
 
 
-def normalize_stooq(raw: DataFrame, ingested_at=None) -> DataFrame:
+def stooq_files(raw: DataFrame) -> DataFrame:
     """Stooq daily CSV ``Date,Open,High,Low,Close,Volume``; no adjusted
     close, so ``adjusted_close = close``; dates strictly ``YYYY-MM-DD``."""
-    rows = P.csv_rows(raw)
-    required = ["Date", CSV_OPEN, CSV_HIGH, CSV_LOW, CSV_CLOSE, CSV_VOLUME]
-    return _csv_canonical(rows, P.cell("Date"), P.cell(CSV_CLOSE), SOURCE_STOOQ, ingested_at, "strict", required)
+    strict = lambda c: F.try_to_timestamp(c, F.lit("yyyy-MM-dd")).cast("date")
+    return _csv_files(raw, P.header_pos("Date"), F.lit(0), ["Date", CSV_OPEN, CSV_HIGH, CSV_LOW, CSV_CLOSE, CSV_VOLUME],
+                      [], SOURCE_STOOQ, strict)
 
 
-def normalize_alpha_vantage(raw: DataFrame, ingested_at=None) -> DataFrame:
-    """Alpha Vantage daily JSON: one row per key of ``Time Series (Daily)``.
-    Volume must be integer text; adjusted close falls back to the close.
-    A payload without the series is one error row for its file."""
-    keep = [c for c in raw.columns if c != "body"]
-    j = raw.select(*keep, P.av_json(F.col("body")).alias("j"))
+def alpha_vantage_files(raw: DataFrame) -> DataFrame:
+    """Alpha Vantage daily JSON: one entry per key of ``Time Series (Daily)``.
+    Volume must be integer text; adjusted close falls back to the close; a
+    payload without the series is rejected."""
+    j = raw.select(*FILE_KEYS, P.av_json(F.col("body")).alias("j"))
     series = F.col("j").getField(P.AV_DAILY_SERIES)
-    empty = series.isNull() | (F.size(series) == 0)
-    entries = F.when(empty, F.array(F.struct(F.lit(None).cast("string").alias("stamp"),
-                                             F.lit(None).cast("map<string,string>").alias("m"))))
-    entries = entries.otherwise(F.transform(F.map_entries(series), lambda e: F.struct(
-        e["key"].alias("stamp"), e["value"].alias("m"))))
-    rows = j.select(*keep, empty.alias("placeholder"), F.explode(entries).alias("e")).select(*keep, "placeholder", "e.*")
-    m = F.col("m")
-    text = {k: m.getItem(v) for k, v in
-            {"open": P.AV_OPEN, "high": P.AV_HIGH, "low": P.AV_LOW, "close": P.AV_CLOSE, "volume": P.AV_VOLUME}.items()}
-    adj_text = F.coalesce(m.getItem(P.AV_ADJ_CLOSE), text["close"])
-    parsed = {k: P.to_double(text[k]) for k in ("open", "high", "low", "close")}
-    parsed["adjusted_close"] = P.to_double(adj_text)
-    parsed["volume"] = text["volume"].try_cast("bigint")
-    date = F.try_to_timestamp(F.col("stamp"), F.lit("yyyy-MM-dd")).cast("date")
-    error = _first_error(
-        (F.col("placeholder"), f"No '{P.AV_DAILY_SERIES}' found"),
-        *[((text[k].isNull()) | parsed[k].isNull(), f"unparseable {k}") for k in ("open", "high", "low", "close", "volume")],
-        (parsed["adjusted_close"].isNull(), "unparseable adjusted_close"),
-        (date.isNull(), "unparseable date"),
-    )
-    return rows.select(
-        date.alias("date"),
-        *[parsed[k].alias(k) for k in ("open", "high", "low", "close", "adjusted_close", "volume")],
-        F.lit(SOURCE_ALPHA_VANTAGE).alias("source"),
-        _ts(ingested_at).alias("ingested_at"),
-        "symbol",
-        "file_name",
-        error.alias("error"),
-        "placeholder",
-    )
-
-
-NORMALIZERS = {
-    SOURCE_YFINANCE: normalize_yfinance,
-    SOURCE_ALPHA_VANTAGE: normalize_alpha_vantage,
-    SOURCE_STOOQ: normalize_stooq,
+    header_error = F.when(series.isNull() | (F.size(series) == 0), F.lit(f"No '{P.AV_DAILY_SERIES}' found"))
+
+    def texts(e: Column) -> Column:
+        m = e["value"]
+        return F.struct(
+            e["key"].alias("t_date"), m.getItem(P.AV_OPEN).alias("t_open"), m.getItem(P.AV_HIGH).alias("t_high"),
+            m.getItem(P.AV_LOW).alias("t_low"), m.getItem(P.AV_CLOSE).alias("t_close"),
+            F.coalesce(m.getItem(P.AV_ADJ_CLOSE), m.getItem(P.AV_CLOSE)).alias("t_adjusted_close"),
+            m.getItem(P.AV_VOLUME).alias("t_volume"),
+        )
+
+    entries = F.transform(F.coalesce(F.map_entries(series), F.array().cast(
+        "array<struct<key:string,value:map<string,string>>>")), texts)
+    # A required field missing from an entry is an error, not a NULL value.
+    return _finish_files(j, entries, header_error, SOURCE_ALPHA_VANTAGE,
+                         lambda c: F.try_to_timestamp(c, F.lit("yyyy-MM-dd")).cast("date"),
+                         lambda c: c.try_cast("bigint"), required=("open", "high", "low", "close", "volume"))
+
+
+FILE_PARSERS = {
+    SOURCE_YFINANCE: yfinance_files,
+    SOURCE_ALPHA_VANTAGE: alpha_vantage_files,
+    SOURCE_STOOQ: stooq_files,
 }
 
 
-@dataclass
-class Normalized:
-    bars: DataFrame  # canonical columns + symbol
-    rejects: DataFrame  # (source, symbol, file_name, error, bad_rows)
-
-
-def normalize_rows(raw: DataFrame, sources=None, ingested_at=None) -> DataFrame:
-    """Dispatch by ``source`` and union: canonical + symbol + file_name + error.
+def parse_files(raw: DataFrame, sources=None) -> DataFrame:
+    """Dispatch by ``source``: per-file (keys, error, bad_rows, bars).
 
     An unknown requested source is an error naming the available ones.
     """
     if sources is None:
-        sources = list(NORMALIZERS)
-    unknown = [s for s in sources if s not in NORMALIZERS]
+        sources = list(FILE_PARSERS)
+    unknown = [s for s in sources if s not in FILE_PARSERS]
     if unknown:
-        raise ValueError(f"No normalizer for source '{unknown[0]}'. Available: {list(NORMALIZERS)}")
-    if ingested_at is None:
-        ingested_at = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-    parts = [NORMALIZERS[s](raw.filter(F.col("source") == s), ingested_at) for s in sources]
+        raise ValueError(f"No normalizer for source '{unknown[0]}'. Available: {list(FILE_PARSERS)}")
+    parts = [FILE_PARSERS[s](raw.filter(F.col("source") == s)) for s in sources]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
 
 
+def bars_of(files: DataFrame, ingested_at) -> DataFrame:
+    """Explode the accepted files into canonical bars (+ symbol)."""
+    ok = files.select("symbol", "parsed_as", F.explode(F.when(F.col("error").isNull(), F.col("bars"))).alias("b"))
+    return ok.select(
+        F.col("b.date").alias("date"),
+        *[F.col(f"b.{k}").alias(k) for k in VALUE_FIELDS],
+        F.col("parsed_as").alias("source"),
+        _ts(ingested_at).alias("ingested_at"),
+        "symbol",
+    ).select(*NORMALIZED_COLUMNS)
+
+
+@dataclass
+class Normalized:
+    files: DataFrame  # per file: keys, error, bad_rows, bars
+    bars: DataFrame  # canonical columns + symbol, accepted files only
+    rejects: DataFrame  # (source, symbol, file_name, error, bad_rows)
+
+
 def normalize(raw: DataFrame, sources=None, ingested_at=None) -> Normalized:
-    """Accepted bars and rejected files. Rows of a file with any error are
-    removed by a left-anti join on the (usually tiny) set of bad files."""
-    rows = normalize_rows(raw, sources, ingested_at)
-    bad = rows.filter(F.col("error").isNotNull()).groupBy(*FILE_KEYS).agg(
-        F.min("error").alias("error"), F.count(F.lit(1)).alias("bad_rows")
-    )
-    good = rows.filter(F.col("error").isNull() & ~F.col("placeholder"))
-    good = good.join(bad.select(*FILE_KEYS), FILE_KEYS, "left_anti")
-    return Normalized(good.select(*NORMALIZED_COLUMNS), bad)
+    """Accepted bars and rejected files from payload rows
+    (source, symbol, file_name, body). ``ingested_at`` is one stamp per run
+    (default: now, UTC)."""
+    if ingested_at is None:
+        ingested_at = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+    files = parse_files(raw, sources)
+    rejected = F.when(F.col("error").isNotNull(), F.array(F.struct(*REJECT_COLUMNS)))
+    rejects = files.select(F.explode(rejected).alias("r")).select("r.*")
+    return Normalized(files, bars_of(files, ingested_at), rejects)
+
+
+def normalize_source(raw: DataFrame, source: str, ingested_at=None) -> DataFrame:
+    """Bars of one provider's accepted payloads."""
+    return normalize(raw, [source], ingested_at).bars
+
+
+def normalize_yfinance(raw: DataFrame, ingested_at=None) -> DataFrame:
+    return normalize_source(raw, SOURCE_YFINANCE, ingested_at)
+
+
+def normalize_stooq(raw: DataFrame, ingested_at=None) -> DataFrame:
+    return normalize_source(raw, SOURCE_STOOQ, ingested_at)
+
+
+def normalize_alpha_vantage(raw: DataFrame, ingested_at=None) -> DataFrame:
+    return normalize_source(raw, SOURCE_ALPHA_VANTAGE, ingested_at)

@@ -640,7 +640,7 @@ def q_process_pipeline(spark, sf):
     "process_rejects",
     f"""WITH {_LATEST_SQL}
 SELECT 'stooq' AS source, '5-LOW' AS symbol, '2001-12-31_daily.csv' AS file_name, 'missing column Date' AS error,
-       CAST(1 AS BIGINT) AS bad_rows
+       CAST(0 AS BIGINT) AS bad_rows
 UNION ALL
 SELECT 'alpha_vantage', '4-NOT SPECIFIED', '2001-12-31_daily.json', 'unparseable open', count(*)
 FROM pb WHERE provider = 'alpha_vantage' AND symbol = '4-NOT SPECIFIED' AND year(date) = 2001""",

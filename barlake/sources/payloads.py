@@ -20,54 +20,38 @@ AV_ADJ_CLOSE, AV_VOLUME = "5. adjusted close", "6. volume"
 AV_ERROR_KEY, AV_NOTE_KEY = "Error Message", "Note"
 
 
-def csv_rows(raw: DataFrame) -> DataFrame:
-    """One row per non-blank data line of each CSV payload:
-    ``header`` (trimmed cell names), ``cells`` and ``line_no`` (1 = first
-    data line), next to the raw row's columns except ``body``.
-
-    A payload without data lines yields one ``placeholder`` row (cells
-    NULL) so that header problems of such a file can still be reported.
-    """
-    lines = F.split(F.col("body"), LINE_SPLIT)
+def csv_files(raw: DataFrame) -> DataFrame:
+    """Per payload file: ``header`` (trimmed names) and ``lines`` (the
+    non-blank data lines), next to the raw row's columns except ``body``."""
     keep = [c for c in raw.columns if c != "body"]
-    data = F.filter(F.slice(lines, 2, F.greatest(F.size(lines) - 1, F.lit(1))), lambda x: F.trim(x) != "")
-    with_header = raw.select(
+    split = raw.select(*keep, F.split(F.col("body"), LINE_SPLIT).alias("_all"))
+    lines = F.col("_all")
+    return split.select(
         *keep,
         F.transform(F.split(F.element_at(lines, 1), ","), lambda x: F.trim(x)).alias("header"),
-        data.alias("_data"),
-    ).withColumn("placeholder", F.size("_data") == 0)
-    lines_or_stub = F.when(F.col("placeholder"), F.array(F.lit(None).cast("string"))).otherwise(F.col("_data"))
-    return with_header.select(
-        *keep, "header", "placeholder", F.posexplode(lines_or_stub).alias("line_no", "line")
-    ).select(*keep, "header", "placeholder", (F.col("line_no") + 1).alias("line_no"), F.split("line", ",").alias("cells"))
+        F.filter(F.slice(lines, 2, F.greatest(F.size(lines) - 1, F.lit(1))), lambda x: F.trim(x) != "").alias("lines"),
+    )
 
 
 def header_pos(name: str) -> Column:
+    """1-based position of ``name`` in the file's header, 0 when absent."""
     return F.array_position(F.col("header"), F.lit(name)).cast("int")
 
 
-def has_header(name: str) -> Column:
-    return header_pos(name) > 0
+def first_header_pos(names: list[str]) -> Column:
+    """Position of the first of ``names`` present in the header, else 0."""
+    expr = F.lit(0)
+    for n in reversed(names):
+        expr = F.when(header_pos(n) > 0, header_pos(n)).otherwise(expr)
+    return expr
 
 
-def cell(name: str) -> Column:
-    """The cell under header ``name``; NULL when absent or empty."""
-    pos = header_pos(name)
-    v = F.when(pos > 0, F.try_element_at(F.col("cells"), pos))
-    v = F.trim(v)
+def cell_at(cells: Column, pos: Column) -> Column:
+    """Cell at header position ``pos``; NULL when absent (0) or empty."""
+    v = F.trim(F.when(pos > 0, F.try_element_at(cells, pos)))
     return F.when(v != "", v)
 
 
-def first_present(names: list[str], fallback: Column) -> Column:
-    """Cell of the first header in ``names`` present in the file, else
-    ``fallback``. Presence is by header: a present column with an empty cell
-    stays NULL."""
-    expr = None
-    for n in names:
-        expr = F.when(has_header(n), cell(n)) if expr is None else expr.when(has_header(n), cell(n))
-    return expr.otherwise(fallback)
-
-
 def to_double(c: Column) -> Column:
     return c.try_cast("double")
 

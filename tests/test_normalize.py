@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import json
 
-from barlake.operators.normalize import normalize, normalize_rows
+from barlake.operators.normalize import normalize, parse_files
 from barlake.plans.process import process
 from barlake.sources import store
 from barlake.sources.landing import latest_raw, list_landing, read_ingest_log, read_landing
@@ -102,7 +102,7 @@ def test_bad_file_is_rejected_others_kept(spark):
 def test_unknown_source_is_an_error(spark):
     raw = spark.createDataFrame([], "source string, symbol string, file_name string, body string")
     try:
-        normalize_rows(raw, ["nope"])
+        parse_files(raw, ["nope"])
     except ValueError as e:
         assert "Available" in str(e)
     else:
