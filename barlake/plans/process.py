@@ -56,6 +56,17 @@ def process(
         keys = latest_raw(raw.select("source", "symbol", "file_name"), sources, symbols)
         payloads = select_latest(raw, sources, symbols)
     result = normalize(payloads, sources, ingested_at)
-    written = store.write_bars(result.bars, processed_dir, dataset)
+    store.write_bars(result.bars, processed_dir, dataset)
+    # Every row this run wrote carries its ingested_at stamp, and the
+    # partitions it touched hold nothing else (dynamic overwrite): count them
+    # from the store (the stamp filter reaches the Parquet scan) instead of
+    # recomputing the input.
+    stamp = F.lit(ingested_at).cast("timestamp")
+    written = (
+        store.read_store(spark, processed_dir, dataset)
+        .filter(F.col("ingested_at") == stamp)
+        .groupBy("symbol", "source", "year")
+        .agg(F.count(F.lit(1)).alias("rows"))
+    )
     missing = keys.filter(~F.col("found")).select("source", "symbol")
     return ProcessResult(written, result.rejects, missing)

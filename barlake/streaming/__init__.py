@@ -1,0 +1,3 @@
+"""Incremental processing of the landing tier with Structured Streaming."""
+
+from barlake.streaming.landing_stream import start_process_stream  # noqa: F401

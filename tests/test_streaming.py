@@ -1,0 +1,23 @@
+"""Incremental processing with Structured Streaming."""
+
+from __future__ import annotations
+
+from test_normalize import STOOQ_CSV, land
+
+from barlake.sources import store
+from barlake.streaming import start_process_stream
+
+
+def test_stream_processes_new_files(spark, tmp_data_dir):
+    raw, processed, ckpt = (str(tmp_data_dir / x) for x in ("raw", "processed", "ckpt"))
+    land(tmp_data_dir, "stooq", "AAPL", "2024-01-10_daily.csv", "\n".join(STOOQ_CSV.splitlines()[:3]))
+    q = start_process_stream(spark, raw, processed, ckpt)
+    q.awaitTermination(120)
+    assert store.read_store(spark, processed).count() == 2
+    land(tmp_data_dir, "stooq", "AAPL", "2024-01-15_daily.csv", STOOQ_CSV)
+    land(tmp_data_dir, "stooq", "MSFT", "2024-01-15_daily.csv", "No data")
+    q = start_process_stream(spark, raw, processed, ckpt)
+    q.awaitTermination(120)
+    assert store.read_store(spark, processed).count() == 5
+    rejects = spark.read.parquet(f"{processed}/_rejects").collect()
+    assert [(r.symbol, r.error) for r in rejects] == [("MSFT", "missing column Date")]
