@@ -85,28 +85,35 @@ def missing_blocks(per_day: DataFrame) -> DataFrame:
 
 
 def _gap_stats(per_day: DataFrame) -> DataFrame:
+    """(symbol, longest_gap, missing_dates) in one pass over the blocks.
+
+    Run lengths come from a window on (symbol, run) -- the blocks are
+    already clustered by symbol, so no new shuffle. Blocks that can hold one
+    of the first 20 missing dates (``missing_before < 20``) list their
+    weekdays, cut at 28 calendar days (which always hold 20 weekdays); the
+    per-symbol aggregate therefore gathers at most 20 x 20 dates.
+    """
     blocks = missing_blocks(per_day)
-    runs = blocks.groupBy("symbol", "run").agg(F.sum("n_missing").alias("run_len"))
-    longest = runs.groupBy("symbol").agg(F.max("run_len").cast("int").alias("longest_gap"))
-    # Only blocks that can contribute to the first 20 dates; 28 calendar
-    # days always hold 20 weekdays, so each block is cut there.
-    head = (
-        blocks.filter(F.col("missing_before") < MISSING_DATES_SHOWN)
+    run_len = F.sum("n_missing").over(Window.partitionBy("symbol", "run"))
+    head = F.when(
+        F.col("missing_before") < MISSING_DATES_SHOWN,
+        F.filter(
+            F.sequence("first_missing", F.least(F.col("last_missing"), F.date_add("first_missing", 4 * 7 - 1))),
+            lambda d: is_trading_day(d),
+        ),
+    )
+    return (
+        blocks.select("symbol", run_len.alias("run_len"), head.alias("head"))
+        .groupBy("symbol")
+        .agg(
+            F.max("run_len").cast("int").alias("longest_gap"),
+            F.slice(F.array_sort(F.flatten(F.collect_list("head"))), 1, MISSING_DATES_SHOWN).alias("_md"),
+        )
         .select(
-            "symbol",
-            F.explode(
-                F.sequence(
-                    "first_missing",
-                    F.least(F.col("last_missing"), F.date_add("first_missing", 4 * 7 - 1)),
-                )
-            ).alias("d"),
+            "symbol", "longest_gap",
+            F.transform("_md", lambda x: F.date_format(x, "yyyy-MM-dd")).alias("missing_dates"),
         )
-        .filter(is_trading_day(F.col("d")))
-        .groupBy("symbol")
-        .agg(F.slice(F.array_sort(F.collect_list("d")), 1, MISSING_DATES_SHOWN).alias("_md"))
-        .select("symbol", F.transform("_md", lambda x: F.date_format(x, "yyyy-MM-dd")).alias("missing_dates"))
     )
-    return longest.join(head, "symbol", "full")
 
 
 def symbol_profile(bars: DataFrame, symbols=None) -> DataFrame:
