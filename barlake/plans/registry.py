@@ -746,3 +746,15 @@ WHERE symbol IN ('1-URGENT', '3-MEDIUM', '9-ABSENT')""",
 def q_symbol_filter(spark, sf):
     wanted = symbols_df(spark, " 1-urgent, 3-medium ,, 9-absent ")
     return filter_symbols(ADAPTERS["ord"](spark, sf), wanted).select(*NORM_COLS)
+
+
+@register(
+    "dates_union",
+    f"""WITH {bars_cte("ord")}
+SELECT symbol, date FROM bars WHERE source = 'O'
+UNION
+SELECT symbol, date FROM bars WHERE source = 'P'
+""",
+)
+def q_dates_union(spark: SparkSession, sf: str) -> DataFrame:
+    return crossval.dates_union(ADAPTERS["ord"](spark, sf), "O", "P")
