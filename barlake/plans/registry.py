@@ -241,7 +241,7 @@ mruns AS (SELECT symbol, date, sum(brk) OVER (PARTITION BY symbol ORDER BY date)
           FROM (SELECT symbol, date,
                        CASE WHEN date - lag(date) OVER (PARTITION BY symbol ORDER BY date) <= 3 THEN 0 ELSE 1 END AS brk
                 FROM miss) x),
-gap AS (SELECT symbol, max(n) AS longest_gap, sum(n) AS n_missing FROM (SELECT symbol, run, count(*) AS n FROM mruns GROUP BY ALL) y GROUP BY symbol),
+gap AS (SELECT symbol, max(n) AS longest_gap, CAST(sum(n) AS BIGINT) AS n_missing FROM (SELECT symbol, run, count(*) AS n FROM mruns GROUP BY ALL) y GROUP BY symbol),
 head AS (SELECT symbol, string_agg(strftime(date, '%Y-%m-%d'), ',' ORDER BY date) AS missing_dates FROM mruns WHERE rn <= 20 GROUP BY symbol),
 prof AS (
   SELECT s.symbol, coalesce(a.n_rows, 0) AS n_rows,
@@ -538,7 +538,7 @@ def q_preview(spark, sf):
     "q_sql",
     f"""WITH {bars_cte('ord')}
 SELECT symbol, source, CAST(year(date) AS INTEGER) AS year, count(*) AS n, min(low) AS min_low, max(high) AS max_high,
-       sum(volume) AS volume
+       CAST(sum(volume) AS BIGINT) AS volume
 FROM bars WHERE date >= DATE '1996-01-01' AND source <> 'P' GROUP BY ALL""",
 )
 def q_sql(spark, sf):
