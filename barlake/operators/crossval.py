@@ -88,26 +88,37 @@ def _pairs_literal(sources: list[str]):
     return F.array(*pairs)
 
 
+def _weighted_side(s: DataFrame, tag: str, cols=PRICE_COLUMNS) -> DataFrame:
+    """Identical copies of a bar collapse into one row with weight ``w``
+    (a partial aggregate, so a hot group of copies is combined map-side)."""
+    return (
+        s.groupBy("symbol", "date", "source", "pos", *cols)
+        .agg(F.count(F.lit(1)).alias(f"w_{tag}"))
+        .select(
+            "symbol", "date", F.col("source").alias(f"src_{tag}"), F.col("pos").alias(f"pos_{tag}"),
+            *[F.col(c).alias(f"{c}_{tag}") for c in cols], f"w_{tag}",
+        )
+    )
+
+
 def xval_diffs(bars: DataFrame, sources, tolerance: float = 1.0, symbols=None, start=None, end=None) -> DataFrame:
-    """Per joined (symbol, date) row of every pair (a before b in the list):
+    """Per (symbol, date) and ordered pair (a before b in the list):
     ``d_<col> = |a - b| / a * 100`` and ``exceeds`` (any d > tolerance).
 
-    An inner equi-join on (symbol, date); duplicate dates fan out exactly as
-    a join does. Both sides come from the same exchange.
+    This is the inner equi-join on (symbol, date) in which duplicate dates
+    fan out -- but identical copies are joined once: ``weight`` is the number
+    of joined rows a result row stands for (1 without duplicates), so a
+    group of N copies costs one row instead of N x N.
     """
     sources = _require_two(sources)
     s = _scoped(bars, sources, symbols, start, end)
-    a = s.select(
-        "symbol", "date", F.col("source").alias("src_a"), F.col("pos").alias("pos_a"),
-        *[F.col(c).alias(f"{c}_a") for c in PRICE_COLUMNS],
-    )
-    b = s.select(
-        "symbol", "date", F.col("source").alias("src_b"), F.col("pos").alias("pos_b"),
-        *[F.col(c).alias(f"{c}_b") for c in PRICE_COLUMNS],
-    )
+    a, b = _weighted_side(s, "a"), _weighted_side(s, "b")
     j = a.join(b, ["symbol", "date"], "inner").filter(F.col("pos_a") < F.col("pos_b"))
     diffs = [pct_diff(F.col(f"{c}_a"), F.col(f"{c}_b")).alias(f"d_{c}") for c in PRICE_COLUMNS]
-    out = j.select("symbol", "src_a", "src_b", "pos_a", "pos_b", "date", *diffs)
+    out = j.select(
+        "symbol", "src_a", "src_b", "pos_a", "pos_b", "date", *diffs,
+        (F.col("w_a") * F.col("w_b")).alias("weight"),
+    )
     exceeds = None
     for c in PRICE_COLUMNS:
         m = F.col(f"d_{c}") > F.lit(float(tolerance))
@@ -119,9 +130,10 @@ def xval_pairs(bars: DataFrame, sources, tolerance: float = 1.0, symbols=None, s
     """Pair summary per (symbol, src_a, src_b), pairs in list order.
 
     common/only_a/only_b count distinct dates; the max/avg diffs and
-    ``n_exceed`` come from the join (NaN skipped by max, kept by avg).
-    Pairs where either side has no rows for the symbol are skipped.
-    ``adj_skipped`` flags pairs involving a source without adjusted close.
+    ``n_exceed`` are over the joined rows (weighted, so copies count as the
+    join would count them; NaN skipped by max, kept by avg). Pairs where
+    either side has no rows for the symbol are skipped. ``adj_skipped``
+    flags pairs involving a source without adjusted close.
     """
     sources = _require_two(sources)
     s = _scoped(bars, sources, symbols, start, end)
@@ -140,11 +152,14 @@ def xval_pairs(bars: DataFrame, sources, tolerance: float = 1.0, symbols=None, s
         .filter((F.col("common_dates") + F.col("only_a") > 0) & (F.col("common_dates") + F.col("only_b") > 0))
     )
     d = xval_diffs(bars, sources, tolerance, symbols, start, end)
+    w = F.col("weight")
     aggs = []
     for c in PRICE_COLUMNS:
-        aggs.append(F.max(nan_to_null(F.col(f"d_{c}"))).alias(f"max_{c}_diff"))
-        aggs.append(F.avg(f"d_{c}").alias(f"avg_{c}_diff"))
-    aggs += [F.count_if("exceeds").alias("n_exceed"), F.count(F.lit(1)).alias("joined_rows")]
+        x = F.col(f"d_{c}")
+        aggs.append(F.max(nan_to_null(x)).alias(f"max_{c}_diff"))
+        # avg over joined rows = weighted mean over distinct pairs (NULLs skipped, NaN kept)
+        aggs.append((F.sum(x * w) / F.sum(F.when(x.isNotNull(), w))).alias(f"avg_{c}_diff"))
+    aggs += [F.sum(F.when(F.col("exceeds"), w)).alias("n_exceed"), F.sum(w).alias("joined_rows")]
     stats = d.groupBy("symbol", "src_a", "src_b").agg(*aggs)
     no_adj = F.col("src_a").isin(NO_ADJUSTED_CLOSE_SOURCES) | F.col("src_b").isin(NO_ADJUSTED_CLOSE_SOURCES)
     out = sets.join(stats, ["symbol", "src_a", "src_b"], "left")
@@ -180,8 +195,9 @@ def xval_matrix(bars: DataFrame, sources, symbols=None) -> DataFrame:
         F.count_if(has1 & has2).alias("_common"),
         F.count_if(has1 | has2).alias("_union"),
     )
-    a = s.filter(F.col("pos") == 1).select("symbol", "date", F.col("close").alias("close_a"))
-    b = s.filter(F.col("pos") == 2).select("symbol", "date", F.col("close").alias("close_b"))
+    # Max over joined rows does not depend on multiplicity: join distinct values.
+    a = s.filter(F.col("pos") == 1).select("symbol", "date", F.col("close").alias("close_a")).distinct()
+    b = s.filter(F.col("pos") == 2).select("symbol", "date", F.col("close").alias("close_b")).distinct()
     max_diff = (
         a.join(b, ["symbol", "date"], "inner")
         .groupBy("symbol")

@@ -118,7 +118,8 @@ j AS (SELECT a.symbol, a.source AS src_a, b.source AS src_b, CAST(a.pos AS INTEG
              CAST(b.pos AS INTEGER) AS pos_b, a.date,
              {", ".join(f"abs(a.{c} - b.{c}) / a.{c} * 100 AS d_{c}" for c in PRICE)}
       FROM b a JOIN b b ON a.symbol = b.symbol AND a.date = b.date AND a.pos < b.pos)
-SELECT *, ({" OR ".join(f"d_{c} > {XV_TOL}" for c in PRICE)}) AS exceeds FROM j
+SELECT *, ({" OR ".join(f"d_{c} > {XV_TOL}" for c in PRICE)}) AS exceeds
+FROM (SELECT *, count(*) AS weight FROM j GROUP BY ALL) w
 """,
 )
 def q_xval_diffs(spark: SparkSession, sf: str) -> DataFrame:

@@ -65,3 +65,15 @@ def test_date_sets(spark):
     assert sorted(r.date for r in crossval.dates_common(df, "yfinance", "stooq").collect()) == D[1:4]
     only = {(r.date, r.only_in) for r in crossval.dates_only(df, "yfinance", "stooq").collect()}
     assert only == {(D[0], "yfinance"), (D[4], "stooq")}
+
+
+def test_copies_are_weighted_not_fanned_out(spark):
+    # 30 identical copies on each side: the join would emit 900 rows.
+    a = make_bars(spark, [bar(D[0], 10, 10, 10, 10)] * 30 + [bar(D[1], 10, 10, 10, 10)], source="x")
+    b = make_bars(spark, [bar(D[0], 12, 10, 10, 10)] * 30 + [bar(D[1], 10, 10, 10, 10)], source="y")
+    df = a.unionByName(b)
+    d = crossval.xval_diffs(df, ["x", "y"], tolerance=1.0).collect()
+    assert sorted((r.date.day, r.weight) for r in d) == [(2, 900), (3, 1)]
+    r = crossval.xval_pairs(df, ["x", "y"], tolerance=1.0).collect()[0]
+    assert (r.joined_rows, r.n_exceed) == (901, 900)
+    assert math.isclose(r.avg_open_diff, 20.0 * 900 / 901)
