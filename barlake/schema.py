@@ -29,6 +29,7 @@ NO_ADJUSTED_CLOSE_SOURCES = [SOURCE_STOOQ]
 STATUS_PASS, STATUS_WARN, STATUS_FAIL = "pass", "warn", "fail"
 STATUS_ORDER = [STATUS_PASS, STATUS_WARN, STATUS_FAIL]
 CHECK_ORDER = ["trading_day_gaps", "price_sanity", "stale_data", "ohlc_consistency"]
+DEFAULT_UNIVERSE = ["AAPL", "MSFT", "GOOGL", "AMZN", "NVDA", "META", "TSLA"]
 
 # Columns stored inside each Parquet file (partition columns live in paths).
 FILE_SCHEMA = T.StructType(

@@ -39,13 +39,13 @@ def get_session(master: str | None = None, app_name: str = "barlake", **conf) ->
 
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime SQL settings the operators rely on to a session."""
+    # Writers pass overwrite mode and codec per write; only settings the
+    # operators' semantics and plans rely on are applied to a given session.
     for key in (
         "spark.sql.session.timeZone",
         "spark.sql.adaptive.enabled",
         "spark.sql.adaptive.skewJoin.enabled",
         "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled",
-        "spark.sql.sources.partitionOverwriteMode",
-        "spark.sql.parquet.compression.codec",
     ):
         spark.conf.set(key, _DEFAULT_CONF[key])
     return spark

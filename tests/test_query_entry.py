@@ -40,3 +40,10 @@ def test_every_query_builds_on_sf0001(spark):
     for name, fn in E.queries().items():
         df = fn(spark, SF001)
         assert df.columns, name
+
+
+def test_resolve_symbols(spark):
+    from barlake.operators.symbols import resolve_symbols
+
+    assert resolve_symbols(spark, all_universe=True).count() == 7
+    assert [r.symbol for r in resolve_symbols(spark, "msft").collect()] == ["MSFT"]
