@@ -42,15 +42,37 @@ def _ts(ingested_at) -> Column:
     return F.lit(ingested_at).cast("timestamp")
 
 
-def _first_error(*checks: tuple[Column, str]) -> Column:
-    expr = None
-    for cond, msg in checks:
-        expr = F.when(cond, F.lit(msg)) if expr is None else expr.when(cond, F.lit(msg))
-    return expr
-
-
-def _finish_files(files: DataFrame, entries: Column, header_error: Column, source: str, date_parser,
-                  volume_parser, required: tuple = ()) -> DataFrame:
+def _date_sql(x: str, mode: str) -> str:
+    plain = f"CAST(try_to_timestamp({x}, 'yyyy-MM-dd') AS DATE)"
+    if mode == "strict":
+        return plain
+    if mode == "utc":
+        stamped = f"CAST(try_to_timestamp({x}, 'yyyy-MM-dd HH:mm:ssXXX') AS DATE)"
+    else:
+        stamped = f"CAST(try_to_timestamp(substring({x}, 1, 10), 'yyyy-MM-dd') AS DATE)"
+    return f"CASE WHEN contains({x}, ':') THEN {stamped} ELSE {plain} END"
+
+
+VOLUME_INT_OR_FLOAT = "coalesce(try_cast({x} AS BIGINT), try_cast(try_cast({x} AS DOUBLE) AS BIGINT))"
+VOLUME_INT = "try_cast({x} AS BIGINT)"
+
+
+def _parse_sql(date_mode: str, volume_sql: str, required: tuple) -> str:
+    """``transform(texts, t -> struct(date, open, ..., volume, err))``."""
+    date = _date_sql("t.t_date", date_mode)
+    nums = {k: f"try_cast(t.t_{k} AS DOUBLE)" for k in _PARSED_NUMS}
+    vol = volume_sql.format(x="t.t_volume")
+    errs = [f"WHEN t.t_{k} IS NULL THEN 'missing field {k}'" for k in required]
+    errs.append(f"WHEN t.t_date IS NULL OR {date} IS NULL THEN 'unparseable date'")
+    errs += [f"WHEN t.t_{k} IS NOT NULL AND {nums[k]} IS NULL THEN 'unparseable {k}'" for k in _PARSED_NUMS]
+    errs.append(f"WHEN t.t_volume IS NOT NULL AND {vol} IS NULL THEN 'unparseable volume'")
+    fields = [f"'date', {date}"] + [f"'{k}', {v}" for k, v in nums.items()] + [f"'volume', {vol}"]
+    fields.append(f"'err', CASE {' '.join(errs)} END")
+    return f"transform(texts, t -> named_struct({', '.join(fields)}))"
+
+
+def _finish_files(files: DataFrame, entries: Column, header_error: Column, source: str, date_mode: str,
+                  volume_sql: str, required: tuple = ()) -> DataFrame:
     """``entries``: array of structs with t_date, t_open, ... t_volume text.
     Returns per-file rows: keys, ``error``, ``bad_rows``, ``bars`` array.
 
@@ -60,97 +82,87 @@ def _finish_files(files: DataFrame, entries: Column, header_error: Column, sourc
     a filter that would be pushed below the parse.
     """
     staged = files.select(*FILE_KEYS, header_error.alias("header_error"), entries.alias("texts"))
-
-    def parse(t: Column) -> Column:
-        date = date_parser(t["t_date"])
-        nums = {k: P.to_double(t[f"t_{k}"]) for k in ("open", "high", "low", "close", "adjusted_close")}
-        vol = volume_parser(t["t_volume"])
-        err = _first_error(
-            *[(t[f"t_{k}"].isNull(), f"missing field {k}") for k in required],
-            (t["t_date"].isNull() | date.isNull(), "unparseable date"),
-            *[(t[f"t_{k}"].isNotNull() & nums[k].isNull(), f"unparseable {k}") for k in
-              ("open", "high", "low", "close", "adjusted_close")],
-            (t["t_volume"].isNotNull() & vol.isNull(), "unparseable volume"),
-        )
-        return F.struct(date.alias("date"), *[nums[k].alias(k) for k in nums], vol.alias("volume"), err.alias("err"))
-
-    parsed = staged.select(*FILE_KEYS, "header_error", F.transform("texts", parse).alias("bars"))
-    bad = F.filter("bars", lambda b: b["err"].isNotNull())
+    parsed = staged.select(*FILE_KEYS, "header_error", F.expr(_parse_sql(date_mode, volume_sql, required)).alias("bars"))
     return parsed.select(
         *FILE_KEYS,
-        F.coalesce(F.col("header_error"), F.try_element_at(bad, F.lit(1))["err"]).alias("error"),
-        F.when(F.col("header_error").isNotNull(), F.size("bars")).otherwise(F.size(bad)).cast("bigint").alias("bad_rows"),
+        F.expr("coalesce(header_error, try_element_at(filter(bars, b -> b.err IS NOT NULL), 1).err)").alias("error"),
+        F.expr("CAST(CASE WHEN header_error IS NOT NULL THEN size(bars) "
+               "ELSE size(filter(bars, b -> b.err IS NOT NULL)) END AS BIGINT)").alias("bad_rows"),
         "bars",
         F.lit(source).alias("parsed_as"),
     )
 
 
-def _csv_files(raw: DataFrame, date_pos: Column, adj_pos: Column, required: list[str], first_checks, source,
-               date_parser) -> DataFrame:
+def _cell_sql(p: str) -> str:
+    return f"nullif(trim(CASE WHEN {p} > 0 THEN try_element_at(c, {p}) END), '')"
+
+
+_TEXTS_SQL = (
+    "transform(cells, c -> named_struct("
+    f"'t_date', {_cell_sql('p_date')}, 't_open', {_cell_sql('p_open')}, 't_high', {_cell_sql('p_high')}, "
+    f"'t_low', {_cell_sql('p_low')}, 't_close', {_cell_sql('p_close')}, "
+    f"'t_adjusted_close', CASE WHEN p_adj > 0 THEN {_cell_sql('p_adj')} ELSE {_cell_sql('p_close')} END, "
+    f"'t_volume', {_cell_sql('p_volume')}))"
+)
+
+
+def _pos_sql(names: list[str]) -> str:
+    """1-based position of the first of ``names`` in the header, else 0."""
+    expr = "0"
+    for n in reversed(names):
+        expr = f"CASE WHEN array_position(header, '{n}') > 0 THEN CAST(array_position(header, '{n}') AS INT) ELSE {expr} END"
+    return expr
+
+
+def _csv_files(raw: DataFrame, date_names: list[str], adj_names: list[str], required: list[str],
+               missing_date_msg: str, source, date_mode: str) -> DataFrame:
     f = P.csv_files(raw)
     pos = {
-        "p_date": date_pos, "p_open": P.header_pos(CSV_OPEN), "p_high": P.header_pos(CSV_HIGH),
-        "p_low": P.header_pos(CSV_LOW), "p_close": P.header_pos(CSV_CLOSE), "p_adj": adj_pos,
-        "p_volume": P.header_pos(CSV_VOLUME),
+        "p_date": _pos_sql(date_names), "p_open": _pos_sql([CSV_OPEN]), "p_high": _pos_sql([CSV_HIGH]),
+        "p_low": _pos_sql([CSV_LOW]), "p_close": _pos_sql([CSV_CLOSE]), "p_adj": _pos_sql(adj_names),
+        "p_volume": _pos_sql([CSV_VOLUME]),
     }
-    header_error = _first_error(*first_checks, *[(P.header_pos(n) == 0, f"missing column {n}") for n in required])
-    f = f.select(*FILE_KEYS, "lines", header_error.alias("header_error"), *[c.alias(n) for n, c in pos.items()])
-    cells = F.transform("lines", lambda line: F.split(line, ","))
-    f = f.select(*FILE_KEYS, "header_error", *pos, cells.alias("cells"))
-
-    def texts(c: Column) -> Column:
-        at = lambda p: P.cell_at(c, F.col(p))
-        adj = F.when(F.col("p_adj") > 0, at("p_adj")).otherwise(at("p_close"))
-        return F.struct(
-            at("p_date").alias("t_date"), at("p_open").alias("t_open"), at("p_high").alias("t_high"),
-            at("p_low").alias("t_low"), at("p_close").alias("t_close"), adj.alias("t_adjusted_close"),
-            at("p_volume").alias("t_volume"),
-        )
-
-    return _finish_files(f, F.transform("cells", texts), F.col("header_error"), source, date_parser, P.to_long)
+    checks = [f"WHEN ({pos['p_date']}) = 0 THEN '{missing_date_msg}'"]
+    checks += [f"WHEN array_position(header, '{n}') = 0 THEN 'missing column {n}'" for n in required]
+    header_error = f"CASE {' '.join(checks)} END"
+    f = f.select(
+        *FILE_KEYS, F.expr(header_error).alias("header_error"), *[F.expr(e).alias(n) for n, e in pos.items()],
+        F.expr("transform(lines, x -> split(x, ','))").alias("cells"),
+    )
+    return _finish_files(f, F.expr(_TEXTS_SQL), F.col("header_error"), source, date_mode, VOLUME_INT_OR_FLOAT)
 
 
 def yfinance_files(raw: DataFrame, date_mode: str = "local") -> DataFrame:
     """yfinance daily CSV: ``Date`` or ``Datetime`` first column; adjusted
     close from the first present alias header, else the close."""
-    date_pos = P.first_header_pos(YF_DATE_HEADERS)
-    no_date = (date_pos == 0, "missing column Datetime")
-    return _csv_files(raw, date_pos, P.first_header_pos(YF_ADJ_CLOSE_HEADERS),
-                      [CSV_OPEN, CSV_HIGH, CSV_LOW, CSV_CLOSE, CSV_VOLUME], [no_date], SOURCE_YFINANCE,
-                      lambda c: P.parse_date(c, date_mode))
+    return _csv_files(raw, YF_DATE_HEADERS, YF_ADJ_CLOSE_HEADERS, [CSV_OPEN, CSV_HIGH, CSV_LOW, CSV_CLOSE, CSV_VOLUME],
+                      "missing column Datetime", SOURCE_YFINANCE, date_mode)
 
 
 def stooq_files(raw: DataFrame) -> DataFrame:
     """Stooq daily CSV ``Date,Open,High,Low,Close,Volume``; no adjusted
     close, so ``adjusted_close = close``; dates strictly ``YYYY-MM-DD``."""
-    strict = lambda c: F.try_to_timestamp(c, F.lit("yyyy-MM-dd")).cast("date")
-    return _csv_files(raw, P.header_pos("Date"), F.lit(0), ["Date", CSV_OPEN, CSV_HIGH, CSV_LOW, CSV_CLOSE, CSV_VOLUME],
-                      [], SOURCE_STOOQ, strict)
+    return _csv_files(raw, ["Date"], [], [CSV_OPEN, CSV_HIGH, CSV_LOW, CSV_CLOSE, CSV_VOLUME],
+                      "missing column Date", SOURCE_STOOQ, "strict")
 
 
 def alpha_vantage_files(raw: DataFrame) -> DataFrame:
     """Alpha Vantage daily JSON: one entry per key of ``Time Series (Daily)``.
     Volume must be integer text; adjusted close falls back to the close; a
-    payload without the series is rejected."""
-    j = raw.select(*FILE_KEYS, P.av_json(F.col("body")).alias("j"))
-    series = F.col("j").getField(P.AV_DAILY_SERIES)
-    header_error = F.when(series.isNull() | (F.size(series) == 0), F.lit(f"No '{P.AV_DAILY_SERIES}' found"))
-
-    def texts(e: Column) -> Column:
-        m = e["value"]
-        return F.struct(
-            e["key"].alias("t_date"), m.getItem(P.AV_OPEN).alias("t_open"), m.getItem(P.AV_HIGH).alias("t_high"),
-            m.getItem(P.AV_LOW).alias("t_low"), m.getItem(P.AV_CLOSE).alias("t_close"),
-            F.coalesce(m.getItem(P.AV_ADJ_CLOSE), m.getItem(P.AV_CLOSE)).alias("t_adjusted_close"),
-            m.getItem(P.AV_VOLUME).alias("t_volume"),
-        )
-
-    entries = F.transform(F.coalesce(F.map_entries(series), F.array().cast(
-        "array<struct<key:string,value:map<string,string>>>")), texts)
-    # A required field missing from an entry is an error, not a NULL value.
-    return _finish_files(j, entries, header_error, SOURCE_ALPHA_VANTAGE,
-                         lambda c: F.try_to_timestamp(c, F.lit("yyyy-MM-dd")).cast("date"),
-                         lambda c: c.try_cast("bigint"), required=("open", "high", "low", "close", "volume"))
+    payload without the series, or an entry without a required field, is
+    rejected."""
+    j = raw.select(*FILE_KEYS, P.av_json(F.col("body")).getField(P.AV_DAILY_SERIES).alias("series"))
+    header_error = F.when(F.col("series").isNull() | (F.size("series") == 0),
+                          F.lit(f"No '{P.AV_DAILY_SERIES}' found"))
+    g = lambda k: f"e.value['{k}']"
+    entries = F.expr(
+        "transform(coalesce(map_entries(series), array()), e -> named_struct("
+        f"'t_date', e.key, 't_open', {g(P.AV_OPEN)}, 't_high', {g(P.AV_HIGH)}, 't_low', {g(P.AV_LOW)}, "
+        f"'t_close', {g(P.AV_CLOSE)}, 't_adjusted_close', coalesce({g(P.AV_ADJ_CLOSE)}, {g(P.AV_CLOSE)}), "
+        f"'t_volume', {g(P.AV_VOLUME)}))"
+    )
+    return _finish_files(j, entries, header_error, SOURCE_ALPHA_VANTAGE, "strict", VOLUME_INT,
+                         required=("open", "high", "low", "close", "volume"))
 
 
 FILE_PARSERS = {
@@ -160,7 +172,7 @@ FILE_PARSERS = {
 }
 
 
-def parse_files(raw: DataFrame, sources=None) -> DataFrame:
+def parse_files(raw: DataFrame, sources=None, date_mode: str = "local") -> DataFrame:
     """Dispatch by ``source``: per-file (keys, error, bad_rows, bars).
 
     An unknown requested source is an error naming the available ones.
@@ -170,7 +182,11 @@ def parse_files(raw: DataFrame, sources=None) -> DataFrame:
     unknown = [s for s in sources if s not in FILE_PARSERS]
     if unknown:
         raise ValueError(f"No normalizer for source '{unknown[0]}'. Available: {list(FILE_PARSERS)}")
-    parts = [FILE_PARSERS[s](raw.filter(F.col("source") == s)) for s in sources]
+    def parse(s: str) -> DataFrame:
+        part = raw.filter(F.col("source") == s)
+        return yfinance_files(part, date_mode) if s == SOURCE_YFINANCE else FILE_PARSERS[s](part)
+
+    parts = [parse(s) for s in sources]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -196,13 +212,14 @@ class Normalized:
     rejects: DataFrame  # (source, symbol, file_name, error, bad_rows)
 
 
-def normalize(raw: DataFrame, sources=None, ingested_at=None) -> Normalized:
+def normalize(raw: DataFrame, sources=None, ingested_at=None, date_mode: str = "local") -> Normalized:
     """Accepted bars and rejected files from payload rows
     (source, symbol, file_name, body). ``ingested_at`` is one stamp per run
-    (default: now, UTC)."""
+    (default: now, UTC). ``date_mode="utc"`` converts offset stamps to the
+    UTC date instead of keeping the exchange-local date."""
     if ingested_at is None:
         ingested_at = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-    files = parse_files(raw, sources)
+    files = parse_files(raw, sources, date_mode)
     rejected = F.when(F.col("error").isNotNull(), F.array(F.struct(*REJECT_COLUMNS)))
     rejects = files.select(F.explode(rejected).alias("r")).select("r.*")
     return Normalized(files, bars_of(files, ingested_at), rejects)

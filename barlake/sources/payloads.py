@@ -24,71 +24,14 @@ def csv_files(raw: DataFrame) -> DataFrame:
     """Per payload file: ``header`` (trimmed names) and ``lines`` (the
     non-blank data lines), next to the raw row's columns except ``body``."""
     keep = [c for c in raw.columns if c != "body"]
-    split = raw.select(*keep, F.split(F.col("body"), LINE_SPLIT).alias("_all"))
-    lines = F.col("_all")
+    split = raw.select(*keep, F.expr(f"split(body, '{LINE_SPLIT}')").alias("_all"))
     return split.select(
         *keep,
-        F.transform(F.split(F.element_at(lines, 1), ","), lambda x: F.trim(x)).alias("header"),
-        F.filter(F.slice(lines, 2, F.greatest(F.size(lines) - 1, F.lit(1))), lambda x: F.trim(x) != "").alias("lines"),
+        F.expr("transform(split(_all[0], ','), x -> trim(x))").alias("header"),
+        F.expr("filter(slice(_all, 2, greatest(size(_all) - 1, 1)), x -> trim(x) != '')").alias("lines"),
     )
 
 
-def header_pos(name: str) -> Column:
-    """1-based position of ``name`` in the file's header, 0 when absent."""
-    return F.array_position(F.col("header"), F.lit(name)).cast("int")
-
-
-def first_header_pos(names: list[str]) -> Column:
-    """Position of the first of ``names`` present in the header, else 0."""
-    expr = F.lit(0)
-    for n in reversed(names):
-        expr = F.when(header_pos(n) > 0, header_pos(n)).otherwise(expr)
-    return expr
-
-
-def cell_at(cells: Column, pos: Column) -> Column:
-    """Cell at header position ``pos``; NULL when absent (0) or empty."""
-    v = F.trim(F.when(pos > 0, F.try_element_at(cells, pos)))
-    return F.when(v != "", v)
-
-
-def to_double(c: Column) -> Column:
-    return c.try_cast("double")
-
-
-def to_long(c: Column) -> Column:
-    """Integer text or float text (``1000000.0``), via double like a CSV
-    reader that inferred a float column."""
-    return F.coalesce(c.try_cast("bigint"), c.try_cast("double").try_cast("bigint"))
-
-
-def parse_date(c: Column, date_mode: str = "local") -> Column:
-    """``YYYY-MM-DD`` or an offset stamp ``YYYY-MM-DD HH:MM:SS+HH:MM``.
-
-    ``local`` keeps the exchange-local date (the first 10 characters);
-    ``utc`` converts the stamp to UTC first (needs session TZ UTC).
-    """
-    plain = F.try_to_timestamp(c, F.lit("yyyy-MM-dd")).cast("date")
-    if date_mode == "utc":
-        stamped = F.try_to_timestamp(c, F.lit("yyyy-MM-dd HH:mm:ssXXX")).cast("date")
-    else:
-        stamped = F.try_to_timestamp(F.substring(c, 1, 10), F.lit("yyyy-MM-dd")).cast("date")
-    return F.when(c.contains(":"), stamped).otherwise(plain)
-
-
-AV_SCHEMA = (
-    f"struct<`{AV_ERROR_KEY}`: string, `{AV_NOTE_KEY}`: string, "
-    f"`{AV_DAILY_SERIES}`: map<string, map<string, string>>>"
-)
-
-
 def av_json(body: Column, series_key: str = AV_DAILY_SERIES) -> Column:
     schema = AV_SCHEMA.replace(AV_DAILY_SERIES, series_key)
     return F.from_json(body, schema)
-
-
-def av_series_rows(raw: DataFrame, series_key: str = AV_DAILY_SERIES) -> DataFrame:
-    """One row per series entry: ``stamp`` (the key) and ``m`` (its fields)."""
-    keep = [c for c in raw.columns if c != "body"]
-    j = raw.select(*keep, av_json(F.col("body"), series_key).alias("j"))
-    return j.select(*keep, F.explode(F.col("j").getField(series_key)).alias("stamp", "m"))

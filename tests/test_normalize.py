@@ -126,3 +126,10 @@ def test_latest_raw_and_process(spark, tmp_data_dir):
     assert store.read_store(spark, str(tmp_data_dir / "processed")).count() == 5
     log = read_ingest_log(spark, str(tmp_data_dir / "raw")).collect()
     assert [(r.symbol, r.stooq_symbol, r.rows) for r in log] == [("AAPL", "aapl.us", 5)]
+
+
+def test_offset_stamp_date_modes(spark):
+    body = "Datetime,Open,High,Low,Close,Volume\n2024-12-02 00:00:00+09:00,1,2,0.5,1.5,10"
+    raw = spark.createDataFrame([("yfinance", "X", "a.csv", body)], "source string, symbol string, file_name string, body string")
+    assert normalize(raw).bars.collect()[0].date == dt.date(2024, 12, 2)
+    assert normalize(raw, date_mode="utc").bars.collect()[0].date == dt.date(2024, 12, 1)
