@@ -42,6 +42,11 @@ def _ts(ingested_at) -> Column:
     return F.lit(ingested_at).cast("timestamp")
 
 
+# Per-entry expressions are written as SQL text: one JVM call builds each
+# lambda instead of hundreds of Column round trips from Python.
+_PARSED_NUMS = ("open", "high", "low", "close", "adjusted_close")
+
+
 def _date_sql(x: str, mode: str) -> str:
     plain = f"CAST(try_to_timestamp({x}, 'yyyy-MM-dd') AS DATE)"
     if mode == "strict":
