@@ -32,6 +32,12 @@ def csv_files(raw: DataFrame) -> DataFrame:
     )
 
 
+AV_SCHEMA = (
+    f"struct<`{AV_ERROR_KEY}`: string, `{AV_NOTE_KEY}`: string, "
+    f"`{AV_DAILY_SERIES}`: map<string, map<string, string>>>"
+)
+
+
 def av_json(body: Column, series_key: str = AV_DAILY_SERIES) -> Column:
     schema = AV_SCHEMA.replace(AV_DAILY_SERIES, series_key)
     return F.from_json(body, schema)
