@@ -126,6 +126,24 @@ def render_sidecars(landing: DataFrame) -> DataFrame:
     )
 
 
+def render_ingest_log(landing: DataFrame) -> DataFrame:
+    """One fetch sidecar record per CSV payload: source, symbol,
+    stooq_symbol (stooq only), the requested range (the payload's year),
+    rows (data lines) and fetched_at (the file's date, 18:00 UTC)."""
+    csv = landing.filter(F.col("file_name").endswith(".csv"))
+    year = F.substring("file_name", 1, 4)
+    data_lines = F.expr(r"size(filter(slice(split(body, '\\r?\\n'), 2, greatest(size(split(body, '\\r?\\n')) - 1, 1)), "
+                        "x -> trim(x) != ''))")
+    return csv.select(
+        "source", "symbol",
+        F.when(F.col("source") == SOURCE_STOOQ, F.concat(F.lower("symbol"), F.lit(".us"))).alias("stooq_symbol"),
+        F.concat(year, F.lit("-01-01")).alias("start_date"),
+        F.concat(year, F.lit("-12-31")).alias("end_date"),
+        data_lines.cast("bigint").alias("rows"),
+        F.concat(F.substring("file_name", 1, 10), F.lit("T18:00:00+00:00")).alias("fetched_at"),
+    )
+
+
 def with_payload_errors(landing: DataFrame) -> DataFrame:
     """Replace some payloads by provider error responses (by year):
     stooq 1997 limit exceeded, stooq 1999 no data, alpha_vantage 1996 note,

@@ -759,3 +759,23 @@ SELECT symbol, date FROM bars WHERE source = 'P'
 )
 def q_dates_union(spark: SparkSession, sf: str) -> DataFrame:
     return crossval.dates_union(ADAPTERS["ord"](spark, sf), "O", "P")
+
+
+@register(
+    "ingest_log",
+    f"""WITH {_PB}
+SELECT provider AS source, symbol, CASE WHEN provider = 'stooq' THEN lower(symbol) || '.us' END AS stooq_symbol,
+       make_date(year(date), 1, 1) AS start_date, make_date(year(date), 12, 31) AS end_date,
+       count(*) AS rows, strftime(make_date(year(date), 12, 31), '%Y-%m-%d') || ' 18:00:00' AS fetched_at
+FROM pb WHERE provider IN ('yfinance', 'stooq') GROUP BY ALL""",
+)
+def q_ingest_log(spark, sf):
+    from barlake.sources.landing import read_ingest_log
+
+    path = scratch_path(spark, "ingest-log", unique=True)
+    LR.render_ingest_log(_landing(spark, sf)).write.mode("overwrite").json(path)
+    log = read_ingest_log(spark, path, pattern="*.json", multi_line=False)
+    return log.select(
+        "source", "symbol", "stooq_symbol", "start_date", "end_date", "rows",
+        F.date_format("fetched_at", "yyyy-MM-dd HH:mm:ss").alias("fetched_at"),
+    )

@@ -107,13 +107,18 @@ INGEST_LOG_SCHEMA = T.StructType(
 )
 
 
-def read_ingest_log(spark: SparkSession, raw_dir: str) -> DataFrame:
-    """The fetch sidecars ``*.meta.json`` as one DataFrame (schema given)."""
+def read_ingest_log(spark: SparkSession, raw_dir: str, pattern: str = "*.meta.json",
+                    multi_line: bool = True) -> DataFrame:
+    """The fetch sidecars as one DataFrame (schema given, never inferred).
+
+    Landed sidecars are one pretty-printed object per file (``multi_line``);
+    a consolidated log written as JSON lines reads with ``multi_line=False``.
+    """
     return (
         spark.read.schema(INGEST_LOG_SCHEMA)
-        .option("multiLine", True)
+        .option("multiLine", multi_line)
         .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.meta.json")
+        .option("pathGlobFilter", pattern)
         .json(raw_dir)
         .withColumn("file_name", F.col("_metadata.file_name"))
     )
