@@ -779,3 +779,30 @@ def q_ingest_log(spark, sf):
         "source", "symbol", "stooq_symbol", "start_date", "end_date", "rows",
         F.date_format("fetched_at", "yyyy-MM-dd HH:mm:ss").alias("fetched_at"),
     )
+
+
+_REPORT_SYMBOLS_TEXT = " 1-urgent, 2-high, 3-medium, 4-not specified, 5-low, 9-absent "
+_REPORT_CHECKS_SQL = f"""WITH {_profile_oracle("ord", False, CHECK_SYMBOLS)},
+rc AS (
+  SELECT symbol, 1 AS pos, 'trading_day_gaps' AS check_name, {_GAPS_SQL} FROM prof
+  UNION ALL SELECT symbol, 2, 'price_sanity', {_SANITY_SQL} FROM prof
+  UNION ALL SELECT symbol, 3, 'stale_data', {_stale_sql("DATE '" + RUN_AS_OF + "'", with_days=False)} FROM prof
+  UNION ALL SELECT symbol, 4, 'ohlc_consistency', {_OHLC_SQL} FROM prof)"""
+
+
+@register(
+    "validation_report",
+    _REPORT_CHECKS_SQL
+    + """
+SELECT symbol,
+       CASE max(CASE status WHEN 'pass' THEN 1 WHEN 'warn' THEN 2 ELSE 3 END)
+            WHEN 1 THEN 'pass' WHEN 2 THEN 'warn' ELSE 'fail' END AS status,
+       count(*) FILTER (WHERE status = 'pass') AS passed,
+       count(*) AS total,
+       coalesce(string_agg(check_name, ', ' ORDER BY pos) FILTER (WHERE status <> 'pass'), '-') AS issues
+FROM rc GROUP BY symbol""",
+)
+def q_validation_report(spark, sf):
+    from barlake.plans.validate import validation_report
+
+    return validation_report(spark, shared_store(spark, sf), _REPORT_SYMBOLS_TEXT, as_of=RUN_AS_OF)

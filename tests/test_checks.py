@@ -172,3 +172,16 @@ def test_missing_days_matches_gap_count(spark):
     df = make_bars(spark, rows)
     got = sorted(r.date for r in checks.missing_days(df).collect())
     assert got == [dt.date(2024, 1, 3), dt.date(2024, 1, 4), dt.date(2024, 1, 5)]
+
+
+def test_validation_report_no_view_and_with_data(spark, tmp_data_dir, sample_bars):
+    from barlake.plans.validate import validation_report
+    from barlake.sources import store
+
+    processed = str(tmp_data_dir / "processed")
+    empty = {r.symbol: (r.status, r.passed) for r in validation_report(spark, processed).collect()}
+    assert len(empty) == 7 and set(empty.values()) == {("NO DATA", None)}
+    store.write_bars(sample_bars, processed)
+    got = {r.symbol: (r.status, r.passed, r.total) for r in
+           validation_report(spark, processed, "aapl, msft", as_of="2024-01-09").collect()}
+    assert got == {"AAPL": ("pass", 4, 4), "MSFT": ("fail", 2, 4)}
