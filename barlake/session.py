@@ -14,6 +14,8 @@ _DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.files.maxPartitionBytes": "256m",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.compression.codec": "zstd",
     "spark.ui.enabled": "false",
@@ -24,8 +26,12 @@ _DEFAULT_CONF = {
 def get_session(master: str | None = None, app_name: str = "barlake", **conf) -> SparkSession:
     """Build (or reuse) a session with the engine's defaults.
 
-    On a cluster pass no master; the submitter decides. Locally the shuffle
-    partition count should follow the core count, not Spark's 200.
+    On a cluster pass no master; the submitter decides. Size
+    ``spark.sql.shuffle.partitions`` to a few times the total core count
+    (e.g. 3 x 8000 on 1000 eight-core executors) and let AQE coalesce toward
+    the 256 MB advisory size and split skewed partitions; scans split
+    files at 256 MB. Locally the partition count should follow the core
+    count, not Spark's 200.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
