@@ -35,6 +35,23 @@ from barlake.schema import CHECK_ORDER, STATUS_FAIL, STATUS_ORDER, STATUS_PASS,
 MISSING_DATES_SHOWN = 20
 GAP_CHAIN_DAYS = 3
 
+# Check messages (printf-style formats; %% is a literal %).
+MSG_NO_DATA = "No data for %s"
+MSG_NO_GAPS = "No gaps found (%d trading days)"
+MSG_GAPS = "%d missing trading day(s), longest gap: %d"
+MSG_NEGATIVE = "%d rows with negative prices"
+MSG_HIGH_LOW = "%d rows where high < low"
+MSG_ZERO_CLOSE = "%d rows with zero close"
+MSG_NEGATIVE_VOLUME = "%d rows with negative volume"
+MSG_SANITY_OK = "All price sanity checks passed"
+MSG_FLAT = "%d rows with identical OHLC (possible placeholder)"
+MSG_ZERO_VOLUME_MOVE = "%d rows with zero volume but >1%% price movement"
+MSG_OHLC_OK = "OHLC consistency checks passed"
+MSG_CURRENT = "Data is current (latest: %s)"
+MSG_BEHIND = "Data is %d trading day(s) behind (latest: %s)"
+ISSUE_SEPARATOR = "; "
+SUMMARY_SEPARATOR = ", "
+
 
 def _flags() -> dict[str, Column]:
     o, h, lo, c, v = (F.col(x) for x in ("open", "high", "low", "close", "volume"))
@@ -171,46 +188,46 @@ def _gaps_cols() -> dict[str, Column]:
         (F.lit(True), STATUS_WARN),
     )
     message = (
-        F.when(nd, F.concat(F.lit("No data for "), F.col("symbol")))
-        .when(F.col("n_missing") == 0, F.format_string("No gaps found (%d trading days)", F.col("n_days")))
-        .otherwise(F.format_string("%d missing trading day(s), longest gap: %d", F.col("n_missing"), F.col("longest_gap")))
+        F.when(nd, F.format_string(MSG_NO_DATA, F.col("symbol")))
+        .when(F.col("n_missing") == 0, F.format_string(MSG_NO_GAPS, F.col("n_days")))
+        .otherwise(F.format_string(MSG_GAPS, F.col("n_missing"), F.col("longest_gap")))
     )
     return {"status": status, "message": message}
 
 
 def _sanity_parts() -> list[tuple[str, str]]:
     return [
-        ("n_negative", "%d rows with negative prices"),
-        ("n_high_low", "%d rows where high < low"),
-        ("n_zero_close", "%d rows with zero close"),
-        ("n_negative_volume", "%d rows with negative volume"),
+        ("n_negative", MSG_NEGATIVE),
+        ("n_high_low", MSG_HIGH_LOW),
+        ("n_zero_close", MSG_ZERO_CLOSE),
+        ("n_negative_volume", MSG_NEGATIVE_VOLUME),
     ]
 
 
 def _ohlc_parts() -> list[tuple[str, str]]:
     return [
-        ("n_flat", "%d rows with identical OHLC (possible placeholder)"),
-        ("n_zero_vol_move", "%d rows with zero volume but >1%% price movement"),
+        ("n_flat", MSG_FLAT),
+        ("n_zero_vol_move", MSG_ZERO_VOLUME_MOVE),
     ]
 
 
 def _issues(parts) -> tuple[Column, Column]:
     texts = [F.when(F.col(c) > 0, F.format_string(fmt, F.col(c))) for c, fmt in parts]
     count = sum((F.col(c) > 0).cast("int") for c, _ in parts)
-    return F.concat_ws("; ", *texts), count
+    return F.concat_ws(ISSUE_SEPARATOR, *texts), count
 
 
 def _sanity_cols() -> dict[str, Column]:
     msg, count = _issues(_sanity_parts())
     status = F.when(count > 0, F.lit(STATUS_FAIL)).otherwise(F.lit(STATUS_PASS))
-    message = F.when(count > 0, msg).otherwise(F.lit("All price sanity checks passed"))
+    message = F.when(count > 0, msg).otherwise(F.lit(MSG_SANITY_OK))
     return {"status": status, "message": message, "issue_count": count}
 
 
 def _ohlc_cols() -> dict[str, Column]:
     msg, count = _issues(_ohlc_parts())
     status = F.when(count > 0, F.lit(STATUS_WARN)).otherwise(F.lit(STATUS_PASS))
-    message = F.when(count > 0, msg).otherwise(F.lit("OHLC consistency checks passed"))
+    message = F.when(count > 0, msg).otherwise(F.lit(MSG_OHLC_OK))
     return {"status": status, "message": message}
 
 
@@ -224,9 +241,9 @@ def _stale_cols(as_of) -> dict[str, Column]:
     latest = F.col("latest_date").cast("string")
     status = _status((nd, STATUS_FAIL), (db <= 1, STATUS_PASS), (db <= 5, STATUS_WARN), (F.lit(True), STATUS_FAIL))
     message = (
-        F.when(nd, F.concat(F.lit("No data for "), F.col("symbol")))
-        .when(db <= 1, F.concat(F.lit("Data is current (latest: "), latest, F.lit(")")))
-        .otherwise(F.format_string("Data is %d trading day(s) behind (latest: %s)", db, latest))
+        F.when(nd, F.format_string(MSG_NO_DATA, F.col("symbol")))
+        .when(db <= 1, F.format_string(MSG_CURRENT, latest))
+        .otherwise(F.format_string(MSG_BEHIND, db, latest))
     )
     return {"status": status, "message": message, "days_behind": F.when(~nd, db)}
 
@@ -307,7 +324,7 @@ def validation_summary(bars: DataFrame, symbols=None, as_of=None, checks: DataFr
                         F.array_sort(F.collect_list(F.when(F.col("status") != STATUS_PASS, F.struct("pos", "check_name")))),
                         lambda s: s["check_name"],
                     ),
-                    ", ",
+                    SUMMARY_SEPARATOR,
                 ),
                 F.lit(""),
             ),

@@ -194,7 +194,7 @@ def render_intraday(events: DataFrame) -> DataFrame:
         .select(
             F.lit(SOURCE_ALPHA_VANTAGE).alias("source"), "symbol",
             F.concat(day, F.lit("_"), av_itv, F.lit(".json")).alias("file_name"),
-            F.to_json(F.create_map(F.concat(F.lit("Time Series ("), av_itv, F.lit(")")), F.col("series"))).alias("body"),
+            F.to_json(F.create_map(F.format_string(P.AV_SERIES_FORMAT, av_itv), F.col("series"))).alias("body"),
         )
     )
     yf_itv = F.when(F.col("tok") == "5", F.lit("5m")).otherwise(F.lit("1h"))

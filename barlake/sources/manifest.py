@@ -16,11 +16,25 @@ from barlake.schema import SOURCE_ALPHA_VANTAGE, SOURCE_STOOQ, SOURCE_YFINANCE
 from barlake.sources import payloads as P
 from barlake.sources.landing import with_kind
 
-# Provider symbol suffix, interval vocabularies, error texts.
+# Provider symbol suffix, interval vocabularies, response
+# markers and error texts (printf-style formats).
 STOOQ_SYMBOL_SUFFIX = ".us"
 AV_INTERVAL_ALIASES = {"1m": "1min", "5m": "5min", "15m": "15min", "30m": "30min", "60m": "60min"}
 AV_INTERVALS = ["1min", "5min", "15min", "30min", "60min"]
 YF_INTERVALS = ["1m", "2m", "5m", "15m", "30m", "60m", "90m", "1h"]
+STOOQ_NO_DATA_MARKER = "No data"
+STOOQ_LIMIT_MARKER = "Exceeded"
+MSG_STOOQ_NO_DATA = "No data from Stooq for %s (%s to %s)"
+MSG_STOOQ_LIMIT = "Stooq daily hit limit exceeded for %s"
+MSG_STOOQ_EMPTY = "Stooq returned empty data for %s"
+MSG_AV_ERROR = "AV API error: %s"
+MSG_AV_NOTE = "AV rate limit hit: %s"
+MSG_AV_NO_DAILY = "No daily data in response for %s"
+MSG_YF_NO_DATA = "No data returned for %s (%s to %s)"
+MSG_INVALID_INTERVAL = "Invalid interval '%s'. Valid: %s"
+MSG_AV_NO_INTRADAY = "No intraday data in response for %s"
+MSG_YF_NO_INTRADAY = "No intraday data returned for %s"
+MSG_STOOQ_INTRADAY = "Stooq does not support intraday data via CSV download. Use yfinance or Alpha Vantage for intraday."
 
 MANIFEST_COLUMNS = [
     "source", "symbol", "file_name", "kind", "interval", "error_kind", "error",
@@ -53,10 +67,15 @@ def _chain(*items) -> tuple[Column, Column]:
     return kind, msg
 
 
-def _range_text(start, end) -> Column:
-    s = F.coalesce(date_lit(start).cast("string"), F.lit("?")) if start is not None else F.lit("?")
-    e = F.coalesce(date_lit(end).cast("string"), F.lit("?")) if end is not None else F.lit("?")
-    return F.concat(F.lit(" ("), s, F.lit(" to "), e, F.lit(")"))
+def _range_parts(start, end) -> tuple[Column, Column]:
+    s = date_lit(start).cast("string") if start is not None else F.lit("?")
+    e = date_lit(end).cast("string") if end is not None else F.lit("?")
+    return s, e
+
+
+def _valid_list(values: list[str]) -> str:
+    """Python's repr of the sorted list, as the messages print it."""
+    return "[" + ", ".join(f"'{v}'" for v in sorted(values)) + "]"
 
 
 def payload_manifest(raw: DataFrame, start=None, end=None) -> DataFrame:
@@ -74,14 +93,14 @@ def payload_manifest(raw: DataFrame, start=None, end=None) -> DataFrame:
     src, sym, body = F.col("source"), F.col("symbol"), F.col("body")
     s_lit = date_lit(start) if start is not None else F.lit(None).cast("date")
     e_lit = date_lit(end) if end is not None else F.lit(None).cast("date")
-    rng = _range_text(start, end)
+    rs, re_ = _range_parts(start, end)
 
     # stooq (Python's strip(): all surrounding whitespace, newlines included)
     sb = F.regexp_replace(body, r"^\s+|\s+$", "")
     st_kind, st_msg = _chain(
-        ("no_data", sb.contains("No data") | (sb == ""), F.concat(F.lit("No data from Stooq for "), sym, rng)),
-        ("limit_exceeded", sb.contains("Exceeded"), F.concat(F.lit("Stooq daily hit limit exceeded for "), sym)),
-        ("empty", F.size(_lines(sb)) < 2, F.concat(F.lit("Stooq returned empty data for "), sym)),
+        ("no_data", sb.contains(STOOQ_NO_DATA_MARKER) | (sb == ""), F.format_string(MSG_STOOQ_NO_DATA, sym, rs, re_)),
+        ("limit_exceeded", sb.contains(STOOQ_LIMIT_MARKER), F.format_string(MSG_STOOQ_LIMIT, sym)),
+        ("empty", F.size(_lines(sb)) < 2, F.format_string(MSG_STOOQ_EMPTY, sym)),
     )
     st_cells = _first_cells(sb)
     st_rows = F.size(_lines(sb)) - 1
@@ -90,9 +109,9 @@ def payload_manifest(raw: DataFrame, start=None, end=None) -> DataFrame:
     j = P.av_json(body)
     series = j.getField(P.AV_DAILY_SERIES)
     av_kind, av_msg = _chain(
-        ("api_error", j.getField(P.AV_ERROR_KEY).isNotNull(), F.concat(F.lit("AV API error: "), j.getField(P.AV_ERROR_KEY))),
-        ("rate_limit", j.getField(P.AV_NOTE_KEY).isNotNull(), F.concat(F.lit("AV rate limit hit: "), j.getField(P.AV_NOTE_KEY))),
-        ("no_data", series.isNull() | (F.size(series) == 0), F.concat(F.lit("No daily data in response for "), sym)),
+        ("api_error", j.getField(P.AV_ERROR_KEY).isNotNull(), F.format_string(MSG_AV_ERROR, j.getField(P.AV_ERROR_KEY))),
+        ("rate_limit", j.getField(P.AV_NOTE_KEY).isNotNull(), F.format_string(MSG_AV_NOTE, j.getField(P.AV_NOTE_KEY))),
+        ("no_data", series.isNull() | (F.size(series) == 0), F.format_string(MSG_AV_NO_DAILY, sym)),
     )
     keys = F.map_keys(series)
     lo = s_lit.cast("string") if start is not None else None
@@ -102,7 +121,7 @@ def payload_manifest(raw: DataFrame, start=None, end=None) -> DataFrame:
     # yfinance
     yf_cells = _first_cells(body)
     yf_kind, yf_msg = _chain(
-        ("no_data", F.size(yf_cells) == 0, F.concat(F.lit("No data returned for "), sym, rng)),
+        ("no_data", F.size(yf_cells) == 0, F.format_string(MSG_YF_NO_DATA, sym, rs, re_)),
     )
 
     is_st, is_av, is_yf = src == SOURCE_STOOQ, src == SOURCE_ALPHA_VANTAGE, src == SOURCE_YFINANCE
@@ -143,24 +162,24 @@ def intraday_manifest(raw: DataFrame) -> DataFrame:
     alias = F.create_map(*[x for kv in AV_INTERVAL_ALIASES.items() for x in map(F.lit, kv)])
     av_itv = F.coalesce(F.element_at(alias, itv), itv)
     top = F.from_json(body, "map<string,string>")
-    series = F.from_json(F.element_at(top, F.concat(F.lit("Time Series ("), av_itv, F.lit(")"))),
+    series = F.from_json(F.element_at(top, F.format_string(P.AV_SERIES_FORMAT, av_itv)),
                          "map<string,map<string,string>>")
     av_keys = F.array_sort(F.map_keys(series))
     av_kind, av_msg = _chain(
         ("invalid_interval", ~av_itv.isin(AV_INTERVALS),
-         F.concat(F.lit("Invalid interval '"), itv, F.lit("'. Valid: ['15min', '1min', '30min', '5min', '60min']"))),
+         F.format_string(MSG_INVALID_INTERVAL, itv, F.lit(_valid_list(AV_INTERVALS)))),
         ("api_error", F.element_at(top, P.AV_ERROR_KEY).isNotNull(),
-         F.concat(F.lit("AV API error: "), F.element_at(top, P.AV_ERROR_KEY))),
-        ("no_data", series.isNull() | (F.size(series) == 0), F.concat(F.lit("No intraday data in response for "), sym)),
+         F.format_string(MSG_AV_ERROR, F.element_at(top, P.AV_ERROR_KEY))),
+        ("no_data", series.isNull() | (F.size(series) == 0), F.format_string(MSG_AV_NO_INTRADAY, sym)),
     )
     yf_cells = F.array_sort(_first_cells(body))
     yf_kind, yf_msg = _chain(
         ("invalid_interval", ~itv.isin(YF_INTERVALS),
-         F.concat(F.lit("Invalid interval '"), itv, F.lit("'. Valid: ['15m', '1h', '1m', '2m', '30m', '5m', '60m', '90m']"))),
-        ("no_data", F.size(yf_cells) == 0, F.concat(F.lit("No intraday data returned for "), sym)),
+         F.format_string(MSG_INVALID_INTERVAL, itv, F.lit(_valid_list(YF_INTERVALS)))),
+        ("no_data", F.size(yf_cells) == 0, F.format_string(MSG_YF_NO_INTRADAY, sym)),
     )
     is_av, is_yf = src == SOURCE_ALPHA_VANTAGE, src == SOURCE_YFINANCE
-    unsupported = F.lit("Stooq does not support intraday data via CSV download. Use yfinance or Alpha Vantage for intraday.")
+    unsupported = F.lit(MSG_STOOQ_INTRADAY)
     kind = F.when(is_av, av_kind).when(is_yf, yf_kind).otherwise(F.lit("unsupported"))
     msg = F.when(is_av, av_msg).when(is_yf, yf_msg).otherwise(unsupported)
     keys = F.when(is_av, av_keys).otherwise(yf_cells)

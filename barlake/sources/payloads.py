@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 LINE_SPLIT = r"\r?\n"
 
-# The Alpha Vantage daily series key and field names.
+# The Alpha Vantage series key format, daily key and field names.
+AV_SERIES_FORMAT = "Time Series (%s)"
 AV_DAILY_SERIES = "Time Series (Daily)"
 AV_OPEN, AV_HIGH, AV_LOW, AV_CLOSE = "1. open", "2. high", "3. low", "4. close"
 AV_ADJ_CLOSE, AV_VOLUME = "5. adjusted close", "6. volume"
