@@ -30,63 +30,50 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _finish(grouped: DataFrame) -> DataFrame:
-    return grouped.select(
-        "date",
-        "open",
-        "high",
-        "low",
-        "close",
-        (F.col("close") * F.lit(0.5)).alias("adjusted_close"),
-        F.col("volume").cast("bigint").alias("volume"),
-        "source",
-        F.lit(INGESTED_AT).cast("timestamp").alias("ingested_at"),
-        "symbol",
-    ).select(*NORMALIZED_COLUMNS)
-
-
-def _ohlc(df: DataFrame, order, volume) -> DataFrame:
-    return df.groupBy("symbol", "source", "date").agg(
-        F.min_by("price", order).alias("open"),
-        F.max("price").alias("high"),
-        F.min("price").alias("low"),
-        F.max_by("price", order).alias("close"),
-        volume.alias("volume"),
-    )
+# Each adapter is one SQL statement: a single call from Python builds the
+# plan (the DataFrame API would make dozens of JVM round trips).
+_BAR_SELECT = """
+SELECT date, open, high, low, close, close * 0.5 AS adjusted_close, CAST(volume AS BIGINT) AS volume,
+       source, CAST(TIMESTAMP '{ingested}' AS TIMESTAMP) AS ingested_at, symbol
+FROM (
+  SELECT {symbol} AS symbol, {source} AS source, CAST({date} AS DATE) AS date,
+         min_by({price}, {order}) AS open, max({price}) AS high, min({price}) AS low,
+         max_by({price}, {order}) AS close, {volume} AS volume
+  FROM parquet.`{path}`
+  GROUP BY 1, 2, 3
+)"""
+
+
+def _bars(spark: SparkSession, sf_dir: str, table_name: str, **parts) -> DataFrame:
+    path = f"{sf_dir.rstrip('/')}/{table_name}.parquet".replace("`", "``")
+    return spark.sql(_BAR_SELECT.format(path=path, ingested=INGESTED_AT.isoformat(sep=" "), **parts))
 
 
 def bars_li(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem").select(
-        F.col("l_returnflag").alias("symbol"),
-        F.col("l_linestatus").alias("source"),
-        F.to_date("l_shipdate").alias("date"),
-        (F.col("l_extendedprice") / F.col("l_quantity")).alias("price"),
-        F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice").alias("ord"),
-        "l_quantity",
+    return _bars(
+        spark, sf_dir, "lineitem",
+        symbol="l_returnflag", source="l_linestatus", date="l_shipdate",
+        price="(l_extendedprice / l_quantity)",
+        order="named_struct('k', l_orderkey, 'n', l_linenumber, 'p', l_partkey, 's', l_suppkey, "
+              "'q', l_quantity, 'e', l_extendedprice)",
+        volume="sum(l_quantity)",
     )
-    return _finish(_ohlc(li, F.col("ord"), F.sum("l_quantity")))
 
 
 def bars_ord(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = table(spark, sf_dir, "orders").select(
-        F.col("o_orderpriority").alias("symbol"),
-        F.col("o_orderstatus").alias("source"),
-        F.to_date("o_orderdate").alias("date"),
-        F.col("o_totalprice").alias("price"),
-        "o_orderkey",
+    return _bars(
+        spark, sf_dir, "orders",
+        symbol="o_orderpriority", source="o_orderstatus", date="o_orderdate",
+        price="o_totalprice", order="o_orderkey", volume="count(*)",
     )
-    return _finish(_ohlc(o, F.col("o_orderkey"), F.count(F.lit(1))))
 
 
 def bars_ev(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = table(spark, sf_dir, "events").select(
-        F.col("event_type").alias("symbol"),
-        F.when(F.col("user_id") % 2 == 0, F.lit("even")).otherwise(F.lit("odd")).alias("source"),
-        F.to_date("ts").alias("date"),
-        F.col("value").alias("price"),
-        "ts",
+    return _bars(
+        spark, sf_dir, "events",
+        symbol="event_type", source="CASE WHEN user_id % 2 = 0 THEN 'even' ELSE 'odd' END", date="ts",
+        price="value", order="ts", volume="count(*)",
     )
-    return _finish(_ohlc(e, F.col("ts"), F.count(F.lit(1))))
 
 
 ADAPTERS = {"li": bars_li, "ord": bars_ord, "ev": bars_ev}
@@ -104,15 +91,17 @@ def with_defects(bars: DataFrame) -> DataFrame:
       k % 103 == 0  negative volume
       k % 79 == 0   zero volume
     """
-    k = F.datediff("date", F.lit("1995-01-01"))
-    hit = lambda p: (k % p) == 0
-    return (
-        bars.withColumn("open", F.when(hit(83), F.col("close")).otherwise(F.col("open")))
-        .withColumn("high", F.when(hit(83), F.col("close")).otherwise(F.col("high")))
-        .withColumn("low", F.when(hit(83), F.col("close")).otherwise(F.col("low")))
-        .withColumn("open", F.when(hit(97), -F.col("open")).otherwise(F.col("open")))
-        .withColumn("low", F.when(hit(89), F.col("high") + 1).otherwise(F.col("low")))
-        .withColumn("close", F.when(hit(101), F.lit(0.0)).otherwise(F.col("close")))
-        .withColumn("volume", F.when(hit(103), -F.col("volume")).otherwise(F.col("volume")))
-        .withColumn("volume", F.when(hit(79), F.lit(0).cast("bigint")).otherwise(F.col("volume")))
-    )
+    k = "datediff(date, DATE'1995-01-01')"
+    hit = lambda p: f"{k} % {p} = 0"
+    o1 = f"CASE WHEN {hit(83)} THEN close ELSE open END"
+    h1 = f"CASE WHEN {hit(83)} THEN close ELSE high END"
+    l1 = f"CASE WHEN {hit(83)} THEN close ELSE low END"
+    v1 = f"CASE WHEN {hit(103)} THEN -volume ELSE volume END"
+    cols = {
+        "open": f"CASE WHEN {hit(97)} THEN -({o1}) ELSE {o1} END",
+        "high": h1,
+        "low": f"CASE WHEN {hit(89)} THEN ({h1}) + 1 ELSE {l1} END",
+        "close": f"CASE WHEN {hit(101)} THEN 0.0D ELSE close END",
+        "volume": f"CASE WHEN {hit(79)} THEN CAST(0 AS BIGINT) ELSE {v1} END",
+    }
+    return bars.selectExpr(*[f"{cols[c]} AS {c}" if c in cols else c for c in bars.columns])

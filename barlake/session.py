@@ -19,6 +19,11 @@ _DEFAULT_CONF = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.compression.codec": "zstd",
     "spark.ui.enabled": "false",
+    # Call-site capture for error messages costs several JVM round trips per
+    # Column function call while a plan is built; plans here are built from
+    # hundreds of expressions, so it is off. (A static setting: it applies to
+    # sessions built here, not to a session handed in.)
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
 
