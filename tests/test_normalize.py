@@ -133,3 +133,14 @@ def test_offset_stamp_date_modes(spark):
     raw = spark.createDataFrame([("yfinance", "X", "a.csv", body)], "source string, symbol string, file_name string, body string")
     assert normalize(raw).bars.collect()[0].date == dt.date(2024, 12, 2)
     assert normalize(raw, date_mode="utc").bars.collect()[0].date == dt.date(2024, 12, 1)
+
+
+def test_process_with_symbol_frame(spark, tmp_data_dir):
+    from barlake.operators.symbols import resolve_symbols
+
+    land(tmp_data_dir, "stooq", "AAPL", "2024-01-15_daily.csv", STOOQ_CSV)
+    land(tmp_data_dir, "stooq", "IBM", "2024-01-15_daily.csv", STOOQ_CSV)
+    res = process(spark, str(tmp_data_dir / "raw"), str(tmp_data_dir / "processed"), ["stooq"],
+                  resolve_symbols(spark, "aapl, msft"))
+    assert [(r.symbol, r.rows) for r in res.written.collect()] == [("AAPL", 5)]
+    assert [r.symbol for r in res.missing.collect()] == ["MSFT"]
