@@ -1,15 +1,18 @@
 """Cross-validation of sources against each other.
 
 All symbols and all source pairs are evaluated in one plan: one scan with
-``source IN (...)``, a shuffle on (symbol, date), and small aggregates.
-Source positions come from the requested list (an array literal), so no
-side table is broadcast.
+``source IN (...)``, shuffles keyed by (symbol, date) with map-side
+pre-aggregation, and small aggregates. Source positions come from the
+requested list (an array literal), so no side table is joined. Date sets
+are per-(symbol, date) bitmasks of the sources that have the date; the pair
+join first collapses identical copies of a bar into one weighted row, so a
+group of N copies never becomes N x N joined rows.
 
     xval_coverage  rows / first / last date per (symbol, requested source)
     xval_diffs     per-date % differences for every ordered source pair
     xval_pairs     pair summary: date-set sizes, max/avg diffs, exceed count
     xval_matrix    per-symbol rows per source, overlap %, max close diff %
-    dates_common / dates_only   the date-set intersection and differences
+    dates_common / dates_only / dates_union   intersection, differences, union
 """
 
 from __future__ import annotations
