@@ -118,43 +118,26 @@ def register_views(spark: SparkSession, processed_dir: str) -> list[str]:
 
 
 def views_info(spark: SparkSession, names: list[str] | None = None) -> DataFrame:
-    """(name, rows, columns, column_names, error) per view, one job.
+    """(name, rows, columns, column_names, error) per view.
 
-    Row counts are a union of per-view count aggregates; a view that cannot
-    be resolved reports its error instead.
+    Each view is counted by its own (distributed) count job so that a view
+    that cannot be resolved or read reports its error and the others still
+    report; views are dataset directories, so there are only a few.
     """
     if names is None:
         names = [t.name for t in spark.catalog.listTables() if t.isTemporary]
-    parts, failed = [], []
+    rows = []
     for n in names:
         try:
             df = spark.table(n)
             cols = df.columns
+            count = df.count()
         except Exception as e:  # noqa: BLE001 - reported per view
-            failed.append((n, str(e).splitlines()[0]))
+            msg = (str(e).strip().splitlines() or [type(e).__name__])[0]
+            rows.append((n, None, None, None, msg))
             continue
-        parts.append(
-            df.agg(F.count(F.lit(1)).alias("rows")).select(
-                F.lit(n).alias("name"),
-                "rows",
-                F.lit(len(cols)).alias("columns"),
-                F.lit(", ".join(cols)).alias("column_names"),
-                F.lit(None).cast("string").alias("error"),
-            )
-        )
-    if failed:
-        parts.append(
-            spark.createDataFrame(
-                [(n, None, None, None, err) for n, err in failed],
-                "name string, rows bigint, columns int, column_names string, error string",
-            )
-        )
-    if not parts:
-        return spark.createDataFrame([], "name string, rows bigint, columns int, column_names string, error string")
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        rows.append((n, count, len(cols), ", ".join(cols), None))
+    return spark.createDataFrame(rows, "name string, rows bigint, columns int, column_names string, error string")
 
 
 # ---------------------------------------------------------------- CSV export

@@ -106,3 +106,16 @@ def test_export_csv_counts_rows(spark, tmp_data_dir, sample_bars):
     assert n == 5
     back = spark.read.option("header", True).csv(str(tmp_data_dir / "out.csv"))
     assert back.count() == 5 and back.columns == ["date", "close"]
+
+
+def test_views_info_reports_errors_per_view(spark, tmp_data_dir, sample_bars):
+    processed = tmp_data_dir / "processed"
+    store.write_bars(sample_bars, str(processed))
+    store.write_bars(sample_bars, str(processed), "copy_dataset")
+    assert store.register_views(spark, str(processed)) == ["copy_dataset", "daily_ohlcv"]
+    for f in _files(str(processed / "copy_dataset")):
+        os.remove(f)
+    info = {r.name: r for r in store.views_info(spark, ["copy_dataset", "daily_ohlcv", "no_such_view"]).collect()}
+    assert info["daily_ohlcv"].rows == 5 and info["daily_ohlcv"].error is None
+    assert info["copy_dataset"].rows is None and info["copy_dataset"].error
+    assert info["no_such_view"].error
