@@ -185,3 +185,18 @@ def test_validation_report_no_view_and_with_data(spark, tmp_data_dir, sample_bar
     got = {r.symbol: (r.status, r.passed, r.total) for r in
            validation_report(spark, processed, "aapl, msft", as_of="2024-01-09").collect()}
     assert got == {"AAPL": ("pass", 4, 4), "MSFT": ("fail", 2, 4)}
+
+
+def test_null_prices_fail_no_predicate(spark):
+    rows = [(dt.date(2024, 1, 2), None, None, None, None, None, None, "x", None, "N")]
+    df = spark.createDataFrame(rows, "date date, open double, high double, low double, close double, "
+                                     "adjusted_close double, volume bigint, source string, "
+                                     "ingested_at timestamp, symbol string")
+    s = one(checks.check_price_sanity(df))
+    o = one(checks.check_ohlc_consistency(df))
+    assert (s["status"], s["issue_count"], o["status"]) == ("pass", 0, "pass")
+
+
+def test_nan_low_counts_as_high_below_low(spark):
+    df = make_bars(spark, [bar(dt.date(2024, 1, 2), 1, 2, float("nan"), 1.5)])
+    assert one(checks.check_price_sanity(df))["n_high_low"] == 1
