@@ -620,7 +620,7 @@ latest AS (SELECT provider, symbol, max(y) AS y FROM files GROUP BY ALL)"""
 
 
 @register(
-    "process_pipeline",
+    "process_run",
     f"""WITH {_LATEST_SQL}
 SELECT pb.symbol, pb.provider AS source, CAST(year(pb.date) AS INTEGER) AS year, pb.date, pb.open, pb.high, pb.low, pb.close,
        {_ADJ_SQL.replace("provider", "pb.provider").replace("close", "pb.close").replace("adjusted_pb.close", "pb.adjusted_close").replace("year(date)", "year(pb.date)")} AS adjusted_close,
@@ -629,7 +629,7 @@ FROM pb JOIN latest l ON pb.provider = l.provider AND pb.symbol = l.symbol AND y
 JOIN err e ON e.provider = l.provider AND e.symbol = l.symbol AND e.y = l.y
 WHERE e.bad = 0""",
 )
-def q_process_pipeline(spark, sf):
+def q_process_run(spark, sf):
     raw = LR.with_bad_latest(LR.with_payload_errors(_landing(spark, sf)))
     root = scratch_path(spark, "process", unique=True)
     process(spark, raw, root, ingested_at=INGESTED_AT)
