@@ -22,96 +22,80 @@ from barlake.sources import payloads as P
 PROVIDER_OF = {"F": SOURCE_YFINANCE, "O": SOURCE_STOOQ, "P": SOURCE_ALPHA_VANTAGE}
 
 
-def _provider(c: Column) -> Column:
-    expr = None
-    for k, v in PROVIDER_OF.items():
-        expr = F.when(c == k, F.lit(v)) if expr is None else expr.when(c == k, F.lit(v))
-    return expr
-
-
-def _by_first(a: Column, b: Column) -> Column:
-    k1, k2 = a.getItem("k"), b.getItem("k")
-    return F.when(k1 < k2, -1).when(k1 > k2, 1).otherwise(0)
-
-
-def _sorted_entries(key: Column, value: Column) -> Column:
-    """collect_list of (k, v) sorted by k (maps are not orderable)."""
-    return F.array_sort(F.collect_list(F.struct(key.alias("k"), value.alias("v"))), _by_first)
-
-
-def _num(c: str) -> Column:
-    return F.col(c).cast("string")
-
-
-def _collect_lines(df: DataFrame, header: Column) -> DataFrame:
-    body = F.concat_ws(
-        "\n", F.first("header"),
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("date", "line"))), lambda s: s["line"]), "\n"),
-    )
-    return df.withColumn("header", header).groupBy("source", "symbol", "year", "ext").agg(body.alias("body"))
+def _q(v: str) -> str:
+    return "'" + v.replace("'", "\\'") + "'"
+
+
+# Expressions are SQL text: a few JVM calls per frame instead of hundreds.
+_PROVIDER_SQL = "CASE source " + " ".join(f"WHEN {_q(k)} THEN {_q(v)}" for k, v in PROVIDER_OF.items()) + " END"
+_NUM = "CAST({} AS STRING)"
+_YF_STAMPED = "pmod(year, 2) = 1"
+_YF_ADJ_VARIANT = "pmod(year, 4) < 3"
+_YF_HEADER = (
+    f"concat_ws(',', CASE WHEN {_YF_STAMPED} THEN 'Datetime' ELSE 'Date' END, 'Open', 'High', 'Low', 'Close', "
+    f"CASE WHEN {_YF_ADJ_VARIANT} THEN element_at(array('Adj Close', 'Adj. Close', 'Adjusted Close'), "
+    "pmod(year, 4) + 1) END, 'Volume')"
+)
+_YF_LINE = (
+    f"concat_ws(',', CASE WHEN {_YF_STAMPED} THEN concat(CAST(date AS STRING), ' 00:00:00-05:00') "
+    "ELSE CAST(date AS STRING) END, "
+    + ", ".join(_NUM.format(c) for c in ("open", "high", "low", "close"))
+    + f", CASE WHEN {_YF_ADJ_VARIANT} THEN {_NUM.format('adjusted_close')} END, {_NUM.format('volume')})"
+)
+_STOOQ_LINE = (
+    "concat_ws(',', CAST(date AS STRING), "
+    + ", ".join(_NUM.format(c) for c in ("open", "high", "low", "close", "volume")) + ")"
+)
+_BODY = (
+    "concat_ws('\\n', first(header), "
+    "array_join(transform(array_sort(collect_list(struct(date, line))), s -> s.line), '\\n'))"
+)
+
+
+def _av_fields(with_adj: bool) -> str:
+    kv = [(P.AV_OPEN, "open"), (P.AV_HIGH, "high"), (P.AV_LOW, "low"), (P.AV_CLOSE, "close")]
+    if with_adj:
+        kv.append((P.AV_ADJ_CLOSE, "adjusted_close"))
+    kv.append((P.AV_VOLUME, "volume"))
+    return "map(" + ", ".join(f"{_q(k)}, {_NUM.format(c)}" for k, c in kv) + ")"
+
+
+_AV_SERIES = (
+    "map_from_entries(array_sort(collect_list(struct(d, m)), "
+    "(a, b) -> CASE WHEN a.d < b.d THEN -1 WHEN a.d > b.d THEN 1 ELSE 0 END))"
+)
 
 
 def render_landing(bars: DataFrame) -> DataFrame:
     """(source, symbol, file_name, body) payload rows for bars whose source
     maps to a provider."""
-    b = bars.withColumn("year", F.year("date")).withColumn("provider", _provider(F.col("source")))
-    b = b.filter(F.col("provider").isNotNull())
-    y = F.col("year")
-
-    yf = b.filter(F.col("provider") == SOURCE_YFINANCE)
-    variant = F.pmod(y, F.lit(4))
-    adj_name = F.element_at(F.array(F.lit("Adj Close"), F.lit("Adj. Close"), F.lit("Adjusted Close")), variant + 1)
-    stamped = F.pmod(y, F.lit(2)) == 1
-    yf_header = F.concat_ws(
-        ",", F.when(stamped, F.lit("Datetime")).otherwise(F.lit("Date")),
-        F.lit("Open"), F.lit("High"), F.lit("Low"), F.lit("Close"),
-        F.when(variant < 3, adj_name), F.lit("Volume"),
-    )
-    date_cell = F.when(stamped, F.concat(F.col("date").cast("string"), F.lit(" 00:00:00-05:00"))).otherwise(
-        F.col("date").cast("string"))
-    yf_line = F.concat_ws(",", date_cell, _num("open"), _num("high"), _num("low"), _num("close"),
-                          F.when(variant < 3, _num("adjusted_close")), _num("volume"))
-    yf_out = _collect_lines(
-        yf.select(F.col("provider").alias("source"), "symbol", "year", "date", yf_line.alias("line"),
-                  F.lit("csv").alias("ext"), yf_header.alias("h")),
-        F.col("h"),
-    )
-
-    st = b.filter(F.col("provider") == SOURCE_STOOQ)
-    st_line = F.concat_ws(",", F.col("date").cast("string"), _num("open"), _num("high"), _num("low"),
-                          _num("close"), _num("volume"))
-    st_out = _collect_lines(
-        st.select(F.col("provider").alias("source"), "symbol", "year", "date", st_line.alias("line"),
-                  F.lit("csv").alias("ext")),
-        F.lit("Date,Open,High,Low,Close,Volume"),
-    )
-
-    av = b.filter(F.col("provider") == SOURCE_ALPHA_VANTAGE)
-    fields = F.create_map(
-        F.lit(P.AV_OPEN), _num("open"), F.lit(P.AV_HIGH), _num("high"), F.lit(P.AV_LOW), _num("low"),
-        F.lit(P.AV_CLOSE), _num("close"), F.lit(P.AV_ADJ_CLOSE), _num("adjusted_close"),
-        F.lit(P.AV_VOLUME), _num("volume"),
+    b = bars.selectExpr("*", "year(date) AS year", f"{_PROVIDER_SQL} AS provider").where("provider IS NOT NULL")
+    csv = (
+        b.where(f"provider IN ({_q(SOURCE_YFINANCE)}, {_q(SOURCE_STOOQ)})")
+        .selectExpr(
+            "provider AS source", "symbol", "year", "date", "'csv' AS ext",
+            f"CASE WHEN provider = {_q(SOURCE_YFINANCE)} THEN {_YF_LINE} ELSE {_STOOQ_LINE} END AS line",
+            f"CASE WHEN provider = {_q(SOURCE_YFINANCE)} THEN {_YF_HEADER} "
+            "ELSE 'Date,Open,High,Low,Close,Volume' END AS header",
+        )
+        .groupBy("source", "symbol", "year", "ext")
+        .agg(F.expr(_BODY).alias("body"))
     )
-    fields = F.when(F.pmod(y, F.lit(2)) == 0, fields).otherwise(
-        F.map_filter(fields, lambda k, v: k != F.lit(P.AV_ADJ_CLOSE)))
-    av_out = (
-        av.select(F.col("provider").alias("source"), "symbol", "year", F.col("date").cast("string").alias("d"),
-                  fields.alias("m"))
+    av = (
+        b.where(f"provider = {_q(SOURCE_ALPHA_VANTAGE)}")
+        .selectExpr(
+            "provider AS source", "symbol", "year", "CAST(date AS STRING) AS d",
+            f"CASE WHEN pmod(year, 2) = 0 THEN {_av_fields(True)} ELSE {_av_fields(False)} END AS m",
+        )
         .groupBy("source", "symbol", "year")
-        .agg(F.map_from_entries(_sorted_entries(F.col("d"), F.col("m"))).alias("series"))
-        .select(
-            "source", "symbol", "year", F.lit("json").alias("ext"),
-            F.to_json(F.struct(
-                F.create_map(F.lit("2. Symbol"), F.col("symbol")).alias("Meta Data"),
-                F.col("series").alias(P.AV_DAILY_SERIES),
-            )).alias("body"),
+        .agg(F.expr(_AV_SERIES).alias("series"))
+        .selectExpr(
+            "source", "symbol", "year", "'json' AS ext",
+            f"to_json(named_struct('Meta Data', map('2. Symbol', symbol), {_q(P.AV_DAILY_SERIES)}, series)) AS body",
         )
     )
-    out = yf_out.unionByName(st_out).unionByName(av_out)
-    return out.select(
-        "source", "symbol",
-        F.concat(F.col("year").cast("string"), F.lit("-12-31_daily."), F.col("ext")).alias("file_name"),
-        "body",
+    return csv.unionByName(av).selectExpr(
+        "source", "symbol", "concat(CAST(year AS STRING), '-12-31_daily.', ext) AS file_name", "body"
     )
 
 
@@ -172,6 +156,16 @@ def with_bad_latest(landing: DataFrame) -> DataFrame:
     return landing.withColumn("body", body)
 
 
+def _by_first(a: Column, b: Column) -> Column:
+    k1, k2 = a.getItem("k"), b.getItem("k")
+    return F.when(k1 < k2, -1).when(k1 > k2, 1).otherwise(0)
+
+
+def _sorted_entries(key: Column, value: Column) -> Column:
+    """collect_list of (k, v) sorted by k (maps are not orderable)."""
+    return F.array_sort(F.collect_list(F.struct(key.alias("k"), value.alias("v"))), _by_first)
+
+
 def render_intraday(events: DataFrame) -> DataFrame:
     """Intraday payloads from events: per (event_type, user parity, day) a
     5-minute series. Even users -> alpha_vantage ``5min`` JSON and yfinance
