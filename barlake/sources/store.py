@@ -31,7 +31,13 @@ def _store_frame(df: DataFrame) -> DataFrame:
 
 def write_bars(df: DataFrame, processed_dir: str, dataset: str = DEFAULT_DATASET) -> DataFrame:
     """Write normalized bars; return (symbol, source, year, rows) of the
-    partitions this write replaced, read back from the store.
+    partitions this write replaced, counted from the store.
+
+    The returned DataFrame is lazy: evaluating it re-derives the input's
+    distinct partition keys (a projection of three columns with partial
+    aggregation, but over the whole input lineage). Jobs that stamp each run
+    with its own ``ingested_at`` -- like ``plans.process`` -- count the
+    written partitions from the store by that stamp instead.
 
     A re-fetch that is shorter than what is stored replaces the whole
     (symbol, source, year) partition, as the reference does.
