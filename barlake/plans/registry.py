@@ -578,7 +578,7 @@ from barlake.operators.symbols import filter_symbols, symbols_df  # noqa: E402
 from barlake.plans import landing_render as LR  # noqa: E402
 from barlake.plans.process import process  # noqa: E402
 from barlake.plans.table_bars import INGESTED_AT, table  # noqa: E402
-from barlake.sources.landing import latest_raw  # noqa: E402
+from barlake.sources.landing import latest_raw, select_latest  # noqa: E402
 from barlake.sources.manifest import intraday_manifest, payload_manifest  # noqa: E402
 
 NORM_COLS = ["date", "open", "high", "low", "close", "adjusted_close", "volume", "source", "symbol"]
@@ -647,10 +647,7 @@ FROM pb WHERE provider = 'alpha_vantage' AND symbol = '4-NOT SPECIFIED' AND year
 )
 def q_process_rejects(spark, sf):
     raw = LR.with_bad_latest(LR.with_payload_errors(_landing(spark, sf)))
-    latest = norm.normalize(
-        __import__("barlake.sources.landing", fromlist=["x"]).select_latest(raw), None, INGESTED_AT
-    )
-    return latest.rejects
+    return norm.normalize(select_latest(raw), None, INGESTED_AT).rejects
 
 
 @register(
