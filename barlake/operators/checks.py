@@ -146,8 +146,12 @@ def symbol_profile(bars: DataFrame, symbols=None) -> DataFrame:
         F.max("date").alias("latest_date"),
     )
     gaps = _gap_stats(per_day)
-    grid = symbols_frame(bars, symbols)
-    p = grid.join(per_symbol, "symbol", "left").join(gaps, "symbol", "left")
+    if symbols is None:
+        # Every symbol present has a per-symbol row: no separate symbol scan.
+        p = per_symbol.join(gaps, "symbol", "left")
+    else:
+        # Requested symbols without rows still get a row (J-4).
+        p = symbols_frame(bars, symbols).join(per_symbol, "symbol", "left").join(gaps, "symbol", "left")
     zero = F.lit(0).cast("bigint")
     return p.select(
         "symbol",
