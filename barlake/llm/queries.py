@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, line_dedup, near_dup, quality_rules
+from . import decontaminate, line_dedup, near_dup, quality_rules, sentencepiece_fst
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +21,10 @@ def trusted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
 
 
+def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepiece_fst.encode(_table(spark, sf_dir, "documents"))
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     ratios = quality_rules.fit_ratios(docs, trusted(spark, sf_dir))
@@ -73,6 +77,7 @@ FROM marked GROUP BY doc_id
 """
 
 QUERIES = {
+    "op1_sentencepiece": op1_sentencepiece,
     "op2_quality_rules": op2_quality_rules,
     "op6_near_duplicates": op6_near_duplicates,
     "op7_decontaminate": op7_decontaminate,

@@ -24,7 +24,6 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +36,8 @@ DEFAULT_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 #: Words whose path is kept by one worker; the cache starts afresh beyond.
 CACHE_WORDS = 300_000
+#: Arc weights kept by one worker.
+PAIRS = 1_000_000
 NORMAL, UNKNOWN, CONTROL, USER, BYTE = 1, 2, 3, 4, 6
 
 
@@ -74,7 +75,10 @@ class Transducer:
             lengths.setdefault(p[-1], set()).add(len(p))
         self.lengths = {c: sorted(n, reverse=True) for c, n in lengths.items()}
         self.unit = re.compile(f"[\n]|{SPACE}*[^{SPACE}\n]+|{SPACE}+") if "\n" not in self.characters else re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
-        self.pair = lru_cache(maxsize=1 << 20)(self._pair)
+        self.rank = {p: -x for p, x in self.score.items()}
+        self.outside = 10.0 - min(self.score.values(), default=0.0)
+        self.pairs: dict[tuple[str, str], float] = {}
+        self.spines: dict[tuple[str, bool], list] = {}
         self.cache: dict[str, tuple[int, ...]] = {}
 
     def normalise(self, text: str) -> str:
@@ -97,38 +101,89 @@ class Transducer:
                 return parts
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
 
+    def spine(self, piece: str, right: bool) -> list[tuple[str, float]]:
+        """Outermost parts of ``piece`` while it is merged, at its right or left end.
+
+        (part, rank of the merge that takes it up), in order; the whole piece
+        is taken up by none. Empty if the rules don't make the piece.
+        """
+        key = (piece, right)
+        if key not in self.spines:
+            out = []
+            parts = list(piece)
+            while len(parts) > 1:
+                ranks = [self.rank.get(x + y, math.inf) for x, y in zip(parts, parts[1:], strict=False)]
+                at = ranks.index(min(ranks))
+                if ranks[at] == math.inf:
+                    break
+                if at == (len(parts) - 2 if right else 0):
+                    out.append((parts[-1 if right else 0], ranks[at]))
+                parts[at : at + 2] = [parts[at] + parts[at + 1]]
+            self.spines[key] = [*out, (piece, math.inf)] if len(parts) == 1 else []
+        return self.spines[key]
+
     def _pair(self, a: str, b: str) -> float:
-        """Tropical weight of piece b after piece a."""
-        return 0.0 if self.merged(a + b) == [a, b] else math.inf
+        """Tropical weight of piece b after piece a: 0, or infinity if a merge would cross.
+
+        At any time one part of a and one of b touch. If both make a piece
+        whose rank comes before the merge that takes up either, it is merged
+        (with equal ranks the left one goes first), and (a, b) is no path.
+        """
+        if SPACE * 2 in a + b:  # runs of spaces share one rank, so that parts have no order
+            return 0.0 if self.merged(a + b) == [a, b] else math.inf
+        left, right = self.spine(a, True), self.spine(b, False)
+        if not left or not right:
+            return math.inf
+        i = j = 0
+        while True:
+            (x, x_end), (y, y_end) = left[i], right[j]
+            r = self.rank.get(x + y, math.inf)
+            if r < x_end and r <= y_end and r < math.inf:
+                return math.inf
+            if x_end == y_end == math.inf:
+                return 0.0
+            if x_end <= y_end:
+                i += 1
+            else:
+                j += 1
 
     def arc(self, before: str, piece: str) -> float:
         """Tropical weight of the arc that reads ``piece`` after ``before``."""
         if not self.bpe:
             return -self.score[piece]
-        if not before:
-            return 0.0 if self.merged(piece) == [piece] else math.inf
-        return self.pair(before, piece)
+        key = (before, piece)
+        got = self.pairs.get(key)
+        if got is None:
+            if len(self.pairs) >= PAIRS:
+                self.pairs.clear()
+            if before:
+                got = self._pair(before, piece)
+            else:
+                got = 0.0 if self.spine(piece, True) or self.merged(piece) == [piece] else math.inf
+            self.pairs[key] = got
+        return got
 
     def shortest_path(self, unit: str) -> list[str]:
         """Pieces of the best path through one unit; single characters may be outside."""
         # A character outside all pieces is read by its own arc, dearer than any piece.
-        n, outside = len(unit), 10.0 - min(self.score.values(), default=0.0)
+        n = len(unit)
         cost, last = [0.0] + [math.inf] * n, [""] * (n + 1)
+        known, lengths, arc, bpe = self.id, self.lengths, self.arc, self.bpe
         for end in range(1, n + 1):
             c = unit[end - 1]
-            for size in self.lengths.get(c, ()):
+            for size in lengths.get(c, ()):
                 start = end - size
                 if start < 0 or cost[start] == math.inf:
                     continue
                 piece = unit[start:end]
-                if piece in self.id:
-                    new = cost[start] + self.arc(last[start], piece)
+                if piece in known:
+                    new = cost[start] + arc(last[start], piece)
                     if new < cost[end]:
                         cost[end], last[end] = new, piece
-                        if self.bpe:
+                        if bpe:
                             break
-            if cost[end] == math.inf and c not in self.id:
-                cost[end], last[end] = cost[end - 1] + (0.0 if self.bpe else outside), c
+            if cost[end] == math.inf and c not in known:
+                cost[end], last[end] = cost[end - 1] + (0.0 if bpe else self.outside), c
         out, end = [], n
         while end:
             out.append(last[end])
