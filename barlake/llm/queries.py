@@ -6,10 +6,10 @@ table and derives the agreed columns from the operator's output.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, line_dedup, near_dup, quality_rules, sentencepiece_fst
+from . import decontaminate, line_dedup, near_dup, pseudonyms, pu_quality, quality_rules, sentencepiece_fst, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,6 +33,48 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", *[F.col(f"__{n}").alias(n) for n in names])
 
 
+def _remainder(of: int) -> Column:
+    """crc32 of the id as text, modulo ``of``: the split into training and held-out rows."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % of
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    model = toxicity.fit(docs, labels.where(_remainder(3) != 1))
+    out = toxicity.score(docs, model)
+    return out.select(
+        "doc_id",
+        (_remainder(3) == 1).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+        "n_clauses",
+        "weight",
+    )
+
+
+#: The demonstration key of the registered query; users pass their own.
+PSEUDONYM_KEY = "barlake-demonstration-key"
+
+
+def op4_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pseudonyms.pseudonymise(_table(spark, sf_dir, "documents"), PSEUDONYM_KEY)
+
+
+def op10_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    positives = labels.where((_remainder(5) != 0) & (F.col("quality") == 1))
+    others = labels.where((_remainder(5) == 0) | (F.col("quality") != 1)).select("doc_id")
+    held_out = docs.where(_remainder(5) == 0).select("doc_id")
+    model = pu_quality.fit(docs, positives, others.union(held_out))
+    out = pu_quality.score(docs, model)
+    return out.select(
+        "doc_id",
+        (_remainder(5) == 0).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+    )
+
+
 def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -79,9 +121,12 @@ FROM marked GROUP BY doc_id
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_quality_rules": op2_quality_rules,
+    "op3_toxicity": op3_toxicity,
+    "op4_pseudonyms": op4_pseudonyms,
     "op6_near_duplicates": op6_near_duplicates,
     "op7_decontaminate": op7_decontaminate,
     "op8_line_dedup": op8_line_dedup,
+    "op10_pu_quality": op10_pu_quality,
 }
 
 ORACLES = {"op8_line_dedup": OP8_SQL}
