@@ -141,8 +141,8 @@ def fit(docs: DataFrame, positives: DataFrame, excluded: DataFrame, id_col: str
     ids = lambda d: d.select(F.col(id_col).cast("long").alias("id")).where("id IS NOT NULL").distinct()
     first = lambda d: d.orderBy(F.xxhash64("id"), "id").limit(MAX_ROWS)
     every = docs.select(F.col(id_col).cast("long").alias("id"))
-    good = first(ids(positives).join(ids(every), "id", "left_semi"))
-    rest = first(ids(every).join(ids(positives).union(ids(excluded)), "id", "left_anti"))
+    good = first(ids(positives).join(every.distinct(), "id", "left_semi"))
+    rest = first(every.where("id IS NOT NULL").distinct().join(ids(positives).union(ids(excluded)), "id", "left_anti"))
     chosen = good.withColumn("side", F.lit(1)).union(rest.withColumn("side", F.lit(0)))
     # A bounded side: at most 2 * MAX_ROWS pairs of numbers.
     text = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
