@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, line_dedup, near_dup, pseudonyms, pu_quality, quality_rules, sentencepiece_fst, toxicity
+from . import ctw, decontaminate, line_dedup, near_dup, pseudonyms, pu_quality, quality_rules, sentencepiece_fst, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -60,6 +60,13 @@ def op4_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pseudonyms.pseudonymise(_table(spark, sf_dir, "documents"), PSEUDONYM_KEY)
 
 
+def op9_ctw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = ctw.score(_table(spark, sf_dir, "documents"), _remainder(5) != 1)
+    return out.select(
+        "doc_id", (_remainder(5) == 1).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "n_bytes", "bits_per_byte"
+    )
+
+
 def op10_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
     positives = labels.where((_remainder(5) != 0) & (F.col("quality") == 1))
@@ -126,6 +133,7 @@ QUERIES = {
     "op6_near_duplicates": op6_near_duplicates,
     "op7_decontaminate": op7_decontaminate,
     "op8_line_dedup": op8_line_dedup,
+    "op9_ctw": op9_ctw,
     "op10_pu_quality": op10_pu_quality,
 }
 
