@@ -39,6 +39,7 @@ from pyspark.sql import functions as F
 
 from barlake.session import scratch_path
 
+from .packing import expand, grouped, pack, squeeze, unpack
 from .shingles import words
 
 BATCH_BYTES = 8 << 20
@@ -48,20 +49,6 @@ SCHEMA = "kind string, batch long, shard int, a binary, b binary"
 _LOG_TABLE = 1 << 12
 
 
-def pack(values: np.ndarray) -> bytes:
-    """Numbers as compressed byte planes of their differences (sorted numbers pack well)."""
-    v = values.astype(np.uint64)
-    d = np.diff(v, prepend=np.uint64(0))
-    planes = np.ascontiguousarray(d.view(np.uint8).reshape(-1, 8).T)
-    return len(v).to_bytes(8, "big") + pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
-
-
-def unpack(data: bytes) -> np.ndarray:
-    n = int.from_bytes(data[:8], "big")
-    planes = np.frombuffer(pa.decompress(data[8:], decompressed_size=8 * n, codec="zstd", asbytes=True), np.uint8)
-    return np.cumsum(np.ascontiguousarray(planes.reshape(8, n).T).view(np.uint64).ravel(), dtype=np.uint64)
-
-
 def canonical(text: str | None) -> bytes:
     return b" ".join((text or "").encode("utf-8", "surrogatepass").lower().split()) + b"\n"
 
@@ -130,7 +117,7 @@ def _asked(batch: int, held: list, depth: int, shards: int) -> pa.RecordBatch:
     table = pa.RecordBatch.from_arrays([meta, pa.array(train)], names=["id", "train"])
     with pa.ipc.new_stream(sink, table.schema) as w:
         w.write_batch(table)
-    rows.append(("text", batch, -1, len(body).to_bytes(8, "big") + pa.compress(body, codec="zstd", asbytes=True), sink.getvalue().to_pybytes()))
+    rows.append(("text", batch, -1, squeeze(body), sink.getvalue().to_pybytes()))
     return pa.RecordBatch.from_arrays(
         [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.string(), pa.int64(), pa.int32(), pa.binary(), pa.binary()), strict=True)],
         names=["kind", "batch", "shard", "a", "b"],
@@ -238,9 +225,8 @@ class HeadLevels:
 
 def _shards_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list]]:
     """(shard, its (batch, keys, counts)) of rows sorted by shard."""
-    rows = ((r["shard"], r) for batch in batches for r in batch.to_pylist())
-    for shard, group in itertools.groupby(rows, key=lambda x: x[0]):
-        yield shard, [(r["batch"], unpack(r["a"]), np.frombuffer(r["b"], np.int32)) for _, r in group]
+    for shard, rows in grouped(batches, "shard"):
+        yield shard, [(r["batch"], unpack(r["a"]), np.frombuffer(r["b"], np.int32)) for r in rows]
 
 
 def _summed(asked: list) -> tuple[np.ndarray, np.ndarray]:
@@ -282,8 +268,8 @@ def _answers(kind: str, shard: int, rows: list) -> pa.RecordBatch:
             pa.array([kind] * n),
             pa.array([b for b, _ in rows], pa.int64()),
             pa.array([shard] * n, pa.int32()),
-            pa.array([pa.compress(x, codec="zstd", asbytes=True) for _, x in rows], pa.binary()),
-            pa.array([len(x).to_bytes(8, "big") for _, x in rows], pa.binary()),
+            pa.array([squeeze(x) for _, x in rows], pa.binary()),
+            pa.array([b""] * n, pa.binary()),
         ],
         names=["kind", "batch", "shard", "a", "b"],
     )
@@ -292,12 +278,8 @@ def _answers(kind: str, shard: int, rows: list) -> pa.RecordBatch:
 def _tally(depth: int, shards: int, n_train: int, n_types: int, n_ends: int):
     def finish(rows: list) -> pa.RecordBatch:
         text = next(r for r in rows if r["kind"] == "text")
-        got = {
-            (r["kind"], r["shard"]): pa.decompress(r["a"], decompressed_size=int.from_bytes(r["b"], "big"), codec="zstd", asbytes=True)
-            for r in rows
-            if r["kind"] != "text"
-        }
-        body = pa.decompress(text["a"][8:], decompressed_size=int.from_bytes(text["a"][:8], "big"), codec="zstd", asbytes=True)
+        got = {(r["kind"], r["shard"]): expand(r["a"]) for r in rows if r["kind"] != "text"}
+        body = expand(text["a"])
         meta = pa.ipc.open_stream(text["b"]).read_all()
         texts = [t + b"\n" for t in body.split(b"\n")[:-1]]
         n = len(texts)
@@ -333,9 +315,8 @@ def _tally(depth: int, shards: int, n_train: int, n_types: int, n_ends: int):
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = (r for batch in batches for r in batch.to_pylist())
-        for _, group in itertools.groupby(rows, key=lambda r: r["batch"]):
-            yield finish(list(group))
+        for _, rows in grouped(batches, "batch"):
+            yield finish(rows)
 
     return run
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ctw, decontaminate, line_dedup, near_dup, pseudonyms, pu_quality, quality_rules, sentencepiece_fst, toxicity
+from . import ctw, decontaminate, line_dedup, near_dup, pseudonyms, pu_quality, quality_rules, sentencepiece_fst, suffix_dedup, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -60,6 +60,11 @@ def op4_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pseudonyms.pseudonymise(_table(spark, sf_dir, "documents"), PSEUDONYM_KEY)
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffix_dedup.cut_repeats(_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op9_ctw(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = ctw.score(_table(spark, sf_dir, "documents"), _remainder(5) != 1)
     return out.select(
@@ -100,6 +105,35 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+OP5_SQL = """
+WITH bytes AS (
+    SELECT doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents
+), sized AS (
+    SELECT doc_id, x, length(x) // 2 AS n FROM bytes
+), strings AS (
+    SELECT doc_id, p, md5(substr(x, 2 * p + 1, 200)) AS m
+    FROM (SELECT doc_id, x, unnest(range(0, n - 99)) AS p FROM sized WHERE n >= 100)
+), later AS (
+    SELECT doc_id, p FROM (SELECT doc_id, p, row_number() OVER (PARTITION BY m ORDER BY doc_id, p) AS r FROM strings) WHERE r > 1
+), stepped AS (
+    SELECT doc_id, p, CASE WHEN p <= lag(p) OVER (PARTITION BY doc_id ORDER BY p) + 100 THEN 0 ELSE 1 END AS new FROM later
+), numbered AS (
+    SELECT doc_id, p, sum(new) OVER (PARTITION BY doc_id ORDER BY p) AS run FROM stepped
+), runs AS (
+    SELECT doc_id, min(p) AS a, max(p) + 100 AS b FROM numbered GROUP BY doc_id, run
+), ends AS (
+    SELECT doc_id, b AS from_byte, a AS run_a, b - a AS removed FROM runs
+    UNION ALL SELECT doc_id, 0, NULL, 0 FROM sized
+), pieces AS (
+    SELECT e.doc_id, e.from_byte, e.removed, e.run_a,
+           lead(e.run_a) OVER (PARTITION BY e.doc_id ORDER BY e.from_byte, e.run_a NULLS FIRST) AS to_byte
+    FROM ends e
+)
+SELECT s.doc_id, any_value(s.n) AS n_bytes, CAST(sum(p.removed) AS BIGINT) AS n_removed, count(p.run_a) AS n_spans,
+       sha256(unhex(string_agg(substr(s.x, 2 * p.from_byte + 1, 2 * (coalesce(p.to_byte, s.n) - p.from_byte)), '' ORDER BY p.from_byte, p.run_a NULLS FIRST))) AS kept_sha256
+FROM sized s JOIN pieces p USING (doc_id) GROUP BY s.doc_id
+"""
+
 OP8_SQL = """
 WITH lines AS (
     SELECT doc_id, unnest(l) AS line, unnest(range(1, len(l) + 1)) AS pos
@@ -130,6 +164,7 @@ QUERIES = {
     "op2_quality_rules": op2_quality_rules,
     "op3_toxicity": op3_toxicity,
     "op4_pseudonyms": op4_pseudonyms,
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op6_near_duplicates": op6_near_duplicates,
     "op7_decontaminate": op7_decontaminate,
     "op8_line_dedup": op8_line_dedup,
@@ -137,4 +172,4 @@ QUERIES = {
     "op10_pu_quality": op10_pu_quality,
 }
 
-ORACLES = {"op8_line_dedup": OP8_SQL}
+ORACLES = {"op5_suffix_dedup": OP5_SQL, "op8_line_dedup": OP8_SQL}
