@@ -41,7 +41,7 @@ from .packing import expand, grouped, pack, squeeze, unpack
 from .shingles import _BASE, _INVERSE, _power, mix
 
 LENGTH = 100
-GRAM = 64
+GRAM = 40
 BATCH_BYTES = 4 << 20
 SCHEMA = "kind string, batch long, shard int, a binary, b binary"
 _PLACE = np.uint64((1 << 28) - 1)  # a batch's bytes are numbered with 28 bits: one text may have 256 MB
@@ -87,7 +87,7 @@ class Spans:
         begins = np.flatnonzero(new)
         self.first, self.last = valid[begins], valid[np.append(begins[1:], len(valid)) - 1]
         self.anchor = at[begins]
-        self.hash = grams[self.anchor] >> np.uint64(8)
+        self.hash = grams[self.anchor] >> np.uint64(16)  # 48 bits: equal hashes of different grams cost work only
 
     def documents(self, places: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.ends, places, side="right")
@@ -132,7 +132,7 @@ def _ask(shards: int):
 
 
 def _shard(hashes: np.ndarray, shards: int) -> np.ndarray:
-    return (hashes >> np.uint64(24)).astype(np.int64) % shards
+    return (hashes >> np.uint64(16)).astype(np.int64) % shards
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
@@ -317,13 +317,14 @@ def _send(shards: int):
                 ("run", batch, s, front_code(sorted((right, left, *order) for (right, left), order in run.items())), b"")
                 for s, run in by.items()
             ]
-            out.append(_cut_row(batch, cuts))
+            # The batch's own cuts pass through a shard unread, on their way back.
+            out.append(_cut_row(batch, cuts, batch % shards))
             yield _batch(out)
 
     return run
 
 
-def _cut_row(batch: int, cuts: list[tuple[int, int]]) -> tuple:
+def _cut_row(batch: int, cuts: list[tuple[int, int]], shard: int = -1) -> tuple:
     merged: list[list[int]] = []
     for a, b in sorted(cuts):
         if merged and a <= merged[-1][1]:
@@ -331,11 +332,13 @@ def _cut_row(batch: int, cuts: list[tuple[int, int]]) -> tuple:
         else:
             merged.append([a, b])
     flat = np.array(merged, np.uint64).ravel()
-    return ("cut", batch, -1, pack(flat), b"")
+    return ("cut", batch, shard, pack(flat), b"")
 
 
 def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for _, rows in grouped(batches, "shard"):
+        passing = [tuple(r[c] for c in ("kind", "batch", "shard", "a", "b")) for r in rows if r["kind"] == "cut"]
+        rows = [r for r in rows if r["kind"] == "run"]
         cuts: dict[int, list] = {}
         group: list[tuple] = []
         for lcp, run, (right, left, doc, first) in itertools.chain(merge_runs([front_decode(r["a"]) for r in rows]), [(0, 0, (b"", b"", 0, 0))]):
@@ -345,7 +348,7 @@ def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                         cuts.setdefault(rows[r]["batch"], []).append((a, b))
                 group = []
             group.append((run, lcp, right, left, doc, first))
-        yield _batch([_cut_row(batch, own) for batch, own in cuts.items()])
+        yield _batch(passing + [_cut_row(batch, own) for batch, own in cuts.items()])
 
 
 def _finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -386,19 +389,17 @@ def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     if base.groupBy("id").count().where("count > 1").limit(1).count():
         base = base.groupBy("id").agg(F.max("text").alias("text"))
     path = scratch_path(spark, "suffix_dedup", unique=True)
-    base.mapInArrow(_ask(shards), SCHEMA).write.partitionBy("kind").option("compression", "none").parquet(f"{path}/texts")
-    asked = spark.read.schema(SCHEMA).parquet(f"{path}/texts")
+    base.mapInArrow(_ask(shards), SCHEMA).write.partitionBy("kind").option("compression", "none").parquet(path)
+    asked = spark.read.schema(SCHEMA).parquet(path)
     texts = asked.where("kind = 'text'").select("kind", "batch", "shard", "a", "b")
 
     def by(rows: DataFrame, column: str) -> DataFrame:
         return rows.repartition(shards, column).sortWithinPartitions(column, "batch")
 
     bits = by(asked.where("kind = 'anchor'").select("batch", "shard", "a", "b"), "shard").mapInArrow(_repeated, SCHEMA)
-    by(texts.union(bits), "batch").mapInArrow(_send(shards), SCHEMA).write.partitionBy("kind").option("compression", "none").parquet(f"{path}/runs")
-    sent = spark.read.schema(SCHEMA).parquet(f"{path}/runs")
-    cuts = by(sent.where("kind = 'run'").select("batch", "shard", "a"), "shard").mapInArrow(_merge, SCHEMA)
-    own = sent.where("kind = 'cut'").select("kind", "batch", "shard", "a", "b")
-    done = by(texts.union(own).union(cuts), "batch").mapInArrow(
+    sent = by(texts.union(bits), "batch").mapInArrow(_send(shards), SCHEMA)
+    cuts = by(sent, "shard").mapInArrow(_merge, SCHEMA)
+    done = by(texts.union(cuts), "batch").mapInArrow(
         _finish, "id long, n_bytes long, n_removed long, n_spans long, kept binary, spans array<long>"
     )
     return done.withColumnRenamed("id", id_col)
