@@ -19,18 +19,26 @@ def date_lit(d) -> Column:
     return F.to_date(F.lit(str(d)))
 
 
+def symbol_items(symbols: str | Sequence[str]) -> list[str]:
+    """A comma string or a list as trimmed, upper-cased symbols: empty items
+    are dropped, the first of equal ones stays. The one rule for text; symbols
+    in a DataFrame are taken as they are."""
+    items = symbols.split(",") if isinstance(symbols, str) else symbols
+    return [s for s in dict.fromkeys(x.strip().upper() for x in items) if s]
+
+
 def restrict_symbols(df: DataFrame, symbols) -> DataFrame:
     """Keep rows whose symbol is requested.
 
-    ``symbols`` may be None (all), a short literal list (an ``IN`` filter that
-    reaches the scan as a partition filter) or a DataFrame with a ``symbol``
-    column (a left-semi join, for universes of any size).
+    ``symbols`` may be None (all), a comma string or short list (an ``IN``
+    filter that reaches the scan as a partition filter) or a DataFrame with a
+    ``symbol`` column (a left-semi join, for universes of any size).
     """
     if symbols is None:
         return df
     if isinstance(symbols, DataFrame):
         return df.join(symbols.select("symbol").distinct(), "symbol", "left_semi")
-    return df.filter(F.col("symbol").isin(list(symbols)))
+    return df.filter(F.col("symbol").isin(symbol_items(symbols)))
 
 
 def restrict_dates(df: DataFrame, start=None, end=None, column: str = "date") -> DataFrame:
@@ -66,4 +74,4 @@ def symbols_frame(bars: DataFrame, symbols) -> DataFrame:
         return bars.select("symbol").distinct()
     if isinstance(symbols, DataFrame):
         return symbols.select("symbol").distinct()
-    return spark.createDataFrame([(s,) for s in dict.fromkeys(symbols)], "symbol string")
+    return spark.createDataFrame([(s,) for s in symbol_items(symbols)], "symbol string")

@@ -10,7 +10,7 @@ Every check is a projection of one shared per-symbol profile:
      *blocks* of missing weekdays between consecutive present dates without
      exploding a calendar; blocks chain into a run when the next block's
      first missing day is <= 3 calendar days after the previous block's last.
-     Only the <= 20 listed missing dates are materialized.
+     Only the missing dates that are to be listed are materialized.
 
 Check order and names follow ``schema.CHECK_ORDER``. Symbols requested but
 absent get a row (gaps/stale fail with "No data for <symbol>").
@@ -18,6 +18,8 @@ absent get a row (gaps/stale fail with "No data for <symbol>").
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -32,8 +34,9 @@ from barlake.functions.numeric import ieee_div
 from barlake.operators._common import date_lit, restrict_symbols, symbols_frame
 from barlake.schema import CHECK_ORDER, STATUS_FAIL, STATUS_ORDER, STATUS_PASS, STATUS_WARN
 
-MISSING_DATES_SHOWN = 20
 GAP_CHAIN_DAYS = 3
+#: Default number of missing dates that a gap check lists; an argument of the checks.
+SHOWN = 20
 
 # Check messages (printf-style formats; %% is a literal %).
 MSG_NO_DATA = "No data for %s"
@@ -101,30 +104,30 @@ def missing_blocks(per_day: DataFrame) -> DataFrame:
     )
 
 
-def _gap_stats(per_day: DataFrame) -> DataFrame:
+def _gap_stats(per_day: DataFrame, shown: int | None = SHOWN) -> DataFrame:
     """(symbol, longest_gap, missing_dates) in one pass over the blocks.
 
     Run lengths come from a window on (symbol, run) -- the blocks are
     already clustered by symbol, so no new shuffle. Blocks that can hold one
-    of the first 20 missing dates (``missing_before < 20``) list their
-    weekdays, cut at 28 calendar days (which always hold 20 weekdays); the
-    per-symbol aggregate therefore gathers at most 20 x 20 dates.
+    of the first ``shown`` missing dates list their weekdays, cut at the
+    whole weeks that always hold so many; ``None`` lists every missing date
+    (at most one for each weekday between a symbol's first and last bar).
     """
     blocks = missing_blocks(per_day)
     run_len = F.sum("n_missing").over(Window.partitionBy("symbol", "run"))
-    head = F.when(
-        F.col("missing_before") < MISSING_DATES_SHOWN,
-        F.filter(
-            F.sequence("first_missing", F.least(F.col("last_missing"), F.date_add("first_missing", 4 * 7 - 1))),
-            lambda d: is_trading_day(d),
-        ),
-    )
+    if shown is None:
+        last, wanted = F.col("last_missing"), F.lit(True)
+    else:
+        last = F.least(F.col("last_missing"), F.date_add("first_missing", -(-shown // 5) * 7 - 1))
+        wanted = F.col("missing_before") < shown
+    head = F.when(wanted, F.filter(F.sequence(F.col("first_missing"), last), lambda d: is_trading_day(d)))
+    listed = F.array_sort(F.flatten(F.collect_list("head")))
     return (
         blocks.select("symbol", run_len.alias("run_len"), head.alias("head"))
         .groupBy("symbol")
         .agg(
             F.max("run_len").cast("int").alias("longest_gap"),
-            F.slice(F.array_sort(F.flatten(F.collect_list("head"))), 1, MISSING_DATES_SHOWN).alias("_md"),
+            (listed if shown is None else F.slice(listed, 1, shown)).alias("_md"),
         )
         .select(
             "symbol", "longest_gap",
@@ -133,8 +136,9 @@ def _gap_stats(per_day: DataFrame) -> DataFrame:
     )
 
 
-def symbol_profile(bars: DataFrame, symbols=None) -> DataFrame:
-    """One row per requested symbol with every input the four checks need."""
+def symbol_profile(bars: DataFrame, symbols=None, shown: int | None = SHOWN) -> DataFrame:
+    """One row per requested symbol with every input the four checks need;
+    ``missing_dates`` lists the first ``shown`` missing dates (None: all)."""
     per_day = daily_profile(bars, symbols)
     flag_names = list(_flags())
     per_symbol = per_day.groupBy("symbol").agg(
@@ -145,7 +149,7 @@ def symbol_profile(bars: DataFrame, symbols=None) -> DataFrame:
         F.min("date").alias("first_date"),
         F.max("date").alias("latest_date"),
     )
-    gaps = _gap_stats(per_day)
+    gaps = _gap_stats(per_day, shown)
     if symbols is None:
         # Every symbol present has a per-symbol row: no separate symbol scan.
         p = per_symbol.join(gaps, "symbol", "left")
@@ -180,7 +184,8 @@ def _no_data(_=None) -> Column:
 
 
 def _aliased(cols: dict[str, Column]) -> list[Column]:
-    return [c.alias(name) for name, c in cols.items()]
+    """The columns of a single check's own result (its numbers stand beside the message, not in details)."""
+    return [c.alias(name) for name, c in cols.items() if name != "details"]
 
 
 def _gaps_cols() -> dict[str, Column]:
@@ -196,7 +201,8 @@ def _gaps_cols() -> dict[str, Column]:
         .when(F.col("n_missing") == 0, F.format_string(MSG_NO_GAPS, F.col("n_days")))
         .otherwise(F.format_string(MSG_GAPS, F.col("n_missing"), F.col("longest_gap")))
     )
-    return {"status": status, "message": message}
+    details = F.when(F.col("n_missing") > 0, F.to_json(F.struct("missing_dates")))
+    return {"status": status, "message": message, "details": details}
 
 
 def _sanity_parts() -> list[tuple[str, str]]:
@@ -225,14 +231,15 @@ def _sanity_cols() -> dict[str, Column]:
     msg, count = _issues(_sanity_parts())
     status = F.when(count > 0, F.lit(STATUS_FAIL)).otherwise(F.lit(STATUS_PASS))
     message = F.when(count > 0, msg).otherwise(F.lit(MSG_SANITY_OK))
-    return {"status": status, "message": message, "issue_count": count}
+    details = F.when(count > 0, F.to_json(F.struct(count.alias("issue_count"))))
+    return {"status": status, "message": message, "issue_count": count, "details": details}
 
 
 def _ohlc_cols() -> dict[str, Column]:
     msg, count = _issues(_ohlc_parts())
     status = F.when(count > 0, F.lit(STATUS_WARN)).otherwise(F.lit(STATUS_PASS))
     message = F.when(count > 0, msg).otherwise(F.lit(MSG_OHLC_OK))
-    return {"status": status, "message": message}
+    return {"status": status, "message": message, "details": F.lit(None).cast("string")}
 
 
 def _days_behind(as_of) -> Column:
@@ -249,7 +256,8 @@ def _stale_cols(as_of) -> dict[str, Column]:
         .when(db <= 1, F.format_string(MSG_CURRENT, latest))
         .otherwise(F.format_string(MSG_BEHIND, db, latest))
     )
-    return {"status": status, "message": message, "days_behind": F.when(~nd, db)}
+    details = F.when(~nd, F.to_json(F.struct(F.col("latest_date"), db.alias("days_behind"))))
+    return {"status": status, "message": message, "days_behind": F.when(~nd, db), "details": details}
 
 
 def _as_of(as_of) -> Column:
@@ -291,24 +299,45 @@ def check_ohlc_consistency(bars: DataFrame, symbols=None, profile: DataFrame | N
     )
 
 
-def run_checks(bars: DataFrame, symbols=None, as_of=None, profile: DataFrame | None = None) -> DataFrame:
-    """(symbol, pos, check_name, status, message): the four checks in order,
-    produced from one profile row per symbol (no union of four passes)."""
-    p = profile if profile is not None else symbol_profile(bars, symbols)
+#: A check: its name, and its columns (status, message, details) over the
+#: profile row of a symbol, given the as-of date as a Column.
+Check = tuple[str, Callable[[Column], dict[str, Column]]]
+
+#: The checks in the order they are reported; pass a longer or shorter
+#: sequence to ``run_checks`` to add, drop or reorder checks.
+DEFAULT_CHECKS: tuple[Check, ...] = (
+    (CHECK_ORDER[0], lambda as_of: _gaps_cols()),
+    (CHECK_ORDER[1], lambda as_of: _sanity_cols()),
+    (CHECK_ORDER[2], _stale_cols),
+    (CHECK_ORDER[3], lambda as_of: _ohlc_cols()),
+)
+
+
+def run_checks(
+    bars: DataFrame,
+    symbols=None,
+    as_of=None,
+    profile: DataFrame | None = None,
+    checks: Sequence[Check] = DEFAULT_CHECKS,
+    shown: int | None = SHOWN,
+) -> DataFrame:
+    """(symbol, pos, check_name, status, message, details): the checks in
+    order, produced from one profile row per symbol (no union of passes).
+
+    ``details`` is JSON text or NULL: the first ``shown`` missing dates of the
+    gap check, the number of kinds of issues of the sanity check, and the
+    latest date and days behind of the stale check.
+    """
+    p = profile if profile is not None else symbol_profile(bars, symbols, shown)
     as_of = _as_of(as_of)
 
     def row(pos: int, name: str, cols: dict[str, Column]) -> Column:
         return F.struct(
             F.lit(pos).alias("pos"), F.lit(name).alias("check_name"),
-            cols["status"].alias("status"), cols["message"].alias("message"),
+            *[cols.get(c, F.lit(None)).cast("string").alias(c) for c in ("status", "message", "details")],
         )
 
-    rows = F.array(
-        row(1, CHECK_ORDER[0], _gaps_cols()),
-        row(2, CHECK_ORDER[1], _sanity_cols()),
-        row(3, CHECK_ORDER[2], _stale_cols(as_of)),
-        row(4, CHECK_ORDER[3], _ohlc_cols()),
-    )
+    rows = F.array(*[row(i + 1, name, make(as_of)) for i, (name, make) in enumerate(checks)])
     return p.select("symbol", F.explode(rows).alias("r")).select("symbol", "r.*")
 
 

@@ -1,12 +1,13 @@
 """Cross-validation of sources against each other.
 
 All symbols and all source pairs are evaluated in one plan: one scan with
-``source IN (...)``, shuffles keyed by (symbol, date) with map-side
-pre-aggregation, and small aggregates. Source positions come from the
-requested list (an array literal), so no side table is joined. Date sets
-are per-(symbol, date) bitmasks of the sources that have the date; the pair
-join first collapses identical copies of a bar into one weighted row, so a
-group of N copies never becomes N x N joined rows.
+``source IN (...)``, which is first reduced to *cells*, the distinct copies
+of a bar with their number, clustered by (symbol, date). The pair join and
+the date sets read the same exchange of cells. Source positions come from
+the requested list (an array literal), so no side table is joined, and the
+list may have any length: the sources of a date are a sorted array of
+positions, and dates with the same array are counted before pairs are made.
+A group of N copies never becomes N x N joined rows.
 
     xval_coverage  rows / first / last date per (symbol, requested source)
     xval_diffs     per-date % differences for every ordered source pair
@@ -17,6 +18,8 @@ group of N copies never becomes N x N joined rows.
 
 from __future__ import annotations
 
+import functools
+import operator
 from itertools import combinations
 
 from pyspark.sql import DataFrame
@@ -44,15 +47,22 @@ def _scoped(bars: DataFrame, sources, symbols=None, start=None, end=None, cols=P
     b = bars.filter(F.col("source").isin(sources))
     b = restrict_dates(restrict_symbols(b, symbols), start, end)
     pos = F.array_position(F.array(*[F.lit(s) for s in sources]), F.col("source")).cast("int")
-    return b.select("symbol", "source", "date", *cols).withColumn("pos", pos)
+    scoped = b.select("symbol", "source", "date", *cols).withColumn("pos", pos)
+    # What a join would infer for its sides; stated here, so that joined and unjoined uses are one plan.
+    return scoped.filter("symbol IS NOT NULL AND date IS NOT NULL AND pos IS NOT NULL")
 
 
-def _date_masks(scoped: DataFrame, n_sources: int) -> DataFrame:
-    """One row per (symbol, date): bit i set when source i+1 has the date,
-    plus the plain row count per source (duplicates included)."""
-    aggs = [F.bit_or(F.expr("shiftleft(1, pos - 1)")).alias("mask")]
-    aggs += [F.count_if(F.col("pos") == i + 1).alias(f"n{i + 1}") for i in range(n_sources)]
-    return scoped.groupBy("symbol", "date").agg(*aggs)
+def _cells(scoped: DataFrame, cols=PRICE_COLUMNS) -> DataFrame:
+    """Distinct copies of a bar and their number ``w`` (a partial aggregate,
+    so a hot group of copies is combined map-side). The filter is always true;
+    it keeps ``w`` in every consumer, so that all of them share one exchange."""
+    return scoped.groupBy("symbol", "date", "source", "pos", *cols).agg(F.count(F.lit(1)).alias("w")).filter("w > 0")
+
+
+def _presence(cells: DataFrame) -> DataFrame:
+    """(symbol, m, n): how many dates have exactly the source positions ``m``."""
+    dates = cells.groupBy("symbol", "date").agg(F.sort_array(F.collect_set("pos")).alias("m"))
+    return dates.groupBy("symbol", "m").agg(F.count(F.lit(1)).alias("n"))
 
 
 def xval_coverage(bars: DataFrame, sources, symbols=None, start=None, end=None) -> DataFrame:
@@ -91,17 +101,8 @@ def _pairs_literal(sources: list[str]):
     return F.array(*pairs)
 
 
-def _weighted_side(s: DataFrame, tag: str, cols=PRICE_COLUMNS) -> DataFrame:
-    """Identical copies of a bar collapse into one row with weight ``w``
-    (a partial aggregate, so a hot group of copies is combined map-side)."""
-    return (
-        s.groupBy("symbol", "date", "source", "pos", *cols)
-        .agg(F.count(F.lit(1)).alias(f"w_{tag}"))
-        .select(
-            "symbol", "date", F.col("source").alias(f"src_{tag}"), F.col("pos").alias(f"pos_{tag}"),
-            *[F.col(c).alias(f"{c}_{tag}") for c in cols], f"w_{tag}",
-        )
-    )
+def _side(cells: DataFrame, tag: str) -> DataFrame:
+    return cells.select("symbol", "date", *[F.col(c).alias(f"{c}_{tag}") for c in cells.columns if c not in ("symbol", "date")])
 
 
 def xval_diffs(bars: DataFrame, sources, tolerance: float = 1.0, symbols=None, start=None, end=None) -> DataFrame:
@@ -114,19 +115,18 @@ def xval_diffs(bars: DataFrame, sources, tolerance: float = 1.0, symbols=None, s
     group of N copies costs one row instead of N x N.
     """
     sources = _require_two(sources)
-    s = _scoped(bars, sources, symbols, start, end)
-    a, b = _weighted_side(s, "a"), _weighted_side(s, "b")
-    j = a.join(b, ["symbol", "date"], "inner").filter(F.col("pos_a") < F.col("pos_b"))
+    return _diffs(_cells(_scoped(bars, sources, symbols, start, end)), tolerance)
+
+
+def _diffs(cells: DataFrame, tolerance: float) -> DataFrame:
+    j = _side(cells, "a").join(_side(cells, "b"), ["symbol", "date"], "inner").filter(F.col("pos_a") < F.col("pos_b"))
     diffs = [pct_diff(F.col(f"{c}_a"), F.col(f"{c}_b")).alias(f"d_{c}") for c in PRICE_COLUMNS]
     out = j.select(
-        "symbol", "src_a", "src_b", "pos_a", "pos_b", "date", *diffs,
+        "symbol", F.col("source_a").alias("src_a"), F.col("source_b").alias("src_b"), "pos_a", "pos_b", "date", *diffs,
         (F.col("w_a") * F.col("w_b")).alias("weight"),
     )
-    exceeds = None
-    for c in PRICE_COLUMNS:
-        m = F.col(f"d_{c}") > F.lit(float(tolerance))
-        exceeds = m if exceeds is None else (exceeds | m)
-    return out.withColumn("exceeds", exceeds)
+    over = [F.col(f"d_{c}") > F.lit(float(tolerance)) for c in PRICE_COLUMNS]
+    return out.withColumn("exceeds", functools.reduce(operator.or_, over))
 
 
 def xval_pairs(bars: DataFrame, sources, tolerance: float = 1.0, symbols=None, start=None, end=None) -> DataFrame:
@@ -139,22 +139,22 @@ def xval_pairs(bars: DataFrame, sources, tolerance: float = 1.0, symbols=None, s
     flags pairs involving a source without adjusted close.
     """
     sources = _require_two(sources)
-    s = _scoped(bars, sources, symbols, start, end)
-    masks = _date_masks(s.select("symbol", "date", "pos"), len(sources))
+    cells = _cells(_scoped(bars, sources, symbols, start, end))
+    has_a, has_b, n = F.expr("array_contains(m, pos_a)"), F.expr("array_contains(m, pos_b)"), F.col("n")
+    dates = lambda cond: F.sum(F.when(cond, n).otherwise(F.lit(0))).cast("bigint")
     sets = (
-        masks.select("symbol", "mask", F.explode(_pairs_literal(sources)).alias("p"))
-        .select("symbol", "mask", "p.*")
-        .withColumn("has_a", F.expr("shiftright(mask, pos_a - 1) % 2 = 1"))
-        .withColumn("has_b", F.expr("shiftright(mask, pos_b - 1) % 2 = 1"))
+        _presence(cells)
+        .select("symbol", "m", "n", F.explode(_pairs_literal(sources)).alias("p"))
+        .select("symbol", "m", "n", "p.*")
         .groupBy("symbol", "src_a", "src_b", "pos_a", "pos_b")
         .agg(
-            F.count_if(F.col("has_a") & F.col("has_b")).alias("common_dates"),
-            F.count_if(F.col("has_a") & ~F.col("has_b")).alias("only_a"),
-            F.count_if(~F.col("has_a") & F.col("has_b")).alias("only_b"),
+            dates(has_a & has_b).alias("common_dates"),
+            dates(has_a & ~has_b).alias("only_a"),
+            dates(~has_a & has_b).alias("only_b"),
         )
         .filter((F.col("common_dates") + F.col("only_a") > 0) & (F.col("common_dates") + F.col("only_b") > 0))
     )
-    d = xval_diffs(bars, sources, tolerance, symbols, start, end)
+    d = _diffs(cells, tolerance)
     w = F.col("weight")
     aggs = []
     for c in PRICE_COLUMNS:
@@ -191,25 +191,27 @@ def xval_matrix(bars: DataFrame, sources, symbols=None) -> DataFrame:
     """
     sources = _require_two(sources)
     s = _scoped(bars, sources, symbols, None, None, cols=["close"])
-    masks = _date_masks(s.select("symbol", "date", "pos"), len(sources))
-    has1, has2 = F.col("mask") % 2 == 1, F.shiftright("mask", 1) % 2 == 1
-    per_symbol = masks.groupBy("symbol").agg(
-        *[F.sum(f"n{i + 1}").alias(f"rows_{src}") for i, src in enumerate(sources)],
+    # One row for each (symbol, date): rows of every source, and the distinct closes of the first
+    # two (normally one each; the maximum over joined rows does not depend on multiplicity).
+    closes = [F.collect_set(F.when(F.col("pos") == i, F.col("close"))).alias(f"c{i}") for i in (1, 2)]
+    has1, has2 = F.col("n1") > 0, F.col("n2") > 0
+    counts = [f"n{i + 1}" for i in range(len(sources))]
+    per_date = s.groupBy("symbol", "date").agg(*[F.count_if(F.col("pos") == i + 1).alias(c) for i, c in enumerate(counts)], *closes)
+    diff = F.aggregate(
+        "c1", F.lit(None).cast("double"),
+        lambda m, a: F.greatest(m, F.aggregate(
+            "c2", F.lit(None).cast("double"), lambda n, b: F.greatest(n, nan_to_null(pct_diff(a, b))))),
+    )
+    per_symbol = per_date.groupBy("symbol").agg(
+        *[F.sum(c).alias(f"rows_{src}") for c, src in zip(counts, sources, strict=True)],
         F.count_if(has1 & has2).alias("_common"),
         F.count_if(has1 | has2).alias("_union"),
-    )
-    # Max over joined rows does not depend on multiplicity: join distinct values.
-    a = s.filter(F.col("pos") == 1).select("symbol", "date", F.col("close").alias("close_a")).distinct()
-    b = s.filter(F.col("pos") == 2).select("symbol", "date", F.col("close").alias("close_b")).distinct()
-    max_diff = (
-        a.join(b, ["symbol", "date"], "inner")
-        .groupBy("symbol")
-        .agg(F.max(nan_to_null(pct_diff(F.col("close_a"), F.col("close_b")))).alias("max_close_diff_pct"))
+        F.max(diff).alias("max_close_diff_pct"),
     )
     first, second = f"rows_{sources[0]}", f"rows_{sources[1]}"
     both = (F.col(first) > 0) & (F.col(second) > 0)
     grid = symbols_frame(bars, symbols)
-    out = grid.join(per_symbol, "symbol", "left").join(max_diff, "symbol", "left")
+    out = grid.join(per_symbol, "symbol", "left")
     both = F.coalesce(both, F.lit(False))
     return out.select(
         "symbol",
@@ -219,26 +221,26 @@ def xval_matrix(bars: DataFrame, sources, symbols=None) -> DataFrame:
     )
 
 
-def _two_source_masks(bars: DataFrame, src_a: str, src_b: str, symbols=None, start=None, end=None) -> DataFrame:
+def _in_sources(bars: DataFrame, src_a: str, src_b: str, symbols=None, start=None, end=None) -> DataFrame:
+    """(symbol, date, in_a, in_b) over the rows of two sources."""
     s = _scoped(bars, [src_a, src_b], symbols, start, end, cols=[])
-    return _date_masks(s.select("symbol", "date", "pos"), 2)
+    return s.groupBy("symbol", "date").agg(
+        F.bool_or(F.col("source") == src_a).alias("in_a"), F.bool_or(F.col("source") == src_b).alias("in_b")
+    )
 
 
 def dates_common(bars: DataFrame, src_a: str, src_b: str, symbols=None, start=None, end=None) -> DataFrame:
     """(symbol, date) present in both sources: the date-set intersection."""
-    m = _two_source_masks(bars, src_a, src_b, symbols, start, end)
-    return m.filter(F.col("mask") == 3).select("symbol", "date")
+    return _in_sources(bars, src_a, src_b, symbols, start, end).filter("in_a AND in_b").select("symbol", "date")
 
 
 def dates_only(bars: DataFrame, src_a: str, src_b: str, symbols=None, start=None, end=None) -> DataFrame:
     """(symbol, date, only_in) for dates in exactly one of the two sources:
     both set differences, labelled with the source that has the date."""
-    m = _two_source_masks(bars, src_a, src_b, symbols, start, end)
-    return m.filter(F.col("mask") != 3).select(
-        "symbol", "date", F.when(F.col("mask") == 1, F.lit(src_a)).otherwise(F.lit(src_b)).alias("only_in")
-    )
+    d = _in_sources(bars, src_a, src_b, symbols, start, end).filter("in_a <> in_b")
+    return d.select("symbol", "date", F.when(F.col("in_a"), F.lit(src_a)).otherwise(F.lit(src_b)).alias("only_in"))
 
 
 def dates_union(bars: DataFrame, src_a: str, src_b: str, symbols=None, start=None, end=None) -> DataFrame:
     """(symbol, date) present in either source: the date-set union."""
-    return _two_source_masks(bars, src_a, src_b, symbols, start, end).select("symbol", "date")
+    return _in_sources(bars, src_a, src_b, symbols, start, end).select("symbol", "date")

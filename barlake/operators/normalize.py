@@ -39,7 +39,11 @@ def _ts(ingested_at) -> Column:
         return F.current_timestamp()
     if isinstance(ingested_at, Column):
         return ingested_at
-    return F.lit(ingested_at).cast("timestamp")
+    # A naive stamp is UTC; as a literal of text with its offset, neither the driver's nor
+    # the session's zone moves it.
+    if ingested_at.tzinfo is None:
+        ingested_at = ingested_at.replace(tzinfo=_dt.timezone.utc)
+    return F.lit(ingested_at.astimezone(_dt.timezone.utc).isoformat()).cast("timestamp")
 
 
 # Per-entry expressions are written as SQL text: one JVM call builds each
@@ -54,7 +58,9 @@ def _date_sql(x: str, mode: str) -> str:
     if mode == "utc":
         stamped = f"CAST(try_to_timestamp({x}, 'yyyy-MM-dd HH:mm:ssXXX') AS DATE)"
     else:
-        stamped = f"CAST(try_to_timestamp(substring({x}, 1, 10), 'yyyy-MM-dd') AS DATE)"
+        # The whole stamp must parse; its own (exchange-local) date is kept.
+        whole = f"coalesce(try_to_timestamp({x}, 'yyyy-MM-dd HH:mm:ssXXX'), try_to_timestamp({x}, 'yyyy-MM-dd HH:mm:ss'))"
+        stamped = f"CASE WHEN {whole} IS NOT NULL THEN CAST(substring({x}, 1, 10) AS DATE) END"
     return f"CASE WHEN contains({x}, ':') THEN {stamped} ELSE {plain} END"
 
 
@@ -120,7 +126,7 @@ def _pos_sql(names: list[str]) -> str:
 
 
 def _csv_files(raw: DataFrame, date_names: list[str], adj_names: list[str], required: list[str],
-               missing_date_msg: str, source, date_mode: str) -> DataFrame:
+               missing_date_msg: str, source, date_mode: str, accept_empty: bool) -> DataFrame:
     f = P.csv_files(raw)
     pos = {
         "p_date": _pos_sql(date_names), "p_open": _pos_sql([CSV_OPEN]), "p_high": _pos_sql([CSV_HIGH]),
@@ -129,26 +135,30 @@ def _csv_files(raw: DataFrame, date_names: list[str], adj_names: list[str], requ
     }
     checks = [f"WHEN ({pos['p_date']}) = 0 THEN '{missing_date_msg}'"]
     checks += [f"WHEN array_position(header, '{n}') = 0 THEN 'missing column {n}'" for n in required]
+    checks.append("WHEN exists(cells, c -> size(c) > size(header)) THEN 'more cells than columns'")
+    if not accept_empty:
+        checks.append("WHEN size(cells) = 0 THEN 'no data rows'")
     header_error = f"CASE {' '.join(checks)} END"
     f = f.select(
         *FILE_KEYS, F.expr(header_error).alias("header_error"), *[F.expr(e).alias(n) for n, e in pos.items()],
-        F.expr("transform(lines, x -> split(x, ','))").alias("cells"),
+        "cells",
     )
     return _finish_files(f, F.expr(_TEXTS_SQL), F.col("header_error"), source, date_mode, VOLUME_INT_OR_FLOAT)
 
 
 def yfinance_files(raw: DataFrame, date_mode: str = "local") -> DataFrame:
     """yfinance daily CSV: ``Date`` or ``Datetime`` first column; adjusted
-    close from the first present alias header, else the close."""
+    close from the first present alias header, else the close. A file with
+    a header alone is rejected: it has no date to read."""
     return _csv_files(raw, YF_DATE_HEADERS, YF_ADJ_CLOSE_HEADERS, [CSV_OPEN, CSV_HIGH, CSV_LOW, CSV_CLOSE, CSV_VOLUME],
-                      "missing column Datetime", SOURCE_YFINANCE, date_mode)
+                      "missing column Datetime", SOURCE_YFINANCE, date_mode, accept_empty=False)
 
 
 def stooq_files(raw: DataFrame) -> DataFrame:
     """Stooq daily CSV ``Date,Open,High,Low,Close,Volume``; no adjusted
     close, so ``adjusted_close = close``; dates strictly ``YYYY-MM-DD``."""
     return _csv_files(raw, ["Date"], [], [CSV_OPEN, CSV_HIGH, CSV_LOW, CSV_CLOSE, CSV_VOLUME],
-                      "missing column Date", SOURCE_STOOQ, "strict")
+                      "missing column Date", SOURCE_STOOQ, "strict", accept_empty=True)
 
 
 def alpha_vantage_files(raw: DataFrame) -> DataFrame:
@@ -223,7 +233,7 @@ def normalize(raw: DataFrame, sources=None, ingested_at=None, date_mode: str = "
     (default: now, UTC). ``date_mode="utc"`` converts offset stamps to the
     UTC date instead of keeping the exchange-local date."""
     if ingested_at is None:
-        ingested_at = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+        ingested_at = _dt.datetime.now(_dt.timezone.utc)
     files = parse_files(raw, sources, date_mode)
     rejected = F.when(F.col("error").isNotNull(), F.array(F.struct(*REJECT_COLUMNS)))
     rejects = files.select(F.explode(rejected).alias("r")).select("r.*")

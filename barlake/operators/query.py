@@ -31,7 +31,10 @@ def date_range(bars: DataFrame, symbol: str, start, end) -> DataFrame:
 def preview(df: DataFrame, limit: int = DEFAULT_PREVIEW_ROWS) -> DataFrame:
     """The first ``limit`` rows of ``df`` plus ``total_rows`` (the size of
     the whole result), attached as a scalar subquery: one partial count per
-    task, no join and no single-partition window."""
+    task, no join and no single-partition window. The query runs twice, once
+    for the rows and once, pruned to a count, for the total; pass the result of
+    ``checkpoint()`` where that costs more than writing it. An empty result has
+    no row to carry its total, which is 0."""
     total = df.agg(F.count(F.lit(1))).scalar()
     return df.limit(int(limit)).withColumn("total_rows", total)
 

@@ -3,25 +3,20 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+
+from barlake.operators._common import symbol_items
 
 
 def symbols_df(spark: SparkSession, symbols) -> DataFrame:
-    """``"aapl, msft"`` -> DataFrame(symbol) split on ',', trimmed, upper-cased
-    (empty items dropped, duplicates removed). A list is taken as-is, like
-    a configured universe."""
-    if isinstance(symbols, str):
-        text = spark.createDataFrame([(symbols,)], "value string")
-        items = text.select(F.explode(F.split("value", ",")).alias("s"))
-        out = items.select(F.upper(F.trim("s")).alias("symbol"))
-        return out.filter(F.col("symbol") != "").distinct()
-    return spark.createDataFrame([(s,) for s in dict.fromkeys(symbols)], "symbol string")
+    """``"aapl, msft"`` or a list -> DataFrame(symbol): trimmed, upper-cased,
+    empty items dropped, duplicates removed."""
+    return spark.createDataFrame([(s,) for s in symbol_items(symbols)], "symbol string")
 
 
 def resolve_symbols(spark: SparkSession, symbols: str | None = None, all_universe: bool = False,
                     universe=None) -> DataFrame:
     """The symbol set of a command: the configured universe with
-    ``all_universe`` (used as-is), else the comma list (trimmed,
+    ``all_universe``, else the comma list (trimmed,
     upper-cased). Neither is an error."""
     from barlake.schema import DEFAULT_UNIVERSE
 

@@ -44,6 +44,24 @@ BARS_SQL = {
            event_type AS symbol
     FROM events
     GROUP BY event_type, CASE WHEN user_id % 2 = 0 THEN 'even' ELSE 'odd' END, CAST(ts AS DATE)""",
+    "sup": """
+    SELECT CAST(l_shipdate AS DATE) AS date, p AS open, p * 1.25 AS high, p * 0.75 AS low,
+           CASE l_linenumber WHEN 6 THEN CAST('NaN' AS DOUBLE) WHEN 7 THEN NULL ELSE p * (1 + l_discount) END AS close,
+           p * 0.5 AS adjusted_close, CAST(l_quantity AS BIGINT) AS volume,
+           l_returnflag || l_linestatus AS source, 'S' || l_suppkey AS symbol
+    FROM (SELECT *, l_extendedprice / l_quantity AS p FROM lineitem)""",
+    "many": """
+    SELECT CAST(o_orderdate AS DATE) AS date,
+           first(o_totalprice ORDER BY o_orderkey) AS open,
+           max(o_totalprice) AS high,
+           min(o_totalprice) AS low,
+           last(o_totalprice ORDER BY o_orderkey) AS close,
+           last(o_totalprice ORDER BY o_orderkey) * 0.5 AS adjusted_close,
+           CAST(count(*) AS BIGINT) AS volume,
+           's' || (o_custkey % 40) AS source,
+           o_orderpriority AS symbol
+    FROM orders
+    GROUP BY ALL""",
 }
 
 # Same rules, same order as table_bars.with_defects.

@@ -5,14 +5,17 @@ from __future__ import annotations
 import datetime as _dt
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barlake.operators.normalize import normalize
 from barlake.sources import store
-from barlake.sources.landing import latest_raw, list_landing, select_latest
+from barlake.sources.landing import DAILY_FILES, latest_raw, list_landing, read_landing, select_latest
 from barlake.schema import DEFAULT_DATASET
 
+NO_RAW_FILES = "No raw files found to process."
+
 
 @dataclass
 class ProcessResult:
@@ -32,41 +35,30 @@ def process(
 ) -> ProcessResult:
     """Process the latest daily payload of every (source, symbol) in one job.
 
-    ``raw`` is a landing directory or a raw DataFrame. With a directory only
-    the latest files are read: the listing carries no content, and only the
-    chosen paths (one per source and symbol, like any file index) go to the
-    reader. Files that fail to parse are reported in ``rejects`` and do not
-    stop the others. Re-running is idempotent (dynamic partition overwrite).
+    ``raw`` is a landing directory or a raw DataFrame. With a directory, the
+    listing carries no content; payloads are chosen by a semi-join on their
+    path parts, so no path list passes through the driver. Files that fail to
+    parse are reported in ``rejects`` and do not stop the others. A landing
+    tier without a requested daily payload is an error. Re-running is
+    idempotent (dynamic partition overwrite), and ``written`` counts the rows
+    of this run alone.
     """
     if ingested_at is None:
-        ingested_at = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+        ingested_at = _dt.datetime.now(_dt.timezone.utc)
     if isinstance(raw, str):
-        keys = latest_raw(list_landing(spark, raw), sources, symbols)
-        found = keys.filter("found")
-        paths = [
-            f"{raw.rstrip('/')}/{r['source']}/{r['symbol']}/{r['file_name']}"
-            for r in found.select("source", "symbol", "file_name").collect()
-        ]
-        if not paths:
-            raise FileNotFoundError("No raw files found to process.")
-        from barlake.sources.landing import read_landing_files
-
-        payloads = read_landing_files(spark, paths)
+        try:
+            listing, raw = list_landing(spark, raw), read_landing(spark, raw, DAILY_FILES)
+        except AnalysisException as e:
+            if e.getCondition() == "PATH_NOT_FOUND":
+                raise FileNotFoundError(NO_RAW_FILES) from e
+            raise
+        keys = latest_raw(listing, sources, symbols)
+        if keys.filter("found").isEmpty():
+            raise FileNotFoundError(NO_RAW_FILES)
     else:
         keys = latest_raw(raw.select("source", "symbol", "file_name"), sources, symbols)
-        payloads = select_latest(raw, sources, symbols)
+    payloads = select_latest(raw, sources, symbols, keys)
     result = normalize(payloads, sources, ingested_at)
-    store.write_bars(result.bars, processed_dir, dataset)
-    # Every row this run wrote carries its ingested_at stamp, and the
-    # partitions it touched hold nothing else (dynamic overwrite): count them
-    # from the store (the stamp filter reaches the Parquet scan) instead of
-    # recomputing the input.
-    stamp = F.lit(ingested_at).cast("timestamp")
-    written = (
-        store.read_store(spark, processed_dir, dataset)
-        .filter(F.col("ingested_at") == stamp)
-        .groupBy("symbol", "source", "year")
-        .agg(F.count(F.lit(1)).alias("rows"))
-    )
+    written = store.write_bars(result.bars, processed_dir, dataset)
     missing = keys.filter(~F.col("found")).select("source", "symbol")
     return ProcessResult(written, result.rejects, missing)

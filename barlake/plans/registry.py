@@ -1,7 +1,9 @@
 """Registered queries (Spark) and their DuckDB oracle SQL.
 
-Every query reads the driver's tables (through the bar adapters) so its
-work grows with them. Parameters are fixed here so both sides agree.
+Every query reads the driver's tables through the bar adapters. The
+adapters ``li``, ``ord`` and ``ev`` reduce them to few symbols, whose bars
+are bounded by dates; with ``sup`` (``*_suppliers``, ``*_bucketed``) bars and
+symbols grow with the tables. Parameters are fixed here so both sides agree.
 Averages are rounded to 6 decimals on both sides: summation order differs
 between engines.
 """
@@ -52,6 +54,22 @@ XV_TOL = 1.0
 PRICE = ["open", "high", "low", "close"]
 
 
+def _xv_matrix_oracle(adapter: str, sources: list[str]) -> str:
+    a, b = sources[:2]
+    return f"""
+WITH {bars_cte(adapter)},
+n AS (SELECT symbol, {", ".join(f"count(*) FILTER (WHERE source = '{s}') AS rows_{s}" for s in sources)} FROM bars GROUP BY symbol),
+d AS (SELECT symbol, date, bool_or(source = '{a}') AS h1, bool_or(source = '{b}') AS h2 FROM bars GROUP BY ALL),
+o AS (SELECT symbol, count(*) FILTER (WHERE h1 AND h2) * 100.0 / nullif(count(*) FILTER (WHERE h1 OR h2), 0) AS overlap_pct FROM d GROUP BY symbol),
+j AS (SELECT x.symbol, abs(x.close - y.close) / x.close * 100 AS p FROM bars x JOIN bars y USING (symbol, date)
+      WHERE x.source = '{a}' AND y.source = '{b}'),
+m AS (SELECT symbol, max(p) FILTER (WHERE NOT isnan(p)) AS max_close_diff_pct FROM j GROUP BY symbol)
+SELECT n.*, CASE WHEN rows_{a} > 0 AND rows_{b} > 0 THEN round(CAST(overlap_pct AS DOUBLE), 6) END AS overlap_pct,
+       CASE WHEN rows_{a} > 0 AND rows_{b} > 0 THEN max_close_diff_pct END AS max_close_diff_pct
+FROM n LEFT JOIN o USING (symbol) LEFT JOIN m USING (symbol)
+"""
+
+
 def _xv_pairs_oracle(adapter: str, sources: list[str], tol: float) -> str:
     pairs = ", ".join(
         f"('{a}', '{b}', {i + 1}, {j + 1})"
@@ -105,9 +123,19 @@ def _xv_pairs_query(adapter: str, sources: list[str], tol: float):
 
 
 register("xval_pairs", _xv_pairs_oracle("li", XV_SOURCES_LI, XV_TOL))(_xv_pairs_query("li", XV_SOURCES_LI, XV_TOL))
+XV_SOURCES_SUP = ["RF", "AF", "NO", "NF"]
+XV_SOURCES_MANY = [f"s{i}" for i in range(40)]
+register("xval_pairs_many", _xv_pairs_oracle("many", XV_SOURCES_MANY, XV_TOL))(_xv_pairs_query("many", XV_SOURCES_MANY, XV_TOL))
+register("xval_pairs_suppliers", _xv_pairs_oracle("sup", XV_SOURCES_SUP, XV_TOL))(_xv_pairs_query("sup", XV_SOURCES_SUP, XV_TOL))
 register("xval_pairs_3src", _xv_pairs_oracle("ord", XV_SOURCES_ORD, 0.5))(_xv_pairs_query("ord", XV_SOURCES_ORD, 0.5))
 
 
+@register("xval_matrix_suppliers", _xv_matrix_oracle("sup", XV_SOURCES_SUP))
+def q_xval_matrix_suppliers(spark: SparkSession, sf: str) -> DataFrame:
+    out = crossval.xval_matrix(ADAPTERS["sup"](spark, sf), XV_SOURCES_SUP)
+    return out.withColumn("overlap_pct", F.round("overlap_pct", 6))
+
+
 @register(
     "xval_diffs",
     f"""
@@ -274,6 +302,21 @@ _OHLC_SQL = f"""CASE WHEN {_OHLC_N} > 0 THEN 'warn' ELSE 'pass' END AS status,
             CASE WHEN n_zero_vol_move > 0 THEN printf('%d rows with zero volume but >1%% price movement', n_zero_vol_move) END) END AS message"""
 
 
+_GAPS_DETAILS = "CASE WHEN n_missing > 0 THEN '{\"missing_dates\":[\"' || replace(missing_dates, ',', '\",\"') || '\"]}' END AS details"
+_SANITY_DETAILS = f"CASE WHEN {_SANITY_N} > 0 THEN '{{\"issue_count\":' || {_SANITY_N} || '}}' END AS details"
+_STALE_DETAILS = """CASE WHEN days_behind IS NOT NULL THEN '{"latest_date":"' || strftime(latest_date, '%Y-%m-%d') || '","days_behind":' || days_behind || '}' END AS details"""
+
+
+def _run_checks_cte(as_of: str) -> str:
+    """rc: the four checks of every profile row."""
+    return f"""rc AS (
+  SELECT symbol, 1 AS pos, 'trading_day_gaps' AS check_name, {_GAPS_SQL}, {_GAPS_DETAILS} FROM prof
+  UNION ALL SELECT symbol, 2, 'price_sanity', {_SANITY_SQL}, {_SANITY_DETAILS} FROM prof
+  UNION ALL SELECT symbol, 3, 'stale_data', status, message, {_STALE_DETAILS}
+            FROM (SELECT symbol, latest_date, {_stale_sql("DATE '" + as_of + "'")} FROM prof) st
+  UNION ALL SELECT symbol, 4, 'ohlc_consistency', {_OHLC_SQL}, NULL FROM prof)"""
+
+
 def _stale_sql(as_of: str, with_days: bool = True) -> str:
     ltd = f"({as_of} - CASE isodow({as_of}) WHEN 6 THEN 1 WHEN 7 THEN 2 ELSE 0 END)"
     db = (f"((SELECT count(*) FROM generate_series(latest_date, {ltd}, INTERVAL 1 DAY) t(d) "
@@ -337,19 +380,25 @@ def q_check_stale(spark, sf):
 
 
 _RUN_CHECKS_SQL = f"""WITH {_profile_oracle("ord", True, CHECK_SYMBOLS)},
-rc AS (
-  SELECT symbol, 1 AS pos, 'trading_day_gaps' AS check_name, {_GAPS_SQL} FROM prof
-  UNION ALL SELECT symbol, 2, 'price_sanity', {_SANITY_SQL} FROM prof
-  UNION ALL SELECT symbol, 3, 'stale_data', {_stale_sql("DATE '" + RUN_AS_OF + "'", with_days=False)} FROM prof
-  UNION ALL SELECT symbol, 4, 'ohlc_consistency', {_OHLC_SQL} FROM prof)"""
+{_run_checks_cte(RUN_AS_OF)}"""
 
 
-@register("run_checks", _RUN_CHECKS_SQL + "\nSELECT symbol, CAST(pos AS INTEGER) AS pos, check_name, status, message FROM rc")
+@register("run_checks", _RUN_CHECKS_SQL + "\nSELECT symbol, CAST(pos AS INTEGER) AS pos, check_name, status, message, details FROM rc")
 def q_run_checks(spark, sf):
     bars = with_defects(ADAPTERS["ord"](spark, sf))
     return checks.run_checks(bars, CHECK_SYMBOLS, as_of=RUN_AS_OF)
 
 
+@register(
+    "run_checks_suppliers",
+    f"""WITH {_profile_oracle("sup", False, None)},
+{_run_checks_cte(RUN_AS_OF)}
+SELECT symbol, CAST(pos AS INTEGER) AS pos, check_name, status, message, details FROM rc""",
+)
+def q_run_checks_suppliers(spark, sf):
+    return checks.run_checks(ADAPTERS["sup"](spark, sf), as_of=RUN_AS_OF)
+
+
 @register(
     "validation_summary",
     _RUN_CHECKS_SQL
@@ -481,6 +530,41 @@ def q_reprocess(spark, sf):
     return store.read_store(spark, root).select(*STORE_COLS)
 
 
+@register("write_roundtrip_bucketed", f"WITH {bars_cte('sup')} SELECT {_BAR_SELECT} FROM bars")
+def q_write_roundtrip_bucketed(spark, sf):
+    root = scratch_path(spark, "roundtrip", unique=True)
+    store.write_bars(ADAPTERS["sup"](spark, sf), root, layout=store.BUCKETED, buckets=2)
+    return store.read_store(spark, root, layout=store.BUCKETED).select(*STORE_COLS)
+
+
+@register(
+    "reprocess_bucketed",
+    f"""WITH {bars_cte('sup')}
+SELECT {_BAR_SELECT} FROM bars
+WHERE NOT (symbol LIKE '%7' AND date < DATE '1998-07-01' AND (symbol, source, year(date)) IN (
+    SELECT (symbol, source, year(date)) FROM bars WHERE symbol LIKE '%7' AND date >= DATE '1998-07-01'))""",
+)
+def q_reprocess_bucketed(spark, sf):
+    # A re-fetch of some symbols replaces their slices only; other symbols of the same directories stay.
+    root = scratch_path(spark, "reprocess", unique=True)
+    bars = ADAPTERS["sup"](spark, sf)
+    store.write_bars(bars, root, layout=store.BUCKETED, buckets=2)
+    again = bars.filter("symbol LIKE '%7' AND date >= DATE '1998-07-01'")
+    # Slices of 1998 and later that the shorter re-fetch still holds.
+    store.write_bars(again, root, layout=store.BUCKETED, buckets=2)
+    return store.read_store(spark, root, layout=store.BUCKETED).select(*STORE_COLS)
+
+
+@register(
+    "partition_counts_bucketed",
+    f"""WITH {bars_cte('sup')}
+SELECT symbol, source, CAST(year(date) AS INTEGER) AS year, count(*) AS rows FROM bars GROUP BY ALL""",
+)
+def q_partition_counts_bucketed(spark, sf):
+    root = scratch_path(spark, "partitions", unique=True)
+    return store.write_bars(ADAPTERS["sup"](spark, sf), root, layout=store.BUCKETED, buckets=2)
+
+
 @register("view_scan", f"WITH {bars_cte('ord')} SELECT {_BAR_SELECT} FROM bars")
 def q_view_scan(spark, sf):
     return _store_view(spark, sf).select(*STORE_COLS)
@@ -524,13 +608,13 @@ def q_range(spark, sf):
 @register(
     "q_preview",
     f"""WITH {bars_cte('ev')},
-t AS (SELECT symbol, source, date, close, volume FROM bars WHERE volume > 10)
+t AS (SELECT symbol, source, date, close, volume FROM bars)
 SELECT *, (SELECT count(*) FROM t) AS total_rows FROM t ORDER BY date, symbol, source LIMIT 50""",
 )
 def q_preview(spark, sf):
     _store_view(spark, sf)
     df = spark.sql(
-        "SELECT symbol, source, date, close, volume FROM daily_events WHERE volume > 10 ORDER BY date, symbol, source"
+        "SELECT symbol, source, date, close, volume FROM daily_events ORDER BY date, symbol, source"
     )
     return qops.preview(df, 50)
 
@@ -556,12 +640,12 @@ def q_sql(spark, sf):
 @register(
     "export_csv",
     f"""WITH {bars_cte('ev')}
-SELECT symbol, source, date, open, close, volume FROM bars WHERE symbol IN ('click', 'view')""",
+SELECT symbol, source, date, open, close, volume FROM bars""",
 )
 def q_export_csv(spark, sf):
     df = qops.run_sql(
         spark,
-        "SELECT symbol, source, date, open, close, volume FROM daily_events WHERE symbol IN ('click', 'view')",
+        "SELECT symbol, source, date, open, close, volume FROM daily_events",
         processed_dir=shared_store(spark, sf),
     )
     path = scratch_path(spark, "export", unique=True)
@@ -780,11 +864,7 @@ def q_ingest_log(spark, sf):
 
 _REPORT_SYMBOLS_TEXT = " 1-urgent, 2-high, 3-medium, 4-not specified, 5-low, 9-absent "
 _REPORT_CHECKS_SQL = f"""WITH {_profile_oracle("ord", False, CHECK_SYMBOLS)},
-rc AS (
-  SELECT symbol, 1 AS pos, 'trading_day_gaps' AS check_name, {_GAPS_SQL} FROM prof
-  UNION ALL SELECT symbol, 2, 'price_sanity', {_SANITY_SQL} FROM prof
-  UNION ALL SELECT symbol, 3, 'stale_data', {_stale_sql("DATE '" + RUN_AS_OF + "'", with_days=False)} FROM prof
-  UNION ALL SELECT symbol, 4, 'ohlc_consistency', {_OHLC_SQL} FROM prof)"""
+{_run_checks_cte(RUN_AS_OF)}"""
 
 
 @register(

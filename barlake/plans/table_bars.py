@@ -7,6 +7,12 @@ the shuffle on (symbol, source, date); a hot symbol spreads over its dates).
     bars_li   symbol=l_returnflag     source=l_linestatus    date=l_shipdate
     bars_ord  symbol=o_orderpriority  source=o_orderstatus   date=o_orderdate
     bars_ev   symbol=event_type       source=user_id parity  date=ts
+    bars_sup  symbol=l_suppkey        source=l_returnflag + l_linestatus  date=l_shipdate
+    bars_many symbol=o_orderpriority  source=o_custkey mod 40             date=o_orderdate
+
+``bars_sup`` has one bar for each line item and a symbol for each supplier,
+so bars and symbols grow with the tables; it keeps duplicate dates, and
+prices that are NULL or NaN. ``bars_many`` has 40 sources.
 
 open/close are the first/last trade price under a unique trade order;
 ``adjusted_close`` is ``close * 0.5`` (an exact binary scaling, like a 2:1
@@ -76,7 +82,27 @@ def bars_ev(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-ADAPTERS = {"li": bars_li, "ord": bars_ord, "ev": bars_ev}
+def bars_sup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{sf_dir.rstrip('/')}/lineitem.parquet".replace("`", "``")
+    return spark.sql(f"""
+SELECT CAST(l_shipdate AS DATE) AS date, p AS open, p * 1.25 AS high, p * 0.75 AS low,
+       CASE l_linenumber WHEN 6 THEN CAST('NaN' AS DOUBLE) WHEN 7 THEN NULL ELSE p * (1 + l_discount) END AS close,
+       p * 0.5 AS adjusted_close, CAST(l_quantity AS BIGINT) AS volume,
+       concat(l_returnflag, l_linestatus) AS source,
+       CAST(TIMESTAMP '{INGESTED_AT.isoformat(sep=" ")}' AS TIMESTAMP) AS ingested_at,
+       concat('S', l_suppkey) AS symbol
+FROM (SELECT *, l_extendedprice / l_quantity AS p FROM parquet.`{path}`)""")
+
+
+def bars_many(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _bars(
+        spark, sf_dir, "orders",
+        symbol="o_orderpriority", source="concat('s', o_custkey % 40)", date="o_orderdate",
+        price="o_totalprice", order="o_orderkey", volume="count(*)",
+    )
+
+
+ADAPTERS = {"li": bars_li, "ord": bars_ord, "ev": bars_ev, "sup": bars_sup, "many": bars_many}
 
 
 def with_defects(bars: DataFrame) -> DataFrame:

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -65,21 +68,31 @@ def configure(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Read from the session; only when it is unset (local tests) is a private
-    folder created and registered, never on a cluster that names one.
+    Read from the session. Only when it is unset and the master is local (one
+    machine, as in tests) is a private folder created, registered, and removed
+    when the process ends; elsewhere executors would each write to a folder
+    of their own, so an unset setting is an error.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
         jdir = spark.sparkContext._jsc.sc().getCheckpointDir()
         path = jdir.get() if jdir.isDefined() else None
     if not path:
-        path = tempfile.mkdtemp(prefix="barlake-ckpt-")
+        path = _private_dir(spark.sparkContext.master)
         spark.conf.set("spark.checkpoint.dir", path)
     if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
         spark.sparkContext.setCheckpointDir(path)
     return path.rstrip("/")
 
 
+def _private_dir(master: str) -> str:
+    if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+        raise RuntimeError(f"Set spark.checkpoint.dir to a folder that all executors of {master} share")
+    path = tempfile.mkdtemp(prefix="barlake-ckpt-")
+    atexit.register(shutil.rmtree, path, ignore_errors=True)
+    return path
+
+
 def scratch_path(spark: SparkSession, *parts: str, unique: bool = False) -> str:
     """A path under the shared folder; ``unique`` adds a fresh component."""
     tail = list(parts) + ([uuid.uuid4().hex[:12]] if unique else [])

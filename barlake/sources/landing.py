@@ -9,11 +9,11 @@ tasks).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from barlake.operators._common import restrict_symbols
+from barlake.operators._common import restrict_symbols, symbol_items
 
 RAW_COLUMNS = ["source", "symbol", "file_name", "body"]
 _TAIL = r"([^/]+)/([^/]+)/([^/]+)$"
@@ -47,18 +47,27 @@ def with_kind(df: DataFrame) -> DataFrame:
     ).withColumn("fetch_date", F.try_to_timestamp(F.substring(name, 1, 10), F.lit("yyyy-MM-dd")).cast("date"))
 
 
-def read_landing(spark: SparkSession, raw_dir: str) -> DataFrame:
+DAILY_FILES = "*_daily.*"
+
+
+def _files(reader: DataFrameReader, pattern: str) -> DataFrameReader:
+    """Options of a scan of the tier: directories are walked by Spark's file index, not expanded as a glob."""
+    return reader.option("recursiveFileLookup", True).option("pathGlobFilter", pattern)
+
+
+def read_landing(spark: SparkSession, raw_dir: str, pattern: str = "*") -> DataFrame:
     """(source, symbol, file_name, body, kind, interval, fetch_date): one row
-    per landed file, sidecars included (filter on ``kind``)."""
-    df = spark.read.text(f"{raw_dir.rstrip('/')}/*/*/*", wholetext=True)
+    per landed file whose name matches ``pattern``, sidecars included (filter
+    on ``kind``)."""
+    df = _files(spark.read, pattern).text(raw_dir, wholetext=True)
     path = _decode(F.col("_metadata.file_path"))
     return with_kind(df.select(*_path_parts(path), F.col("value").alias("body")))
 
 
-def list_landing(spark: SparkSession, raw_dir: str) -> DataFrame:
+def list_landing(spark: SparkSession, raw_dir: str, pattern: str = "*") -> DataFrame:
     """File listing (source, symbol, file_name, kind, ...) without reading
     any content: the binaryFile source prunes its ``content`` column."""
-    df = spark.read.format("binaryFile").load(f"{raw_dir.rstrip('/')}/*/*/*")
+    df = _files(spark.read.format("binaryFile"), pattern).load(raw_dir)
     return with_kind(df.select(*_path_parts(F.col("path"))))
 
 
@@ -83,14 +92,17 @@ def latest_raw(listing: DataFrame, sources=None, symbols=None) -> DataFrame:
     if isinstance(symbols, DataFrame):
         grid = symbols.select("symbol").distinct()
     else:
-        grid = spark.createDataFrame([(s,) for s in dict.fromkeys(symbols)], "symbol string")
+        grid = spark.createDataFrame([(s,) for s in symbol_items(symbols)], "symbol string")
     grid = grid.select(F.explode(F.array(*[F.lit(s) for s in sources])).alias("source"), "symbol")
     return grid.join(latest, ["source", "symbol"], "left").withColumn("found", F.col("file_name").isNotNull())
 
 
-def select_latest(raw: DataFrame, sources=None, symbols=None) -> DataFrame:
-    """The payload rows of the latest daily file per (source, symbol)."""
-    keys = latest_raw(raw.select("source", "symbol", "file_name"), sources, symbols).filter("found")
+def select_latest(raw: DataFrame, sources=None, symbols=None, keys: DataFrame | None = None) -> DataFrame:
+    """The payload rows of the latest daily file per (source, symbol), or of
+    the ``keys`` that ``latest_raw`` found."""
+    if keys is None:
+        keys = latest_raw(raw.select("source", "symbol", "file_name"), sources, symbols)
+    keys = keys.filter("found")
     return raw.join(keys.select("source", "symbol", "file_name"), ["source", "symbol", "file_name"], "left_semi")
 
 
@@ -122,10 +134,3 @@ def read_ingest_log(spark: SparkSession, raw_dir: str, pattern: str = "*.meta.js
         .json(raw_dir)
         .withColumn("file_name", F.col("_metadata.file_name"))
     )
-
-
-def read_landing_files(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Read the given landed files whole (as ``read_landing`` does)."""
-    df = spark.read.text(paths, wholetext=True)
-    path = _decode(F.col("_metadata.file_path"))
-    return with_kind(df.select(*_path_parts(path), F.col("value").alias("body")))

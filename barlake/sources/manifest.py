@@ -46,17 +46,20 @@ def _lines(body: Column) -> Column:
     return F.split(body, P.LINE_SPLIT)
 
 
-def _data_lines(body: Column) -> Column:
-    lines = _lines(body)
-    return F.filter(F.slice(lines, 2, F.greatest(F.size(lines) - 1, F.lit(1))), lambda x: F.trim(x) != "")
+def _first_cells(lines: Column) -> Column:
+    """First cells of the non-blank lines after the header."""
+    data = F.filter(F.slice(lines, 2, F.greatest(F.size(lines) - 1, F.lit(1))), lambda x: F.trim(x) != "")
+    return F.transform(data, lambda x: F.trim(F.split(x, ",").getItem(0)))
 
 
-def _first_cells(body: Column) -> Column:
-    return F.transform(_data_lines(body), lambda x: F.trim(F.split(x, ",").getItem(0)))
+def _iso(c: Column) -> Column:
+    """The date of a whole ISO date."""
+    return F.try_to_timestamp(c, F.lit("yyyy-MM-dd")).cast("date")
 
 
-def _iso(c: Column) -> Column:
-    return F.try_to_timestamp(F.substring(c, 1, 10), F.lit("yyyy-MM-dd")).cast("date")
+def _iso_stamp(c: Column) -> Column:
+    """The date of a text that starts with one (intraday stamps, yfinance's offset stamps)."""
+    return _iso(F.substring(c, 1, 10))
 
 
 def _chain(*items) -> tuple[Column, Column]:
@@ -90,49 +93,47 @@ def payload_manifest(raw: DataFrame, start=None, end=None) -> DataFrame:
     """
     df = with_kind(raw) if "kind" not in raw.columns else raw
     df = df.filter(F.col("kind") == "daily")
-    src, sym, body = F.col("source"), F.col("symbol"), F.col("body")
+    src, sym = F.col("source"), F.col("symbol")
+    is_st, is_av, is_yf = src == SOURCE_STOOQ, src == SOURCE_ALPHA_VANTAGE, src == SOURCE_YFINANCE
     s_lit = date_lit(start) if start is not None else F.lit(None).cast("date")
     e_lit = date_lit(end) if end is not None else F.lit(None).cast("date")
     rs, re_ = _range_parts(start, end)
 
-    # stooq (Python's strip(): all surrounding whitespace, newlines included)
-    sb = F.regexp_replace(body, r"^\s+|\s+$", "")
-    st_kind, st_msg = _chain(
-        ("no_data", sb.contains(STOOQ_NO_DATA_MARKER) | (sb == ""), F.format_string(MSG_STOOQ_NO_DATA, sym, rs, re_)),
-        ("limit_exceeded", sb.contains(STOOQ_LIMIT_MARKER), F.format_string(MSG_STOOQ_LIMIT, sym)),
-        ("empty", F.size(_lines(sb)) < 2, F.format_string(MSG_STOOQ_EMPTY, sym)),
+    # Each payload is parsed once, in projections that the expressions below read by name.
+    names = ["source", "symbol", "file_name", "kind", "interval"]
+    body = F.col("body")
+    df = df.select(
+        *names,
+        # stooq: Python's strip(), all surrounding whitespace, newlines included
+        F.when(is_st, F.regexp_replace(body, r"^\s+|\s+$", "")).when(is_yf, body).alias("text"),
+        F.when(is_av, P.av_json(body)).alias("json"),
     )
-    st_cells = _first_cells(sb)
-    st_rows = F.size(_lines(sb)) - 1
+    df = df.select(*names, "text", "json", F.map_keys(F.col("json").getField(P.AV_DAILY_SERIES)).alias("keys"), _lines(F.col("text")).alias("lines"))
+    lo = date_lit(start).cast("string") if start is not None else F.lit("")
+    inside = F.filter("keys", lambda k: (k >= lo) & (k <= date_lit(end).cast("string") if end is not None else F.lit(True)))
+    df = df.select(*names, "text", "json", F.size("keys").alias("n_keys"), F.size("lines").alias("n_lines"),
+                   F.when(is_av, inside).otherwise(_first_cells(F.col("lines"))).alias("cells"))
 
-    # alpha_vantage
-    j = P.av_json(body)
-    series = j.getField(P.AV_DAILY_SERIES)
+    text, j, cells = F.col("text"), F.col("json"), F.col("cells")
+    st_kind, st_msg = _chain(
+        ("no_data", text.contains(STOOQ_NO_DATA_MARKER) | (text == ""), F.format_string(MSG_STOOQ_NO_DATA, sym, rs, re_)),
+        ("limit_exceeded", text.contains(STOOQ_LIMIT_MARKER), F.format_string(MSG_STOOQ_LIMIT, sym)),
+        ("empty", F.col("n_lines") < 2, F.format_string(MSG_STOOQ_EMPTY, sym)),
+    )
     av_kind, av_msg = _chain(
         ("api_error", j.getField(P.AV_ERROR_KEY).isNotNull(), F.format_string(MSG_AV_ERROR, j.getField(P.AV_ERROR_KEY))),
         ("rate_limit", j.getField(P.AV_NOTE_KEY).isNotNull(), F.format_string(MSG_AV_NOTE, j.getField(P.AV_NOTE_KEY))),
-        ("no_data", series.isNull() | (F.size(series) == 0), F.format_string(MSG_AV_NO_DAILY, sym)),
+        ("no_data", F.coalesce(F.col("n_keys"), F.lit(0)) <= 0, F.format_string(MSG_AV_NO_DAILY, sym)),
     )
-    keys = F.map_keys(series)
-    lo = s_lit.cast("string") if start is not None else None
-    hi = e_lit.cast("string") if end is not None else None
-    in_range = F.filter(keys, lambda k: (k >= lo if lo is not None else F.lit(True)) & (k <= hi if hi is not None else F.lit(True)))
-
-    # yfinance
-    yf_cells = _first_cells(body)
     yf_kind, yf_msg = _chain(
-        ("no_data", F.size(yf_cells) == 0, F.format_string(MSG_YF_NO_DATA, sym, rs, re_)),
+        ("no_data", F.size(cells) == 0, F.format_string(MSG_YF_NO_DATA, sym, rs, re_)),
     )
-
-    is_st, is_av, is_yf = src == SOURCE_STOOQ, src == SOURCE_ALPHA_VANTAGE, src == SOURCE_YFINANCE
     kind = F.when(is_st, st_kind).when(is_av, av_kind).when(is_yf, yf_kind).otherwise(F.lit("unknown_source"))
     msg = F.when(is_st, st_msg).when(is_av, av_msg).when(is_yf, yf_msg).otherwise(
         F.concat(F.lit("Unknown source "), src))
-    rows = F.when(is_st, st_rows).when(is_av, F.size(in_range)).when(is_yf, F.size(yf_cells))
-    first = F.when(is_st, _iso(F.array_min(st_cells))).when(is_av, _iso(F.array_min(in_range))).when(
-        is_yf, _iso(F.array_min(yf_cells)))
-    last = F.when(is_st, _iso(F.array_max(st_cells))).when(is_av, _iso(F.array_max(in_range))).when(
-        is_yf, _iso(F.array_max(yf_cells)))
+    rows = F.when(is_st, F.col("n_lines") - 1).when(is_av | is_yf, F.size(cells))
+    date = lambda c: F.when(is_yf, _iso_stamp(c)).otherwise(_iso(c))
+    first, last = date(F.array_min(cells)), date(F.array_max(cells))
     ok = kind.isNull()
     return df.select(
         "source", "symbol", "file_name", "kind", "interval",
@@ -158,38 +159,45 @@ def intraday_manifest(raw: DataFrame) -> DataFrame:
     """
     df = with_kind(raw) if "kind" not in raw.columns else raw
     df = df.filter(F.col("kind") == "intraday")
-    src, sym, body, itv = F.col("source"), F.col("symbol"), F.col("body"), F.col("interval")
+    src, sym, itv = F.col("source"), F.col("symbol"), F.col("interval")
+    is_av, is_yf = src == SOURCE_ALPHA_VANTAGE, src == SOURCE_YFINANCE
     alias = F.create_map(*[x for kv in AV_INTERVAL_ALIASES.items() for x in map(F.lit, kv)])
-    av_itv = F.coalesce(F.element_at(alias, itv), itv)
-    top = F.from_json(body, "map<string,string>")
-    series = F.from_json(F.element_at(top, F.format_string(P.AV_SERIES_FORMAT, av_itv)),
-                         "map<string,map<string,string>>")
-    av_keys = F.array_sort(F.map_keys(series))
+    # Parsed once: the response's top level, then the keys of its series.
+    names = ["source", "symbol", "file_name", "kind", "interval"]
+    df = df.select(
+        *names,
+        F.coalesce(F.element_at(alias, itv), itv).alias("av_interval"),
+        F.when(is_av, F.from_json("body", "map<string,string>")).alias("top"),
+        F.when(is_yf, _lines(F.col("body"))).alias("lines"),
+    )
+    av_itv, top = F.col("av_interval"), F.col("top")
+    df = df.select(
+        *names, "av_interval", F.element_at(top, P.AV_ERROR_KEY).alias("api_error"),
+        F.when(is_av, F.json_object_keys(F.element_at(top, F.format_string(P.AV_SERIES_FORMAT, av_itv))))
+        .otherwise(_first_cells(F.col("lines"))).alias("keys"),
+    )
+    n_keys = F.coalesce(F.size("keys"), F.lit(0))
     av_kind, av_msg = _chain(
         ("invalid_interval", ~av_itv.isin(AV_INTERVALS),
          F.format_string(MSG_INVALID_INTERVAL, itv, F.lit(_valid_list(AV_INTERVALS)))),
-        ("api_error", F.element_at(top, P.AV_ERROR_KEY).isNotNull(),
-         F.format_string(MSG_AV_ERROR, F.element_at(top, P.AV_ERROR_KEY))),
-        ("no_data", series.isNull() | (F.size(series) == 0), F.format_string(MSG_AV_NO_INTRADAY, sym)),
+        ("api_error", F.col("api_error").isNotNull(), F.format_string(MSG_AV_ERROR, F.col("api_error"))),
+        ("no_data", n_keys <= 0, F.format_string(MSG_AV_NO_INTRADAY, sym)),
     )
-    yf_cells = F.array_sort(_first_cells(body))
     yf_kind, yf_msg = _chain(
         ("invalid_interval", ~itv.isin(YF_INTERVALS),
          F.format_string(MSG_INVALID_INTERVAL, itv, F.lit(_valid_list(YF_INTERVALS)))),
-        ("no_data", F.size(yf_cells) == 0, F.format_string(MSG_YF_NO_INTRADAY, sym)),
+        ("no_data", n_keys <= 0, F.format_string(MSG_YF_NO_INTRADAY, sym)),
     )
-    is_av, is_yf = src == SOURCE_ALPHA_VANTAGE, src == SOURCE_YFINANCE
     unsupported = F.lit(MSG_STOOQ_INTRADAY)
     kind = F.when(is_av, av_kind).when(is_yf, yf_kind).otherwise(F.lit("unsupported"))
     msg = F.when(is_av, av_msg).when(is_yf, yf_msg).otherwise(unsupported)
-    keys = F.when(is_av, av_keys).otherwise(yf_cells)
     ok = kind.isNull()
     return df.select(
         "source", "symbol", "file_name", "kind",
         F.when(is_av, av_itv).otherwise(itv).alias("interval"),
         kind.alias("error_kind"),
         msg.alias("error"),
-        F.when(ok, F.size(keys).cast("bigint")).alias("rows_received"),
-        F.when(ok, _iso(F.element_at(keys, 1))).alias("start_date"),
-        F.when(ok, _iso(F.element_at(keys, -1))).alias("end_date"),
+        F.when(ok, n_keys.cast("bigint")).alias("rows_received"),
+        F.when(ok, _iso_stamp(F.array_min("keys"))).alias("start_date"),
+        F.when(ok, _iso_stamp(F.array_max("keys"))).alias("end_date"),
     )

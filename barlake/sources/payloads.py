@@ -22,17 +22,32 @@ AV_ERROR_KEY, AV_NOTE_KEY = "Error Message", "Note"
 
 
 def csv_files(raw: DataFrame) -> DataFrame:
-    """Per payload file: ``header`` (trimmed names) and ``lines`` (the
-    non-blank data lines), next to the raw row's columns except ``body``."""
+    """Per payload file: ``header`` (trimmed names) and ``cells`` (the cells
+    of each non-blank data line), next to the raw row's columns except
+    ``body``. A byte order mark at the start is dropped, and quoted cells
+    lose their quotes (see ``cells_sql``)."""
     keep = [c for c in raw.columns if c != "body"]
-    split = raw.select(*keep, F.expr(f"split(body, '{LINE_SPLIT}')").alias("_all"))
+    split = raw.select(*keep, F.expr(f"split(regexp_replace(body, '^\\\\uFEFF', ''), '{LINE_SPLIT}')").alias("_all"))
+    lines = "filter(slice(_all, 2, greatest(size(_all) - 1, 1)), x -> trim(x) != '')"
     return split.select(
         *keep,
-        F.expr("transform(split(_all[0], ','), x -> trim(x))").alias("header"),
-        F.expr("filter(slice(_all, 2, greatest(size(_all) - 1, 1)), x -> trim(x) != '')").alias("lines"),
+        F.expr(f"transform({cells_sql('_all[0]')}, x -> trim(x))").alias("header"),
+        F.expr(f"transform({lines}, l -> {cells_sql('l')})").alias("cells"),
     )
 
 
+def cells_sql(line: str) -> str:
+    """SQL for the cells of a CSV line. A cell in double quotes may hold
+    commas, and two quotes inside stand for one; lines without a quote are
+    plainly split. (Quoted line breaks are not supported: payload values are
+    dates and numbers.)"""
+    quoted = (
+        f"transform(regexp_extract_all({line}, '(?:^|,)(\\\\s*\"(?:[^\"]|\"\")*\"\\\\s*|[^,]*)', 1), "
+        "c -> CASE WHEN trim(c) LIKE '\"%\"' THEN replace(substring(trim(c), 2, length(trim(c)) - 2), '\"\"', '\"') ELSE c END)"
+    )
+    return f"CASE WHEN contains({line}, '\"') THEN {quoted} ELSE split({line}, ',') END"
+
+
 AV_SCHEMA = (
     f"struct<`{AV_ERROR_KEY}`: string, `{AV_NOTE_KEY}`: string, "
     f"`{AV_DAILY_SERIES}`: map<string, map<string, string>>>"

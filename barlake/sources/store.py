@@ -12,11 +12,19 @@ INT), so ``symbol``/``source``/``year`` filters become partition filters.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import functools
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from barlake.schema import DEFAULT_DATASET, FILE_SCHEMA, PARTITION_COLUMNS, PARTITION_SCHEMA, STORE_SCHEMA
+from barlake.session import scratch_path
+
+HIVE, BUCKETED = "hive", "bucketed"
+BUCKET_COLUMNS = ["source", "year", "bucket"]
+#: Default number of symbol buckets in each (source, year) of the bucketed layout.
+BUCKETS = 64
 
 
 def dataset_path(processed_dir: str, dataset: str = DEFAULT_DATASET) -> str:
@@ -29,46 +37,76 @@ def _store_frame(df: DataFrame) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in STORE_SCHEMA.fields])
 
 
-def write_bars(df: DataFrame, processed_dir: str, dataset: str = DEFAULT_DATASET) -> DataFrame:
-    """Write normalized bars; return (symbol, source, year, rows) of the
-    partitions this write replaced, counted from the store.
+def _bucket(buckets: int) -> Column:
+    return F.expr(f"CAST(pmod(xxhash64(symbol), {buckets}) AS INT)")
 
-    The returned DataFrame is lazy: evaluating it re-derives the input's
-    distinct partition keys (a projection of three columns with partial
-    aggregation, but over the whole input lineage). Jobs that stamp each run
-    with its own ``ingested_at`` -- like ``plans.process`` -- count the
-    written partitions from the store by that stamp instead.
 
-    A re-fetch that is shorter than what is stored replaces the whole
-    (symbol, source, year) partition, as the reference does.
+def write_bars(df: DataFrame, processed_dir: str, dataset: str = DEFAULT_DATASET, layout: str = HIVE, buckets: int = BUCKETS) -> DataFrame:
+    """Write normalized bars; return (symbol, source, year, rows) of the
+    partitions this write replaced, counted from the rows it wrote.
+
+    The input is computed once: its rows are staged in the shared folder, and
+    the store's files and the returned counts both come from the stage. A
+    re-fetch that is shorter than what is stored replaces the whole (symbol,
+    source, year) slice, in either layout:
+
+    * ``hive``: one directory for each (symbol, source, year);
+    * ``bucketed``: one directory for each (source, year, bucket of symbols),
+      rows sorted by (symbol, date). Untouched symbols of a touched directory
+      are read back and written again beside the new rows. For universes of
+      very many symbols, where the other layout makes too many small files.
+      ``buckets`` must be the same for every write to a dataset.
     """
-    path = dataset_path(processed_dir, dataset)
-    out = _store_frame(df)
+    spark, path = df.sparkSession, dataset_path(processed_dir, dataset)
+    stage = scratch_path(spark, "stage", unique=True)
+    _store_frame(df).write.parquet(stage)
+    staged = spark.read.schema(STORE_SCHEMA).parquet(stage)
+    rows, columns, order = staged, PARTITION_COLUMNS, ["date"]
+    if layout == BUCKETED:
+        columns, order = BUCKET_COLUMNS, ["symbol", "date"]
+        rows = staged.withColumn("bucket", _bucket(buckets))
+        if has_parquet(spark, path):
+            old = _read(spark, path, layout)
+            touched = rows.select(*BUCKET_COLUMNS).distinct()
+            kept = old.join(touched, BUCKET_COLUMNS, "left_semi").join(rows.select(*PARTITION_COLUMNS).distinct(), PARTITION_COLUMNS, "left_anti")
+            again = scratch_path(spark, "stage", unique=True)
+            kept.select(*rows.columns).write.parquet(again)  # the store's own files are about to be replaced
+            rows = rows.unionByName(spark.read.schema(rows.schema).parquet(again))
+    elif layout != HIVE:
+        raise ValueError(f"Unknown layout '{layout}'. Available: {[HIVE, BUCKETED]}")
     (
-        out.hint("rebalance", *PARTITION_COLUMNS)
-        .sortWithinPartitions(*PARTITION_COLUMNS, "date")
+        rows.hint("rebalance", *columns)
+        .sortWithinPartitions(*columns, *order)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", "zstd")
-        .partitionBy(*PARTITION_COLUMNS)
+        .partitionBy(*columns)
         .parquet(path)
     )
-    touched = out.select(*PARTITION_COLUMNS).distinct()
-    return partition_counts(df.sparkSession, processed_dir, dataset).join(touched, PARTITION_COLUMNS, "left_semi")
+    _REGISTERED.pop((spark.sparkContext.applicationId, processed_dir), None)
+    return _counts(staged)
 
 
-def read_store(spark: SparkSession, processed_dir: str, dataset: str = DEFAULT_DATASET, schema=STORE_SCHEMA) -> DataFrame:
-    path = dataset_path(processed_dir, dataset)
+def _read(spark: SparkSession, path: str, layout: str, schema=STORE_SCHEMA) -> DataFrame:
+    if layout == BUCKETED:
+        schema = T.StructType([*schema.fields, T.StructField("bucket", T.IntegerType())])
     return spark.read.schema(schema).option("basePath", path).parquet(path)
 
 
-def partition_counts(spark: SparkSession, processed_dir: str, dataset: str = DEFAULT_DATASET) -> DataFrame:
+def read_store(
+    spark: SparkSession, processed_dir: str, dataset: str = DEFAULT_DATASET, schema=STORE_SCHEMA, layout: str = HIVE
+) -> DataFrame:
+    df = _read(spark, dataset_path(processed_dir, dataset), layout, schema)
+    return df.select(*schema.fieldNames())
+
+
+def _counts(bars: DataFrame) -> DataFrame:
+    return bars.groupBy(*PARTITION_COLUMNS).agg(F.count(F.lit(1)).alias("rows"))
+
+
+def partition_counts(spark: SparkSession, processed_dir: str, dataset: str = DEFAULT_DATASET, layout: str = HIVE) -> DataFrame:
     """(symbol, source, year, rows) for every stored partition."""
-    return (
-        read_store(spark, processed_dir, dataset)
-        .groupBy(*PARTITION_COLUMNS)
-        .agg(F.count(F.lit(1)).alias("rows"))
-    )
+    return _counts(read_store(spark, processed_dir, dataset, layout=layout))
 
 
 # ---------------------------------------------------------------- views
@@ -80,6 +118,12 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
 
 
+def has_parquet(spark: SparkSession, path: str) -> bool:
+    """Whether a Parquet file stands under the path; the walk ends at the first."""
+    fs, p = _fs(spark, path)
+    return fs.exists(p) and _has_parquet(fs, p)
+
+
 def _has_parquet(fs, path) -> bool:
     it = fs.listFiles(path, True)
     while it.hasNext():
@@ -100,12 +144,22 @@ def dataset_schema(spark: SparkSession, path: str, dataset: str) -> T.StructType
     return T.StructType(fields + [f for f in PARTITION_SCHEMA.fields if f.name in present])
 
 
-def register_views(spark: SparkSession, processed_dir: str) -> list[str]:
+#: Views made in this process by (application, processed dir): their files are listed once.
+_REGISTERED: dict[tuple[str, str], list[str]] = {}
+
+
+def register_views(spark: SparkSession, processed_dir: str, refresh: bool = False) -> list[str]:
     """One temp view per dataset directory holding Parquet files.
 
     Non-directories and directories without Parquet are skipped; a missing
-    root gives []. Only directory names are listed on the driver.
+    root gives []. Files are listed at the first call and again after
+    ``write_bars`` wrote to the store; ``refresh`` lists them anew for files
+    that others wrote. Either layout can be read: partition columns are found
+    from the directories, their types are fixed.
     """
+    key = (spark.sparkContext.applicationId, processed_dir)
+    if not refresh and key in _REGISTERED and all(spark.catalog.tableExists(n) for n in _REGISTERED[key]):
+        return list(_REGISTERED[key])
     fs, root = _fs(spark, processed_dir)
     if not fs.exists(root):
         return []
@@ -120,30 +174,37 @@ def register_views(spark: SparkSession, processed_dir: str) -> list[str]:
         schema = dataset_schema(spark, path, name)
         spark.read.schema(schema).option("basePath", path).parquet(path).createOrReplaceTempView(name)
         created.append(name)
-    return created
+    if created:
+        _REGISTERED[key] = created
+    return list(created)
 
 
 def views_info(spark: SparkSession, names: list[str] | None = None) -> DataFrame:
     """(name, rows, columns, column_names, error) per view.
 
-    Each view is counted by its own (distributed) count job so that a view
-    that cannot be resolved or read reports its error and the others still
-    report; views are dataset directories, so there are only a few.
+    The counts are one plan, a union of one aggregate for each view. A view
+    that cannot be resolved, or whose first row cannot be read, reports its
+    error instead, and the others still report.
     """
     if names is None:
         names = [t.name for t in spark.catalog.listTables() if t.isTemporary]
-    rows = []
+    ddl = "name string, rows bigint, columns int, column_names string, error string"
+    parts = [spark.createDataFrame([], ddl)]
     for n in names:
         try:
             df = spark.table(n)
-            cols = df.columns
-            count = df.count()
+            df.limit(1).collect()
         except Exception as e:  # noqa: BLE001 - reported per view
             msg = (str(e).strip().splitlines() or [type(e).__name__])[0]
-            rows.append((n, None, None, None, msg))
+            parts.append(spark.createDataFrame([(n, None, None, None, msg)], ddl))
             continue
-        rows.append((n, count, len(cols), ", ".join(cols), None))
-    return spark.createDataFrame(rows, "name string, rows bigint, columns int, column_names string, error string")
+        parts.append(
+            df.agg(F.count(F.lit(1)).alias("rows")).select(
+                F.lit(n).alias("name"), "rows", F.lit(len(df.columns)).alias("columns"),
+                F.lit(", ".join(df.columns)).alias("column_names"), F.lit(None).cast("string").alias("error"),
+            )
+        )
+    return functools.reduce(DataFrame.union, parts)
 
 
 # ---------------------------------------------------------------- CSV export

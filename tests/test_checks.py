@@ -1,202 +1,158 @@
-"""Checks: the reference's cases plus edge rows and a brute-force property."""
+"""Checks on small own bars, and the gap check against a DuckDB definition."""
 
 from __future__ import annotations
 
 import datetime as dt
+import json
 import random
 
-from conftest import bar, make_bars
+import duckdb
+from conftest import BAR_DDL, bar, make_bars
+from pyspark.sql import functions as F
 
 from barlake.operators import checks
 
 
 def one(df):
-    rows = df.collect()
-    assert len(rows) == 1
-    return rows[0].asDict()
+    (row,) = df.collect()
+    return row.asDict()
 
 
-def test_price_sanity_passes_clean_data(sample_bars):
-    r = one(checks.check_price_sanity(sample_bars))
-    assert r["status"] == "pass"
-    assert r["message"] == "All price sanity checks passed"
+def by_check(df):
+    return {r.check_name: r for r in df.collect()}
 
 
-def test_price_sanity_fails_negative_prices(spark):
-    df = make_bars(spark, [bar(dt.date(2024, 1, 2), -10, 5, -15, 3)], symbol="BAD")
-    r = one(checks.check_price_sanity(df))
-    assert r["status"] == "fail"
-    assert "negative" in r["message"].lower()
-    assert r["issue_count"] == 1
+def test_clean_week_passes_every_check(week):
+    got = by_check(checks.run_checks(week, as_of="2021-06-12"))
+    assert {r.status for r in got.values()} == {"pass"}
+    assert list(sorted(got, key=lambda k: got[k].pos)) == list(checks.CHECK_ORDER)
+    assert got["trading_day_gaps"].message == "No gaps found (5 trading days)"
+    assert json.loads(got["stale_data"].details) == {"latest_date": "2021-06-11", "days_behind": 0}
+    assert got["price_sanity"].details is None and got["ohlc_consistency"].details is None
 
 
-def test_price_sanity_fails_high_less_than_low(spark):
-    df = make_bars(spark, [bar(dt.date(2024, 1, 2), 10, 5, 8, 9)], symbol="BAD")
-    r = one(checks.check_price_sanity(df))
-    assert r["status"] == "fail"
-    assert "high < low" in r["message"]
-
-
-def test_price_sanity_issue_order_and_kinds(spark):
-    rows = [
-        bar(dt.date(2024, 1, 2), -1, 5, 1, 0, v=-5),  # negative, zero close, negative volume
-        bar(dt.date(2024, 1, 3), 2, 1, 3, 2),  # high < low
-    ]
+def test_each_kind_of_impossible_price_is_one_issue(spark):
+    rows = [bar("2021-06-07", -4, 8, 2, 0, v=-3), bar("2021-06-08", 9, 7, 8, 7.5)]
     r = one(checks.check_price_sanity(make_bars(spark, rows)))
-    assert r["message"] == (
-        "1 rows with negative prices; 1 rows where high < low; 1 rows with zero close; 1 rows with negative volume"
-    )
-    assert r["issue_count"] == 4
+    assert (r["status"], r["issue_count"]) == ("fail", 4)
+    assert r["message"].split("; ") == [
+        "1 rows with negative prices", "1 rows where high < low", "1 rows with zero close", "1 rows with negative volume",
+    ]
+    details = by_check(checks.run_checks(make_bars(spark, rows), as_of="2021-06-09"))["price_sanity"].details
+    assert json.loads(details) == {"issue_count": 4}
 
 
-def test_ohlc_consistency_warns_flat_bars(spark):
-    df = make_bars(spark, [bar(dt.date(2024, 1, 2), 100, 100, 100, 100, v=0)], symbol="FLAT")
-    r = one(checks.check_ohlc_consistency(df))
-    assert r["status"] == "warn"
-    assert "identical" in r["message"].lower()
+def test_a_single_inverted_bar_fails(spark):
+    r = one(checks.check_price_sanity(make_bars(spark, [bar("2021-06-07", 9, 7, 8, 7.5)])))
+    assert (r["n_high_low"], r["n_negative"], r["status"]) == (1, 0, "fail")
 
 
-def test_ohlc_zero_volume_movement_and_zero_open(spark):
+def test_flat_bars_and_moves_without_volume_warn(spark):
     rows = [
-        bar(dt.date(2024, 1, 2), 100, 110, 99, 105, v=0),  # 5% move, no volume
-        bar(dt.date(2024, 1, 3), 0, 2, 0, 1, v=0),  # open 0 -> +inf move
-        bar(dt.date(2024, 1, 4), 100, 101, 99, 100.5, v=0),  # 0.5%: fine
+        bar("2021-06-07", 12),  # flat
+        bar("2021-06-08", 50, 60, 49, 54, v=0),  # 8% without volume
+        bar("2021-06-09", 0, 3, 0, 2, v=0),  # from zero: an infinite move
+        bar("2021-06-10", 80, 81, 79, 80.4, v=0),  # 0.5%: nothing
     ]
     r = one(checks.check_ohlc_consistency(make_bars(spark, rows)))
-    assert r["status"] == "warn"
-    assert r["n_zero_vol_move"] == 2
-    assert r["message"] == "2 rows with zero volume but >1% price movement"
-
-
-def test_trading_day_gaps_detects_missing_days(spark):
-    rows = [bar(dt.date(2024, 1, 2), 150, 152, 149, 151), bar(dt.date(2024, 1, 8), 153, 155, 152, 154)]
-    r = one(checks.check_gaps(make_bars(spark, rows)))
-    assert r["status"] == "warn"
-    assert r["message"] == "3 missing trading day(s), longest gap: 3"
-    assert r["missing_dates"] == ["2024-01-03", "2024-01-04", "2024-01-05"]
-
-
-def test_gap_runs_chain_across_present_days(spark):
-    # Mon 1/8 and Thu 1/11 missing, Tue/Wed present: 3 days apart -> one run of 2.
-    days = [dt.date(2024, 1, d) for d in (5, 9, 10, 12)]
-    r = one(checks.check_gaps(make_bars(spark, [bar(d, 1, 1, 1, 1) for d in days])))
-    assert (r["n_missing"], r["longest_gap"], r["status"]) == (2, 2, "warn")
-
-
-def test_gap_pass_counts_weekend_bars(spark):
-    days = [dt.date(2024, 1, 5), dt.date(2024, 1, 6), dt.date(2024, 1, 8)]
-    r = one(checks.check_gaps(make_bars(spark, [bar(d, 1, 1, 1, 1) for d in days])))
-    assert r["status"] == "pass"
-    assert r["message"] == "No gaps found (3 trading days)"
-
-
-def test_long_gap_fails(spark):
-    rows = [bar(dt.date(2024, 1, 2), 1, 1, 1, 1), bar(dt.date(2024, 2, 1), 1, 1, 1, 1)]
-    r = one(checks.check_gaps(make_bars(spark, rows)))
-    assert r["status"] == "fail"
-    assert r["n_missing"] == 21 and r["longest_gap"] == 21
-    assert len(r["missing_dates"]) == 20
-
-
-def _reference_gaps(dates):
-    """The reference's loop, restated in plain Python for comparison."""
-    start, end = min(dates), max(dates)
-    expected, d = set(), start
-    while d <= end:
-        if d.weekday() < 5:
-            expected.add(d)
-        d += dt.timedelta(days=1)
-    missing = sorted(expected - set(dates))
-    if not missing:
-        return 0, 0, []
-    best = cur = 1
-    for a, b in zip(missing, missing[1:]):
-        cur = cur + 1 if (b - a).days <= 3 else 1
-        best = max(best, cur)
-    return len(missing), best, [m.isoformat() for m in missing[:20]]
-
-
-def test_gap_blocks_match_brute_force(spark):
-    rnd = random.Random(7)
-    data, expect = [], {}
-    for i in range(60):
-        base = dt.date(2020, 1, 1) + dt.timedelta(days=rnd.randrange(0, 400))
-        span = rnd.randrange(1, 120)
-        density = rnd.random()
-        dates = sorted({base + dt.timedelta(days=k) for k in range(span) if rnd.random() < density} | {base})
-        sym = f"S{i}"
-        expect[sym] = _reference_gaps(dates)
-        data += [(d, 1.0, 1.0, 1.0, 1.0, 1.0, 1, "x", None, sym) for d in dates]
-    df = spark.createDataFrame(data, "date date, open double, high double, low double, close double, "
-                                     "adjusted_close double, volume bigint, source string, "
-                                     "ingested_at timestamp, symbol string")
-    got = {r["symbol"]: (r["n_missing"], r["longest_gap"], r["missing_dates"]) for r in checks.check_gaps(df).collect()}
-    assert got == expect
-
-
-def test_stale_levels(spark, sample_bars):
-    # latest bar Mon 2024-01-08
-    cases = {
-        "2024-01-09": ("pass", 1),
-        "2024-01-13": ("warn", 4),  # Saturday -> Friday 1/12
-        "2024-01-19": ("fail", 9),
-        "2024-01-05": ("pass", -1),  # data newer than as_of
-    }
-    for as_of, (status, behind) in cases.items():
-        r = one(checks.check_stale(sample_bars, as_of=as_of))
-        assert (r["status"], r["days_behind"]) == (status, behind), as_of
-    r = one(checks.check_stale(sample_bars, as_of="2024-01-19"))
-    assert r["message"] == "Data is 9 trading day(s) behind (latest: 2024-01-08)"
-
-
-def test_requested_symbol_without_rows(spark, sample_bars):
-    out = {r["symbol"]: r.asDict() for r in checks.run_checks(sample_bars, ["AAPL", "NONE"], "2024-01-09").collect()
-           if r["symbol"] == "NONE"}
-    assert out["NONE"]["status"] in ("fail", "pass")
-    rows = checks.run_checks(sample_bars, ["NONE"], "2024-01-09").orderBy("pos").collect()
-    assert [(r.check_name, r.status) for r in rows] == [
-        ("trading_day_gaps", "fail"), ("price_sanity", "pass"), ("stale_data", "fail"), ("ohlc_consistency", "pass"),
-    ]
-    assert rows[0].message == "No data for NONE"
-    s = one(checks.validation_summary(sample_bars, ["NONE"], "2024-01-09"))
-    assert (s["status"], s["passed"], s["total"], s["issues"]) == ("fail", 2, 4, "trading_day_gaps, stale_data")
-
-
-def test_summary_clean_symbol(sample_bars):
-    s = one(checks.validation_summary(sample_bars, ["AAPL"], "2024-01-09"))
-    assert (s["status"], s["passed"], s["total"], s["issues"]) == ("pass", 4, 4, "-")
-
-
-def test_missing_days_matches_gap_count(spark):
-    rows = [bar(dt.date(2024, 1, 2), 1, 1, 1, 1), bar(dt.date(2024, 1, 8), 1, 1, 1, 1)]
-    df = make_bars(spark, rows)
-    got = sorted(r.date for r in checks.missing_days(df).collect())
-    assert got == [dt.date(2024, 1, 3), dt.date(2024, 1, 4), dt.date(2024, 1, 5)]
-
-
-def test_validation_report_no_view_and_with_data(spark, tmp_data_dir, sample_bars):
+    assert (r["status"], r["n_flat"], r["n_zero_vol_move"]) == ("warn", 1, 2)
+
+
+def _duck_gaps(rows):
+    """(missing, longest run, all missing dates) of each symbol, as a set difference in SQL."""
+    con = duckdb.connect()
+    con.execute("CREATE TABLE b (symbol VARCHAR, date DATE)")
+    con.executemany("INSERT INTO b VALUES (?, ?)", rows)
+    got = con.execute("""
+        WITH days AS (SELECT symbol, unnest(generate_series(min(date), max(date), INTERVAL 1 DAY))::DATE AS d FROM b GROUP BY symbol),
+        gone AS (SELECT symbol, d FROM days WHERE isodow(d) < 6 EXCEPT SELECT symbol, date FROM b),
+        cut AS (SELECT *, d - lag(d) OVER w > 3 AS far FROM gone WINDOW w AS (PARTITION BY symbol ORDER BY d)),
+        part AS (SELECT *, count(*) FILTER (WHERE far) OVER (PARTITION BY symbol ORDER BY d) AS run FROM cut),
+        run AS (SELECT symbol, run, count(*) AS n FROM part GROUP BY ALL)
+        SELECT s.symbol, coalesce((SELECT count(*) FROM gone g WHERE g.symbol = s.symbol), 0),
+               coalesce((SELECT max(n) FROM run r WHERE r.symbol = s.symbol), 0),
+               coalesce((SELECT list(strftime(d, '%Y-%m-%d') ORDER BY d) FROM gone g WHERE g.symbol = s.symbol), [])
+        FROM (SELECT DISTINCT symbol FROM b) s""").fetchall()
+    return {s: (n, m, d) for s, n, m, d in got}
+
+
+def test_gaps_on_random_calendars(spark):
+    rnd = random.Random(41)
+    rows = []
+    for k in range(50):
+        first = dt.date(2019, 2, 1) + dt.timedelta(days=rnd.randrange(500))
+        keep = rnd.random()
+        days = {first} | {first + dt.timedelta(days=i) for i in range(rnd.randrange(1, 130)) if rnd.random() < keep}
+        rows += [(f"G{k}", d) for d in days]
+    bars = spark.createDataFrame([(*bar(d), "feed", None, s) for s, d in rows], BAR_DDL)
+    want = _duck_gaps(rows)
+    for shown in (20, 3, 0, None):
+        profile = checks.symbol_profile(bars, shown=shown)
+        got = {r.symbol: (r.n_missing, r.longest_gap, r.missing_dates) for r in checks.check_gaps(None, profile=profile).collect()}
+        assert got == {s: (n, m, d if shown is None else d[:shown]) for s, (n, m, d) in want.items()}, shown
+
+
+def test_gap_levels(spark):
+    def status(*days):
+        r = one(checks.check_gaps(make_bars(spark, [bar(d) for d in days])))
+        return r["status"], r["n_missing"], r["longest_gap"]
+
+    # Friday and the Tuesday after: Monday is missing. A missing Thursday and Monday are one run.
+    assert status("2021-06-11", "2021-06-15") == ("warn", 1, 1)
+    assert status("2021-06-09", "2021-06-11", "2021-06-15") == ("warn", 2, 1)
+    assert status("2021-06-08", "2021-06-10", "2021-06-11", "2021-06-14") == ("warn", 1, 1)
+    assert status("2021-06-07", "2021-06-15") == ("fail", 5, 5)
+    # A Saturday bar counts as a day that is there.
+    assert one(checks.check_gaps(make_bars(spark, [bar("2021-06-11"), bar("2021-06-12")])))["message"] == "No gaps found (2 trading days)"
+
+
+def test_stale_levels_by_as_of(week):
+    want = {"2021-06-10": ("pass", -1), "2021-06-14": ("pass", 1), "2021-06-20": ("warn", 5), "2021-06-22": ("fail", 7)}
+    for as_of, expected in want.items():
+        r = one(checks.check_stale(week, as_of=as_of))
+        assert (r["status"], r["days_behind"]) == expected, as_of
+
+
+def test_symbols_as_text_list_and_frame(spark, week):
+    frame = spark.createDataFrame([("QRS",), ("ZZZ",)], "symbol string")
+    want = None
+    for symbols in ("qrs, zzz", " QRS ,,zzz,qrs", ["qrs", "ZZZ"], frame):
+        got = sorted((r.symbol, r.pos, r.status, r.message) for r in checks.run_checks(week, symbols, "2021-06-12").collect())
+        want = want or got
+        assert got == want and {g[0] for g in got} == {"QRS", "ZZZ"}
+    assert ("ZZZ", 1, "fail", "No data for ZZZ") in want
+    s = {r.symbol: (r.status, r.passed, r.total, r.issues) for r in checks.validation_summary(week, "qrs,zzz", "2021-06-12").collect()}
+    assert s == {"QRS": ("pass", 4, 4, "-"), "ZZZ": ("fail", 2, 4, "trading_day_gaps, stale_data")}
+
+
+def test_a_check_can_be_added_and_moved(week):
+    def few_rows(as_of):
+        return {"status": F.when(F.col("n_rows") < 6, F.lit("warn")).otherwise(F.lit("pass")), "message": F.format_string("%d rows", "n_rows")}
+
+    own = (("few_rows", few_rows), *reversed(checks.DEFAULT_CHECKS))
+    rows = checks.run_checks(week, as_of="2021-06-12", checks=own).orderBy("pos").collect()
+    assert [r.check_name for r in rows] == ["few_rows", *reversed(checks.CHECK_ORDER)]
+    assert (rows[0].status, rows[0].message, rows[0].details) == ("warn", "5 rows", None)
+
+
+def test_missing_days_lists_them_all(spark):
+    got = checks.missing_days(make_bars(spark, [bar("2021-01-04"), bar("2021-03-31")])).count()
+    assert got == one(checks.check_gaps(make_bars(spark, [bar("2021-01-04"), bar("2021-03-31")])))["n_missing"] == 61
+
+
+def test_report_over_a_store(spark, tiers, week):
     from barlake.plans.validate import validation_report
     from barlake.sources import store
 
-    processed = str(tmp_data_dir / "processed")
-    empty = {r.symbol: (r.status, r.passed) for r in validation_report(spark, processed).collect()}
-    assert len(empty) == 7 and set(empty.values()) == {("NO DATA", None)}
-    store.write_bars(sample_bars, processed)
-    got = {r.symbol: (r.status, r.passed, r.total) for r in
-           validation_report(spark, processed, "aapl, msft", as_of="2024-01-09").collect()}
-    assert got == {"AAPL": ("pass", 4, 4), "MSFT": ("fail", 2, 4)}
-
-
-def test_null_prices_fail_no_predicate(spark):
-    rows = [(dt.date(2024, 1, 2), None, None, None, None, None, None, "x", None, "N")]
-    df = spark.createDataFrame(rows, "date date, open double, high double, low double, close double, "
-                                     "adjusted_close double, volume bigint, source string, "
-                                     "ingested_at timestamp, symbol string")
-    s = one(checks.check_price_sanity(df))
-    o = one(checks.check_ohlc_consistency(df))
-    assert (s["status"], s["issue_count"], o["status"]) == ("pass", 0, "pass")
+    before = {r.symbol: (r.status, r.passed) for r in validation_report(spark, tiers.store, "aa, bb").collect()}
+    assert before == {"AA": ("NO DATA", None), "BB": ("NO DATA", None)}
+    store.write_bars(week, tiers.store)
+    got = {r.symbol: (r.status, r.passed) for r in validation_report(spark, tiers.store, "qrs, bb", as_of="2021-06-12").collect()}
+    assert got == {"QRS": ("pass", 4), "BB": ("fail", 2)}
 
 
-def test_nan_low_counts_as_high_below_low(spark):
-    df = make_bars(spark, [bar(dt.date(2024, 1, 2), 1, 2, float("nan"), 1.5)])
-    assert one(checks.check_price_sanity(df))["n_high_low"] == 1
+def test_null_and_nan_prices(spark):
+    nothing = spark.createDataFrame([(dt.date(2021, 6, 7), *[None] * 6, "feed", None, "N")], BAR_DDL)
+    assert one(checks.check_price_sanity(nothing))["status"] == one(checks.check_ohlc_consistency(nothing))["status"] == "pass"
+    nan = make_bars(spark, [bar("2021-06-07", 5, 6, float("nan"), 5.5)])
+    assert one(checks.check_price_sanity(nan))["n_high_low"] == 1  # NaN is above every number

@@ -5,9 +5,11 @@ from __future__ import annotations
 import datetime as dt
 import math
 
-from conftest import bar, make_bars
+import pytest
+from conftest import BAR_DDL, bar, make_bars
 
 from barlake.operators import crossval
+from barlake.sources import store
 
 D = [dt.date(2024, 1, d) for d in (2, 3, 4, 5, 8)]
 
@@ -54,10 +56,10 @@ def test_coverage_and_matrix(spark):
     df = two_sources(spark)
     cov = {(r.symbol, r.source): (r.source_pos, r.rows) for r in
            crossval.xval_coverage(df, ["stooq", "yfinance", "alpha_vantage"]).collect()}
-    assert cov == {("AAPL", "stooq"): (1, 4), ("AAPL", "yfinance"): (2, 4), ("AAPL", "alpha_vantage"): (3, 0)}
-    m = crossval.xval_matrix(df, ["yfinance", "stooq"], ["AAPL", "MSFT"]).collect()
+    assert cov == {("QRS", "stooq"): (1, 4), ("QRS", "yfinance"): (2, 4), ("QRS", "alpha_vantage"): (3, 0)}
+    m = crossval.xval_matrix(df, ["yfinance", "stooq"], ["QRS", "TUV"]).collect()
     got = {r.symbol: (r.rows_yfinance, r.rows_stooq, r.overlap_pct, r.max_close_diff_pct) for r in m}
-    assert got == {"AAPL": (4, 4, 60.0, 0.0), "MSFT": (0, 0, None, None)}
+    assert got == {"QRS": (4, 4, 60.0, 0.0), "TUV": (0, 0, None, None)}
 
 
 def test_date_sets(spark):
@@ -77,3 +79,40 @@ def test_copies_are_weighted_not_fanned_out(spark):
     r = crossval.xval_pairs(df, ["x", "y"], tolerance=1.0).collect()[0]
     assert (r.joined_rows, r.n_exceed) == (901, 900)
     assert math.isclose(r.avg_open_diff, 20.0 * 900 / 901)
+
+
+@pytest.mark.parametrize("k", [31, 32, 33, 64])
+def test_any_number_of_sources(spark, k):
+    # Source i has the first day and, if i is even, the second.
+    names = [f"f{i}" for i in range(k)]
+    rows = [(d, 10.0 + i, 10.0, 10.0, 10.0, 10.0, 1, n, None, "QRS") for i, n in enumerate(names) for d in D[: 2 - i % 2]]
+    bars = spark.createDataFrame(rows, BAR_DDL)
+    pairs = crossval.xval_pairs(bars, names).collect()
+    assert len(pairs) == k * (k - 1) // 2
+    for r in pairs:
+        a, b = r.pos_a % 2, r.pos_b % 2  # odd positions are even indices
+        assert (r.common_dates, r.only_a, r.only_b) == (1 + (a and b), a and not b, b and not a)
+    (m,) = crossval.xval_matrix(bars, names).collect()
+    assert (m.overlap_pct, m[f"rows_{names[-1]}"]) == (50.0, 2 - (k - 1) % 2)
+    assert math.isclose(m.max_close_diff_pct, 0.0)
+
+
+def test_symbols_are_upper_cased_everywhere(spark):
+    df = two_sources(spark)
+    for symbols in ("qrs", " qrs , none", ["qrs"]):
+        assert [r.symbol for r in crossval.xval_pairs(df, "yfinance, stooq", symbols=symbols).collect()] == ["QRS"]
+        assert crossval.xval_diffs(df, "yfinance, stooq", symbols=symbols).count() == 3
+        assert {r.symbol for r in crossval.xval_coverage(df, "yfinance, stooq", symbols=symbols).collect()} >= {"QRS"}
+        assert {r.symbol for r in crossval.xval_matrix(df, "yfinance, stooq", symbols).collect()} >= {"QRS"}
+        assert crossval.dates_union(df, "yfinance", "stooq", symbols).count() == 5
+
+
+@pytest.mark.parametrize("name", ["xval_pairs", "xval_matrix"])
+def test_bars_are_scanned_once(spark, tiers, name):
+    store.write_bars(two_sources(spark), tiers.store)
+    df = getattr(crossval, name)(store.read_store(spark, tiers.store), "yfinance, stooq", symbols="qrs")
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert final.count("FileScan parquet") == 1, final
+    final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert final.count("FileScan parquet") == 1, final

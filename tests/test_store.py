@@ -1,12 +1,14 @@
-"""Partitioned writer, store reads, views and view metadata."""
+"""Both store layouts, views, view metadata and CSV export."""
 
 from __future__ import annotations
 
 import datetime as dt
+import glob
 import os
 
 import pyarrow.parquet as pq
-from conftest import NOW, bar, make_bars
+import pytest
+from conftest import STAMP, WEEK, bar, make_bars
 from pyspark.sql import functions as F
 
 from barlake.operators import query
@@ -14,110 +16,97 @@ from barlake.sources import store
 
 
 def _files(root):
-    out = []
-    for d, _, fs in os.walk(root):
-        out += [os.path.join(d, f) for f in fs if f.endswith(".parquet")]
-    return out
-
-
-def test_write_creates_hive_structure(tmp_data_dir, sample_bars):
-    processed = str(tmp_data_dir / "processed")
-    written = store.write_bars(sample_bars, processed).collect()
-    assert [(r.symbol, r.source, r.year, r.rows) for r in written] == [("AAPL", "test", 2024, 5)]
-    files = _files(processed)
-    assert len(files) == 1
-    assert "symbol=AAPL" in files[0] and "source=test" in files[0] and "year=2024" in files[0]
-    cols = pq.read_schema(files[0]).names
-    assert not {"symbol", "source", "year"} & set(cols)
-    assert len(pq.read_table(files[0])) == 5
-
-
-def test_write_multiple_years(spark, tmp_data_dir):
-    from conftest import SAMPLE_ROWS
-
-    rows = SAMPLE_ROWS + [bar(dt.date(2023, 12, 29), 148, 149, 147, 148.5, v=900000)]
-    processed = str(tmp_data_dir / "processed")
-    written = store.write_bars(make_bars(spark, rows), processed)
-    assert sorted((r.year, r.rows) for r in written.collect()) == [(2023, 1), (2024, 5)]
-    years = {os.path.basename(os.path.dirname(f)) for f in _files(processed)}
-    assert years == {"year=2023", "year=2024"}
-
-
-def test_views_and_query(spark, tmp_data_dir, sample_bars):
-    processed = str(tmp_data_dir / "processed")
-    store.write_bars(sample_bars, processed)
-    assert store.register_views(spark, processed) == ["daily_ohlcv"]
-    df = spark.sql("SELECT * FROM daily_ohlcv WHERE symbol = 'AAPL'")
-    assert df.count() == 5
-    assert {"symbol", "year"} <= set(df.columns)
-    info = store.views_info(spark, ["daily_ohlcv"]).collect()[0]
-    assert (info.name, info.rows, info.columns) == ("daily_ohlcv", 5, 11)
-
-
-def test_symbol_filter_is_a_partition_filter(spark, tmp_data_dir, sample_bars):
-    processed = str(tmp_data_dir / "processed")
-    store.write_bars(sample_bars, processed)
-    df = query.date_range(store.read_store(spark, processed), "aapl", "2024-01-03", "2024-01-05")
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters" in plan
-    part_filters = plan.split("PartitionFilters: [")[1].split("]")[0]
-    assert "symbol" in part_filters and "year" in part_filters
-    assert [r.date.day for r in df.collect()] == [3, 4, 5]
-
-
-def test_no_parquet_files(spark, tmp_data_dir):
-    assert store.register_views(spark, str(tmp_data_dir / "processed")) == []
-    assert store.register_views(spark, str(tmp_data_dir / "absent")) == []
-    os.makedirs(tmp_data_dir / "processed" / "empty_dataset")
-    assert store.register_views(spark, str(tmp_data_dir / "processed")) == []
-
-
-def test_numeric_symbol_stays_string(spark, tmp_data_dir):
-    processed = str(tmp_data_dir / "processed")
-    store.write_bars(make_bars(spark, [bar(dt.date(2024, 1, 2), 1, 2, 1, 2)], symbol="7203"), processed)
-    df = store.read_store(spark, processed)
-    assert dict(df.dtypes)["symbol"] == "string"
-    assert df.filter(F.col("symbol") == "7203").count() == 1
-
-
-def test_reprocess_replaces_whole_year_only(spark, tmp_data_dir):
-    from conftest import SAMPLE_ROWS
-
-    processed = str(tmp_data_dir / "processed")
-    rows = SAMPLE_ROWS + [bar(dt.date(2023, 12, 29), 148, 149, 147, 148.5)]
-    store.write_bars(make_bars(spark, rows), processed)
-    store.write_bars(make_bars(spark, rows), processed)  # idempotent
-    assert store.read_store(spark, processed).count() == 6
-    store.write_bars(make_bars(spark, SAMPLE_ROWS[-1:]), processed)  # short re-fetch of 2024
-    got = sorted(r.date for r in store.read_store(spark, processed).collect())
-    assert got == [dt.date(2023, 12, 29), dt.date(2024, 1, 8)]
-
-
-def test_other_dataset_gets_pinned_partitions(spark, tmp_data_dir):
-    processed = str(tmp_data_dir / "processed")
-    df = spark.createDataFrame([(dt.date(2024, 1, 2), 1.5, "123", "s", NOW)], "date date, v double, symbol string, source string, ts timestamp")
-    store.write_bars(make_bars(spark, [bar(dt.date(2024, 1, 2), 1, 2, 1, 2)]), processed)
-    df.withColumn("year", F.year("date")).write.partitionBy("symbol", "source", "year").parquet(
-        str(tmp_data_dir / "processed" / "other"))
-    assert store.register_views(spark, processed) == ["daily_ohlcv", "other"]
-    assert dict(spark.table("other").dtypes)["symbol"] == "string"
-
-
-def test_export_csv_counts_rows(spark, tmp_data_dir, sample_bars):
-    n = store.export_csv(sample_bars.select("date", "close"), str(tmp_data_dir / "out.csv"))
-    assert n == 5
-    back = spark.read.option("header", True).csv(str(tmp_data_dir / "out.csv"))
-    assert back.count() == 5 and back.columns == ["date", "close"]
-
-
-def test_views_info_reports_errors_per_view(spark, tmp_data_dir, sample_bars):
-    processed = tmp_data_dir / "processed"
-    store.write_bars(sample_bars, str(processed))
-    store.write_bars(sample_bars, str(processed), "copy_dataset")
-    assert store.register_views(spark, str(processed)) == ["copy_dataset", "daily_ohlcv"]
-    for f in _files(str(processed / "copy_dataset")):
+    return sorted(glob.glob(f"{root}/**/*.parquet", recursive=True))
+
+
+def test_hive_directories_hold_the_partition_columns(tiers, week):
+    written = store.write_bars(week, tiers.store).collect()
+    assert [(r.symbol, r.source, r.year, r.rows) for r in written] == [("QRS", "feed", 2021, 5)]
+    (path,) = _files(tiers.store)
+    assert path.split("/")[-4:-1] == ["symbol=QRS", "source=feed", "year=2021"]
+    assert set(pq.ParquetFile(path).schema_arrow.names).isdisjoint({"symbol", "source", "year"})
+
+
+@pytest.mark.parametrize("layout", [store.HIVE, store.BUCKETED])
+def test_a_shorter_refetch_replaces_its_slices_only(spark, tiers, layout):
+    rows = [*WEEK, bar("2020-12-30")]
+    both = make_bars(spark, rows).union(make_bars(spark, rows, symbol="OTHER"))
+    for _ in range(2):  # idempotent
+        got = store.write_bars(both, tiers.store, layout=layout, buckets=1)
+        assert sorted((r.symbol, r.year, r.rows) for r in got.collect()) == [("OTHER", 2020, 1), ("OTHER", 2021, 5), ("QRS", 2020, 1), ("QRS", 2021, 5)]
+    got = store.write_bars(make_bars(spark, WEEK[3:]), tiers.store, layout=layout, buckets=1)
+    assert [(r.symbol, r.year, r.rows) for r in got.collect()] == [("QRS", 2021, 2)]
+    counts = {(r.symbol, r.year): r.rows for r in store.partition_counts(spark, tiers.store, layout=layout).collect()}
+    assert counts == {("OTHER", 2020): 1, ("OTHER", 2021): 5, ("QRS", 2020): 1, ("QRS", 2021): 2}
+    assert store.register_views(spark, tiers.store) == ["daily_ohlcv"]
+    assert spark.sql("SELECT count(*) FROM daily_ohlcv WHERE symbol = 'QRS'").first()[0] == 3
+
+
+def test_unknown_layout(tiers, week):
+    with pytest.raises(ValueError, match="Available"):
+        store.write_bars(week, tiers.store, layout="flat")
+
+
+def test_bucketed_layout_bounds_the_directories(spark, tiers):
+    bars = make_bars(spark, WEEK, symbol="S0")
+    for k in range(1, 12):
+        bars = bars.union(make_bars(spark, WEEK, symbol=f"S{k}"))
+    store.write_bars(bars, tiers.store, layout=store.BUCKETED, buckets=2)
+    assert len({os.path.dirname(f) for f in _files(tiers.store)}) == 2
+    assert store.read_store(spark, tiers.store, layout=store.BUCKETED).columns == store.STORE_SCHEMA.fieldNames()
+
+
+def test_range_prunes_directories(spark, tiers, week):
+    store.write_bars(week, tiers.store)
+    df = query.date_range(store.read_store(spark, tiers.store), "qrs", "2021-06-08", "2021-06-10")
+    filters = df._jdf.queryExecution().executedPlan().toString().split("PartitionFilters: [")[1].split("]")[0]
+    assert "symbol" in filters and "year" in filters
+    assert [r.date.day for r in df.collect()] == [8, 9, 10]
+
+
+def test_views_skip_folders_without_parquet(spark, tiers, week):
+    assert store.register_views(spark, tiers.store) == []
+    os.makedirs(f"{tiers.store}/notes")
+    assert store.register_views(spark, tiers.store) == []
+    store.write_bars(week, tiers.store)
+    assert store.register_views(spark, tiers.store) == ["daily_ohlcv"]
+
+
+def test_a_write_renews_the_views(spark, tiers, week):
+    store.write_bars(week, tiers.store)
+    store.register_views(spark, tiers.store)
+    store.write_bars(make_bars(spark, WEEK, symbol="LATER"), tiers.store)
+    store.register_views(spark, tiers.store)
+    assert spark.table("daily_ohlcv").select("symbol").distinct().count() == 2
+
+
+def test_symbols_that_look_like_numbers(spark, tiers):
+    store.write_bars(make_bars(spark, [bar("2021-06-07")], symbol="0042"), tiers.store)
+    assert store.read_store(spark, tiers.store).first().symbol == "0042"
+
+
+def test_other_datasets_keep_their_columns(spark, tiers, week):
+    store.write_bars(week, tiers.store)
+    rows = spark.createDataFrame([(dt.date(2021, 6, 7), 2.5, "7", "s", STAMP, 2021)], "date date, v double, symbol string, source string, ts timestamp, year int")
+    rows.write.partitionBy("symbol", "source", "year").parquet(f"{tiers.store}/ratios")
+    assert store.register_views(spark, tiers.store, refresh=True) == ["daily_ohlcv", "ratios"]
+    assert dict(spark.table("ratios").dtypes)["symbol"] == "string"
+
+
+def test_views_info_is_one_plan_with_errors_beside(spark, tiers, week):
+    store.write_bars(week, tiers.store)
+    store.write_bars(week, tiers.store, "twin")
+    names = store.register_views(spark, tiers.store)
+    info = store.views_info(spark, names)
+    assert info._jdf.queryExecution().executedPlan().toString().count("Scan parquet") >= 2
+    assert {(r.name, r.rows, r.columns) for r in info.collect()} == {("daily_ohlcv", 5, 11), ("twin", 5, 11)}
+    for f in _files(f"{tiers.store}/twin"):
         os.remove(f)
-    info = {r.name: r for r in store.views_info(spark, ["copy_dataset", "daily_ohlcv", "no_such_view"]).collect()}
-    assert info["daily_ohlcv"].rows == 5 and info["daily_ohlcv"].error is None
-    assert info["copy_dataset"].rows is None and info["copy_dataset"].error
-    assert info["no_such_view"].error
+    got = {r.name: (r.rows, r.error is None) for r in store.views_info(spark, [*names, "absent"]).collect()}
+    assert got == {"daily_ohlcv": (5, True), "twin": (None, False), "absent": (None, False)}
+
+
+def test_export_counts_what_it_writes(spark, tiers, week):
+    path = str(tiers.root / "out")
+    assert store.export_csv(week.select("date", "close"), path) == 5
+    assert spark.read.option("header", True).csv(path).agg(F.count("close")).first()[0] == 5
