@@ -39,8 +39,8 @@ from pyspark.sql import functions as F
 
 from barlake.session import scratch_path
 
-from .packing import expand, grouped, pack, squeeze, unpack
-from .shingles import words
+from .packing import expand, grouped, pack, pack_planes, squeeze, unpack, unpack_planes
+from .shingles import CHUNK_BYTES, words
 
 BATCH_BYTES = 8 << 20
 BATCH_TEXTS = 1 << 16
@@ -56,14 +56,17 @@ def canonical(text: str | None) -> bytes:
 def gram_keys(texts: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarray]:
     """(key, text number) of every byte: last context byte first, then the earlier ones, then the byte."""
     pad = b"\n" * depth
-    data = np.frombuffer(pad + pad.join(texts), np.uint8).astype(np.uint64)
-    sizes = np.array([len(t) for t in texts])
-    starts = depth + np.cumsum(sizes + depth) - (sizes + depth)
-    place = np.arange(sizes.sum()) + np.repeat(starts - (np.cumsum(sizes) - sizes), sizes)
-    keys = data[place]
+    data = np.frombuffer(pad + pad.join(texts), np.uint8)
+    keys = data[depth:].astype(np.uint64)
     for k in range(1, depth + 1):
-        keys |= data[place - k] << np.uint64(8 * (depth + 1 - k))
-    return keys, np.repeat(np.arange(len(texts)), sizes)
+        context = data[depth - k : len(data) - k].astype(np.uint64)
+        context <<= np.uint64(8 * (depth + 1 - k))
+        keys |= context
+    sizes = np.array([len(t) for t in texts])
+    inside = np.ones(len(keys), bool)  # the padding before each further text has no key
+    for k in range(depth):
+        inside[(np.cumsum(sizes + depth) - depth)[:-1] + k] = False
+    return keys[inside], np.repeat(np.arange(len(texts), dtype=np.uint16), sizes)
 
 
 def gram_shards(keys: np.ndarray, depth: int, shards: int) -> np.ndarray:
@@ -71,16 +74,38 @@ def gram_shards(keys: np.ndarray, depth: int, shards: int) -> np.ndarray:
     return ((two * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)).astype(np.int64) % shards
 
 
+def word_shards(hashes: np.ndarray, shards: int) -> np.ndarray:
+    return (hashes >> np.uint64(40)).astype(np.int64) % shards
+
+
 def counted(keys: np.ndarray, train: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted distinct keys and how often each stands in training texts."""
-    distinct, at = np.unique(keys, return_inverse=True)
-    return distinct, np.bincount(at, weights=train, minlength=len(distinct)).astype(np.int64)
+    """Sorted distinct keys and how often each stands in training texts. Keys have 63 bits at most; they are overwritten."""
+    keys <<= np.uint64(1)
+    keys |= train
+    keys.sort()
+    first = np.flatnonzero(np.concatenate(([True], (keys[1:] ^ keys[:-1]) > 1))) if len(keys) else np.zeros(0, int)
+    counts = np.add.reduceat(keys & np.uint64(1), first, dtype=np.int64) if len(keys) else np.zeros(0, np.int64)
+    return keys[first] >> np.uint64(1), counts
+
+
+def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """(63-bit word hashes, words of each text), a piece of the batch at a time."""
+    parts, counts, piece, size = [], [], [], 0
+    for k, text in enumerate(texts):
+        piece.append(text.decode("utf-8", "surrogatepass"))
+        size += len(text)
+        if size >= CHUNK_BYTES or k == len(texts) - 1:
+            h, n = words(piece)
+            parts.append(h >> np.uint64(1))
+            counts.append(n)
+            piece, size = [], 0
+    return np.concatenate(parts), np.concatenate(counts)
 
 
 def _by_shard(kind: str, batch: int, keys: np.ndarray, counts: np.ndarray, shard: np.ndarray):
     for s in np.unique(shard):
         own = shard == s
-        yield kind, batch, int(s), pack(keys[own]), np.ascontiguousarray(counts[own].astype(np.int32)).tobytes()
+        yield kind, batch, int(s), pack(keys[own]), pack_planes(counts[own].astype(np.uint32))
 
 
 def _ask(depth: int, shards: int):
@@ -108,9 +133,10 @@ def _asked(batch: int, held: list, depth: int, shards: int) -> pa.RecordBatch:
     keys, of = gram_keys(texts, depth)
     distinct, counts = counted(keys, train[of])
     rows = list(_by_shard("gram", batch, distinct, counts, gram_shards(distinct, depth, shards)))
-    hashes, n = words([t.decode("utf-8", "surrogatepass") for t in texts])
+    del keys, of
+    hashes, n = word_hashes(texts)
     distinct, counts = counted(hashes, np.repeat(train, n))
-    rows += _by_shard("word", batch, distinct, counts, (distinct >> np.uint64(40)).astype(np.int64) % shards)
+    rows += _by_shard("word", batch, distinct, counts, word_shards(distinct, shards))
     body = b"".join(texts)
     meta = pa.array(ids, pa.int64())
     sink = pa.BufferOutputStream()
@@ -226,7 +252,7 @@ class HeadLevels:
 def _shards_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list]]:
     """(shard, its (batch, keys, counts)) of rows sorted by shard."""
     for shard, rows in grouped(batches, "shard"):
-        yield shard, [(r["batch"], unpack(r["a"]), np.frombuffer(r["b"], np.int32)) for r in rows]
+        yield shard, [(r["batch"], unpack(r["a"]), unpack_planes(r["b"], np.uint32)) for r in rows]
 
 
 def _summed(asked: list) -> tuple[np.ndarray, np.ndarray]:
@@ -250,7 +276,7 @@ def _answer_grams(depth: int, head):
         for shard, asked in _shards_of(batches):
             keys, counts = _summed(asked)
             log_p = Subtrees(keys, counts, depth).log_probability(head.value).astype(np.float32)
-            yield _answers("gram", shard, [(b, log_p[np.searchsorted(keys, k)].tobytes()) for b, k, _ in asked])
+            yield _answers("gram", shard, [(b, log_p[np.searchsorted(keys, k)]) for b, k, _ in asked])
 
     return run
 
@@ -258,7 +284,7 @@ def _answer_grams(depth: int, head):
 def _answer_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for shard, asked in _shards_of(batches):
         keys, counts = _summed(asked)
-        yield _answers("word", shard, [(b, counts[np.searchsorted(keys, k)].tobytes()) for b, k, _ in asked])
+        yield _answers("word", shard, [(b, counts[np.searchsorted(keys, k)]) for b, k, _ in asked])
 
 
 def _answers(kind: str, shard: int, rows: list) -> pa.RecordBatch:
@@ -268,7 +294,7 @@ def _answers(kind: str, shard: int, rows: list) -> pa.RecordBatch:
             pa.array([kind] * n),
             pa.array([b for b, _ in rows], pa.int64()),
             pa.array([shard] * n, pa.int32()),
-            pa.array([squeeze(x) for _, x in rows], pa.binary()),
+            pa.array([pack_planes(x) for _, x in rows], pa.binary()),
             pa.array([b""] * n, pa.binary()),
         ],
         names=["kind", "batch", "shard", "a", "b"],
@@ -278,7 +304,7 @@ def _answers(kind: str, shard: int, rows: list) -> pa.RecordBatch:
 def _tally(depth: int, shards: int, n_train: int, n_types: int, n_ends: int):
     def finish(rows: list) -> pa.RecordBatch:
         text = next(r for r in rows if r["kind"] == "text")
-        got = {(r["kind"], r["shard"]): expand(r["a"]) for r in rows if r["kind"] != "text"}
+        got = {(r["kind"], r["shard"]): r["a"] for r in rows if r["kind"] != "text"}
         body = expand(text["a"])
         meta = pa.ipc.open_stream(text["b"]).read_all()
         texts = [t + b"\n" for t in body.split(b"\n")[:-1]]
@@ -288,22 +314,28 @@ def _tally(depth: int, shards: int, n_train: int, n_types: int, n_ends: int):
             """The answers for the batch's distinct keys, put back from the shards' order."""
             out = np.empty(len(distinct), dtype)
             for s in np.unique(shard):
-                out[shard == s] = np.frombuffer(got[kind, int(s)], dtype)
+                out[shard == s] = unpack_planes(got[kind, int(s)], dtype)
             return out
 
         keys, of = gram_keys(texts, depth)
         if depth <= 5:  # six bytes and a text number fit one word, and sorting is all it takes
-            both = np.sort(keys << np.uint64(16) | of.astype(np.uint64))
-            keys, of = both >> np.uint64(16), (both & np.uint64(0xFFFF)).astype(np.int64)
+            keys <<= np.uint64(16)
+            keys |= of
+            keys.sort()
+            of = (keys & np.uint64(0xFFFF)).astype(np.uint16)
+            keys >>= np.uint64(16)
             new = np.concatenate(([True], keys[1:] != keys[:-1]))
-            distinct, at = keys[new], np.cumsum(new) - 1
+            distinct, at = keys[new], np.cumsum(new, dtype=np.int32) - 1
         else:
             distinct, at = np.unique(keys, return_inverse=True)
+        del keys
         log_p = numbers("gram", distinct, gram_shards(distinct, depth, shards), np.float32)
-        score = np.bincount(of, weights=log_p[at], minlength=n)
-        hashes, n_words = words([t.decode("utf-8", "surrogatepass") for t in texts])
+        score = np.zeros(n)
+        for k in range(0, len(at), 1 << 20):
+            score += np.bincount(of[k : k + (1 << 20)], weights=log_p[at[k : k + (1 << 20)]], minlength=n)
+        hashes, n_words = word_hashes(texts)
         distinct, at = np.unique(hashes, return_inverse=True)
-        c = numbers("word", distinct, (distinct >> np.uint64(40)).astype(np.int64) % shards, np.int64)[at]
+        c = numbers("word", distinct, word_shards(distinct, shards), np.int64)[at]
         of = np.repeat(np.arange(n), n_words)
         scale = n_train + 0.5 * (n_types + 1)
         base = np.bincount(of, weights=np.log10((c + 0.5) / scale), minlength=n) + math.log10((n_ends + 0.5) / scale)
@@ -332,6 +364,8 @@ def score(docs: DataFrame, train: Column, depth: int = DEPTH, id_col: str = "doc
     an empty table gives no rows, and without training rows every bit has
     probability 1/2.
     """
+    if not 2 <= depth <= 6:
+        raise ValueError("depth must be 2 to 6: a context and its byte are one 56-bit key")
     spark = docs.sparkSession
     shards = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
     base = docs.select(

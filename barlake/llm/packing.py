@@ -23,6 +23,17 @@ def unpack(data: bytes) -> np.ndarray:
     return np.cumsum(np.ascontiguousarray(planes.reshape(8, n).T).view(np.uint64).ravel(), dtype=np.uint64)
 
 
+def pack_planes(values: np.ndarray) -> bytes:
+    """Numbers in any order as compressed byte planes."""
+    planes = np.ascontiguousarray(values).view(np.uint8).reshape(-1, values.itemsize).T
+    return squeeze(np.ascontiguousarray(planes).tobytes())
+
+
+def unpack_planes(data: bytes, dtype) -> np.ndarray:
+    planes = np.frombuffer(expand(data), np.uint8).reshape(np.dtype(dtype).itemsize, -1)
+    return np.ascontiguousarray(planes.T).view(dtype).ravel()
+
+
 def squeeze(data: bytes) -> bytes:
     """Compressed bytes that know their length."""
     return len(data).to_bytes(8, "big") + pa.compress(data, codec="zstd", asbytes=True)
