@@ -363,7 +363,7 @@ def _finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for k, text in enumerate(texts):
             a0, z0 = int(starts[k]), int(starts[k + 1])
             lo, hi = np.searchsorted(cuts[:, 1], a0, side="right"), np.searchsorted(cuts[:, 0], z0, side="left")
-            own = [(max(int(a), a0) - a0, min(int(b), z0) - a0) for a, b in cuts[lo:hi]]
+            own = [(max(int(a), a0) - a0, min(int(b), z0) - a0) for a, b in cuts[lo:hi]] if text else []
             kept, at = [], 0
             for a, b in own:
                 kept.append(text[at:a])
