@@ -1,7 +1,7 @@
 """Line dedup by levelled sorted runs of line hashes (DataFrame operations only).
 
-A run is a Parquet table of (key, n_docs, last), bucketed and sorted by key,
-the 128-bit hash of a line. Documents come in batches, newest first. A batch
+A run is a Parquet folder of (key, n_docs, last), partitioned and sorted by
+key, the 128-bit hash of a line. Documents come in batches, newest first. A batch
 is reduced to one row for each of its keys, merge-anti-joined with the runs
 (its fresh lines, whose holder is thus their newest) and written as a run of
 level 0. When a level holds ``fanout`` runs, they are merged into one run of
@@ -11,13 +11,13 @@ the next level, so a key is rewritten about log(batches) times.
 from __future__ import annotations
 
 import functools
-import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barlake.session import scratch_path
 
+RUN = "key binary, n_docs long, last long"
 #: [\x20\x09-\x0D]
 SPACES = " \t\n\x0b\f\r"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -37,29 +37,24 @@ class LineRuns:
 
     def __init__(self, spark: SparkSession, fanout: int = 2):
         self.spark, self.fanout = spark, fanout
-        self.name = f"line_runs_{uuid.uuid4().hex[:12]}"
-        self.path = scratch_path(spark, self.name)
-        self.buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self.path = scratch_path(spark, "line_runs", unique=True)
+        self.parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.levels: list[list[str]] = []
         self.made = 0
 
     def _write(self, rows: DataFrame) -> str:
-        name = f"{self.name}_{self.made}"
+        name = f"{self.path}/{self.made}"
         self.made += 1
-        (
-            rows.repartition(self.buckets, "key")
-            .write.bucketBy(self.buckets, "key")
-            .sortBy("key")
-            .option("path", f"{self.path}/{name}")
-            .saveAsTable(name, format="parquet")
-        )
+        rows.repartition(self.parts, "key").sortWithinPartitions("key").write.parquet(name)
         return name
 
     def runs(self) -> list[str]:
         return [name for level in self.levels for name in level]
 
     def union(self, names: list[str] | None = None) -> DataFrame | None:
-        tables = [self.spark.table(n) for n in (self.runs() if names is None else names)]
+        # Plain folders rather than bucketed tables: a union of bucketed scans can claim a
+        # partitioning by key that its rows don't have.
+        tables = [self.spark.read.schema(RUN).parquet(n) for n in (self.runs() if names is None else names)]
         return functools.reduce(DataFrame.union, tables) if tables else None
 
     def add(self, keys: DataFrame) -> None:
