@@ -220,6 +220,7 @@ def find(text: str) -> list[tuple[int, int, str]]:
                 spans.append((got.start(), got.end(), "iban"))
                 end = got.end()
                 continue
+            got = None
         for back in (1, 0):
             if back and text[start - 1 : start] not in ("+", "("):
                 continue
