@@ -93,11 +93,15 @@ def _adam(gradient, size: int, steps: int = 600, rate: float = 0.05) -> np.ndarr
 def class_prior(positive: np.ndarray, unlabelled: np.ndarray, least: float = 0.4) -> float:
     """The smallest share ratio unlabelled / positive above a score threshold.
 
-    Thresholds above which fewer than ``least`` of the positives lie are too noisy to count.
+    Thresholds above which fewer than ``least`` of the positives lie are too
+    noisy to count. The smallest of noisy ratios is too small, so each is
+    raised by its standard error, which vanishes as the samples grow.
     """
     at = np.quantile(positive, np.linspace(0, 1 - least, 91))
-    up = np.array([(unlabelled >= t).mean() for t in at]) / np.array([(positive >= t).mean() for t in at])
-    return float(np.clip(up.min(), 0.01, 0.99))
+    u = np.maximum([(unlabelled >= t).mean() for t in at], 1 / len(unlabelled))
+    p = np.array([(positive >= t).mean() for t in at])
+    error = np.sqrt((1 - u) / (u * len(unlabelled)) + (1 - p) / (p * len(positive)))
+    return float(np.clip((u / p * (1 + error)).min(), 0.01, 0.99))
 
 
 def fit_pu(positive: np.ndarray, unlabelled: np.ndarray, l2: float = 1e-4) -> tuple[np.ndarray, float]:
