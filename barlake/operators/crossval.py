@@ -42,9 +42,10 @@ def _require_two(sources) -> list[str]:
     return sources
 
 
-def _scoped(bars: DataFrame, sources, symbols=None, start=None, end=None, cols=PRICE_COLUMNS) -> DataFrame:
-    """Requested sources/symbols/dates with ``pos`` = 1-based list position."""
-    b = bars.filter(F.col("source").isin(sources))
+def _scoped(bars: DataFrame, sources, symbols=None, start=None, end=None, cols=PRICE_COLUMNS, others=False) -> DataFrame:
+    """Requested sources/symbols/dates with ``pos`` = 1-based list position
+    (0: another source, kept only with ``others``)."""
+    b = bars if others else bars.filter(F.col("source").isin(sources))
     b = restrict_dates(restrict_symbols(b, symbols), start, end)
     pos = F.array_position(F.array(*[F.lit(s) for s in sources]), F.col("source")).cast("int")
     scoped = b.select("symbol", "source", "date", *cols).withColumn("pos", pos)
@@ -190,7 +191,9 @@ def xval_matrix(bars: DataFrame, sources, symbols=None) -> DataFrame:
     rows; the diff is NULL without common dates.
     """
     sources = _require_two(sources)
-    s = _scoped(bars, sources, symbols, None, None, cols=["close"])
+    # Without a symbol list every symbol is reported, those of other sources with 0 rows: they are
+    # kept in the one scan, not looked up by another.
+    s = _scoped(bars, sources, symbols, None, None, cols=["close"], others=symbols is None)
     # One row for each (symbol, date): rows of every source, and the distinct closes of the first
     # two (normally one each; the maximum over joined rows does not depend on multiplicity).
     closes = [F.collect_set(F.when(F.col("pos") == i, F.col("close"))).alias(f"c{i}") for i in (1, 2)]
@@ -210,8 +213,7 @@ def xval_matrix(bars: DataFrame, sources, symbols=None) -> DataFrame:
     )
     first, second = f"rows_{sources[0]}", f"rows_{sources[1]}"
     both = (F.col(first) > 0) & (F.col(second) > 0)
-    grid = symbols_frame(bars, symbols)
-    out = grid.join(per_symbol, "symbol", "left")
+    out = per_symbol if symbols is None else symbols_frame(bars, symbols).join(per_symbol, "symbol", "left")
     both = F.coalesce(both, F.lit(False))
     return out.select(
         "symbol",
