@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 from barlake.session import scratch_path
 
 RUN = "key binary, n_docs long, last long"
+#: Tasks over which the lines of one repeated key are spread.
+SALTS = 32
 #: [\x20\x09-\x0D]
 SPACES = " \t\n\x0b\f\r"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -123,10 +125,12 @@ def dedup_lines(
         runs.add(_lines(part, min_chars).select("key", "doc"))
     if high < low:
         runs.add(_lines(base, min_chars).select("key", "doc"))
-    repeated = runs.totals().where(F.col("n_docs") >= min_docs).select("key", "last")
+    # Salted: the lines of one key, however common, meet it in SALTS tasks.
+    repeated = runs.totals().where(F.col("n_docs") >= min_docs).select("key", "last", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
     drops = (
         _lines(base, min_chars)
-        .join(repeated, "key")
+        .withColumn("salt", F.pmod(F.xxhash64("doc"), F.lit(SALTS)).cast("int"))
+        .join(repeated, ["key", "salt"])
         .where("doc <> last")
         .groupBy(F.col("doc").alias("__doc"))
         .agg(F.sort_array(F.collect_set("pos")).alias("__drop"))
