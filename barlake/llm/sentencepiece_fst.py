@@ -12,7 +12,8 @@ shortest path in the (min, +) semiring is its encoding.
   neighbours would be left as they are by the merge rules on their own. The
   state is the last piece; the arc from a to b weighs 0 if (a, b) is such a
   pair and infinity otherwise. Exactly one path into each position is
-  finite, so the search keeps one state for each position.
+  finite, so the composition with a text is deterministic, and its states
+  are shared by all texts that lead to them.
 
 No path crosses a space that follows a non-space (checked when compiling: no
 piece holds one inside), nor a character outside all pieces, so a text is
@@ -34,13 +35,31 @@ from .shingles import chunks
 
 DEFAULT_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
-#: Words whose path is kept by one worker; the cache starts afresh beyond.
+#: Words whose path is kept by one worker, in each of two generations: when the newer one is
+#: full, it becomes the older one, and words that are met again move up.
 CACHE_WORDS = 300_000
-#: Arc weights kept by one worker.
+#: Composed states kept by one worker; beyond, they are made afresh.
+STATES = 400_000
+#: Verdicts on pairs of pieces kept by one worker.
 PAIRS = 1_000_000
 NORMAL, UNKNOWN, CONTROL, USER, BYTE = 1, 2, 3, 4, 6
 
 
+class Composed:
+    """A state of the composition of pieces and merge rules, made when a text first reaches it.
+
+    It holds the pieces that are still open (trie node, piece before it; the
+    earliest first), the last piece of the finite path into this place (None:
+    no path ends here), and its arcs by character.
+    """
+
+    __slots__ = ("arcs", "ids", "last", "open", "size")
+
+    def __init__(self, last: str | None, open_: list, ids: tuple[int, ...]):
+        self.last, self.open, self.arcs = last, open_, {}
+        self.ids, self.size = ids, len(last or "")
+
+
 class Transducer:
     """One compiled model."""
 
@@ -65,21 +84,23 @@ class Transducer:
         raw = {int(p.piece[3:5], 16): i for i, p in enumerate(proto.pieces) if p.type == BYTE}
         self.bytes = [raw[b] for b in range(256)] if len(raw) == 256 else None
         self.value = {i: bytes([b]) for b, i in raw.items()}
-        self.longest = max(map(len, self.id), default=1)
         self.characters = set("".join(self.id))
         if any(SPACE in p.lstrip(SPACE) for p in self.id):
             raise ValueError("a piece holds a space after a non-space: words are no units")
-        # Accepting arcs by last character: the pieces that can end there, by length.
-        lengths: dict[str, set[int]] = {}
+        self.trie: dict = {}  # of the pieces; a node's piece stands under ""
         for p in self.id:
-            lengths.setdefault(p[-1], set()).add(len(p))
-        self.lengths = {c: sorted(n, reverse=True) for c, n in lengths.items()}
+            node = self.trie
+            for c in p:
+                node = node.setdefault(c, {})
+            node[""] = p
         self.unit = re.compile(f"[\n]|{SPACE}*[^{SPACE}\n]+|{SPACE}+") if "\n" not in self.characters else re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
         self.rank = {p: -x for p, x in self.score.items()}
         self.outside = 10.0 - min(self.score.values(), default=0.0)
-        self.pairs: dict[tuple[str, str], float] = {}
+        self.pairs: dict[tuple[str, str], bool] = {}
+        self._forget()
         self.spines: dict[tuple[str, bool], list] = {}
         self.cache: dict[str, tuple[int, ...]] = {}
+        self.older: dict[str, tuple[int, ...]] = {}
 
     def normalise(self, text: str) -> str:
         if self.squeeze:
@@ -151,56 +172,104 @@ class Transducer:
         """Tropical weight of the arc that reads ``piece`` after ``before``."""
         if not self.bpe:
             return -self.score[piece]
-        key = (before, piece)
-        got = self.pairs.get(key)
+        if before:
+            return self._pair(before, piece)
+        return 0.0 if self.spine(piece, True) or self.merged(piece) == [piece] else math.inf
+
+    def _step(self, state: Composed, c: str) -> Composed:
+        """The arc of the composed machine that reads c; made once, then kept at its state."""
+        last, open_ = None, []
+        for node, before in state.open:  # longest piece first
+            node = node.get(c)
+            if node is None:
+                continue
+            piece = node.get("")
+            if piece is not None and last is None and self._finite(before, piece):
+                last = piece
+            if len(node) > (piece is not None):
+                open_.append((node, before))
+        if last is None and c not in self.id and state.last is not None:
+            last = c  # a character that is no piece
+        if last is not None:
+            open_.append((self.trie, last))
+        key = (last, *((id(node), before) for node, before in open_))
+        to = self.states.get(key)
+        if to is None:
+            to = self.states[key] = Composed(last, open_, self.output(last or ""))
+        state.arcs[c] = to
+        return to
+
+    def _finite(self, before: str, piece: str) -> bool:
+        got = self.pairs.get((before, piece))
         if got is None:
             if len(self.pairs) >= PAIRS:
                 self.pairs.clear()
-            if before:
-                got = self._pair(before, piece)
-            else:
-                got = 0.0 if self.spine(piece, True) or self.merged(piece) == [piece] else math.inf
-            self.pairs[key] = got
+            got = self.pairs[before, piece] = self.arc(before, piece) == 0.0
         return got
 
     def shortest_path(self, unit: str) -> list[str]:
         """Pieces of the best path through one unit; single characters may be outside."""
-        # A character outside all pieces is read by its own arc, dearer than any piece.
-        n = len(unit)
-        cost, last = [0.0] + [math.inf] * n, [""] * (n + 1)
-        known, lengths, arc, bpe = self.id, self.lengths, self.arc, self.bpe
-        for end in range(1, n + 1):
-            c = unit[end - 1]
-            for size in lengths.get(c, ()):
-                start = end - size
-                if start < 0 or cost[start] == math.inf:
-                    continue
-                piece = unit[start:end]
-                if piece in known:
-                    new = cost[start] + arc(last[start], piece)
-                    if new < cost[end]:
-                        cost[end], last[end] = new, piece
-                        if bpe:
-                            break
-            if cost[end] == math.inf and c not in known:
-                cost[end], last[end] = cost[end - 1] + (0.0 if bpe else self.outside), c
-        out, end = [], n
+        last = [state.last for state in self._bpe_trail(unit)] if self.bpe else self._viterbi(unit)
+        out, end = [], len(unit)
         while end:
-            out.append(last[end])
-            end -= len(last[end])
+            out.append(last[end - 1])
+            end -= len(last[end - 1])
         return out[::-1]
 
+    def _bpe_trail(self, unit: str) -> list[Composed]:
+        """The states that a unit leads through; the last piece of each is that of the finite path."""
+        if len(self.states) > STATES:
+            self._forget()
+        state, trail = self.start, []
+        for c in unit:
+            to = state.arcs.get(c)
+            if to is None:
+                to = self._step(state, c)
+            trail.append(to)
+            state = to
+        return trail
+
+    def _viterbi(self, unit: str) -> list[str]:
+        """The last piece of the cheapest path into each place. A character that is no piece
+        and has no other path is read by its own arc, dearer than any piece."""
+        n = len(unit)
+        cost, last = [0.0] + [math.inf] * n, [""] * (n + 1)
+        for start in range(n + 1):
+            if cost[start] == math.inf:
+                cost[start], last[start] = cost[start - 1] + self.outside, unit[start - 1]
+            node, end = self.trie, start
+            while end < n:
+                node = node.get(unit[end])
+                if node is None:
+                    break
+                end += 1
+                piece = node.get("")
+                if piece is not None and cost[start] - self.score[piece] < cost[end]:
+                    cost[end], last[end] = cost[start] - self.score[piece], piece
+        return last[1:]
+
+    def _forget(self) -> None:
+        """A machine without composed states."""
+        self.states: dict[tuple, Composed] = {}
+        self.start = Composed("", [(self.trie, "")], ())
+
+    def output(self, piece: str) -> tuple[int, ...]:
+        """Ids of a piece, or of the bytes of a character that is none."""
+        i = self.id.get(piece)
+        if i is not None:
+            return (i,)
+        return tuple(self.bytes[b] for b in piece.encode("utf-8", "surrogatepass")) if self.bytes else (self.unknown,)
+
     def path_ids(self, unit: str) -> tuple[int, ...]:
-        out: list[int] = []
-        for piece in self.shortest_path(unit):
-            i = self.id.get(piece)
-            if i is not None:
-                out.append(i)
-            elif self.bytes:
-                out.extend(self.bytes[b] for b in piece.encode("utf-8", "surrogatepass"))
-            else:
-                out.append(self.unknown)
-        return tuple(out)
+        """Output of the best path."""
+        if not self.bpe:
+            return tuple(i for piece in self.shortest_path(unit) for i in self.output(piece))
+        trail, parts, end = self._bpe_trail(unit), [], len(unit)
+        while end:
+            state = trail[end - 1]
+            parts.append(state.ids)
+            end -= state.size
+        return tuple(i for ids in reversed(parts) for i in ids)
 
     def encode(self, text: str) -> list[int]:
         out: list[int] = []
@@ -208,10 +277,13 @@ class Transducer:
         for unit in self.unit.findall(self.normalise(text)):
             ids = cache.get(unit)
             if ids is None:
-                ids = self.path_ids(unit)
+                ids = self.older.get(unit)
+                if ids is None:
+                    ids = self.path_ids(unit)
                 if len(unit) <= 64:
                     if len(cache) >= CACHE_WORDS:
-                        cache.clear()
+                        self.older, self.cache = cache, {}
+                        cache = self.cache
                     cache[unit] = ids
             out.extend(ids)
         return out
