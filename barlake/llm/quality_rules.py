@@ -40,20 +40,25 @@ def _let(name: str, value: str, body: str) -> str:
     return f"transform(array({value}), {name} -> {body})[0]"
 
 
-_WORDS = f"filter(split({_replaced('__text', _SPACES[:5], ' ')}, ' ', -1), w -> w <> '')"
+def _text(column: str) -> str:
+    return f"coalesce(CAST({column} AS string), '')"
+
+
+def _words(text: str) -> str:
+    return f"filter(split({_replaced(text, _SPACES[:5], ' ')}, ' ', -1), w -> w <> '')"
 
 
 def _grams(buckets: int) -> str:
-    """Slots of all unigrams and bigrams of the words array __words."""
-    one = f"transform(__words, w -> CAST(pmod(xxhash64(w), {buckets}) AS int))"
-    two = f"transform(__words, (w, i) -> CAST(pmod(xxhash64(w, get(__words, i + 1)), {buckets}) AS int))"
-    return f"concat({one}, slice({two}, 1, greatest(size(__words) - 1, 0)))"
+    """Slots of all unigrams and bigrams of the words array ws."""
+    one = f"transform(ws, w -> CAST(pmod(xxhash64(w), {buckets}) AS int))"
+    two = f"transform(ws, (w, i) -> CAST(pmod(xxhash64(w, get(ws, i + 1)), {buckets}) AS int))"
+    return f"concat({one}, slice({two}, 1, greatest(size(ws) - 1, 0)))"
 
 
 # Words in windows of five found twice or more: windows are compared by their 64-bit hash; if
 # any repeats, they are sorted with their places, and each repeated window adds the words up to
 # the next one, five at most.
-_HASHES = "transform(sequence(1, size(__words) - 4), i -> xxhash64(__words[i - 1], __words[i], __words[i + 1], __words[i + 2], __words[i + 3]))"
+_HASHES = "transform(sequence(1, size(ws) - 4), i -> xxhash64(ws[i - 1], ws[i], ws[i + 1], ws[i + 2], ws[i + 3]))"
 _REPEATED = _let(
     "s",
     "sort_array(transform(h, (x, i) -> struct(x AS x, i AS i)))",
@@ -65,16 +70,12 @@ _COVERED = _let(
     "aggregate(sequence(0, size(p) - 1), 0L, (a, k) -> a + CASE WHEN k = size(p) - 1 THEN 5L ELSE least(5, p[k + 1] - p[k]) END)",
 )
 _REPEAT_WORDS = (
-    "CASE WHEN size(__words) < 6 THEN 0L ELSE "
+    "CASE WHEN size(ws) < 6 THEN 0L ELSE "
     + _let("h", _HASHES, f"CASE WHEN size(array_distinct(h)) = size(h) THEN 0L ELSE {_COVERED} END")
     + " END"
 )
 
 
-def _words(docs: DataFrame, text_col: str) -> DataFrame:
-    return docs.withColumn("__text", F.coalesce(F.col(text_col).cast("string"), F.lit(""))).withColumn("__words", F.expr(_WORDS))
-
-
 def fit_ratios(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text", buckets: int = BUCKETS, alpha: float = ALPHA) -> list[float]:
     """ln(target / raw) of each slot, from all documents and the trusted ids.
 
@@ -85,7 +86,8 @@ def fit_ratios(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text
     own = docs.select(F.col(id_col).cast("long").alias("__id"), F.col(text_col).alias("text"))
     # Counted for each (document's mark, slot): the marks are joined to ids alone, before the text is read.
     marked = own.select("__id").distinct().join(marks, "__id").select(F.col("__id").alias("__good"))
-    slots = lambda d: _words(d, "text").select(F.explode(F.expr(_grams(buckets))).alias("slot"))
+    grams = _let("ws", _words(_text("text")), _grams(buckets))
+    slots = lambda d: d.select(F.explode(F.expr(grams)).alias("slot"))
     raw = slots(own).groupBy("slot").agg(F.count("*").alias("r"))
     good = slots(own.join(marked, F.col("__id") == F.col("__good"), "left_semi")).groupBy("slot").agg(F.count("*").alias("t"))
     raw_n, good_n = [0] * buckets, [0] * buckets
@@ -109,16 +111,20 @@ def score_rules(docs: DataFrame, ratios: list[float], text_col: str = "text", th
     buckets = len(ratios)
     # Folded to one literal array by the optimizer.
     table = "CAST(split('" + ",".join(map(repr, ratios)) + "', ',') AS array<double>)"
-    words = _words(docs, text_col)
-    lines = "filter(split(__text, '\\n', -1), l -> btrim(l, ' \\t\\n\\u000b\\f\\r') <> '')"
-    out = words.select(
-        *[words[c] for c in words.columns],
-        F.size("__words").cast("long").alias("__n_words"),
-        F.expr(f"CAST(length({_replaced('__text', _SPACES, '')}) AS bigint)").alias("__word_chars"),
-        F.expr(f"CAST(length(__text) - length({_replaced('__text', _SYMBOLS, '')}) AS bigint)").alias("__n_symbols"),
-        F.expr(_let("l", lines, "CAST(size(l) - size(array_distinct(l)) AS bigint)")).alias("__n_dup_lines"),
-        F.expr(_REPEAT_WORDS).alias("__n_repeat_words"),
-        F.expr(f"aggregate({_grams(buckets)}, 0D, (a, b) -> a + {table}[b]) / greatest(2 * size(__words) - 1, 1)").alias("__score"),
-    )
-    failed = (F.col("__n_words") < 10) | (100 * F.col("__n_repeat_words") > 20 * F.col("__n_words"))
-    return out.withColumn("__base_failed", failed).withColumn("__kept", ~F.col("__base_failed") & (F.col("__score") >= threshold)).drop("__text", "__words")
+    lines = "filter(split(t, '\\n', -1), l -> btrim(l, ' \\t\\n\\u000b\\f\\r') <> '')"
+    counts = f"""named_struct(
+        'n_words', CAST(size(ws) AS bigint),
+        'word_chars', CAST(length({_replaced('t', _SPACES, '')}) AS bigint),
+        'n_symbols', CAST(length(t) - length({_replaced('t', _SYMBOLS, '')}) AS bigint),
+        'n_dup_lines', {_let("l", lines, "CAST(size(l) - size(array_distinct(l)) AS bigint)")},
+        'n_repeat_words', {_REPEAT_WORDS},
+        'score', aggregate({_grams(buckets)}, 0D, (a, b) -> a + {table}[b]) / greatest(2 * size(ws) - 1, 1))"""
+    failed = "(m.n_words < 10 OR 100 * m.n_repeat_words > 20 * m.n_words)"
+    names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "score"]
+    result = f"""named_struct({", ".join(f"'{n}', m.{n}" for n in names)}, 'base_failed', {failed},
+        'kept', NOT {failed} AND m.score >= {threshold!r}D)"""
+    # One expression whose parts are bound inside it: a filter on the verdict that is pushed below
+    # the projection takes all of it along once, and splits the text once.
+    row = _let("t", _text(f"`{text_col}`"), _let("ws", _words("t"), _let("m", counts, result)))
+    out = docs.select("*", F.expr(row).alias("__r"))
+    return out.select(*docs.columns, *[F.col(f"__r.{n}").alias(f"__{n}") for n in [*names, "base_failed", "kept"]])
