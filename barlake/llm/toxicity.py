@@ -4,9 +4,11 @@ Words become symbols: insult, threat verb, intent, target, negation, report
 (reported speech), quote, boundary or other. Five small weighted transducers
 read the symbols of a clause: insults and threats emit weight, a target
 beside them raises it, a negation shortly before and reported speech or
-quotes lower it. They are composed once; a clause's score is its heaviest
-path (tropical semiring with max). A document's score is a logistic function
-of its matched clauses, not of isolated words.
+quotes lower it. A threat verb needs an intent before it ("I'll hurt ...") or
+begins the clause as a command; the target may stand before or after it, and
+the verb's negation and report hold until then. They are composed once; a
+clause's score is its heaviest path (tropical semiring with max). A document's
+score is a logistic function of its matched clauses, not of isolated words.
 
 The grammar's shape is fixed. Learned from labelled rows are the weights of
 the insult words and the logistic function; both are fitted on at most
@@ -32,17 +34,23 @@ MAX_LABELLED = 20_000
 #: A learned insult marks at least this share of the toxic training rows, and is this much likelier there.
 MIN_SHARE, MIN_RATIO = 0.01, 12.0
 
-INSULT, THREAT, INTENT, TARGET, NEGATION, REPORT, QUOTE, BOUNDARY = range(8)
+INSULT, THREAT, INTENT, TARGET, NEGATION, REPORT, QUOTE, BOUNDARY, OWNER, FILL = range(10)
 _LISTS = {
     INSULT: "idiot idiots moron morons stupid pathetic worthless loser losers clown clowns scum trash disgusting dumb imbecile fool filth "
     "vermin garbage idiota estúpido imbécil basura crétin débile ordure dummkopf abschaum trottel",
     THREAT: "kill hurt destroy beat stab shoot murder burn crush punch strangle matar tuer töten",
     INTENT: "will shall gonna going must should deserve deserves want voy vais werde",
-    TARGET: "you your yours yourself u he she him her they them their those these everyone people tú usted vous toi du dich sie",
+    TARGET: "you yours yourself u he she him her they them everyone people tú usted vous toi du dich sie",
+    # A target too, but no object of a command ("beat those eggs").
+    OWNER: "your their those these",
+    # Stand before a command or inside it without ending it.
+    FILL: "go just please now then and so all of every",
     NEGATION: "not no never isn't aren't wasn't don't doesn't didn't won't without hardly kein nicht nie pas jamais nunca",
     REPORT: "said says say claimed claims reported quoted wrote called alleged allegedly according shouted tweeted dijo dit sagte",
 }
 TOKEN = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*|[.!?;:\n\"“”«»]")
+#: A closing quote belongs to the clause that the sign before it ends.
+_CLOSING = re.compile(r"([.!?]+)([\"”»])")
 BASE_WEIGHT = 1.0
 FEATURES = 6
 
@@ -55,51 +63,101 @@ def lexicon(learned: dict[str, float]) -> dict[str, tuple[int, float]]:
     return out
 
 
+def tokens(text: str | None) -> list[str]:
+    """Lower-case words and signs of a text, with one form of apostrophe."""
+    return TOKEN.findall(_CLOSING.sub(r"\2\1", (text or "").lower().replace("’", "'")))
+
+
+def _symbols(place: int, token: str, words: dict[str, tuple[int, float]]) -> list[tuple[int, int, float]]:
+    """(place, symbol, weight) of a token; a contracted will is an intent after its own word."""
+    if token.endswith("'ll") and token not in words:
+        return [(place, *words[w]) for w in (token[:-3], "will") if w in words]
+    return [(place, *words[token])] if token in words else []
+
+
+#: No threat waits for its target. Else 2 * negated + (reported or quoted), so that the least is the heaviest.
+NONE = 4
+REACH = 3
+
+
+def _negation(ago: int, symbol: int | None) -> tuple[int, int]:
+    """Words since a negation (0 none, 1-3 ago, capped); negated."""
+    ago = 1 if symbol == NEGATION else (ago + 1) % (REACH + 2) if ago else 0
+    return ago, int(ago > 0)
+
+
+def _report(state: int, symbol: int | None) -> tuple[int, int]:
+    """1 after a report word, 2 inside quotes; reported."""
+    state = state ^ 2 if symbol == QUOTE else state | int(symbol == REPORT)
+    return state, int(state > 0)
+
+
+def _target(seen: int, symbol: int | None) -> tuple[int, int]:
+    """Whether a target came; and whether one came before this symbol."""
+    return seen or int(symbol in (TARGET, OWNER)), seen
+
+
+def _intent(state: int, symbol: int | None) -> tuple[int, int]:
+    """0 at the begin of the clause, 1 within it, 2 after an intent; what it was before this symbol."""
+    if symbol == INTENT:
+        return 2, state
+    return state or int(symbol not in (FILL, NEGATION, QUOTE)), state
+
+
+def _match(state: tuple[int, int], symbol: int | None, lowered: int, target: int, intent: int) -> tuple[tuple[int, int], str, int]:
+    """(threats after an intent, commands) that wait for a target; output symbol; how it is lowered."""
+    waiting, command = state
+    if symbol == INSULT or symbol == THREAT and intent == 2 and target:
+        return (waiting, NONE), "I" if symbol == INSULT else "T", lowered
+    if symbol == THREAT and intent == 2:
+        return (min(waiting, lowered), NONE), "p", NONE
+    if symbol == THREAT and intent == 0:
+        return (waiting, lowered), "p", NONE
+    if symbol == TARGET and min(state) < NONE or symbol == OWNER and waiting < NONE:
+        return (NONE, NONE), "T", min(state) if symbol == TARGET else waiting
+    return (waiting, command if symbol in (FILL, OWNER, QUOTE) else NONE), "", NONE
+
+
 class Composed:
     """The composition of the five transducers, its arcs made as they are first read.
 
-    A state is one state of each: words since a negation (0 none, 1-3 ago,
-    capped), reported (0/1), target seen (0/1), intent seen (0/1).
+    A state is one state of each: negation, report, target, intent, match.
     """
 
-    REACH = 3
+    BEGIN = (0, 0, 0, 0, (NONE, NONE))
 
     def __init__(self):
         self.arcs: dict[tuple, tuple[tuple, str, float]] = {}
 
     def arc(self, state: tuple, symbol: int | None) -> tuple[tuple, str, float]:
-        """(next state, output symbol, log weight factor) for an input symbol."""
+        """(next state, output symbol, log weight factor) for an input symbol.
+
+        The output is I or T for an insult or threat, small if it is lowered,
+        p for a threat verb whose target has yet to come.
+        """
         key = (state, symbol)
         if key not in self.arcs:
-            ago, reported, target, intent = state
-            if symbol == NEGATION:
-                ago = 1
-            elif ago:
-                ago = (ago + 1) % (self.REACH + 2)
-            reported = 1 - reported if symbol == QUOTE else reported or int(symbol == REPORT)
-            factor, out = 0.0, ""
-            if symbol == INSULT or symbol == THREAT and intent and target:
-                out = "I" if symbol == INSULT else "T"
-                factor += math.log(1.25) if target else 0.0
-                if ago:
-                    out, factor = out.lower(), factor + math.log(0.3)
-                if reported:
-                    out, factor = out.lower(), factor + math.log(0.5)
-            elif symbol == THREAT and intent:
-                out = "p"  # a threat if a target follows
-            target = target or int(symbol == TARGET)
-            intent = intent or int(symbol == INTENT)
-            self.arcs[key] = ((ago, reported, target, intent), out, factor)
+            ago, negated = _negation(state[0], symbol)
+            report, reported = _report(state[1], symbol)
+            target, aimed = _target(state[2], symbol)
+            intent, before = _intent(state[3], symbol)
+            match, out, lowered = _match(state[4], symbol, 2 * negated + reported, aimed, before)
+            factor = 0.0
+            if out in ("I", "T"):
+                factor += math.log(1.25) if aimed or symbol in (TARGET, OWNER) else 0.0
+                factor += (math.log(0.3) if lowered & 2 else 0.0) + (math.log(0.5) if lowered & 1 else 0.0)
+                out = out.lower() if lowered else out
+            self.arcs[key] = ((ago, report, target, intent, match), out, factor)
         return self.arcs[key]
 
     def clause(self, symbols: list[tuple[int, int, float]]) -> tuple[float, float, int]:
         """(total weight, heaviest match, matches that are neither negated nor reported).
 
-        symbols: (word number in the clause, symbol, weight); plain words between them only age a negation.
+        symbols: (word number in the clause, symbol, weight); plain words between them only age a negation and end a command.
         """
-        state, at, total, best, plain, pending = (0, 0, 0, 0), 0, 0.0, 0.0, 0, 0.0
+        state, at, total, best, plain, pending = self.BEGIN, 0, 0.0, 0.0, 0, 0.0
         for place, symbol, weight in symbols:
-            for _ in range(min(place - at, self.REACH + 1)):
+            for _ in range(min(place - at, REACH + 1)):
                 state = self.arc(state, None)[0]
             state, out, factor = self.arc(state, symbol)
             at = place + 1
@@ -107,11 +165,10 @@ class Composed:
             if out == "p":
                 pending = max(pending, weight)
             elif out:
+                if symbol in (TARGET, OWNER):
+                    weight, pending = pending, 0.0
                 got = weight * math.exp(factor)
                 plain += out.isupper()
-            elif symbol == TARGET and pending:
-                got, pending = pending * 1.25, 0.0
-                plain += 1
             total, best = total + got, max(best, got)
         return total, best, plain
 
@@ -121,14 +178,14 @@ _grammar = Composed()
 
 def features(text: str | None, words: dict[str, tuple[int, float]]) -> list[float]:
     """Clause counts and weights of one whole text."""
-    tokens = TOKEN.findall((text or "").lower())
-    hits = [(k, *words[w]) for k, w in enumerate(tokens) if w in words]
+    own = tokens(text)
+    hits = [h for k, w in enumerate(own) if w in words or w.endswith("'ll") for h in _symbols(k, w, words)]
     total = best = 0.0
     matched = plain = 0
     if any(h[1] in (INSULT, THREAT) for h in hits):
         clause: list[tuple[int, int, float]] = []
         begin = 0
-        for k, symbol, weight in itertools.chain(hits, [(len(tokens), BOUNDARY, 0.0)]):
+        for k, symbol, weight in itertools.chain(hits, [(len(own), BOUNDARY, 0.0)]):
             if symbol != BOUNDARY:
                 clause.append((k - begin, symbol, weight))
                 continue
@@ -136,7 +193,7 @@ def features(text: str | None, words: dict[str, tuple[int, float]]) -> list[floa
                 t, b, p = _grammar.clause(clause)
                 total, best, plain, matched = total + t, max(best, b), plain + p, matched + (t > 0)
             clause, begin = [], k + 1
-    n = max(len(tokens), 1)
+    n = max(len(own), 1)
     return [min(total, 12.0), best, min(plain, 8), min(matched, 8), math.log1p(200.0 * total / n), float(total > 0)]
 
 
@@ -145,7 +202,7 @@ def learn_words(rows: list[tuple[str | None, int]]) -> dict[str, float]:
     by = {0: Counter(), 1: Counter()}
     n = Counter()
     for text, label in {(t or "", y) for t, y in rows}:
-        by[label].update({w for w in TOKEN.findall(text.lower()) if w[0].isalpha()})
+        by[label].update({w for w in tokens(text) if w[0].isalpha()})
         n[label] += 1
     out = {}
     for word, c in by[1].items():

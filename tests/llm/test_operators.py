@@ -163,6 +163,29 @@ def test_clauses_not_words_are_scored():
     assert weight("") == weight(None) == weight("a clear day\n") == 0
 
 
+def test_threats_before_their_target():
+    words = toxicity.lexicon({})
+    got = lambda text: tuple(toxicity.features(text, words)[k] for k in (0, 2))
+    threat = got("I will kill you.")
+    assert threat == (1.25, 1) == got("I'll kill you.") == got("we’ll hurt them")
+    assert got("I will kill you. I will hurt them.") == (2.5, 2)
+    for text, factor in (
+        ("I will not kill you.", 0.3),
+        ("We said we will kill them.", 0.5),
+        ('He said "I will kill you."', 0.5),
+        ('"I will kill you," he told us.', 0.5),
+        ("We said we will not kill them.", 0.15),
+        ("I will not kill but burn you.", 0.3),
+        ("Don't kill yourself.", 0.3),
+    ):
+        assert got(text) == (pytest.approx(1.25 * factor), 0), text
+    assert got("I will not kill, and then one day in May I will burn you.") == threat  # the heavier of two
+    assert got('"Go home." I will kill you.') == threat  # the quote is closed
+    assert got("kill yourself") == got("Go and burn them all!") == got("just shoot all of them") == got("kill those people") == threat
+    for clean in ("Kill the process when you leave.", "Beat those eggs.", "They kill time.", "Storms hurt them."):
+        assert got(clean) == (0, 0), clean
+
+
 # ------------------------------------------------------------ pseudonyms
 
 PRIVATE = (
