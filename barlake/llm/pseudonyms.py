@@ -15,11 +15,13 @@ and whatever their separators, and the key's owner can turn them back:
   e-mail addresses, cloud access keys, and values of eight or more
   characters given to a name like token, key or password.
 
-Numbers that fail their validation are left alone.
+Numbers that fail their validation are left alone; a short number beside a
+card, or text after an IBAN of its country's length, hides neither.
 """
 
 from __future__ import annotations
 
+import bisect
 import datetime as dt
 import hashlib
 import re
@@ -82,13 +84,76 @@ def luhn_digit(body: str) -> str:
     return str(-total % 10)
 
 
-def _card(key: bytes, text: str, back: bool) -> str | None:
+_GROUP = re.compile(r"\d+")
+_SHAPES = ([4, 4, 4, 4], [4, 6, 5], [4, 6, 4])
+
+
+def _windows(text: str) -> list[tuple[tuple, int, int]]:
+    """(order, start, end) of what may be a card among groups of digits with single separators, by the layout alone.
+
+    Tried first are single groups, then the usual groupings, then what begins
+    the text, then other groups of four or more digits; longer ones first.
+    """
+    groups = [m.span() for m in _GROUP.finditer(text)]
+    sizes = [b - a for a, b in groups]
+    out = []
+    for i in range(len(groups)):
+        n = 0
+        for j in range(i, len(groups)):
+            n += sizes[j]
+            if n > 19:
+                break
+            own = sizes[i : j + 1]
+            rank = 0 if i == j else 1 if own in _SHAPES else 2 if i == 0 else 3
+            if n >= 13 and (rank < 3 or min(own) >= 4):
+                out.append(((rank, -n, i), groups[i][0], groups[j][1]))
+    return sorted(out)
+
+
+def _is_card(text: str) -> bool:
     digits = re.sub(r"\D", "", text)
-    if not 13 <= len(digits) <= 19 or luhn_digit(digits[:-1]) != digits[-1] or not digits.strip(digits[0]):
+    return luhn_digit(digits[:-1]) == digits[-1] and bool(digits.strip(digits[0]))
+
+
+def _chosen(text: str, windows: list) -> list[tuple[tuple, int, int]]:
+    """The valid windows, taken in order, without overlaps; by place."""
+    used, out = bytearray(len(text)), []
+    for w in windows:
+        if not any(used[w[1] : w[2]]) and _is_card(text[w[1] : w[2]]):
+            used[w[1] : w[2]] = b"1" * (w[2] - w[1])
+            out.append(w)
+    return sorted(out, key=lambda w: w[1])
+
+
+def cards(text: str) -> list[tuple[int, int]]:
+    """Spans of the valid card numbers among groups of digits."""
+    return [w[1:] for w in _chosen(text, _windows(text))]
+
+
+def _card(key: bytes, text: str, back: bool) -> str | None:
+    """All cards of the text.
+
+    Each is walked until the windows that go before it and overlap it are as
+    valid as they were, so that the same places read as cards and turn back.
+    """
+    windows = _windows(text)
+    chosen = _chosen(text, windows)
+    if not chosen:
         return None
-    new = _digits(key, "card", digits[:-1], back)
-    got = iter(new + luhn_digit(new))
-    return "".join(next(got) if c.isdigit() else c for c in text)
+    ends = sorted(windows, key=lambda w: w[1])
+    starts = [w[1] for w in ends]
+    for own in reversed(chosen) if back else chosen:
+        _, a, b = own
+        near = ends[bisect.bisect_left(starts, a - 40) : bisect.bisect_left(starts, b)]  # a window has 37 characters at most
+        rivals = [w for w in near if w[2] > a and w <= own]
+        before = [_is_card(text[c:d]) for _, c, d in rivals]
+        while True:
+            new = _digits(key, "card", re.sub(r"\D", "", text[a:b])[:-1], back)
+            got = iter(new + luhn_digit(new))
+            text = text[:a] + "".join(next(got) if c.isdigit() else c for c in text[a:b]) + text[b:]
+            if [_is_card(text[c:d]) for _, c, d in rivals] == before:
+                break
+    return text
 
 
 def _ssn(key: bytes, text: str, back: bool) -> str | None:
@@ -147,6 +212,25 @@ def _phone(key: bytes, text: str, back: bool) -> str | None:
     return text[:cut] + _digits(key, "phone", text[cut:], back)
 
 
+#: Characters of an IBAN by country.
+IBAN_LENGTH = {
+    c: int(n)
+    for n, codes in (x.split(":") for x in (
+        "15:NO 16:BE 18:DK-FI-FO-GL-NL 19:MK-SI 20:AT-BA-EE-KZ-LT-LU-XK 21:CH-HR-LI-LV 22:BG-BH-CR-DE-GB-GE-IE-ME-RS-VA "
+        "23:AE-GI-IL-IQ-TL 24:AD-CZ-ES-MD-PK-RO-SA-SE-SK-TN-VG 25:LY-PT-ST 26:IS-TR 27:FR-GR-IT-MC-MR-SM 28:AL-AZ-BY-CY-DO-GT-HU-LB-PL-SV "
+        "29:BR-EG-PS-QA-UA 30:JO-KW-MU 31:MT-SC 32:LC"
+    ).split())
+    for c in codes.split("-")
+}
+
+
+def _iban_end(text: str) -> int:
+    """Where an IBAN of its country's length ends in the text; the whole text if none does."""
+    ends = [k + 1 for k, c in enumerate(text) if c != " "]
+    n = IBAN_LENGTH.get(text[:2], len(ends))
+    return ends[n - 1] if n <= len(ends) and not text[ends[n - 1] : ends[n - 1] + 1].isalnum() else len(text)
+
+
 def _iban(key: bytes, text: str, back: bool) -> str | None:
     flat = text.replace(" ", "")
     number = lambda s: int("".join(str(int(c, 36)) for c in s))
@@ -178,9 +262,10 @@ _NUMBER = re.compile(
     r"(?P<ip>\d{1,3}(?:\.\d{1,3}){3})(?![\w]|\.\d)"
     r"|(?P<date>\d{4}([-/.])\d{1,2}\3\d{1,2}|\d{1,2}([-/.])\d{1,2}\4\d{4})(?![\w]|[-/.]\d)"
     r"|(?P<ssn>\d{3}-\d{2}-\d{4})(?![\w-])"
-    r"|(?P<card>\d(?:[ -]?\d){12,18})(?![\w]|[-.]\d)"
     r"|(?P<phone>\+\d{1,3}[ .-]?(?:\(\d{2,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,3}|\(\d{3}\) ?\d{3}[ .-]\d{4}|\d{3}[.-]\d{3}[.-]\d{4})(?![\w]|[-.]\d)"
 )
+# Groups of digits that may hold cards.
+_RUN = re.compile(r"\d+(?:[ -]\d+)*(?!\w|\.\d)")
 _IBAN = re.compile(r"[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w)")
 _LOCAL = re.compile(r"[A-Za-z0-9._%+-]+$")
 _DOMAIN = re.compile(r"@(?:[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?\.)+[A-Za-z]{2,}")
@@ -189,6 +274,24 @@ _ACCESS_KEY = re.compile(r"AKIA([0-9A-Z]{16})(?!\w)")
 _NAMED = re.compile(r"(?i)(token|key|secret|password|passwd|pwd|auth|credential)\w*\s?$")
 
 
+def _free(text: str, begin: int) -> bool:
+    """Whether a number may begin here."""
+    return not begin or not (text[begin - 1].isalnum() or text[begin - 1] in "_.-") or text[begin - 1] == "." and not text[begin - 2 : begin - 1].isdigit()
+
+
+def _run_end(text: str, start: int, limit: int) -> int:
+    """End of the groups of digits from start on that may hold cards: before any other kind, which keeps its own digits."""
+    run = _RUN.match(text, start)
+    if not run:
+        return start
+    stop = run.end()
+    for m in _GROUP.finditer(text, start, stop):
+        other = m.start() > start and text[m.start() - 1] == " " and _NUMBER.match(text, m.start())
+        if other or m.end() > limit:
+            return max(start, m.start() - 1)
+    return stop
+
+
 def find(text: str) -> list[tuple[int, int, str]]:
     """(start, end, kind) of the candidates in a text, without overlaps, in order."""
     spans: list[tuple[int, int, str]] = []
@@ -216,19 +319,26 @@ def find(text: str) -> list[tuple[int, int, str]]:
         got = None
         if start >= 2 and text[start - 2 : start].isalpha() and not text[start - 3 : start - 2].isalnum():
             got = _IBAN.match(text, start - 2)
-            if got and _iban(b"", got[0], False):
-                spans.append((got.start(), got.end(), "iban"))
-                end = got.end()
-                continue
+            if got:
+                stop = got.start() + _iban_end(got[0])
+                if _iban(b"", text[got.start() : stop], False):
+                    spans.append((got.start(), stop, "iban"))
+                    end = stop
+                    continue
             got = None
         for back in (1, 0):
             if back and text[start - 1 : start] not in ("+", "("):
                 continue
             begin = start - back
-            if not begin or not (text[begin - 1].isalnum() or text[begin - 1] in "_.-") or text[begin - 1] == "." and not text[begin - 2 : begin - 1].isdigit():
+            if _free(text, begin):
                 got = _NUMBER.match(text, begin)
                 if got:
                     break
+            if not back and _free(text, start):
+                stop = _run_end(text, start, taken[k][0] if k < len(taken) else len(text))
+                if cards(text[start:stop]):
+                    spans.append((start, stop, "card"))
+                end = stop
         if got:
             spans.append((got.start(), got.end(), got.lastgroup))
             end = got.end()
@@ -250,7 +360,7 @@ def rewrite(text: str, key: bytes, memory: dict, back: bool = False) -> tuple[st
         new = memory[slot]
         if new is None:
             continue
-        counts[KINDS.index(kind)] += 1
+        counts[KINDS.index(kind)] += len(cards(value)) if kind == "card" else 1
         out += [text[at:start], new]
         at = end
     return "".join([*out, text[at:]]) if out else text, counts

@@ -213,6 +213,28 @@ def test_pseudonyms_keep_format_link_and_turn_back(spark, odd, empty):
     assert pseudonyms.pseudonymise(odd, "k").count() == 18 and pseudonyms.pseudonymise(empty, "k").count() == 0
 
 
+def test_values_beside_short_numbers():
+    key = b"k" * 32
+    hide = lambda text, back=False: pseudonyms.rewrite(text, key, {}, back)
+    alone = {c: hide(c)[0] for c in ("4111111111111111", "4012888888881881", "4111 1111 1111 1111", "378282246310005")}
+    for form in ("{} 12/27", "{} 737", "{} 123", "7 {}", "7 {} 12/27", "12 {} 3 4", "{} 2024-05-01", "{} 10.20.30.40", "a {}, b"):
+        for card, new in alone.items():
+            text = form.format(card)
+            got, counts = hide(text)
+            assert new in got and counts[pseudonyms.KINDS.index("card")] == 1, text  # the same pseudonym as alone
+            assert hide(got, True)[0] == text
+    two = "4111111111111111 4012888888881881 99"
+    assert hide(two)[0] == f"{alone['4111111111111111']} {alone['4012888888881881']} 99"
+    iban = "DE89 3704 0044 0532 0130 00"
+    for tail in (" 1234", " 2024 x", " BIC", " 2024-05-01"):
+        got, counts = hide(iban + tail)
+        assert got.startswith(hide(iban)[0]) and counts[pseudonyms.KINDS.index("iban")] == 1 and hide(got, True)[0] == iban + tail
+    rnd = random.Random(4)
+    for _ in range(400):
+        text = "".join("".join(rnd.choices("0123456789", k=rnd.choice([1, 3, 4, 4, 4, 4, 5, 6, 13, 16]))) + rnd.choice("  -") for _ in range(rnd.randrange(2, 40))) + "x"
+        assert hide(hide(text)[0], True)[0] == text
+
+
 def test_permutation_is_one():
     for radices in ([10, 10], [10, 10, 10], [2, 3, 4], [7]):
         size = math.prod(radices)
