@@ -260,18 +260,30 @@ _HEAD = re.compile(r"\d+")
 # Tried at the start of a run of digits (or the "+" or "(" before it).
 _NUMBER = re.compile(
     r"(?P<ip>\d{1,3}(?:\.\d{1,3}){3})(?![\w]|\.\d)"
-    r"|(?P<date>\d{4}([-/.])\d{1,2}\3\d{1,2}|\d{1,2}([-/.])\d{1,2}\4\d{4})(?![\w]|[-/.]\d)"
+    r"|(?P<date>\d{4}([-/.])\d{1,2}\3\d{1,2}|\d{1,2}([-/.])\d{1,2}\4\d{4})(?!(?!T\d)\w|[-/.]\d)"
     r"|(?P<ssn>\d{3}-\d{2}-\d{4})(?![\w-])"
     r"|(?P<phone>\+\d{1,3}[ .-]?(?:\(\d{2,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,3}|\(\d{3}\) ?\d{3}[ .-]\d{4}|\d{3}[.-]\d{3}[.-]\d{4})(?![\w]|[-.]\d)"
 )
 # Groups of digits that may hold cards.
 _RUN = re.compile(r"\d+(?:[ -]\d+)*(?!\w|\.\d)")
 _IBAN = re.compile(r"[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w)")
-_LOCAL = re.compile(r"[A-Za-z0-9._%+-]+$")
+_LOCAL = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789._%+-")
 _DOMAIN = re.compile(r"@(?:[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?\.)+[A-Za-z]{2,}")
-_SECRET = re.compile(r"[=:]\s?(\"?)([A-Za-z0-9_+/-]{8,})\1(?![\w])")
+_SECRET = re.compile(r"[=:]\s?([\"']?)([A-Za-z0-9_+/-]{8,})\1(?![\w])")
 _ACCESS_KEY = re.compile(r"AKIA([0-9A-Z]{16})(?!\w)")
-_NAMED = re.compile(r"(?i)(token|key|secret|password|passwd|pwd|auth|credential)\w*\s?$")
+_NAMED = re.compile(r"(?i)token|key|secret|password|passwd|pwd|auth|credential")
+
+
+def _name(text: str, end: int) -> str:
+    """The whole name, quoted or not, before the sign at ``end``."""
+    if end and text[end - 1].isspace():
+        end -= 1
+    if end and text[end - 1] in "\"'":
+        end -= 1
+    begin = end
+    while begin and (text[begin - 1].isalnum() or text[begin - 1] == "_"):
+        begin -= 1
+    return text[begin:end]
 
 
 def _free(text: str, begin: int) -> bool:
@@ -300,13 +312,15 @@ def find(text: str) -> list[tuple[int, int, str]]:
             spans.append((m.start(1), m.end(1), "secret"))
     if "=" in text or ":" in text:
         for m in _SECRET.finditer(text):
-            if _NAMED.search(text[max(0, m.start() - 40) : m.start()]):
+            if _NAMED.search(_name(text, m.start())):
                 spans.append((m.start(2), m.end(2), "secret"))
     at = text.find("@")
     while at >= 0:
-        local, domain = _LOCAL.search(text[max(0, at - 64) : at]), _DOMAIN.match(text, at)
-        if local and domain:
-            spans.append((at - len(local[0]), domain.end(), "email"))
+        domain, begin = _DOMAIN.match(text, at), at
+        while domain and begin and text[begin - 1] in _LOCAL:
+            begin -= 1
+        if begin < at:
+            spans.append((begin, domain.end(), "email"))
         at = text.find("@", at + 1)
     taken = sorted(spans)
     end, k = 0, 0

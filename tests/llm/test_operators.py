@@ -213,6 +213,31 @@ def test_pseudonyms_keep_format_link_and_turn_back(spark, odd, empty):
     assert pseudonyms.pseudonymise(odd, "k").count() == 18 and pseudonyms.pseudonymise(empty, "k").count() == 0
 
 
+@pytest.mark.parametrize(
+    ("text", "kind", "value"),
+    [
+        ("at 2024-05-01T12:00:00Z, ok", "date", "2024-05-01"),
+        ('{"at":"2024-05-01T12:00:00.5+02:00"}', "date", "2024-05-01"),
+        ('{"password": "hunter2hunter2"}', "secret", "hunter2hunter2"),
+        ("{'api_key': 'hunter2hunter2', 'n': 1}", "secret", "hunter2hunter2"),
+        ("password='hunter2hunter2'", "secret", "hunter2hunter2"),
+        ("password_" + "of_the_service_" * 5 + " = hunter2hunter2", "secret", "hunter2hunter2"),
+        ("x" * 50 + "_token: hunter2hunter2", "secret", "hunter2hunter2"),
+        ("to head." + "a1" * 60 + "@mail.example.org", "email", "head." + "a1" * 60),
+    ],
+)
+def test_common_forms_are_found_and_turn_back(text, kind, value):
+    got, counts = pseudonyms.rewrite(text, b"k" * 32, {})
+    assert value not in got and counts == [int(k == kind) for k in pseudonyms.KINDS]
+    assert kind != "email" or "head" not in got
+    assert pseudonyms.rewrite(got, b"k" * 32, {}, True)[0] == text
+
+
+@pytest.mark.parametrize("text", ["2024-05-01Total", "2024-05-01_1", "monkey business: something", "name='hunter2hunter2'", "@mail.example.org"])
+def test_forms_that_hold_no_value(text):
+    assert pseudonyms.rewrite(text, b"k" * 32, {})[0] == text
+
+
 def test_values_beside_short_numbers():
     key = b"k" * 32
     hide = lambda text, back=False: pseudonyms.rewrite(text, key, {}, back)
