@@ -357,6 +357,20 @@ def test_decontamination(monkeypatch, spark, docs, odd, empty):
     assert decontaminate.drop_contaminated(odd, bench).where("doc_id IS NULL").count() == 2
 
 
+def test_items_of_few_shingles_are_always_found():
+    rnd = random.Random(6)
+    words = lambda n: [f"w{rnd.randrange(10**6)}" for _ in range(n)]
+    items = [words(5 + k % 3) for k in range(600)]  # one to three shingles
+    texts = []
+    for k, item in enumerate(items):
+        body = words(120)
+        at = 0 if k % 2 else rnd.randrange(100)  # half of them in the first block
+        texts.append(" ".join(body[:at] + item + body[at:]))
+    index = decontaminate.ItemIndex(list(range(600)), [" ".join(x) for x in items], 48)
+    assert index.search(*decontaminate.shingles(["", *texts])) == {(k + 1, k) for k in range(600)}
+    assert index.search(*decontaminate.shingles([None, ""])) == set()
+
+
 # ------------------------------------------------------------ line dedup
 
 
