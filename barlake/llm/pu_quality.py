@@ -136,17 +136,18 @@ def fit_pu(positive: np.ndarray, unlabelled: np.ndarray, l2: float = 1e-4) -> tu
 
 
 def fit(docs: DataFrame, positives: DataFrame, excluded: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> dict:
-    """The model from the ids in ``positives`` and, as unlabelled text, all other documents.
+    """The model from the ids in ``positives`` and, as unlabelled text, all documents, the positives too.
 
-    ``excluded`` ids (held out, or labelled otherwise) are read on neither
-    side. Without a positive or an unlabelled row the model is flat: every
+    The class prior is a share of all documents, so the unlabelled side is
+    drawn from all, whatever their label. ``excluded`` ids (held out) are
+    read on neither side. Without a positive or an unlabelled row the model is flat: every
     score is 0.5.
     """
     ids = lambda d: d.select(F.col(id_col).cast("long").alias("id")).where("id IS NOT NULL").distinct()
     first = lambda d: d.orderBy(F.xxhash64("id"), "id").limit(MAX_ROWS)
     every = docs.select(F.col(id_col).cast("long").alias("id"))
-    good = first(ids(positives).join(every.distinct(), "id", "left_semi"))
-    rest = first(every.where("id IS NOT NULL").distinct().join(ids(positives).union(ids(excluded)), "id", "left_anti"))
+    good = first(ids(positives).join(every.distinct(), "id", "left_semi").join(ids(excluded), "id", "left_anti"))
+    rest = first(every.where("id IS NOT NULL").distinct().join(ids(excluded), "id", "left_anti"))
     chosen = good.withColumn("side", F.lit(1)).union(rest.withColumn("side", F.lit(0)))
     # A bounded side: at most 2 * MAX_ROWS pairs of numbers.
     text = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))

@@ -75,9 +75,8 @@ def op9_ctw(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
     positives = labels.where((_remainder(5) != 0) & (F.col("quality") == 1))
-    others = labels.where((_remainder(5) == 0) | (F.col("quality") != 1)).select("doc_id")
     held_out = docs.where(_remainder(5) == 0).select("doc_id")
-    model = pu_quality.fit(docs, positives, others.union(held_out))
+    model = pu_quality.fit(docs, positives, held_out)
     out = pu_quality.score(docs, model)
     return out.select(
         "doc_id",

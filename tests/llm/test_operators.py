@@ -10,7 +10,7 @@ import brute
 import pytest
 from pyspark.sql import functions as F
 
-from barlake.llm import ctw, decontaminate, line_dedup, near_dup, pseudonyms, pu_quality, quality_rules, sentencepiece_fst, suffix_dedup, toxicity
+from barlake.llm import ctw, decontaminate, line_dedup, near_dup, pseudonyms, pu_quality, quality_rules, queries, sentencepiece_fst, suffix_dedup, toxicity
 
 ROWS, PASSAGE, VOCABULARY = brute.corpus()
 
@@ -446,3 +446,18 @@ def test_quality_from_positives_alone(spark, odd, empty):
     assert pu_quality.score(odd, model).count() == 18 and pu_quality.score(empty, model).count() == 0
     flat = pu_quality.fit(empty, ids([]), ids([]))
     assert {r.score for r in pu_quality.score(odd, flat).collect()} == {0.5}
+
+
+def test_quality_where_every_document_has_a_label(spark, tmp_path):
+    rnd = random.Random(13)
+    rows, good = [], {}
+    for i in range(2000):
+        words = [rnd.choice(VOCABULARY) for _ in range(rnd.randrange(20, 90))]
+        good[i] = rnd.random() < 0.6
+        rows.append((i, " ".join(words) + "." if good[i] else " ".join(f"{w}$$$" if rnd.random() < 0.8 else w.upper() for w in words)))
+    brute.frame(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    labels = spark.createDataFrame([(i, int(g), None) for i, g in good.items()], "doc_id long, quality int, toxic int")
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    got = {r.doc_id: r for r in queries.op10_pu_quality(spark, str(tmp_path)).collect()}
+    held = [i for i in good if got[i].held_out]
+    assert len(held) > 200 and sum(got[i].predicted == good[i] for i in held) >= 0.95 * len(held)
