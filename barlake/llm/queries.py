@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ctw, decontaminate, line_dedup, near_dup, pseudonyms, pu_quality, quality_rules, sentencepiece_fst, suffix_dedup, toxicity
+from . import ctw, curriculum, decontaminate, line_dedup, near_dup, pivot_codes, pseudonyms, pu_quality, quality_rules, sentencepiece_fst, suffix_dedup, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -104,6 +104,24 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, model = pivot_codes.compress(_table(spark, sf_dir, "embeddings"))
+    out = pivot_codes.label_errors(coded)
+    return out.select(F.col("id").alias("vec_id"), "code", "error", "label_error", F.lit(model.sha256()).alias("codebooks_sha256"))
+
+
+#: Weights of the sources in code point order, repeating.
+SOURCE_WEIGHTS = (5, 2, 1)
+
+
+def op13_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    planned = curriculum.plan(docs, curriculum.repeating(docs, SOURCE_WEIGHTS))
+    first = F.get("copies", F.lit(0))["position"].alias("position")
+    out = planned.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken", first)
+    return out.orderBy("position", "doc_id")
+
+
 OP5_SQL = """
 WITH bytes AS (
     SELECT doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents
@@ -158,6 +176,94 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
 FROM marked GROUP BY doc_id
 """
 
+
+
+def _op11_sql(rounds: int = 6) -> str:
+    steps = [
+        """
+WITH v AS MATERIALIZED (
+    SELECT row_number() OVER (ORDER BY vec_id, embedding) AS r, vec_id, label,
+           list_transform(embedding, lambda x: CAST(floor(4096 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+    FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), components AS MATERIALIZED (
+    SELECT r, p, i, e[p * w + i] AS x
+    FROM v, (SELECT max(len(e)) // 8 AS w FROM v) AS s, range(8) AS a(p), range(1, 1025) AS b(i) WHERE i <= w
+), c0 AS MATERIALIZED (SELECT p, r - 1 AS k, i, x AS c FROM components WHERE r <= 16)"""
+    ]
+    for n in range(rounds + 1):
+        steps.append(f"""
+a{n} AS MATERIALIZED (
+    SELECT r, p, min(d * 16 + k) AS m
+    FROM (SELECT r, p, k, CAST(sum((x - c) * (x - c)) AS HUGEINT) AS d FROM components JOIN c{n} USING (p, i) GROUP BY r, p, k)
+    GROUP BY r, p
+)""")
+        if n < rounds:
+            steps.append(f"""
+u{n + 1} AS MATERIALIZED (
+    SELECT p, m % 16 AS k, i, sum(x) AS s, count(*) AS n FROM components JOIN a{n} USING (r, p) GROUP BY p, m % 16, i
+), c{n + 1} AS MATERIALIZED (
+    SELECT p, k, i, CASE WHEN n IS NULL THEN c ELSE CAST((s - ((s % n) + n) % n) // n AS BIGINT) END AS c FROM c{n} LEFT JOIN u{n + 1} USING (p, k, i)
+)""")
+    end = f"""
+, books AS (SELECT sha256(string_agg(CAST(c AS VARCHAR), ',' ORDER BY p, k, i)) AS h FROM c{rounds}),
+coded AS (
+    SELECT r, string_agg(printf('%02x', CAST(m % 16 AS BIGINT)), '' ORDER BY p) AS code, CAST(sum(m // 16) AS BIGINT) AS error FROM a{rounds} GROUP BY r
+)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, h AS codebooks_sha256
+FROM v JOIN coded USING (r), books"""
+    return ",".join(steps) + end
+
+
+OP13_SQL = """
+WITH sized AS (
+    SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS size FROM documents
+), ordered AS (
+    SELECT doc_id, source, size,
+           md5(coalesce(CAST(doc_id AS VARCHAR), '') || '/' || size || '/'
+               || ((row_number() OVER (PARTITION BY doc_id, source, size) - 1) // 1000)) AS k
+    FROM sized
+), begun AS (
+    SELECT doc_id, source, size,
+           coalesce(sum(size) OVER (PARTITION BY source ORDER BY k, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS word
+    FROM ordered
+), sources AS (
+    SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+           [5, 2, 1][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS w
+    FROM sized GROUP BY source
+), shares AS (
+    SELECT *, 3 * source_size AS most, sum(source_size) OVER () AS words,
+           row_number() OVER (ORDER BY source_size / w, w, source NULLS LAST) AS j
+    FROM sources
+), sums AS (
+    SELECT *, words - coalesce(sum(most) OVER (ORDER BY j ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS shared,
+           sum(w) OVER (ORDER BY j ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS heavy
+    FROM shares
+), settled AS (
+    SELECT j AS stop, shared AS s, heavy AS h FROM sums WHERE shared * w <= most * heavy ORDER BY j LIMIT 1
+), aims AS (
+    SELECT source, source_size, w, CASE WHEN j < stop THEN CAST(most AS DOUBLE) ELSE CAST(s AS DOUBLE) * w / CAST(h AS DOUBLE) END AS target
+    FROM sums, settled
+), due AS (
+    SELECT doc_id, size, source_size, w, target, CAST(word AS BIGINT) AS word, CAST(round(target) AS BIGINT) AS d
+    FROM begun b JOIN aims a ON b.source IS NOT DISTINCT FROM a.source
+), placed AS (
+    SELECT *, least(greatest(d - word, 0), size) + least(greatest(d - source_size - word, 0), size)
+              + least(greatest(d - 2 * source_size - word, 0), size) AS taken,
+           CAST(word AS DOUBLE) * w / target AS y
+    FROM due
+)
+SELECT doc_id, size, source_size, target, CAST(taken AS BIGINT) AS taken,
+       CASE WHEN taken = 0 THEN NULL
+            WHEN y <= 0 THEN 0.0
+            WHEN w = 5 THEN 0.0 + 2 * y / (7.5e0 + sqrt(greatest(7.5e0 * 7.5e0 + 2 * (2.5e0 - 7.5e0) / 1e0 * y, 0e0)))
+            WHEN w = 1 THEN 0.0 + 2 * y / (0.5e0 + sqrt(greatest(0.5e0 * 0.5e0 + 2 * (1.5e0 - 0.5e0) / 1e0 * y, 0e0)))
+            WHEN y < 1 THEN 0.0 + 2 * y / (1e0 + sqrt(greatest(1e0 + 2 * (3e0 - 1e0) / 0.5e0 * y, 0e0)))
+            WHEN y = 1 THEN 0.5
+            ELSE 0.5e0 + 2 * (y - 1) / (3e0 + sqrt(greatest(9e0 + 2 * (1e0 - 3e0) / 0.5e0 * (y - 1), 0e0))) END AS position
+FROM placed
+"""
+
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_quality_rules": op2_quality_rules,
@@ -169,6 +275,8 @@ QUERIES = {
     "op8_line_dedup": op8_line_dedup,
     "op9_ctw": op9_ctw,
     "op10_pu_quality": op10_pu_quality,
+    "op11_vector_codes": op11_vector_codes,
+    "op13_source_mix": op13_source_mix,
 }
 
-ORACLES = {"op5_suffix_dedup": OP5_SQL, "op8_line_dedup": OP8_SQL}
+ORACLES = {"op5_suffix_dedup": OP5_SQL, "op8_line_dedup": OP8_SQL, "op11_vector_codes": _op11_sql(), "op13_source_mix": OP13_SQL}
