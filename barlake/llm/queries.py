@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ctw, curriculum, decontaminate, line_dedup, near_dup, pivot_codes, pseudonyms, pu_quality, quality_rules, sentencepiece_fst, suffix_dedup, toxicity
+from . import collocations, ctw, curriculum, decontaminate, line_dedup, near_dup, pivot_codes, pseudonyms, pu_quality, quality_rules, sentencepiece_fst, suffix_dedup, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -110,6 +110,10 @@ def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("id").alias("vec_id"), "code", "error", "label_error", F.lit(model.sha256()).alias("codebooks_sha256"))
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_table(spark, sf_dir, "documents"))
+
+
 #: Weights of the sources in code point order, repeating.
 SOURCE_WEIGHTS = (5, 2, 1)
 
@@ -215,6 +219,47 @@ FROM v JOIN coded USING (r), books"""
     return ",".join(steps) + end
 
 
+OP12_SQL = """
+WITH texts AS (
+    SELECT coalesce(lang, 'und') AS lang,
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
+    FROM documents
+), pieces AS (
+    SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM texts
+), split AS (
+    SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM pieces
+), sizes AS (
+    SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM split GROUP BY lang
+), counts AS MATERIALIZED (
+    SELECT lang, k, phrase, count(*) AS f
+    FROM (SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i : i + k - 1], ' '))) AS phrase
+          FROM split, range(1, 5) AS r(k) WHERE len(w) >= k)
+    GROUP BY lang, k, phrase HAVING count(*) >= 30
+), candidates AS (
+    SELECT lang, k, phrase, f, string_split(phrase, ' ') AS w FROM counts WHERE k >= 2
+), cuts AS (
+    SELECT lang, phrase, f, c, array_to_string(w[1:c], ' ') AS x, array_to_string(w[c + 1:k], ' ') AS y
+    FROM candidates, range(1, 4) AS r(c) WHERE c < k
+), scored AS (
+    SELECT s.lang, s.phrase, s.f AS a, s.c, x.f AS l, y.f AS r,
+           CAST((CAST(2000000 AS HUGEINT) * s.f) // (x.f + y.f) AS BIGINT) AS score
+    FROM cuts s JOIN counts x ON x.lang = s.lang AND x.phrase = s.x JOIN counts y ON y.lang = s.lang AND y.phrase = s.y
+), best AS (
+    SELECT lang, phrase, a, l, r, score FROM scored
+    QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, c) = 1
+), swallowed AS (
+    SELECT DISTINCT c.lang, c.phrase
+    FROM (SELECT lang, f, array_to_string(w[i : i + m - 1], ' ') AS part
+          FROM candidates, range(2, 4) AS s(m), range(1, 4) AS t(i) WHERE m < k AND i + m - 1 <= k) AS longer
+    JOIN candidates c ON c.lang = longer.lang AND c.phrase = longer.part
+    WHERE 100 * longer.f >= 80 * c.f
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank
+    FROM best ANTI JOIN swallowed USING (lang, phrase)
+)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN sizes USING (lang) WHERE rank <= 2000
+"""
+
 OP13_SQL = """
 WITH sized AS (
     SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS size FROM documents
@@ -276,7 +321,14 @@ QUERIES = {
     "op9_ctw": op9_ctw,
     "op10_pu_quality": op10_pu_quality,
     "op11_vector_codes": op11_vector_codes,
+    "op12_collocations": op12_collocations,
     "op13_source_mix": op13_source_mix,
 }
 
-ORACLES = {"op5_suffix_dedup": OP5_SQL, "op8_line_dedup": OP8_SQL, "op11_vector_codes": _op11_sql(), "op13_source_mix": OP13_SQL}
+ORACLES = {
+    "op5_suffix_dedup": OP5_SQL,
+    "op8_line_dedup": OP8_SQL,
+    "op11_vector_codes": _op11_sql(),
+    "op12_collocations": OP12_SQL,
+    "op13_source_mix": OP13_SQL,
+}
