@@ -7,8 +7,8 @@ phrase that begins with it scores above
     bound = min over k < length of  floor(scale * a / (f_k + a)),
 
 which is an admissible bound (a score's r is never below its a). Words have no
-bound but the least count; so words and pairs are counted at once. From then on
-only the frontier is expanded: the phrases of highest bound are looked up in the
+bound but the least count: the pairs of words that reach it are all counted. From
+then on only the frontier is expanded: the phrases of highest bound are looked up in the
 texts in one pass, which counts the phrases that extend them by a word to the
 right (their children) and, where a phrase is itself a contender, to the left.
 The two counts settle whether a contender is swallowed by a longer phrase. A
@@ -18,7 +18,7 @@ that few passes are made; phrases below the bound are never counted.
 
 Nothing of the corpus is collected. A pass tests phrases against a bit array
 of fixed size, made from the frontier's hashes by Spark; false hits only count
-phrases that are then not asked for.
+phrases that nobody asked for. Counts are by phrase, not by hash.
 """
 
 from __future__ import annotations
@@ -29,7 +29,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -37,10 +37,11 @@ from pyspark.sql.window import Window
 from barlake.session import scratch_path
 
 from .lookups import HOT_SHARE, look_up
+from .shingles import _BASE, _INVERSE, _power, mix
 
 LONGEST = 4
 #: Bytes of text whose phrases are counted at once.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 1 << 20
 #: log2 of the bits of the frontier's array (8 MB).
 FILTER_BITS = 26
 #: Frontier of the first expansion, as a multiple of the limit.
@@ -51,157 +52,187 @@ PHRASE_CHARS = 1000
 RANK_ROWS = 100_000
 
 _RIGHT, _LEFT, _EXACT = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
-_LOWER = bytes.maketrans(
-    b"ABCDEFGHIJKLMNOPQRSTUVWXYZ\t.,;:!?\x0b\x0c\r", b"abcdefghijklmnopqrstuvwxyz \n\n\n\n\n\n\n\n\n"
-)
-_TOKEN = re.compile(rb"[^ \n]+|\n")
+#: A-Z lower-cased, tabs as spaces, ends of pieces as newlines.
+_PLAIN = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ\t.,;:!?\x0b\x0c\r", b"abcdefghijklmnopqrstuvwxyz \n\n\n\n\n\n\n\n\n")
 _GAP = re.compile(rb"[ \n]")
 COUNTS = "lang string, n int, phrase string, a long"
 
 
-# ------------------------------------------------------------ texts to tokens
+# ------------------------------------------------------------ texts to words
 
 
-def _slices(texts: list[str | None], size: int) -> Iterator[tuple[list[bytes], int]]:
-    """(tokens, number of them that are new starts) of joined texts, cut between words.
+class _Words:
+    """Words of translated bytes: their edges, 64-bit hashes, and whether the next stands in the same piece.
 
-    Pieces are separated by a newline token. Each slice ends with the tokens
-    that its last starts may need; they come again as the next one's first.
+    Two different words, or phrases, share a hash with probability 2**-64.
     """
-    data = b"\n".join((t or "").encode("utf-8", "surrogatepass") for t in texts).translate(_LOWER)
-    held: list[bytes] = []
-    begin, end = 0, len(data)
-    while begin < end:
-        gap = _GAP.search(data, min(begin + size, end))
-        stop = gap.start() if gap else end
-        held += _TOKEN.findall(data, begin, stop)
-        begin = stop
-        starts = len(held) if stop == end else max(len(held) - LONGEST + 1, 0)
-        yield held, starts
-        held = held[starts:]
-
-
-class _Numbered:
-    """Tokens of one slice as numbers (-1: newline), with the distinct words behind them."""
-
-    def __init__(self, tokens: list[bytes]):
-        number: dict[bytes, int] = {b"\n": -1}
-        add = number.setdefault
-        self.ids = np.fromiter((add(t, len(number) - 1) for t in tokens), np.int64, len(tokens))
-        self.words = list(number)[1:]
+
+    def __init__(self, data: bytes, seed: int):
+        self.data = data
+        self.raw = raw = np.frombuffer(data, np.uint8)
+        line = raw == 10
+        gap = line | (raw == 32)
+        edge = np.flatnonzero(np.diff(np.concatenate(([True], gap, [True])).astype(np.int8)))
+        self.begin, self.end = edge[::2], edge[1::2]
+        total = np.zeros(len(raw) + 1, np.uint64)
+        np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * _power(_BASE, len(raw)), out=total[1:])
+        own = (total[self.end] - total[self.begin]) * _power(_INVERSE, len(raw) + 1)[self.begin]
+        self.hashes = mix(own + np.uint64(seed))
+        lines = np.cumsum(line, dtype=np.int32)
+        self.joined = lines[self.end[:-1] - 1] == lines[self.begin[1:]]
+
+    def __len__(self) -> int:
+        return len(self.begin)
 
     def starts(self, n: int, limit: int) -> np.ndarray:
-        """Positions below ``limit`` at which n words stand in one piece."""
-        ok = self.ids >= 0
-        last = len(ok) - n + 1
+        """Words below ``limit`` at which n words stand in one piece."""
+        last = len(self) - n + 1
         if last <= 0:
             return np.zeros(0, np.int64)
-        every = ok[:last].copy()
+        ok = np.ones(last, bool)
+        for j in range(n - 1):
+            ok &= self.joined[j : last + j]
+        return np.flatnonzero(ok[:limit])
+
+    def chain(self, at: np.ndarray, n: int) -> np.ndarray:
+        """Hashes of the n words from each position."""
+        out = self.hashes[at]
         for j in range(1, n):
-            every &= ok[j : last + j]
-        return np.flatnonzero(every[:limit])
+            out = mix(out * np.uint64(0xD6E8FEB86659FD93) + self.hashes[at + j])
+        return out
 
-    def count(self, at: np.ndarray, n: int) -> tuple[list[str], np.ndarray]:
+    def count(self, at: np.ndarray, n: int) -> tuple[pa.Array, np.ndarray]:
         """The distinct phrases of n words at the positions, and how often each stands there."""
-        code = self.ids[at]
-        width = len(self.words)
-        for j in range(1, n):  # each step renumbers, so codes stay below the number of positions times words
-            if j > 1:
-                code = np.unique(code, return_inverse=True)[1]
-            code = code * width + self.ids[at + j]
-        _, first, counts = np.unique(code, return_index=True, return_counts=True)
-        rows = self.ids[at[first][:, None] + np.arange(n)].tolist()
-        words = self.words
-        return [b" ".join([words[i] for i in r]).decode("utf-8", "surrogatepass") for r in rows], counts
-
-
-def _chain(hashes: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
-    """64-bit hashes of n consecutive words."""
-    out = hashes[at]
-    for j in range(1, n):
-        out = (out ^ (out >> np.uint64(29))) * np.uint64(0xD6E8FEB86659FD93) + hashes[at + j]
-    return out
-
-
-def _bit(hashes: np.ndarray, role: np.uint64) -> np.ndarray:
-    x = hashes * role
-    return (x ^ (x >> np.uint64(31))) * np.uint64(0x94D049BB133111EB) >> np.uint64(64 - FILTER_BITS)
-
-
-def _word_hashes(words: list[bytes], lang: str) -> np.ndarray:
-    seed = zlib.crc32(lang.encode("utf-8", "surrogatepass"))
-    return np.fromiter((xxhash.xxh3_64_intdigest(w, seed) for w in words), np.uint64, len(words))
-
-
-def _by_lang(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list]]:
+        _, first, counts = np.unique(self.chain(at, n), return_index=True, return_counts=True)
+        at = at[first]
+        begin, end = self.begin[at], self.end[at + n - 1]
+        wide = np.zeros(len(at), bool)  # more than one space between two words
+        for j in range(n - 1):
+            wide |= self.begin[at + j + 1] - self.end[at + j] > 1
+        sizes = (end - begin)[~wide]
+        ends = np.cumsum(sizes)
+        index = np.repeat(begin[~wide] - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)
+        offsets = np.concatenate(([0], ends)).astype(np.int32)
+        plain = pa.Array.from_buffers(pa.string(), len(sizes), [None, pa.py_buffer(offsets), pa.py_buffer(self.raw[index])])
+        rest = [re.sub(b" +", b" ", self.data[b:e]).decode() for b, e in zip(begin[wide].tolist(), end[wide].tolist(), strict=True)]
+        return pa.concat_arrays([plain, pa.array(rest, pa.string())]), np.concatenate([counts[~wide], counts[wide]])
+
+
+def _seed(lang: str) -> int:
+    return zlib.crc32(lang.encode()) * 0x9E3779B97F4A7C15 % 2**64
+
+
+def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, bytes]]:
+    """(lang, translated texts of it), about SLICE_BYTES at a time; a longer text comes alone."""
     for batch in batches:
-        langs = batch.column(0).to_pylist()
-        column = batch.column(1)
         groups: dict[str, list[int]] = {}
-        for i, lang in enumerate(langs):
+        for i, lang in enumerate(batch.column(0).to_pylist()):
             groups.setdefault(lang, []).append(i)
+        texts = batch.column(1).cast(pa.binary())
+        sizes = np.asarray(pc.binary_length(texts), np.int64)
         for lang, rows in groups.items():
-            yield lang, column.take(pa.array(rows)).to_pylist()
+            part = (np.cumsum(sizes[rows]) - 1) // SLICE_BYTES
+            for some in np.split(np.array(rows), np.flatnonzero(np.diff(part)) + 1):
+                yield lang, b"\n".join(texts.take(pa.array(some)).to_pylist()).translate(_PLAIN)
+
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, _Words, int]]:
+    """(lang, words, number of them that are new starts) of all texts, joined.
 
-def _rows(lang: str, n: int, phrases: list[str], counts: np.ndarray) -> pa.RecordBatch:
+    Texts are cut between words, whatever their length. The words that a
+    slice's last starts may need come again as the next one's first.
+    """
+    for lang, data in _joined(batches):
+        begin, size = 0, 3 * SLICE_BYTES // 2
+        while begin < len(data):
+            gap = _GAP.search(data, min(begin + size, len(data)))
+            stop = gap.start() if gap else len(data)
+            words = _Words(data[begin:stop], _seed(lang))
+            starts = len(words) if stop == len(data) else len(words) - LONGEST + 1
+            if starts <= 0 and stop < len(data):
+                size *= 2  # very long words
+                continue
+            if len(words):
+                yield lang, words, starts
+            begin = stop if starts == len(words) else begin + int(words.begin[starts])
+            size = 3 * SLICE_BYTES // 2
+
+
+def _rows(lang: str, n: int, phrases: pa.Array, counts: np.ndarray) -> pa.RecordBatch:
+    langs = pa.array(np.zeros(len(phrases), np.int32))
     return pa.RecordBatch.from_arrays(
-        [pa.array([lang] * len(phrases), pa.string()), pa.array(np.full(len(phrases), n, np.int32)), pa.array(phrases, pa.string()), pa.array(counts, pa.int64())],
+        [pa.DictionaryArray.from_arrays(langs, pa.array([lang])).cast(pa.string()), pa.array(np.full(len(phrases), n, np.int32)), phrases, pa.array(counts, pa.int64())],
         names=["lang", "n", "phrase", "a"],
     )
 
 
-def _count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Words and pairs of every slice, counted; n = 0 is the number of words."""
-    for lang, texts in _by_lang(batches):
-        for tokens, limit in _slices(texts, SLICE_BYTES):
-            numbered = _Numbered(tokens)
-            for n in (1, 2):
-                at = numbered.starts(n, limit)
-                if n == 1 and len(at):
-                    yield _rows(lang, 0, [""], np.array([len(at)]))
-                if len(at):
-                    yield _rows(lang, n, *numbered.count(at, n))
+def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Words of every slice, counted; n = 0 is their number."""
+    for lang, words, limit in _slices(batches):
+        yield _rows(lang, 0, pa.array([""]), np.array([limit]))
+        yield _rows(lang, 1, *words.count(np.arange(limit), 1))
+
 
+def _asked(bits: np.ndarray, hashes: np.ndarray, role: np.uint64) -> np.ndarray:
+    bit = _bit(hashes, role)
+    return (bits[bit >> np.uint64(6)] >> (bit & np.uint64(63))) & np.uint64(1) > 0
 
-def _count_extensions(filter_: np.ndarray) -> Callable:
+
+def _pair_hashes(bits: np.ndarray) -> Callable:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Phrases of three and four words that extend a phrase of the frontier, counted by slice."""
-
-        def asked(hashes: np.ndarray, role: np.uint64) -> np.ndarray:
-            bit = _bit(hashes, role)
-            return (filter_[bit >> np.uint64(6)] >> (bit & np.uint64(63))) & np.uint64(1) > 0
-
-        for lang, texts in _by_lang(batches):
-            for tokens, limit in _slices(texts, SLICE_BYTES):
-                numbered = _Numbered(tokens)
-                hashes = np.concatenate([_word_hashes(numbered.words, lang), np.zeros(1, np.uint64)])[numbered.ids]
-                for n in range(3, LONGEST + 1):
-                    at = numbered.starts(n, limit)
-                    if not len(at):
-                        continue
-                    hit = asked(_chain(hashes, at, n - 1), _RIGHT) | asked(_chain(hashes, at + 1, n - 1), _LEFT)
-                    if n < LONGEST:
-                        hit |= asked(_chain(hashes, at, n), _EXACT)
-                    at = at[hit]
-                    if len(at):
-                        yield _rows(lang, n, *numbered.count(at, n))
+        """Hashes of pairs of two words of the frontier, counted by slice."""
+        for _, words, limit in _slices(batches):
+            at = words.starts(2, limit)
+            at = at[_asked(bits, words.hashes[at], _RIGHT) & _asked(bits, words.hashes[at + 1], _LEFT)]
+            hashes, counts = np.unique(words.chain(at, 2), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(counts, pa.int64())], names=["hash", "a"])
 
     return count
 
 
+def _count_extensions(bits: np.ndarray, lengths: tuple[int, ...]) -> Callable:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Phrases that were asked for, or extend one of the frontier by a word, counted by slice."""
+        for lang, words, limit in _slices(batches):
+            for n in lengths:
+                at = words.starts(n, limit)
+                hit = _asked(bits, words.chain(at, n), _EXACT) if n < LONGEST else np.zeros(len(at), bool)
+                if n > 2:
+                    hit |= _asked(bits, words.chain(at, n - 1), _RIGHT) | _asked(bits, words.chain(at + 1, n - 1), _LEFT)
+                if hit.any():
+                    yield _rows(lang, n, *words.count(at[hit], n))
+
+    return count
+
+
+def _bit(hashes: np.ndarray, role: np.uint64) -> np.ndarray:
+    return mix(hashes * role) >> np.uint64(64 - FILTER_BITS)
+
+
+def _bit_rows(bit: np.ndarray) -> pa.RecordBatch:
+    at, inverse = np.unique(bit >> np.uint64(6), return_inverse=True)
+    value = np.zeros(len(at), np.uint64)
+    np.bitwise_or.at(value, inverse, np.uint64(1) << (bit & np.uint64(63)))
+    return pa.RecordBatch.from_arrays([pa.array(at.astype(np.int64)), pa.array(value.view(np.int64))], names=["word", "bits"])
+
+
+def _bits_of_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        yield _bit_rows(_bit(np.asarray(batch.column(0)).view(np.uint64), _EXACT))
+
+
 def _bits_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (lang, phrase, role) as (word of the bit array, its bits)."""
-    roles = [_RIGHT, _LEFT, _EXACT]
     for batch in batches:
-        words, bits = [], []
+        groups: dict[tuple[str, int], list[str]] = {}
         for lang, phrase, role in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            parts = phrase.encode("utf-8", "surrogatepass").split(b" ")
-            whole = _chain(_word_hashes(parts, lang), np.zeros(1, np.int64), len(parts))
-            bit = int(_bit(whole, roles[role])[0])
-            words.append(bit >> 6)
-            bits.append((1 << (bit & 63)) - (1 << 64 if bit & 63 == 63 else 0))
-        yield pa.RecordBatch.from_arrays([pa.array(words, pa.int64()), pa.array(bits, pa.int64())], names=["word", "bits"])
+            groups.setdefault((lang, role), []).append(phrase)
+        for (lang, role), phrases in groups.items():
+            words = _Words("\n".join(phrases).encode(), _seed(lang))
+            first = np.flatnonzero(np.concatenate(([True], ~words.joined)))
+            sizes = np.diff(np.append(first, len(words)))
+            for n in range(1, LONGEST):
+                yield _bit_rows(_bit(words.chain(first[sizes == n], n), [_RIGHT, _LEFT, _EXACT][role]))
 
 
 # ------------------------------------------------------------ the search
@@ -222,16 +253,25 @@ class Search:
         self.texts = docs.select(
             F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")
         )
-        counts = self.texts.mapInArrow(_count_pairs, COUNTS).groupBy("lang", "n", "phrase").agg(F.sum("a").alias("a"))
+        counts = self._counts(_count_words)
         counts = self._kept(counts.where((F.col("n") == 0) | (F.col("a") >= least)))
         self.sizes = counts.where("n = 0").select("lang", F.col("a").alias("n_words"))
         self.words = self.sizes.agg(F.sum("n_words")).first()[0] or 0
         self.known = counts.where("n > 0")
+        ends = self.known.select("lang", "phrase", F.explode(F.array(F.lit(0), F.lit(1))).alias("role"))
+        # Pairs are counted by their hashes first: a hash that reaches least is asked for, by its phrase.
+        hashes = self.texts.mapInArrow(_pair_hashes(self._bit_array(ends)), "hash long, a long").groupBy("hash").agg(F.sum("a").alias("a"))
+        heavy = hashes.where(F.col("a") >= least).select("hash").mapInArrow(_bits_of_hashes, "word long, bits long")
+        pairs = self._counts(_count_extensions(self._bit_numbers(heavy), (2,))).where(F.col("a") >= least)
+        self.known = self._kept(self.known.union(pairs))
         #: Scored phrases: all pairs, and the children of expanded phrases.
         self.scored = self._kept(self._scores(self.known.where("n = 2")))
         #: Phrases whose longer neighbours to the right (and, if left, to the left) are all in known.
         self.expanded = self._kept(self.scored.limit(0).select("lang", "phrase", F.lit(False).alias("left")))
 
+    def _counts(self, counting: Callable) -> DataFrame:
+        return self.texts.mapInArrow(counting, COUNTS).groupBy("lang", "n", "phrase").agg(F.sum("a").alias("a"))
+
     def _kept(self, rows: DataFrame) -> DataFrame:
         """rows, written to the shared folder and read again."""
         name = f"{self.path}/{self.made}"
@@ -311,8 +351,8 @@ class Search:
             return state.where(sure & (F.col("score") >= F.col("tau")))
         roles = batch.select("lang", "phrase", F.lit(0).alias("role"))
         roles = roles.union(batch.where("left").select("lang", "phrase", F.lit(1))).union(asked.select("lang", "phrase", F.lit(2)))
-        counting = _count_extensions(self._bit_array(roles))
-        found = self.texts.mapInArrow(counting, COUNTS).groupBy("lang", "n", "phrase").agg(F.sum("a").alias("a")).where(F.col("a") >= self.least)
+        counting = _count_extensions(self._bit_array(roles), tuple(range(3, LONGEST + 1)))
+        found = self._counts(counting).where(F.col("a") >= self.least)
         # A pass counts a phrase everywhere or not at all: every count is exact, those of false hits too.
         found = self._kept(found.join(self.known, ["lang", "n", "phrase"], "left_anti"))
         self.known = self._kept(self.known.union(found))
@@ -327,8 +367,12 @@ class Search:
         return None
 
     def _bit_array(self, roles: DataFrame) -> np.ndarray:
-        """The frontier's bits: at most 2**(FILTER_BITS - 6) numbers, whatever its size."""
-        table = roles.mapInArrow(_bits_of, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
+        """The bits of (lang, phrase, role) rows."""
+        return self._bit_numbers(roles.mapInArrow(_bits_of, "word long, bits long"))
+
+    def _bit_numbers(self, rows: DataFrame) -> np.ndarray:
+        """The array of (word, bits) rows: at most 2**(FILTER_BITS - 6) numbers, whatever the frontier."""
+        table = rows.groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
         out = np.zeros(1 << (FILTER_BITS - 6), np.int64)
         out[table.column("word").to_numpy()] = table.column("bits").to_numpy()
         return out.view(np.uint64)
