@@ -27,7 +27,7 @@ from .lookups import HOT_SHARE, look_up
 #: [\x20\x09-\x0D]
 SPACES = " \t\n\x0b\f\r"
 #: Documents of a bucket, about.
-BUCKET_ROWS = 50_000
+BUCKET_ROWS = 2_000
 #: Equal rows (id, source and size) that are handled as one.
 CHUNK = 1000
 #: Longest source name, in characters, that may be broadcast.
