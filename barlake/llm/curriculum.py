@@ -103,7 +103,7 @@ def targets(sources: DataFrame, most: int = 3) -> DataFrame:
     """
     size, weight = F.col("source_size").cast("decimal(38,0)"), F.col("weight")
     every = sources.agg(F.sum(size)).first()[0] or Decimal(0)
-    shared, heavy, stopped = every, None, 0
+    shared, heavy, stopped = every, None, -1
     while True:
         # Above: shared * weight / heavy > most * size, without a division.
         if heavy is None:
