@@ -61,10 +61,10 @@ def restrict_dates(df: DataFrame, start=None, end=None, column: str = "date") ->
 
 
 def source_list(sources: Sequence[str] | str) -> list[str]:
+    """A comma string or a list as trimmed sources: empty items are dropped, the first of equal ones stays."""
     if isinstance(sources, str):
         sources = sources.split(",")
-    out = [s.strip() for s in sources]
-    return [s for s in out if s]
+    return [s for s in dict.fromkeys(x.strip() for x in sources) if s]
 
 
 def symbols_frame(bars: DataFrame, symbols) -> DataFrame:

@@ -6,8 +6,9 @@ of a bar with their number, clustered by (symbol, date). The pair join and
 the date sets read the same exchange of cells. Source positions come from
 the requested list (an array literal), so no side table is joined, and the
 list may have any length: the sources of a date are a sorted array of
-positions, and dates with the same array are counted before pairs are made.
-A group of N copies never becomes N x N joined rows.
+positions, dates with the same array are counted before pairs are made, and
+only pairs of sources that share a date are. N equal copies never become N x N
+joined rows, and N different ones are joined in blocks.
 
     xval_coverage  rows / first / last date per (symbol, requested source)
     xval_diffs     per-date % differences for every ordered source pair
@@ -20,7 +21,6 @@ from __future__ import annotations
 
 import functools
 import operator
-from itertools import combinations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -60,10 +60,42 @@ def _cells(scoped: DataFrame, cols=PRICE_COLUMNS) -> DataFrame:
     return scoped.groupBy("symbol", "date", "source", "pos", *cols).agg(F.count(F.lit(1)).alias("w")).filter("w > 0")
 
 
-def _presence(cells: DataFrame) -> DataFrame:
-    """(symbol, m, n): how many dates have exactly the source positions ``m``."""
-    dates = cells.groupBy("symbol", "date").agg(F.sort_array(F.collect_set("pos")).alias("m"))
-    return dates.groupBy("symbol", "m").agg(F.count(F.lit(1)).alias("n"))
+def _dates(cells: DataFrame) -> DataFrame:
+    """(symbol, date, m, copies): the sorted source positions of a date, and its number of cells.
+    The filter is always true; it keeps both in every consumer, as in ``_cells``."""
+    dates = cells.groupBy("symbol", "date").agg(F.sort_array(F.collect_set("pos")).alias("m"), F.count(F.lit(1)).alias("copies"))
+    return dates.filter("copies > 0 AND size(m) > 0")
+
+
+def _pairs_of(items: str, first: int) -> str:
+    """SQL: the pairs (x, y) of a sorted array's elements, y from ``first`` places after x."""
+    return (
+        f"flatten(transform({items}, (x, i) -> transform(slice({items}, i + 1 + {first}, greatest(size({items}) - i - {first}, 0)), "
+        "y -> struct(x, y))))"
+    )
+
+
+def _date_sets(dates: DataFrame, sources: list[str]) -> DataFrame:
+    """(symbol, pos_a, pos_b, src_a, src_b, common_dates, only_a, only_b) of
+    the pairs of sources that both have rows of the symbol.
+
+    Dates with the same sources are counted first; a group of them makes only
+    the pairs of its own sources (each with itself too: its number of dates).
+    What a source has alone is its dates less the common ones.
+    """
+    groups = dates.groupBy("symbol", "m").agg(F.count(F.lit(1)).alias("n"))
+    met = groups.select("symbol", "n", F.explode(F.expr(_pairs_of("m", 0))).alias("p"))
+    met = met.groupBy("symbol", F.col("p.x").alias("pos_a"), F.col("p.y").alias("pos_b")).agg(F.sum("n").alias("common")).filter("common > 0")
+    own = met.filter("pos_a = pos_b").groupBy("symbol").agg(F.array_sort(F.collect_list(F.struct(F.col("pos_a").alias("pos"), F.col("common").alias("n")))).alias("own"))
+    pairs = own.select("symbol", F.explode(F.expr(_pairs_of("own", 1))).alias("p")).select(
+        "symbol", F.col("p.x.pos").alias("pos_a"), F.col("p.y.pos").alias("pos_b"), F.col("p.x.n").alias("n_a"), F.col("p.y.n").alias("n_b")
+    )
+    name = lambda pos: F.element_at(F.array(*[F.lit(s) for s in sources]), F.col(pos))
+    common = F.coalesce("common", F.lit(0).cast("bigint"))
+    return pairs.join(met, ["symbol", "pos_a", "pos_b"], "left").select(
+        "symbol", "pos_a", "pos_b", name("pos_a").alias("src_a"), name("pos_b").alias("src_b"),
+        common.alias("common_dates"), (F.col("n_a") - common).alias("only_a"), (F.col("n_b") - common).alias("only_b"),
+    )
 
 
 def xval_coverage(bars: DataFrame, sources, symbols=None, start=None, end=None) -> DataFrame:
@@ -94,16 +126,28 @@ def xval_coverage(bars: DataFrame, sources, symbols=None, start=None, end=None)
     )
 
 
-def _pairs_literal(sources: list[str]):
-    pairs = [
-        F.struct(F.lit(a).alias("src_a"), F.lit(b).alias("src_b"), F.lit(i + 1).alias("pos_a"), F.lit(j + 1).alias("pos_b"))
-        for (i, a), (j, b) in combinations(list(enumerate(sources)), 2)
-    ]
-    return F.array(*pairs)
+#: Cells of one (symbol, date) that are joined as one unit. More are cut into blocks of about this size.
+BLOCK_CELLS = 256
+
+
+def _units(cells: DataFrame, dates: DataFrame) -> DataFrame:
+    """cells with the unit of work (u, v) in which they meet others, and their block.
+
+    A date of very many cells is cut into blocks by the cells' hash, and each
+    pair of blocks u <= v is a unit of its own, so that the pairs of copies
+    of one date spread over tasks. Other dates are one block.
+    """
+    large = dates.filter(F.col("copies") > BLOCK_CELLS).select("symbol", "date", F.ceil(F.col("copies") / BLOCK_CELLS).cast("int").alias("blocks"))
+    marked = cells.join(large, ["symbol", "date"], "left")
+    marked = marked.withColumn("block", F.coalesce(F.pmod(F.xxhash64("pos", *PRICE_COLUMNS), F.col("blocks")).cast("int"), F.lit(0)))
+    other = F.explode(F.sequence(F.lit(0), F.coalesce(F.col("blocks"), F.lit(1)) - 1))
+    marked = marked.withColumn("other", other)
+    return marked.withColumn("u", F.least("block", "other")).withColumn("v", F.greatest("block", "other")).drop("blocks", "other")
 
 
-def _side(cells: DataFrame, tag: str) -> DataFrame:
-    return cells.select("symbol", "date", *[F.col(c).alias(f"{c}_{tag}") for c in cells.columns if c not in ("symbol", "date")])
+def _side(units: DataFrame, tag: str) -> DataFrame:
+    keys = ["symbol", "date", "u", "v"]
+    return units.select(*keys, *[F.col(c).alias(f"{c}_{tag}") for c in units.columns if c not in keys])
 
 
 def xval_diffs(bars: DataFrame, sources, tolerance: float = 1.0, symbols=None, start=None, end=None) -> DataFrame:
@@ -113,14 +157,17 @@ def xval_diffs(bars: DataFrame, sources, tolerance: float = 1.0, symbols=None, s
     This is the inner equi-join on (symbol, date) in which duplicate dates
     fan out -- but identical copies are joined once: ``weight`` is the number
     of joined rows a result row stands for (1 without duplicates), so a
-    group of N copies costs one row instead of N x N.
+    group of N copies costs one row instead of N x N. Dates of many different
+    copies are joined in blocks (``_units``).
     """
     sources = _require_two(sources)
-    return _diffs(_cells(_scoped(bars, sources, symbols, start, end)), tolerance)
+    cells = _cells(_scoped(bars, sources, symbols, start, end))
+    return _diffs(_units(cells, _dates(cells)), tolerance)
 
 
-def _diffs(cells: DataFrame, tolerance: float) -> DataFrame:
-    j = _side(cells, "a").join(_side(cells, "b"), ["symbol", "date"], "inner").filter(F.col("pos_a") < F.col("pos_b"))
+def _diffs(units: DataFrame, tolerance: float) -> DataFrame:
+    met = F.expr("pos_a < pos_b AND (u = v OR block_a <> block_b)")
+    j = _side(units, "a").join(_side(units, "b"), ["symbol", "date", "u", "v"], "inner").filter(met)
     diffs = [pct_diff(F.col(f"{c}_a"), F.col(f"{c}_b")).alias(f"d_{c}") for c in PRICE_COLUMNS]
     out = j.select(
         "symbol", F.col("source_a").alias("src_a"), F.col("source_b").alias("src_b"), "pos_a", "pos_b", "date", *diffs,
@@ -141,21 +188,8 @@ def xval_pairs(bars: DataFrame, sources, tolerance: float = 1.0, symbols=None, s
     """
     sources = _require_two(sources)
     cells = _cells(_scoped(bars, sources, symbols, start, end))
-    has_a, has_b, n = F.expr("array_contains(m, pos_a)"), F.expr("array_contains(m, pos_b)"), F.col("n")
-    dates = lambda cond: F.sum(F.when(cond, n).otherwise(F.lit(0))).cast("bigint")
-    sets = (
-        _presence(cells)
-        .select("symbol", "m", "n", F.explode(_pairs_literal(sources)).alias("p"))
-        .select("symbol", "m", "n", "p.*")
-        .groupBy("symbol", "src_a", "src_b", "pos_a", "pos_b")
-        .agg(
-            dates(has_a & has_b).alias("common_dates"),
-            dates(has_a & ~has_b).alias("only_a"),
-            dates(~has_a & has_b).alias("only_b"),
-        )
-        .filter((F.col("common_dates") + F.col("only_a") > 0) & (F.col("common_dates") + F.col("only_b") > 0))
-    )
-    d = _diffs(cells, tolerance)
+    dates = _dates(cells)
+    d = _diffs(_units(cells, dates), tolerance)
     w = F.col("weight")
     aggs = []
     for c in PRICE_COLUMNS:
@@ -164,9 +198,9 @@ def xval_pairs(bars: DataFrame, sources, tolerance: float = 1.0, symbols=None, s
         # avg over joined rows = weighted mean over distinct pairs (NULLs skipped, NaN kept)
         aggs.append((F.sum(x * w) / F.sum(F.when(x.isNotNull(), w))).alias(f"avg_{c}_diff"))
     aggs += [F.sum(F.when(F.col("exceeds"), w)).alias("n_exceed"), F.sum(w).alias("joined_rows")]
-    stats = d.groupBy("symbol", "src_a", "src_b").agg(*aggs)
+    stats = d.groupBy("symbol", "pos_a", "pos_b").agg(*aggs)
     no_adj = F.col("src_a").isin(NO_ADJUSTED_CLOSE_SOURCES) | F.col("src_b").isin(NO_ADJUSTED_CLOSE_SOURCES)
-    out = sets.join(stats, ["symbol", "src_a", "src_b"], "left")
+    out = _date_sets(dates, sources).join(stats, ["symbol", "pos_a", "pos_b"], "left")
     return out.select(
         "symbol",
         "src_a",

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from barlake.operators._common import restrict_dates
@@ -39,6 +41,23 @@ def preview(df: DataFrame, limit: int = DEFAULT_PREVIEW_ROWS) -> DataFrame:
     return df.limit(int(limit)).withColumn("total_rows", total)
 
 
+@dataclass
+class Preview:
+    rows: DataFrame  # the first rows, in order
+    total: int  # rows of the whole result
+
+
+def preview_run(df: DataFrame, limit: int = DEFAULT_PREVIEW_ROWS, order_by=()) -> Preview:
+    """The first ``limit`` rows of ``df`` by ``order_by`` (columns; else in
+    the order they stand in) and the size of the whole result, 0 for an empty
+    one. The query runs once, here: its rows are counted as they enter a
+    top-k, whose ``limit`` rows come back."""
+    count = Observation()
+    order = list(order_by) or [F.monotonically_increasing_id()]
+    rows = df.observe(count, F.count(F.lit(1)).alias("total")).orderBy(*order).limit(int(limit)).collect()
+    return Preview(df.sparkSession.createDataFrame(rows, df.schema), int(count.get["total"]))
+
+
 def run_sql(spark: SparkSession, sql: str, args: dict | None = None, processed_dir: str | None = None) -> DataFrame:
     """Spark SQL over the registered views (registered first when
     ``processed_dir`` is given). Values go through ``args`` markers

@@ -1,9 +1,11 @@
 """Render bars as landed provider payloads (raw DataFrame rows).
 
 Derives a raw landing tier from the driver's tables so the raw-tier
-operators run on data that grows with them. One payload per
-(provider, symbol, year) -- at most one bar per calendar day, so a payload
-holds <= 366 lines whatever the table size -- named ``<year>-12-31_daily``.
+operators run on data that grows with them. ``render_landing`` has
+one payload per (provider, symbol, year), named ``<year>-12-31_daily``;
+``render_histories`` has each symbol's whole history in its latest payload,
+beside an older, shorter one, and ``land`` writes payloads as the files of a
+landing tier. A payload holds one line per date at most.
 
 Bar source -> provider: F -> yfinance, O -> stooq, P -> alpha_vantage.
 yfinance headers vary by year: year % 4 picks ``Adj Close``, ``Adj. Close``,
@@ -15,8 +17,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from barlake.schema import SOURCE_ALPHA_VANTAGE, SOURCE_STOOQ, SOURCE_YFINANCE
+from barlake.session import scratch_path
 from barlake.sources import payloads as P
 
 PROVIDER_OF = {"F": SOURCE_YFINANCE, "O": SOURCE_STOOQ, "P": SOURCE_ALPHA_VANTAGE}
@@ -66,39 +70,89 @@ _AV_SERIES = (
 )
 
 
+def _with_provider(bars: DataFrame) -> DataFrame:
+    return bars.selectExpr("*", f"{_PROVIDER_SQL} AS provider").where("provider IS NOT NULL")
+
+
 def render_landing(bars: DataFrame) -> DataFrame:
-    """(source, symbol, file_name, body) payload rows for bars whose source
-    maps to a provider."""
-    b = bars.selectExpr("*", "year(date) AS year", f"{_PROVIDER_SQL} AS provider").where("provider IS NOT NULL")
+    """(source, symbol, file_name, body): a payload for each year of bars whose source maps to a provider."""
+    return _render(_with_provider(bars).selectExpr("*", "year(date) AS year"), "year", "concat(CAST(year AS STRING), '-12-31')")
+
+
+def render_histories(bars: DataFrame) -> DataFrame:
+    """(source, symbol, file_name, body): two payloads for each (provider,
+    symbol), the latest named by the last date, with all bars, and one named
+    by the middle of the range, with the bars until then. ``year`` (the header
+    variant) is the first digit of the symbol."""
+    span = Window.partitionBy("provider", "symbol")
+    b = _with_provider(bars).withColumn("last", F.max("date").over(span)).withColumn("begin", F.min("date").over(span))
+    middle = "date_add(begin, CAST(datediff(last, begin) / 2 AS INT))"
+    b = b.selectExpr("*", "CAST(substring(symbol, 1, 1) AS INT) AS year", f"explode(array(last, {middle})) AS stamp").where("date <= stamp")
+    return _render(b, "stamp", "CAST(stamp AS STRING)")
+
+
+def _render(b: DataFrame, by: str, stamp: str) -> DataFrame:
+    """Payloads of bars (with provider and year), one for each (provider, symbol, by)."""
+    if by != "year":
+        b = b.drop("last", "begin")
     csv = (
         b.where(f"provider IN ({_q(SOURCE_YFINANCE)}, {_q(SOURCE_STOOQ)})")
         .selectExpr(
-            "provider AS source", "symbol", "year", "date", "'csv' AS ext",
+            "provider AS source", "symbol", by, "date", "'csv' AS ext",
             f"CASE WHEN provider = {_q(SOURCE_YFINANCE)} THEN {_YF_LINE} ELSE {_STOOQ_LINE} END AS line",
             f"CASE WHEN provider = {_q(SOURCE_YFINANCE)} THEN {_YF_HEADER} "
             "ELSE 'Date,Open,High,Low,Close,Volume' END AS header",
         )
-        .groupBy("source", "symbol", "year", "ext")
+        .groupBy("source", "symbol", by, "ext")
         .agg(F.expr(_BODY).alias("body"))
     )
     av = (
         b.where(f"provider = {_q(SOURCE_ALPHA_VANTAGE)}")
         .selectExpr(
-            "provider AS source", "symbol", "year", "CAST(date AS STRING) AS d",
+            "provider AS source", "symbol", by, "CAST(date AS STRING) AS d",
             f"CASE WHEN pmod(year, 2) = 0 THEN {_av_fields(True)} ELSE {_av_fields(False)} END AS m",
         )
-        .groupBy("source", "symbol", "year")
+        .groupBy("source", "symbol", by)
         .agg(F.expr(_AV_SERIES).alias("series"))
         .selectExpr(
-            "source", "symbol", "year", "'json' AS ext",
+            "source", "symbol", by, "'json' AS ext",
             f"to_json(named_struct('Meta Data', map('2. Symbol', symbol), {_q(P.AV_DAILY_SERIES)}, series)) AS body",
         )
     )
     return csv.unionByName(av).selectExpr(
-        "source", "symbol", "concat(CAST(year AS STRING), '-12-31_daily.', ext) AS file_name", "body"
+        "source", "symbol", f"concat({stamp}, '_daily.', ext) AS file_name", "body"
     )
 
 
+def land(payloads: DataFrame, raw_dir: str) -> None:
+    """Write payload rows as files ``<raw_dir>/<source>/<symbol>/<file_name>``.
+
+    Spark writes the bodies, each into a folder of its own; the driver then
+    gives the files their names. For the modest tiers of queries and tests.
+    """
+    spark = payloads.sparkSession
+    staged = scratch_path(spark, "landing", unique=True)
+    keys = ["source", "symbol", "file_name"]
+    payloads.select(*keys, "body").repartition(*keys).write.partitionBy(*keys).text(staged)
+    jvm = spark._jvm
+    Path = jvm.org.apache.hadoop.fs.Path
+    fs = Path(staged).getFileSystem(spark._jsc.hadoopConfiguration())
+    files = fs.listFiles(Path(staged), True)
+    while files.hasNext():
+        file = files.next().getPath()
+        if not file.getName().startswith("part-"):
+            continue
+        folder, parts = file.getParent(), []
+        for _ in keys:
+            value = folder.getName().split("=", 1)[1]
+            parts.insert(0, jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName(value))
+            folder = folder.getParent()
+        target = Path(Path(Path(raw_dir, parts[0]), parts[1]), parts[2])
+        fs.mkdirs(target.getParent())
+        if not fs.rename(file, target):
+            raise OSError(f"could not land {target}")
+
+
 def render_sidecars(landing: DataFrame) -> DataFrame:
     """A ``.meta.json`` sidecar row next to every CSV payload (file listing
     only: the body is the sidecar text)."""
@@ -110,22 +164,24 @@ def render_sidecars(landing: DataFrame) -> DataFrame:
     )
 
 
-def render_ingest_log(landing: DataFrame) -> DataFrame:
-    """One fetch sidecar record per CSV payload: source, symbol,
-    stooq_symbol (stooq only), the requested range (the payload's year),
-    rows (data lines) and fetched_at (the file's date, 18:00 UTC)."""
+def render_log_sidecars(landing: DataFrame) -> DataFrame:
+    """(source, symbol, file_name, body): a fetch sidecar, printed over several
+    lines, for each CSV payload of ``render_histories``: source, symbol,
+    stooq_symbol (stooq only), the dates of its first and last line, rows (data
+    lines) and fetched_at (the file's date, 18:00 UTC)."""
     csv = landing.filter(F.col("file_name").endswith(".csv"))
-    year = F.substring("file_name", 1, 4)
-    data_lines = F.expr(r"size(filter(slice(split(body, '\\r?\\n'), 2, greatest(size(split(body, '\\r?\\n')) - 1, 1)), "
-                        "x -> trim(x) != ''))")
-    return csv.select(
-        "source", "symbol",
-        F.when(F.col("source") == SOURCE_STOOQ, F.concat(F.lower("symbol"), F.lit(".us"))).alias("stooq_symbol"),
-        F.concat(year, F.lit("-01-01")).alias("start_date"),
-        F.concat(year, F.lit("-12-31")).alias("end_date"),
-        data_lines.cast("bigint").alias("rows"),
-        F.concat(F.substring("file_name", 1, 10), F.lit("T18:00:00+00:00")).alias("fetched_at"),
+    lines = "filter(slice(split(body, '\\n'), 2, greatest(size(split(body, '\\n')) - 1, 1)), x -> trim(x) != '')"
+    fields = csv.selectExpr(
+        "source", "symbol", "regexp_replace(file_name, '[.]csv$', '.meta.json') AS file_name",
+        f"size({lines}) AS rows", f"substring(element_at({lines}, 1), 1, 10) AS start_date", f"substring(element_at({lines}, -1), 1, 10) AS end_date",
+        "concat(substring(file_name, 1, 10), 'T18:00:00+00:00') AS fetched_at",
+    )
+    own = F.when(F.col("source") == SOURCE_STOOQ, F.concat(F.lit('  "stooq_symbol": "'), F.lower("symbol"), F.lit('.us",\n'))).otherwise(F.lit(""))
+    body = F.concat(
+        F.format_string('{\n  "source": "%s",\n  "symbol": "%s",\n', "source", "symbol"), own,
+        F.format_string('  "start_date": "%s",\n  "end_date": "%s",\n  "rows": %d,\n  "fetched_at": "%s"\n}', "start_date", "end_date", "rows", "fetched_at"),
     )
+    return fields.select("source", "symbol", "file_name", body.alias("body"))
 
 
 def with_payload_errors(landing: DataFrame) -> DataFrame:
@@ -145,12 +201,17 @@ def with_payload_errors(landing: DataFrame) -> DataFrame:
     return landing.withColumn("body", body)
 
 
-def with_bad_latest(landing: DataFrame) -> DataFrame:
-    """Damage the 2001 payloads of two symbols: stooq ``5-LOW`` answers
-    ``No data``; every open of alpha_vantage ``4-NOT SPECIFIED`` is ``n/a``."""
-    year = F.substring("file_name", 1, 4).cast("int")
-    st = (F.col("source") == SOURCE_STOOQ) & (F.col("symbol") == "5-LOW") & (year == 2001)
-    av = (F.col("source") == SOURCE_ALPHA_VANTAGE) & (F.col("symbol") == "4-NOT SPECIFIED") & (year == 2001)
+def quoted(landing: DataFrame) -> DataFrame:
+    """CSV payloads with a byte order mark, and the first cell of every line in double quotes."""
+    body = F.concat(F.lit("\ufeff"), F.regexp_replace("body", r"(?m)^([^,\r\n]+),", '"$1",'))
+    return landing.withColumn("body", F.when(F.col("file_name").endswith(".csv"), body).otherwise(F.col("body")))
+
+
+def with_bad_payloads(landing: DataFrame) -> DataFrame:
+    """Damage the payloads of two symbols: stooq ``5-LOW`` answers ``No
+    data``; every open of alpha_vantage ``4-NOT SPECIFIED`` is ``n/a``."""
+    st = (F.col("source") == SOURCE_STOOQ) & (F.col("symbol") == "5-LOW")
+    av = (F.col("source") == SOURCE_ALPHA_VANTAGE) & (F.col("symbol") == "4-NOT SPECIFIED")
     body = F.when(st, F.lit("No data")).when(
         av, F.regexp_replace("body", r'"1\. open":"[^"]*"', '"1. open":"n/a"')).otherwise(F.col("body"))
     return landing.withColumn("body", body)

@@ -50,6 +50,12 @@ BARS_SQL = {
            p * 0.5 AS adjusted_close, CAST(l_quantity AS BIGINT) AS volume,
            l_returnflag || l_linestatus AS source, 'S' || l_suppkey AS symbol
     FROM (SELECT *, l_extendedprice / l_quantity AS p FROM lineitem)""",
+    "hot": """
+    SELECT CASE WHEN l_orderkey <= 1500 THEN DATE '1990-01-01' ELSE CAST(l_shipdate AS DATE) END AS date,
+           p AS open, p * 1.25 AS high, p * 0.75 AS low, p * (1 + l_discount) AS close,
+           p * 0.5 AS adjusted_close, CAST(l_quantity AS BIGINT) AS volume, l_linestatus AS source,
+           CASE WHEN l_orderkey <= 1500 THEN l_returnflag ELSE 'S' || l_suppkey END AS symbol
+    FROM (SELECT *, l_extendedprice / l_quantity AS p FROM lineitem)""",
     "many": """
     SELECT CAST(o_orderdate AS DATE) AS date,
            first(o_totalprice ORDER BY o_orderkey) AS open,

@@ -130,6 +130,9 @@ register("xval_pairs_suppliers", _xv_pairs_oracle("sup", XV_SOURCES_SUP, XV_TOL)
 register("xval_pairs_3src", _xv_pairs_oracle("ord", XV_SOURCES_ORD, 0.5))(_xv_pairs_query("ord", XV_SOURCES_ORD, 0.5))
 
 
+register("xval_pairs_hot", _xv_pairs_oracle("hot", XV_SOURCES_LI, XV_TOL))(_xv_pairs_query("hot", XV_SOURCES_LI, XV_TOL))
+
+
 @register("xval_matrix_suppliers", _xv_matrix_oracle("sup", XV_SOURCES_SUP))
 def q_xval_matrix_suppliers(spark: SparkSession, sf: str) -> DataFrame:
     out = crossval.xval_matrix(ADAPTERS["sup"](spark, sf), XV_SOURCES_SUP)
@@ -605,12 +608,20 @@ def q_range(spark, sf):
     return qops.date_range(_store_view(spark, sf), "2-high", "1997-03-01", "1998-06-30").select(*STORE_COLS)
 
 
-@register(
-    "q_preview",
-    f"""WITH {bars_cte('ev')},
+_PREVIEW_SQL = f"""WITH {bars_cte('ev')},
 t AS (SELECT symbol, source, date, close, volume FROM bars)
-SELECT *, (SELECT count(*) FROM t) AS total_rows FROM t ORDER BY date, symbol, source LIMIT 50""",
-)
+SELECT *, (SELECT count(*) FROM t) AS total_rows FROM t ORDER BY date, symbol, source LIMIT 50"""
+
+
+@register("q_preview_run", _PREVIEW_SQL)
+def q_preview_run(spark, sf):
+    _store_view(spark, sf)
+    df = spark.sql("SELECT symbol, source, date, close, volume FROM daily_events")
+    first = qops.preview_run(df, 50, ["date", "symbol", "source"])
+    return first.rows.withColumn("total_rows", F.lit(first.total).cast("bigint"))
+
+
+@register("q_preview", _PREVIEW_SQL)
 def q_preview(spark, sf):
     _store_view(spark, sf)
     df = spark.sql(
@@ -637,6 +648,23 @@ def q_sql(spark, sf):
     )
 
 
+@register(
+    "sql_two_stores",
+    f"""WITH {bars_cte('ord', 'b1')}, {bars_cte('ev', 'b2')},
+a AS (SELECT count(*) AS n, min(date) AS first, CAST(sum(volume) AS BIGINT) AS volume FROM b1),
+b AS (SELECT count(*) AS n, min(date) AS first, CAST(sum(volume) AS BIGINT) AS volume FROM b2)
+SELECT 1 AS turn, * FROM a UNION ALL SELECT 2, * FROM b UNION ALL SELECT 3, * FROM a""",
+)
+def q_sql_two_stores(spark, sf):
+    # Two stores with views of one name, queried in turn: each answers with its own rows.
+    other = scratch_path(spark, "other", unique=True)
+    store.write_bars(ADAPTERS["ev"](spark, sf), other)
+    sql = "SELECT CAST(:turn AS INT) AS turn, count(*) AS n, min(date) AS first, sum(volume) AS volume FROM daily_ohlcv"
+    stores = [shared_store(spark, sf), other + "/", shared_store(spark, sf)]
+    turns = [qops.run_sql(spark, sql, {"turn": k}, path) for k, path in enumerate(stores, 1)]
+    return turns[0].union(turns[1]).union(turns[2])
+
+
 @register(
     "export_csv",
     f"""WITH {bars_cte('ev')}
@@ -662,7 +690,7 @@ from barlake.operators.symbols import filter_symbols, symbols_df  # noqa: E402
 from barlake.plans import landing_render as LR  # noqa: E402
 from barlake.plans.process import process  # noqa: E402
 from barlake.plans.table_bars import INGESTED_AT, table  # noqa: E402
-from barlake.sources.landing import latest_raw, select_latest  # noqa: E402
+from barlake.sources.landing import latest_raw, list_landing, read_ingest_log  # noqa: E402
 from barlake.sources.manifest import intraday_manifest, payload_manifest  # noqa: E402
 
 NORM_COLS = ["date", "open", "high", "low", "close", "adjusted_close", "volume", "source", "symbol"]
@@ -693,45 +721,109 @@ for _src, _code in (("yfinance", "F"), ("alpha_vantage", "P"), ("stooq", "O")):
 register("normalize_all", f"WITH {_PB} {_NORM_SELECT}")(lambda spark, sf: _normalized(spark, sf, None))
 
 
-_LATEST_SQL = f"""{_PB},
-files AS (SELECT provider, symbol, year(date) AS y FROM pb GROUP BY ALL),
-err AS (SELECT *, CASE WHEN (provider = 'stooq' AND y IN (1997, 1999)) OR (provider = 'alpha_vantage' AND y IN (1996, 2000))
-                         OR (provider = 'yfinance' AND y = 1998)
-                         OR (provider = 'stooq' AND symbol = '5-LOW' AND y = 2001)
-                         OR (provider = 'alpha_vantage' AND symbol = '4-NOT SPECIFIED' AND y = 2001) THEN 1 ELSE 0 END AS bad
-        FROM files),
-latest AS (SELECT provider, symbol, max(y) AS y FROM files GROUP BY ALL)"""
+@register("normalize_quoted", f"WITH {_PB} {_NORM_SELECT}")
+def q_normalize_quoted(spark, sf):
+    return norm.normalize(LR.quoted(_landing(spark, sf)), None, INGESTED_AT).bars.select(*NORM_COLS)
 
 
-@register(
-    "process_run",
-    f"""WITH {_LATEST_SQL}
-SELECT pb.symbol, pb.provider AS source, CAST(year(pb.date) AS INTEGER) AS year, pb.date, pb.open, pb.high, pb.low, pb.close,
-       {_ADJ_SQL.replace("provider", "pb.provider").replace("close", "pb.close").replace("adjusted_pb.close", "pb.adjusted_close").replace("year(date)", "year(pb.date)")} AS adjusted_close,
-       pb.volume
-FROM pb JOIN latest l ON pb.provider = l.provider AND pb.symbol = l.symbol AND year(pb.date) = l.y
-JOIN err e ON e.provider = l.provider AND e.symbol = l.symbol AND e.y = l.y
-WHERE e.bad = 0""",
-)
+
+#: Bars by the header variant of render_histories: yfinance by the symbol's first digit, alpha_vantage by its parity.
+_HISTORY_ADJ_SQL = """CASE WHEN provider = 'stooq' THEN close
+            WHEN provider = 'yfinance' AND CAST(symbol[1] AS INTEGER) % 4 = 3 THEN close
+            WHEN provider = 'alpha_vantage' AND CAST(symbol[1] AS INTEGER) % 2 = 1 THEN close
+            ELSE adjusted_close END"""
+_HISTORY = f"""{_PB},
+ok AS (SELECT * FROM pb WHERE provider IS NOT NULL AND NOT (provider = 'stooq' AND symbol = '5-LOW')
+                          AND NOT (provider = 'alpha_vantage' AND symbol = '4-NOT SPECIFIED'))"""
+_HISTORY_BARS = f"""WITH {_HISTORY}
+SELECT symbol, provider AS source, CAST(year(date) AS INTEGER) AS year, date, open, high, low, close, {_HISTORY_ADJ_SQL} AS adjusted_close, volume
+FROM ok"""
+_LANDED: dict[tuple[str, str], str] = {}
+_PROCESSED: dict[tuple[str, str], object] = {}
+
+
+def _landed(spark: SparkSession, sf: str) -> str:
+    """A landing tier of files, written once per session and sf: each symbol's
+    whole history, an older payload, sidecars (one of them cut short) and an intraday file."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _LANDED:
+        root = scratch_path(spark, "raw", unique=True)
+        payloads = LR.render_histories(ADAPTERS["ord"](spark, sf)).checkpoint()
+        sidecars = LR.render_log_sidecars(payloads)
+        cut = F.when((F.col("source") == "yfinance") & (F.col("symbol") == "1-URGENT"), F.expr("substring(body, 1, 30)")).otherwise(F.col("body"))
+        intraday = payloads.select("source", "symbol", F.lit("2099-01-04_5m.csv").alias("file_name"), F.lit("Datetime,Close").alias("body")).distinct()
+        LR.land(LR.with_bad_payloads(payloads).unionByName(sidecars.withColumn("body", cut)).unionByName(intraday), root)
+        _LANDED[key] = root
+    return _LANDED[key]
+
+
+def _processed(spark: SparkSession, sf: str):
+    """The result of one run of the process job over the landed files, for the queries on its parts."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _PROCESSED:
+        _PROCESSED[key] = process(spark, _landed(spark, sf), scratch_path(spark, "process", unique=True), PROVIDERS, CHECK_SYMBOLS, INGESTED_AT)
+    return _PROCESSED[key]
+
+
+@register("process_run", _HISTORY_BARS)
 def q_process_run(spark, sf):
-    raw = LR.with_bad_latest(LR.with_payload_errors(_landing(spark, sf)))
     root = scratch_path(spark, "process", unique=True)
-    process(spark, raw, root, ingested_at=INGESTED_AT)
+    process(spark, _landed(spark, sf), root, PROVIDERS, CHECK_SYMBOLS, INGESTED_AT)
+    return store.read_store(spark, root).select(*STORE_COLS)
+
+
+@register("process_run_bucketed", _HISTORY_BARS)
+def q_process_run_bucketed(spark, sf):
+    root = scratch_path(spark, "process", unique=True)
+    process(spark, _landed(spark, sf), root, PROVIDERS, CHECK_SYMBOLS, INGESTED_AT, layout=store.BUCKETED, buckets=4)
     return store.read_store(spark, root).select(*STORE_COLS)
 
 
+@register(
+    "process_written",
+    f"""WITH {_HISTORY}
+SELECT symbol, provider AS source, CAST(year(date) AS INTEGER) AS year, count(*) AS rows FROM ok GROUP BY ALL""",
+)
+def q_process_written(spark, sf):
+    return _processed(spark, sf).written
+
+
 @register(
     "process_rejects",
-    f"""WITH {_LATEST_SQL}
-SELECT 'stooq' AS source, '5-LOW' AS symbol, '2001-12-31_daily.csv' AS file_name, 'missing column Date' AS error,
-       CAST(0 AS BIGINT) AS bad_rows
-UNION ALL
-SELECT 'alpha_vantage', '4-NOT SPECIFIED', '2001-12-31_daily.json', 'unparseable open', count(*)
-FROM pb WHERE provider = 'alpha_vantage' AND symbol = '4-NOT SPECIFIED' AND year(date) = 2001""",
+    f"""WITH {_PB}
+SELECT provider AS source, symbol, CAST(max(date) AS VARCHAR) || '_daily.' || CASE WHEN provider = 'stooq' THEN 'csv' ELSE 'json' END AS file_name,
+       CASE WHEN provider = 'stooq' THEN 'missing column Date' ELSE 'unparseable open' END AS error,
+       CASE WHEN provider = 'stooq' THEN 0 ELSE count(*) END AS bad_rows
+FROM pb WHERE (provider = 'stooq' AND symbol = '5-LOW') OR (provider = 'alpha_vantage' AND symbol = '4-NOT SPECIFIED')
+GROUP BY provider, symbol""",
 )
 def q_process_rejects(spark, sf):
-    raw = LR.with_bad_latest(LR.with_payload_errors(_landing(spark, sf)))
-    return norm.normalize(select_latest(raw), None, INGESTED_AT).rejects
+    return _processed(spark, sf).rejects
+
+
+_GRID = f"""grid AS (SELECT * FROM (VALUES {", ".join(f"('{p}')" for p in PROVIDERS)}) a(source)
+         CROSS JOIN (VALUES {", ".join(f"('{s}')" for s in CHECK_SYMBOLS)}) b(symbol))"""
+
+
+@register(
+    "process_missing",
+    f"""WITH {_PB}, {_GRID}
+SELECT source, symbol FROM grid EXCEPT SELECT provider, symbol FROM pb""",
+)
+def q_process_missing(spark, sf):
+    return _processed(spark, sf).missing
+
+
+@register(
+    "latest_landed",
+    f"""WITH {_PB}, {_GRID},
+files AS (SELECT provider AS source, symbol, max(date) AS d, CASE WHEN provider = 'alpha_vantage' THEN 'json' ELSE 'csv' END AS ext
+          FROM pb GROUP BY ALL)
+SELECT g.source, g.symbol, CAST(f.d AS VARCHAR) || '_daily.' || f.ext AS file_name, f.d IS NOT NULL AS found
+FROM grid g LEFT JOIN files f USING (source, symbol)""",
+)
+def q_latest_landed(spark, sf):
+    return latest_raw(list_landing(spark, _landed(spark, sf)), PROVIDERS, CHECK_SYMBOLS)
 
 
 @register(
@@ -760,9 +852,7 @@ def q_latest_raw(spark, sf):
 MANIFEST_START, MANIFEST_END = "1996-03-01", "2000-06-30"
 
 
-@register(
-    "payload_manifest",
-    f"""WITH {_PB},
+_MANIFEST_SQL = f"""WITH {_PB},
 f AS (SELECT provider AS source, symbol, year(date) AS y, count(*) AS n, min(date) AS d0, max(date) AS d1,
              count(*) FILTER (WHERE date BETWEEN DATE '{MANIFEST_START}' AND DATE '{MANIFEST_END}') AS n_in,
              min(date) FILTER (WHERE date BETWEEN DATE '{MANIFEST_START}' AND DATE '{MANIFEST_END}') AS d0_in,
@@ -787,12 +877,19 @@ SELECT source, symbol,
        CASE WHEN error_kind IS NULL THEN CASE WHEN source = 'alpha_vantage' THEN coalesce(d1_in, DATE '{MANIFEST_END}') ELSE d1 END END AS end_date,
        CASE WHEN source = 'stooq' THEN lower(symbol) || '.us' END AS provider_symbol,
        '{MANIFEST_START.replace("-", "")}' AS request_start, '{MANIFEST_END.replace("-", "")}' AS request_end
-FROM k""",
-)
+FROM k"""
+
+
+@register("payload_manifest", _MANIFEST_SQL)
 def q_payload_manifest(spark, sf):
     return payload_manifest(LR.with_payload_errors(_landing(spark, sf)), MANIFEST_START, MANIFEST_END)
 
 
+@register("payload_manifest_quoted", _MANIFEST_SQL)
+def q_payload_manifest_quoted(spark, sf):
+    return payload_manifest(LR.quoted(LR.with_payload_errors(_landing(spark, sf))), MANIFEST_START, MANIFEST_END)
+
+
 @register(
     "intraday_manifest",
     """WITH e AS (SELECT event_type AS symbol, CASE WHEN user_id % 2 = 0 THEN '5' ELSE '1h' END AS tok,
@@ -844,21 +941,26 @@ def q_dates_union(spark: SparkSession, sf: str) -> DataFrame:
 
 @register(
     "ingest_log",
-    f"""WITH {_PB}
-SELECT provider AS source, symbol, CASE WHEN provider = 'stooq' THEN lower(symbol) || '.us' END AS stooq_symbol,
-       make_date(year(date), 1, 1) AS start_date, make_date(year(date), 12, 31) AS end_date,
-       count(*) AS rows, strftime(make_date(year(date), 12, 31), '%Y-%m-%d') || ' 18:00:00' AS fetched_at
-FROM pb WHERE provider IN ('yfinance', 'stooq') GROUP BY ALL""",
+    f"""WITH {_PB},
+spans AS (SELECT provider AS source, symbol, min(date) AS b, max(date) AS e FROM pb WHERE provider IN ('yfinance', 'stooq') GROUP BY ALL),
+files AS (SELECT source, symbol, e AS stamp FROM spans
+          UNION ALL SELECT source, symbol, b + CAST(floor((e - b) / 2) AS INTEGER) FROM spans),
+logs AS (SELECT f.source, f.symbol, f.stamp, min(date) AS start_date, max(date) AS end_date, count(*) AS rows,
+                f.source = 'yfinance' AND f.symbol = '1-URGENT' AS bad
+         FROM files f JOIN pb ON pb.provider = f.source AND pb.symbol = f.symbol AND pb.date <= f.stamp GROUP BY ALL)
+SELECT CASE WHEN NOT bad THEN source END AS source, CASE WHEN NOT bad THEN symbol END AS symbol,
+       CASE WHEN NOT bad AND source = 'stooq' THEN lower(symbol) || '.us' END AS stooq_symbol,
+       CASE WHEN NOT bad THEN start_date END AS start_date, CASE WHEN NOT bad THEN end_date END AS end_date,
+       CASE WHEN NOT bad THEN rows END AS rows, CASE WHEN NOT bad THEN strftime(stamp, '%Y-%m-%d') || ' 18:00:00' END AS fetched_at,
+       bad, CAST(stamp AS VARCHAR) || '_daily.meta.json' AS file_name, source AS path_source, symbol AS path_symbol
+FROM logs""",
 )
 def q_ingest_log(spark, sf):
-    from barlake.sources.landing import read_ingest_log
-
-    path = scratch_path(spark, "ingest-log", unique=True)
-    LR.render_ingest_log(_landing(spark, sf)).write.mode("overwrite").json(path)
-    log = read_ingest_log(spark, path, pattern="*.json", multi_line=False)
+    log = read_ingest_log(spark, _landed(spark, sf))
     return log.select(
         "source", "symbol", "stooq_symbol", "start_date", "end_date", "rows",
         F.date_format("fetched_at", "yyyy-MM-dd HH:mm:ss").alias("fetched_at"),
+        F.col("bad").isNotNull().alias("bad"), "file_name", "path_source", "path_symbol",
     )
 
 

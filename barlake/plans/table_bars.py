@@ -12,7 +12,9 @@ the shuffle on (symbol, source, date); a hot symbol spreads over its dates).
 
 ``bars_sup`` has one bar for each line item and a symbol for each supplier,
 so bars and symbols grow with the tables; it keeps duplicate dates, and
-prices that are NULL or NaN. ``bars_many`` has 40 sources.
+prices that are NULL or NaN. ``bars_many`` has 40 sources. ``bars_hot`` is like
+``bars_sup``, but the first 1,500 orders' items are copies of one date: about
+1,000 different ones for each of three symbols and two sources.
 
 open/close are the first/last trade price under a unique trade order;
 ``adjusted_close`` is ``close * 0.5`` (an exact binary scaling, like a 2:1
@@ -102,7 +104,18 @@ def bars_many(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-ADAPTERS = {"li": bars_li, "ord": bars_ord, "ev": bars_ev, "sup": bars_sup, "many": bars_many}
+def bars_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{sf_dir.rstrip('/')}/lineitem.parquet".replace("`", "``")
+    return spark.sql(f"""
+SELECT CASE WHEN l_orderkey <= 1500 THEN DATE '1990-01-01' ELSE CAST(l_shipdate AS DATE) END AS date,
+       p AS open, p * 1.25 AS high, p * 0.75 AS low, p * (1 + l_discount) AS close,
+       p * 0.5 AS adjusted_close, CAST(l_quantity AS BIGINT) AS volume, l_linestatus AS source,
+       CAST(TIMESTAMP '{INGESTED_AT.isoformat(sep=" ")}' AS TIMESTAMP) AS ingested_at,
+       CASE WHEN l_orderkey <= 1500 THEN l_returnflag ELSE concat('S', l_suppkey) END AS symbol
+FROM (SELECT *, l_extendedprice / l_quantity AS p FROM parquet.`{path}`)""")
+
+
+ADAPTERS = {"li": bars_li, "ord": bars_ord, "ev": bars_ev, "sup": bars_sup, "many": bars_many, "hot": bars_hot}
 
 
 def with_defects(bars: DataFrame) -> DataFrame:

@@ -71,6 +71,39 @@ def list_landing(spark: SparkSession, raw_dir: str, pattern: str = "*") -> DataF
     return with_kind(df.select(*_path_parts(F.col("path"))))
 
 
+#: Most bits of the file filter (1 MB): what passes through the driver for any number of chosen files.
+FILTER_BITS = 1 << 23
+
+
+def read_chosen(spark: SparkSession, raw_dir: str, keys: DataFrame, pattern: str = DAILY_FILES) -> DataFrame:
+    """The landed rows of the files named by ``keys`` (source, symbol, file_name).
+
+    Other files are dropped while the scan lists its files, before any of
+    their content is read: a condition on ``_metadata.file_path`` alone prunes
+    files. The condition looks the path's hash up in a bit array made from the
+    keys by Spark, of 16 bits a file and at most ``FILTER_BITS``, so no list of
+    paths passes through the driver. The few files that share a bit with a
+    chosen one are read, and dropped by the semi-join.
+    """
+    names = ["source", "symbol", "file_name"]
+    keys = keys.select(*names)
+    bits = 1 << 10
+    while bits < min(16 * keys.count(), FILTER_BITS):
+        bits *= 2
+    place = lambda parts: F.pmod(F.xxhash64(F.concat_ws("/", *parts)), F.lit(bits))
+    ones = keys.select(place(names).alias("bit")).groupBy(F.expr("bit div 8").alias("byte")).agg(F.bit_or(F.expr("1 << CAST(bit % 8 AS int)")).alias("ones"))
+    array = bytearray(bits // 8)
+    for byte, value in ones.collect():  # at most bits / 8 rows
+        array[byte] = value
+    path = _decode(F.col("_metadata.file_path"))
+    bit = place(_path_parts(path))
+    byte = F.conv(F.hex(F.substring(F.lit(bytes(array)), F.floor(bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    chosen = F.getbit(byte, (bit % 8).cast("int")) == 1
+    df = _files(spark.read, pattern).text(raw_dir, wholetext=True).where(chosen)
+    rows = with_kind(df.select(*_path_parts(path), F.col("value").alias("body")))
+    return rows.join(keys, names, "left_semi")
+
+
 def latest_raw(listing: DataFrame, sources=None, symbols=None) -> DataFrame:
     """Latest daily payload per (source, symbol): the greatest file name among
     ``*_daily.*`` files that are not ``.meta.json`` sidecars (intraday files
@@ -119,18 +152,24 @@ INGEST_LOG_SCHEMA = T.StructType(
 )
 
 
-def read_ingest_log(spark: SparkSession, raw_dir: str, pattern: str = "*.meta.json",
-                    multi_line: bool = True) -> DataFrame:
+def read_ingest_log(spark: SparkSession, raw_dir: str, pattern: str = "*.meta.json", multi_line: bool = True) -> DataFrame:
     """The fetch sidecars as one DataFrame (schema given, never inferred).
 
     Landed sidecars are one pretty-printed object per file (``multi_line``);
     a consolidated log written as JSON lines reads with ``multi_line=False``.
+    A sidecar that is no such object gives a row with its text in ``bad`` and
+    without fields; ``bad`` is NULL for the others. A field of another type is
+    bad too, and the fields that could be read stay. ``file_name`` and the path's
+    ``path_source`` and ``path_symbol`` say which file it is.
     """
-    return (
-        spark.read.schema(INGEST_LOG_SCHEMA)
+    schema = T.StructType([*INGEST_LOG_SCHEMA.fields, T.StructField("bad", T.StringType())])
+    log = (
+        _files(spark.read, pattern)
+        .schema(schema)
         .option("multiLine", multi_line)
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", pattern)
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", "bad")
         .json(raw_dir)
-        .withColumn("file_name", F.col("_metadata.file_name"))
     )
+    source, symbol, file_name = _path_parts(_decode(F.col("_metadata.file_path")))
+    return log.select(*log.columns, file_name, source.alias("path_source"), symbol.alias("path_symbol"))

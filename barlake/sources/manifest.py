@@ -36,22 +36,14 @@ MSG_AV_NO_INTRADAY = "No intraday data in response for %s"
 MSG_YF_NO_INTRADAY = "No intraday data returned for %s"
 MSG_STOOQ_INTRADAY = "Stooq does not support intraday data via CSV download. Use yfinance or Alpha Vantage for intraday."
 
+MSG_BAD_DATE = "Unreadable date '%s'"
+
 MANIFEST_COLUMNS = [
     "source", "symbol", "file_name", "kind", "interval", "error_kind", "error",
     "rows_received", "start_date", "end_date", "provider_symbol", "request_start", "request_end",
 ]
 
 
-def _lines(body: Column) -> Column:
-    return F.split(body, P.LINE_SPLIT)
-
-
-def _first_cells(lines: Column) -> Column:
-    """First cells of the non-blank lines after the header."""
-    data = F.filter(F.slice(lines, 2, F.greatest(F.size(lines) - 1, F.lit(1))), lambda x: F.trim(x) != "")
-    return F.transform(data, lambda x: F.trim(F.split(x, ",").getItem(0)))
-
-
 def _iso(c: Column) -> Column:
     """The date of a whole ISO date."""
     return F.try_to_timestamp(c, F.lit("yyyy-MM-dd")).cast("date")
@@ -85,10 +77,12 @@ def payload_manifest(raw: DataFrame, start=None, end=None) -> DataFrame:
     """Manifest of the daily payloads (``*_daily.*``, sidecars excluded).
 
     stooq: no data / limit exceeded / fewer than 2 lines; rows = lines - 1;
-           dates from the first cell of non-blank lines (text min/max).
+           dates from the first cell of non-blank lines (text min/max;
+           a cell may stand in quotes).
     alpha_vantage: ``Error Message`` / ``Note`` / missing series; rows are
            the series keys inside [start, end]; an empty range reports the
-           requested bounds.
+           requested bounds, as does any payload without a data line.
+    A first or last date that is no date is the error ``bad_date``.
     yfinance: no data rows; rows = data lines; dates from the first cell.
     """
     df = with_kind(raw) if "kind" not in raw.columns else raw
@@ -105,14 +99,14 @@ def payload_manifest(raw: DataFrame, start=None, end=None) -> DataFrame:
     df = df.select(
         *names,
         # stooq: Python's strip(), all surrounding whitespace, newlines included
-        F.when(is_st, F.regexp_replace(body, r"^\s+|\s+$", "")).when(is_yf, body).alias("text"),
+        F.when(is_st, F.regexp_replace(P.without_mark(body), r"^\s+|\s+$", "")).when(is_yf, body).alias("text"),
         F.when(is_av, P.av_json(body)).alias("json"),
     )
-    df = df.select(*names, "text", "json", F.map_keys(F.col("json").getField(P.AV_DAILY_SERIES)).alias("keys"), _lines(F.col("text")).alias("lines"))
+    df = df.select(*names, "text", "json", F.map_keys(F.col("json").getField(P.AV_DAILY_SERIES)).alias("keys"), P.lines(F.col("text")).alias("lines"))
     lo = date_lit(start).cast("string") if start is not None else F.lit("")
     inside = F.filter("keys", lambda k: (k >= lo) & (k <= date_lit(end).cast("string") if end is not None else F.lit(True)))
     df = df.select(*names, "text", "json", F.size("keys").alias("n_keys"), F.size("lines").alias("n_lines"),
-                   F.when(is_av, inside).otherwise(_first_cells(F.col("lines"))).alias("cells"))
+                   F.when(is_av, inside).otherwise(F.expr(P.first_cells_sql("lines"))).alias("cells"))
 
     text, j, cells = F.col("text"), F.col("json"), F.col("cells")
     st_kind, st_msg = _chain(
@@ -134,6 +128,10 @@ def payload_manifest(raw: DataFrame, start=None, end=None) -> DataFrame:
     rows = F.when(is_st, F.col("n_lines") - 1).when(is_av | is_yf, F.size(cells))
     date = lambda c: F.when(is_yf, _iso_stamp(c)).otherwise(_iso(c))
     first, last = date(F.array_min(cells)), date(F.array_max(cells))
+    # A range that cannot be read is an error; the requested one stands in only where there are no rows.
+    unread = F.when(first.isNull(), F.array_min(cells)).when(last.isNull(), F.array_max(cells))
+    bad = kind.isNull() & (F.size(cells) > 0) & unread.isNotNull()
+    kind, msg = F.when(bad, F.lit("bad_date")).otherwise(kind), F.when(bad, F.format_string(MSG_BAD_DATE, unread)).otherwise(msg)
     ok = kind.isNull()
     return df.select(
         "source", "symbol", "file_name", "kind", "interval",
@@ -168,13 +166,13 @@ def intraday_manifest(raw: DataFrame) -> DataFrame:
         *names,
         F.coalesce(F.element_at(alias, itv), itv).alias("av_interval"),
         F.when(is_av, F.from_json("body", "map<string,string>")).alias("top"),
-        F.when(is_yf, _lines(F.col("body"))).alias("lines"),
+        F.when(is_yf, P.lines(F.col("body"))).alias("lines"),
     )
     av_itv, top = F.col("av_interval"), F.col("top")
     df = df.select(
         *names, "av_interval", F.element_at(top, P.AV_ERROR_KEY).alias("api_error"),
         F.when(is_av, F.json_object_keys(F.element_at(top, F.format_string(P.AV_SERIES_FORMAT, av_itv))))
-        .otherwise(_first_cells(F.col("lines"))).alias("keys"),
+        .otherwise(F.expr(P.first_cells_sql("lines"))).alias("keys"),
     )
     n_keys = F.coalesce(F.size("keys"), F.lit(0))
     av_kind, av_msg = _chain(

@@ -27,15 +27,33 @@ def csv_files(raw: DataFrame) -> DataFrame:
     ``body``. A byte order mark at the start is dropped, and quoted cells
     lose their quotes (see ``cells_sql``)."""
     keep = [c for c in raw.columns if c != "body"]
-    split = raw.select(*keep, F.expr(f"split(regexp_replace(body, '^\\\\uFEFF', ''), '{LINE_SPLIT}')").alias("_all"))
-    lines = "filter(slice(_all, 2, greatest(size(_all) - 1, 1)), x -> trim(x) != '')"
+    split = raw.select(*keep, lines(F.col("body")).alias("_all"))
     return split.select(
         *keep,
         F.expr(f"transform({cells_sql('_all[0]')}, x -> trim(x))").alias("header"),
-        F.expr(f"transform({lines}, l -> {cells_sql('l')})").alias("cells"),
+        F.expr(f"transform({data_lines_sql('_all')}, l -> {cells_sql('l')})").alias("cells"),
     )
 
 
+def without_mark(body: Column) -> Column:
+    """The text without a byte order mark at its start."""
+    return F.regexp_replace(body, "^\\uFEFF", "")
+
+
+def lines(body: Column) -> Column:
+    return F.split(without_mark(body), LINE_SPLIT)
+
+
+def data_lines_sql(lines: str) -> str:
+    """SQL for the non-blank lines after the header."""
+    return f"filter(slice({lines}, 2, greatest(size({lines}) - 1, 1)), x -> trim(x) != '')"
+
+
+def first_cells_sql(lines: str) -> str:
+    """SQL for the first cell, trimmed, of each data line: what manifests read of a file."""
+    return f"transform({data_lines_sql(lines)}, l -> trim({cells_sql('l')}[0]))"
+
+
 def cells_sql(line: str) -> str:
     """SQL for the cells of a CSV line. A cell in double quotes may hold
     commas, and two quotes inside stand for one; lines without a quote are

@@ -13,6 +13,7 @@ INT), so ``symbol``/``source``/``year`` filters become partition filters.
 from __future__ import annotations
 
 import functools
+import json
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,7 +42,72 @@ def _bucket(buckets: int) -> Column:
     return F.expr(f"CAST(pmod(xxhash64(symbol), {buckets}) AS INT)")
 
 
-def write_bars(df: DataFrame, processed_dir: str, dataset: str = DEFAULT_DATASET, layout: str = HIVE, buckets: int = BUCKETS) -> DataFrame:
+# ---------------------------------------------------------------- layout descriptor
+
+#: A small JSON file in the dataset's folder; Spark's readers skip names that begin with an underscore.
+DESCRIPTOR = "_layout.json"
+
+
+def layout_of(spark: SparkSession, processed_dir: str, dataset: str = DEFAULT_DATASET) -> dict | None:
+    """{"layout", "buckets"} of a dataset: as committed, else as its
+    directories show (buckets unknown: None); None where nothing is stored."""
+    fs, root = _fs(spark, dataset_path(processed_dir, dataset))
+    file = spark._jvm.org.apache.hadoop.fs.Path(root, DESCRIPTOR)
+    if fs.exists(file):
+        stream = fs.open(file)
+        try:
+            return json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+        finally:
+            stream.close()
+    if not fs.exists(root):
+        return None
+    names = [st.getPath().getName() for st in fs.listStatus(root)]
+    if any(n.startswith("symbol=") for n in names):
+        return {"layout": HIVE, "buckets": None}
+    if any(n.startswith("source=") for n in names):
+        return {"layout": BUCKETED, "buckets": None}
+    return None
+
+
+def _commit_layout(spark: SparkSession, processed_dir: str, dataset: str, layout: str | None, buckets: int | None) -> dict:
+    """The layout to write by: the stored one, with which a given one must
+    agree; for a new dataset the given one, which is committed first."""
+    if layout not in (None, HIVE, BUCKETED):
+        raise ValueError(f"Unknown layout '{layout}'. Available: {[HIVE, BUCKETED]}")
+    path = dataset_path(processed_dir, dataset)
+    stored = layout_of(spark, processed_dir, dataset)
+    if stored is None:
+        new = {"layout": layout or HIVE, "buckets": (buckets or BUCKETS) if layout == BUCKETED else None}
+        fs, root = _fs(spark, path)
+        fs.mkdirs(root)
+        try:
+            out = fs.create(spark._jvm.org.apache.hadoop.fs.Path(root, DESCRIPTOR), False)
+        except Exception:  # noqa: BLE001 - another writer was first: its layout counts
+            stored = layout_of(spark, processed_dir, dataset)
+            if stored is None:
+                raise
+        else:
+            try:
+                out.write(bytearray(json.dumps(new).encode()))
+            finally:
+                out.close()
+            return new
+    _require_layout(stored, path, layout, buckets)
+    if stored["layout"] == BUCKETED and stored["buckets"] is None:
+        raise ValueError(f"{path} is bucketed but has no {DESCRIPTOR}: its bucket count is not known, so it cannot be written to")
+    return stored
+
+
+def _require_layout(stored: dict, path: str, layout: str | None, buckets: int | None) -> None:
+    if layout is not None and layout != stored["layout"]:
+        raise ValueError(f"{path} has the layout '{stored['layout']}', not '{layout}'")
+    if buckets is not None and stored["layout"] == BUCKETED and buckets != stored["buckets"]:
+        raise ValueError(f"{path} has {stored['buckets']} buckets, not {buckets}")
+
+
+def write_bars(
+    df: DataFrame, processed_dir: str, dataset: str = DEFAULT_DATASET, layout: str | None = None, buckets: int | None = None
+) -> DataFrame:
     """Write normalized bars; return (symbol, source, year, rows) of the
     partitions this write replaced, counted from the rows it wrote.
 
@@ -50,30 +116,32 @@ def write_bars(df: DataFrame, processed_dir: str, dataset: str = DEFAULT_DATASET
     re-fetch that is shorter than what is stored replaces the whole (symbol,
     source, year) slice, in either layout:
 
-    * ``hive``: one directory for each (symbol, source, year);
+    * ``hive`` (a new dataset's default): one directory for each (symbol, source, year);
     * ``bucketed``: one directory for each (source, year, bucket of symbols),
       rows sorted by (symbol, date). Untouched symbols of a touched directory
       are read back and written again beside the new rows. For universes of
       very many symbols, where the other layout makes too many small files.
-      ``buckets`` must be the same for every write to a dataset.
+
+    The first write commits the layout and its bucket count (64 unless given)
+    in a descriptor beside the data. Later writes follow it, and raise if they
+    name another layout or count.
     """
     spark, path = df.sparkSession, dataset_path(processed_dir, dataset)
+    stored = _commit_layout(spark, processed_dir, dataset, layout, buckets)
     stage = scratch_path(spark, "stage", unique=True)
     _store_frame(df).write.parquet(stage)
     staged = spark.read.schema(STORE_SCHEMA).parquet(stage)
     rows, columns, order = staged, PARTITION_COLUMNS, ["date"]
-    if layout == BUCKETED:
+    if stored["layout"] == BUCKETED:
         columns, order = BUCKET_COLUMNS, ["symbol", "date"]
-        rows = staged.withColumn("bucket", _bucket(buckets))
+        rows = staged.withColumn("bucket", _bucket(stored["buckets"]))
         if has_parquet(spark, path):
-            old = _read(spark, path, layout)
+            old = _read(spark, path, BUCKETED)
             touched = rows.select(*BUCKET_COLUMNS).distinct()
             kept = old.join(touched, BUCKET_COLUMNS, "left_semi").join(rows.select(*PARTITION_COLUMNS).distinct(), PARTITION_COLUMNS, "left_anti")
             again = scratch_path(spark, "stage", unique=True)
             kept.select(*rows.columns).write.parquet(again)  # the store's own files are about to be replaced
             rows = rows.unionByName(spark.read.schema(rows.schema).parquet(again))
-    elif layout != HIVE:
-        raise ValueError(f"Unknown layout '{layout}'. Available: {[HIVE, BUCKETED]}")
     (
         rows.hint("rebalance", *columns)
         .sortWithinPartitions(*columns, *order)
@@ -83,7 +151,7 @@ def write_bars(df: DataFrame, processed_dir: str, dataset: str = DEFAULT_DATASET
         .partitionBy(*columns)
         .parquet(path)
     )
-    _REGISTERED.pop((spark.sparkContext.applicationId, processed_dir), None)
+    forget_files(spark, path)
     return _counts(staged)
 
 
@@ -94,17 +162,20 @@ def _read(spark: SparkSession, path: str, layout: str, schema=STORE_SCHEMA) -> D
 
 
 def read_store(
-    spark: SparkSession, processed_dir: str, dataset: str = DEFAULT_DATASET, schema=STORE_SCHEMA, layout: str = HIVE
+    spark: SparkSession, processed_dir: str, dataset: str = DEFAULT_DATASET, schema=STORE_SCHEMA, layout: str | None = None
 ) -> DataFrame:
-    df = _read(spark, dataset_path(processed_dir, dataset), layout, schema)
-    return df.select(*schema.fieldNames())
+    """The stored bars, by the dataset's own layout; a ``layout`` that isn't the stored one raises."""
+    path = dataset_path(processed_dir, dataset)
+    stored = layout_of(spark, processed_dir, dataset) or {"layout": layout or HIVE, "buckets": None}
+    _require_layout(stored, path, layout, None)
+    return _read(spark, path, stored["layout"], schema).select(*schema.fieldNames())
 
 
 def _counts(bars: DataFrame) -> DataFrame:
     return bars.groupBy(*PARTITION_COLUMNS).agg(F.count(F.lit(1)).alias("rows"))
 
 
-def partition_counts(spark: SparkSession, processed_dir: str, dataset: str = DEFAULT_DATASET, layout: str = HIVE) -> DataFrame:
+def partition_counts(spark: SparkSession, processed_dir: str, dataset: str = DEFAULT_DATASET, layout: str | None = None) -> DataFrame:
     """(symbol, source, year, rows) for every stored partition."""
     return _counts(read_store(spark, processed_dir, dataset, layout=layout))
 
@@ -144,39 +215,77 @@ def dataset_schema(spark: SparkSession, path: str, dataset: str) -> T.StructType
     return T.StructType(fields + [f for f in PARTITION_SCHEMA.fields if f.name in present])
 
 
-#: Views made in this process by (application, processed dir): their files are listed once.
-_REGISTERED: dict[tuple[str, str], list[str]] = {}
+class _Catalog:
+    """What register_views knows: the frame of every dataset folder whose files
+    were listed, and which folder each view of a session reads."""
+
+    def __init__(self):
+        self.frames: dict[tuple[str, str], DataFrame] = {}
+        self.shown: dict[tuple[str, str], str] = {}
+
+
+_CATALOG = _Catalog()
+
+
+def _session(spark: SparkSession) -> str:
+    return f"{spark.sparkContext.applicationId}/{spark._jsparkSession.sessionUUID()}"
+
+
+def _qualified(fs, path) -> str:
+    """One spelling of a path: with scheme, without doubled or trailing slashes."""
+    return path.makeQualified(fs.getUri(), fs.getWorkingDirectory()).toString()
+
+
+def forget_files(spark: SparkSession, path: str) -> None:
+    """Drop what is known of the files below a path, however it is spelled; the next use lists them anew."""
+    fs, p = _fs(spark, path)
+    changed = _qualified(fs, p)
+    for session, known in list(_CATALOG.frames):
+        if known == changed or known.startswith(changed + "/"):
+            del _CATALOG.frames[session, known]
+    spark.catalog.refreshByPath(changed)
 
 
 def register_views(spark: SparkSession, processed_dir: str, refresh: bool = False) -> list[str]:
     """One temp view per dataset directory holding Parquet files.
 
     Non-directories and directories without Parquet are skipped; a missing
-    root gives []. Files are listed at the first call and again after
-    ``write_bars`` wrote to the store; ``refresh`` lists them anew for files
-    that others wrote. Either layout can be read: partition columns are found
-    from the directories, their types are fixed.
+    root gives []. Every call points the views at this store: names that an
+    earlier call took from another store are dropped if this one doesn't have
+    them. A dataset's files are listed once for each session, and again after
+    ``write_bars`` wrote to it; ``refresh`` lists them anew for files that
+    others wrote. Either layout can be read: partition columns are found from
+    the directories, their types are fixed.
     """
-    key = (spark.sparkContext.applicationId, processed_dir)
-    if not refresh and key in _REGISTERED and all(spark.catalog.tableExists(n) for n in _REGISTERED[key]):
-        return list(_REGISTERED[key])
+    session = _session(spark)
     fs, root = _fs(spark, processed_dir)
-    if not fs.exists(root):
-        return []
-    created = []
-    for st in sorted(fs.listStatus(root), key=lambda s: s.getPath().getName()):
-        if not st.isDirectory():
-            continue
-        name = st.getPath().getName()
-        if name.startswith(("_", ".")) or not _has_parquet(fs, st.getPath()):
-            continue
-        path = dataset_path(processed_dir, name)
-        schema = dataset_schema(spark, path, name)
-        spark.read.schema(schema).option("basePath", path).parquet(path).createOrReplaceTempView(name)
-        created.append(name)
-    if created:
-        _REGISTERED[key] = created
-    return list(created)
+    if refresh:
+        forget_files(spark, processed_dir)
+    found = {}
+    if fs.exists(root):
+        for st in sorted(fs.listStatus(root), key=lambda s: s.getPath().getName()):
+            name = st.getPath().getName()
+            if st.isDirectory() and not name.startswith(("_", ".")) and _has_parquet(fs, st.getPath()):
+                found[name] = _qualified(fs, st.getPath())
+    for (owner, name), path in list(_CATALOG.shown.items()):
+        if owner == session and name not in found:
+            _drop_own(spark, session, name, path)
+    for name, path in found.items():
+        frame = _CATALOG.frames.get((session, path))
+        if frame is None:
+            schema = dataset_schema(spark, path, name)
+            frame = _CATALOG.frames[session, path] = spark.read.schema(schema).option("basePath", path).parquet(path)
+        frame.createOrReplaceTempView(name)
+        _CATALOG.shown[session, name] = path
+    return list(found)
+
+
+def _drop_own(spark: SparkSession, session: str, name: str, path: str) -> None:
+    """Drop a view made here for another store, unless its user has put something else under the name."""
+    del _CATALOG.shown[session, name]
+    frame = _CATALOG.frames.get((session, path))
+    if spark.catalog.tableExists(name) and (frame is None or spark.table(name).sameSemantics(frame)):
+        spark.catalog.dropTempView(name)
 
 
 def views_info(spark: SparkSession, names: list[str] | None = None) -> DataFrame:

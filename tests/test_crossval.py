@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import datetime as dt
 import math
+import random
 
 import pytest
-from conftest import BAR_DDL, bar, make_bars
+from conftest import BAR_DDL, WEEK, bar, make_bars
 
 from barlake.operators import crossval
 from barlake.sources import store
@@ -116,3 +117,42 @@ def test_bars_are_scanned_once(spark, tiers, name):
     assert final.count("FileScan parquet") == 1, final
     final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
     assert final.count("FileScan parquet") == 1, final
+
+
+def test_a_source_named_twice_counts_once(spark):
+    bars = make_bars(spark, WEEK, source="p").union(make_bars(spark, WEEK[:3], source="q"))
+    got = crossval.xval_matrix(bars, "p, q,p").first()
+    assert (got.rows_p, got.rows_q) == (5, 3) and "rows_p" in got.asDict()
+    assert crossval.xval_pairs(bars, ["p", "q", "p"]).count() == 1
+    with pytest.raises(ValueError, match="at least 2"):
+        crossval.xval_matrix(bars, "p,p")
+
+
+def test_pairs_of_many_sources_match_sets(spark):
+    rnd = random.Random(3)
+    dates = {f"s{k}": {dt.date(2021, 1, 1) + dt.timedelta(days=rnd.randrange(40)) for _ in range(rnd.randrange(0, 25))} for k in range(9)}
+    bars = make_bars(spark, [], source="s0")
+    for source, own in dates.items():
+        bars = bars.union(make_bars(spark, [bar(d) for d in sorted(own)], source=source))
+    got = {(r.src_a, r.src_b): (r.common_dates, r.only_a, r.only_b) for r in crossval.xval_pairs(bars, list(dates)).collect()}
+    names = list(dates)
+    want = {
+        (a, b): (len(dates[a] & dates[b]), len(dates[a] - dates[b]), len(dates[b] - dates[a]))
+        for i, a in enumerate(names) for b in names[i + 1:] if dates[a] and dates[b]
+    }
+    assert got == want
+
+
+def test_blocks_meet_every_pair_once(spark, monkeypatch):
+    monkeypatch.setattr(crossval, "BLOCK_CELLS", 4)
+    rnd = random.Random(4)
+    sides = {s: [bar("2021-06-07", round(rnd.uniform(5, 50), 2), v=k) for k in range(n)] for s, n in (("p", 30), ("q", 41))}
+    sides["p"] += sides["p"][:7]  # equal copies
+    bars = make_bars(spark, sides["p"], source="p").union(make_bars(spark, sides["q"], source="q"))
+    (got,) = crossval.xval_pairs(bars, "p,q", tolerance=60.0).collect()
+    diffs = [abs(a[1] - b[1]) / a[1] * 100 for a in sides["p"] for b in sides["q"]]
+    assert got.joined_rows == 37 * 41 and got.n_exceed == sum(d > 60 for d in diffs)
+    assert abs(got.avg_open_diff - sum(diffs) / len(diffs)) < 1e-9 and abs(got.max_open_diff - max(diffs)) < 1e-9
+    units = crossval._units(*(lambda c: (c, crossval._dates(c)))(crossval._cells(crossval._scoped(bars, ["p", "q"]))))
+    sizes = [r["count"] for r in units.groupBy("u", "v").count().collect()]
+    assert len(sizes) > 100 and max(sizes) <= 30

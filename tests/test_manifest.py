@@ -58,3 +58,31 @@ def test_intraday_manifest(spark):
         "D": ("1h", None, 1, dt.date(2024, 1, 2)),
         "E": ("5m", "unsupported", None, None),
     }
+
+
+def _manifest(spark, source, body, **bounds):
+    raw = spark.createDataFrame([(source, "QRS", "2022-01-03_daily.csv", body)], "source string, symbol string, file_name string, body string")
+    return payload_manifest(raw, **bounds).first()
+
+
+def test_quoted_dates_give_the_payloads_own_range(spark):
+    body = '﻿"Date","Open","High","Low","Close","Volume"\r\n"2021-06-07","1","2","0.5","1.5","10"\r\n"2021-06-08",1,2,1,2,5\r\n'
+    for source in ("stooq", "yfinance"):
+        got = _manifest(spark, source, body, start="2020-01-01", end="2022-01-01")
+        assert (str(got.start_date), str(got.end_date), got.error_kind, got.rows_received) == ("2021-06-07", "2021-06-08", None, 2)
+
+
+def test_an_unreadable_date_is_an_error(spark):
+    got = _manifest(spark, "stooq", "Date,Open\n07/06/2021,1\n", start="2020-01-01", end="2022-01-01")
+    assert (got.error_kind, got.error, got.start_date) == ("bad_date", "Unreadable date '07/06/2021'", None)
+    got = _manifest(spark, "stooq", "Date,Open\n\n \nx", start="2020-01-01", end="2022-01-01")
+    assert got.error_kind == "bad_date"
+
+
+def test_the_request_stands_in_only_without_rows(spark):
+    raw = spark.createDataFrame(
+        [("alpha_vantage", "QRS", "2022-01-03_daily.json", '{"Time Series (Daily)": {"2019-01-02": {"1. open": "1"}}}')],
+        "source string, symbol string, file_name string, body string",
+    )
+    got = payload_manifest(raw, "2020-01-01", "2022-01-01").first()
+    assert (str(got.start_date), str(got.end_date), got.rows_received) == ("2020-01-01", "2022-01-01", 0)

@@ -59,3 +59,11 @@ def test_a_cluster_must_name_its_shared_folder():
         with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
             session._private_dir(master)
     assert session._private_dir("local[4]") != session._private_dir("local")
+
+
+def test_preview_in_one_run(spark, week):
+    first = query.preview_run(week, 2, ["date"])
+    assert first.total == 5 and [r.date.day for r in first.rows.collect()] == [7, 8]
+    none = query.preview_run(week.where("open < 0"), 2, ["date"])
+    assert none.total == 0 and none.rows.count() == 0 and none.rows.columns == week.columns
+    assert query.preview_run(week, 3).total == 5

@@ -110,3 +110,86 @@ def test_export_counts_what_it_writes(spark, tiers, week):
     path = str(tiers.root / "out")
     assert store.export_csv(week.select("date", "close"), path) == 5
     assert spark.read.option("header", True).csv(path).agg(F.count("close")).first()[0] == 5
+
+
+# ---------------------------------------------------------------- stores with views of one name
+
+
+def _two_stores(spark, tiers):
+    a, b = f"{tiers.root}/a", f"{tiers.root}/b"
+    store.write_bars(make_bars(spark, WEEK[:3], symbol="AAA"), a)
+    store.write_bars(make_bars(spark, WEEK, symbol="BBB"), b)
+    store.write_bars(make_bars(spark, WEEK, symbol="EXTRA"), b, "daily_extra")
+    return a, b
+
+
+def test_each_store_answers_with_its_own_rows(spark, tiers):
+    a, b = _two_stores(spark, tiers)
+    ask = lambda path: tuple(query.run_sql(spark, "SELECT max(symbol), count(*) FROM daily_ohlcv", processed_dir=path).first())
+    assert [ask(p) for p in (a, b, a, b + "/", a + "//")] == [("AAA", 3), ("BBB", 5), ("AAA", 3), ("BBB", 5), ("AAA", 3)]
+
+
+def test_a_frame_keeps_the_store_it_was_made_from(spark, tiers):
+    a, b = _two_stores(spark, tiers)
+    first = query.run_sql(spark, "SELECT symbol FROM daily_ohlcv", processed_dir=a)
+    query.run_sql(spark, "SELECT symbol FROM daily_ohlcv", processed_dir=b)
+    assert {r.symbol for r in first.collect()} == {"AAA"}
+
+
+def test_views_that_a_store_lacks_are_dropped(spark, tiers):
+    a, b = _two_stores(spark, tiers)
+    assert store.register_views(spark, b) == ["daily_extra", "daily_ohlcv"]
+    assert store.register_views(spark, a) == ["daily_ohlcv"] and not spark.catalog.tableExists("daily_extra")
+    store.register_views(spark, b)
+    spark.range(3).createOrReplaceTempView("daily_extra")  # the user's own
+    store.register_views(spark, a)
+    assert spark.table("daily_extra").count() == 3
+    spark.catalog.dropTempView("daily_extra")
+    assert store.register_views(spark, f"{tiers.root}/nothing") == [] and not spark.catalog.tableExists("daily_ohlcv")
+
+
+def test_a_write_by_another_spelling_is_seen(spark, tiers):
+    a, _ = _two_stores(spark, tiers)
+    count = lambda: query.run_sql(spark, "SELECT count(*) FROM daily_ohlcv", processed_dir=a).first()[0]
+    assert count() == 3
+    store.write_bars(make_bars(spark, WEEK, symbol="AAA"), f"file:{a}//")
+    assert count() == 5
+
+
+def test_refresh_sees_files_of_others(spark, tiers):
+    a, b = _two_stores(spark, tiers)
+    store.register_views(spark, a)
+    source = f"{b}/daily_ohlcv/symbol=BBB"
+    os.rename(source, f"{a}/daily_ohlcv/symbol=BBB")
+    store.register_views(spark, a, refresh=True)
+    assert spark.table("daily_ohlcv").count() == 8
+
+
+# ---------------------------------------------------------------- layout descriptor
+
+
+def test_another_layout_or_bucket_count_raises(spark, tiers, week):
+    store.write_bars(week, tiers.store, layout=store.BUCKETED, buckets=2)
+    for wrong in ({"buckets": 7}, {"layout": store.HIVE}, {"layout": store.BUCKETED, "buckets": 3}):
+        with pytest.raises(ValueError, match="not"):
+            store.write_bars(week, tiers.store, **wrong)
+    with pytest.raises(ValueError, match="layout"):
+        store.read_store(spark, tiers.store, layout=store.HIVE)
+    assert store.layout_of(spark, tiers.store) == {"layout": "bucketed", "buckets": 2}
+    store.write_bars(week, tiers.store)  # follows the descriptor
+    assert store.read_store(spark, tiers.store).count() == 5
+
+
+def test_layout_of_older_and_missing_datasets(spark, tiers, week):
+    assert store.layout_of(spark, tiers.store) is None
+    store.write_bars(week, tiers.store)
+    os.rename(f"{tiers.store}/daily_ohlcv/_layout.json", f"{tiers.root}/descriptor")
+    assert store.layout_of(spark, tiers.store) == {"layout": "hive", "buckets": None}
+    store.write_bars(week, tiers.store)
+    assert store.read_store(spark, tiers.store).count() == 5
+    other = f"{tiers.root}/other"
+    store.write_bars(week, other, layout=store.BUCKETED, buckets=2)
+    os.rename(f"{other}/daily_ohlcv/_layout.json", f"{tiers.root}/descriptor2")
+    assert store.read_store(spark, other).count() == 5
+    with pytest.raises(ValueError, match="bucket count"):
+        store.write_bars(week, other)
