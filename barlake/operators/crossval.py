@@ -24,6 +24,7 @@ import operator
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from barlake.functions.numeric import nan_to_null, pct_diff
 from barlake.operators._common import (
@@ -228,22 +229,31 @@ def xval_matrix(bars: DataFrame, sources, symbols=None) -> DataFrame:
     # Without a symbol list every symbol is reported, those of other sources with 0 rows: they are
     # kept in the one scan, not looked up by another.
     s = _scoped(bars, sources, symbols, None, None, cols=["close"], others=symbols is None)
-    # One row for each (symbol, date): rows of every source, and the distinct closes of the first
-    # two (normally one each; the maximum over joined rows does not depend on multiplicity).
-    closes = [F.collect_set(F.when(F.col("pos") == i, F.col("close"))).alias(f"c{i}") for i in (1, 2)]
+    # Distinct closes with their numbers (other sources only count), combined before the shuffle.
+    close = F.when(F.col("pos").isin(1, 2), F.col("close"))
+    cells = s.groupBy("symbol", "date", "pos", close.alias("close")).agg(F.count(F.lit(1)).alias("w"))
+    # |a - b| / a * 100 is greatest at the b farthest from a > 0 (or 0) and at the nearest to a < 0, where it is
+    # negative: the least and greatest b of the date, and the neighbours of a in order, are all it takes.
+    b = F.when((F.col("pos") == 2) & ~F.isnan("close"), F.col("close"))
+    date = Window.partitionBy("symbol", "date")
+    order = date.orderBy("close", "pos")
+    found = cells.withColumn("b", b).select(
+        "symbol", "date", "pos", "close", "w",
+        F.min("b").over(date).alias("low"), F.max("b").over(date).alias("high"),
+        F.expr("lag(b) IGNORE NULLS").over(order).alias("before"), F.expr("lead(b) IGNORE NULLS").over(order).alias("after"),
+    )
+    diffs = [nan_to_null(pct_diff(F.col("close"), F.col(c))) for c in ("low", "high", "before", "after")]
+    diff = F.when(F.col("pos") == 1, F.greatest(*diffs))
     has1, has2 = F.col("n1") > 0, F.col("n2") > 0
     counts = [f"n{i + 1}" for i in range(len(sources))]
-    per_date = s.groupBy("symbol", "date").agg(*[F.count_if(F.col("pos") == i + 1).alias(c) for i, c in enumerate(counts)], *closes)
-    diff = F.aggregate(
-        "c1", F.lit(None).cast("double"),
-        lambda m, a: F.greatest(m, F.aggregate(
-            "c2", F.lit(None).cast("double"), lambda n, b: F.greatest(n, nan_to_null(pct_diff(a, b))))),
+    per_date = found.groupBy("symbol", "date").agg(
+        *[F.sum(F.when(F.col("pos") == i + 1, F.col("w")).otherwise(F.lit(0))).alias(c) for i, c in enumerate(counts)], F.max(diff).alias("diff")
     )
     per_symbol = per_date.groupBy("symbol").agg(
         *[F.sum(c).alias(f"rows_{src}") for c, src in zip(counts, sources, strict=True)],
         F.count_if(has1 & has2).alias("_common"),
         F.count_if(has1 | has2).alias("_union"),
-        F.max(diff).alias("max_close_diff_pct"),
+        F.max("diff").alias("max_close_diff_pct"),
     )
     first, second = f"rows_{sources[0]}", f"rows_{sources[1]}"
     both = (F.col(first) > 0) & (F.col(second) > 0)

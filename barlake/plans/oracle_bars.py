@@ -70,6 +70,11 @@ BARS_SQL = {
     GROUP BY ALL""",
 }
 
+BARS_SQL["signs"] = f"""
+    SELECT * REPLACE (CASE WHEN symbol = 'A' THEN -close WHEN volume % 9 = 0 THEN 0.0 WHEN volume % 9 < 4 THEN -close
+                           WHEN volume % 9 = 4 THEN CAST('NaN' AS DOUBLE) WHEN volume % 9 = 5 THEN NULL ELSE close END AS close)
+    FROM ({BARS_SQL["hot"]}) AS hot"""
+
 # Same rules, same order as table_bars.with_defects.
 DEFECTS_SQL = """
     SELECT date, symbol, source,

@@ -133,6 +133,12 @@ register("xval_pairs_3src", _xv_pairs_oracle("ord", XV_SOURCES_ORD, 0.5))(_xv_pa
 register("xval_pairs_hot", _xv_pairs_oracle("hot", XV_SOURCES_LI, XV_TOL))(_xv_pairs_query("hot", XV_SOURCES_LI, XV_TOL))
 
 
+@register("xval_matrix_signs", _xv_matrix_oracle("signs", XV_SOURCES_LI))
+def q_xval_matrix_signs(spark: SparkSession, sf: str) -> DataFrame:
+    out = crossval.xval_matrix(ADAPTERS["signs"](spark, sf), XV_SOURCES_LI)
+    return out.withColumn("overlap_pct", F.round("overlap_pct", 6))
+
+
 @register("xval_matrix_suppliers", _xv_matrix_oracle("sup", XV_SOURCES_SUP))
 def q_xval_matrix_suppliers(spark: SparkSession, sf: str) -> DataFrame:
     out = crossval.xval_matrix(ADAPTERS["sup"](spark, sf), XV_SOURCES_SUP)

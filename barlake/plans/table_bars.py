@@ -14,7 +14,8 @@ the shuffle on (symbol, source, date); a hot symbol spreads over its dates).
 so bars and symbols grow with the tables; it keeps duplicate dates, and
 prices that are NULL or NaN. ``bars_many`` has 40 sources. ``bars_hot`` is like
 ``bars_sup``, but the first 1,500 orders' items are copies of one date: about
-1,000 different ones for each of three symbols and two sources.
+1,000 different ones for each of three symbols and two sources. ``bars_signs``
+has their closes with zero, negative, NaN and NULL ones among them.
 
 open/close are the first/last trade price under a unique trade order;
 ``adjusted_close`` is ``close * 0.5`` (an exact binary scaling, like a 2:1
@@ -115,7 +116,15 @@ SELECT CASE WHEN l_orderkey <= 1500 THEN DATE '1990-01-01' ELSE CAST(l_shipdate
 FROM (SELECT *, l_extendedprice / l_quantity AS p FROM parquet.`{path}`)""")
 
 
-ADAPTERS = {"li": bars_li, "ord": bars_ord, "ev": bars_ev, "sup": bars_sup, "many": bars_many, "hot": bars_hot}
+def bars_signs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # Closes of the hot bars: zero, negative, NaN or NULL by volume; those of symbol A are all negative.
+    close = """CASE WHEN symbol = 'A' THEN -close WHEN volume % 9 = 0 THEN 0.0D WHEN volume % 9 < 4 THEN -close
+               WHEN volume % 9 = 4 THEN CAST('NaN' AS DOUBLE) WHEN volume % 9 = 5 THEN NULL ELSE close END"""
+    bars = bars_hot(spark, sf_dir)
+    return bars.withColumn("close", F.expr(close))
+
+
+ADAPTERS = {"li": bars_li, "ord": bars_ord, "ev": bars_ev, "sup": bars_sup, "many": bars_many, "hot": bars_hot, "signs": bars_signs}
 
 
 def with_defects(bars: DataFrame) -> DataFrame:
