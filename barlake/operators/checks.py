@@ -18,7 +18,8 @@ absent get a row (gaps/stale fail with "No data for <symbol>").
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -56,6 +57,47 @@ ISSUE_SEPARATOR = "; "
 SUMMARY_SEPARATOR = ", "
 
 
+@dataclass(frozen=True)
+class Check:
+    """A check: its columns (status, message, details) over the profile row of
+    a symbol, given the as-of date; and what it needs in that row besides the
+    columns that are always there.
+
+    ``daily`` has aggregates over the bars of a (symbol, date), as ``F.max(...)``;
+    ``by_symbol`` has aggregates over a symbol's days, which may read the daily
+    ones by name. Both join the one pass over the bars. By-symbol names are
+    columns of the profile row, NULL for a requested symbol without rows.
+    """
+
+    name: str
+    columns: Callable[[Column], dict[str, Column]]
+    daily: Mapping[str, Column] = field(default_factory=dict)
+    by_symbol: Mapping[str, Column] = field(default_factory=dict)
+
+
+#: Columns of the daily and symbol profiles besides the flags.
+_PROFILE_NAMES = {
+    "symbol", "date", "n_rows", "n_days", "n_trading_present", "first_date", "latest_date", "n_missing", "longest_gap", "missing_dates",
+}
+
+
+def _as_checks(checks: Sequence) -> list[Check]:
+    """Checks, or (name, columns) pairs that need nothing of their own."""
+    return [c if isinstance(c, Check) else Check(*c) for c in checks]
+
+
+def _brought(checks: Sequence[Check], part: str) -> dict[str, Column]:
+    """The aggregates that checks bring, by name; two checks may not share a name."""
+    taken = _PROFILE_NAMES | set(_flags())
+    out: dict[str, Column] = {}
+    for check in _as_checks(checks):
+        for name, agg in getattr(check, part).items():
+            if name in out or name in taken:
+                raise ValueError(f"The aggregate '{name}' of check '{check.name}' is taken")
+            out[name] = agg
+    return out
+
+
 def _flags() -> dict[str, Column]:
     o, h, lo, c, v = (F.col(x) for x in ("open", "high", "low", "close", "volume"))
     return {
@@ -68,11 +110,13 @@ def _flags() -> dict[str, Column]:
     }
 
 
-def daily_profile(bars: DataFrame, symbols=None) -> DataFrame:
-    """(symbol, date, n_rows, n_<flag>...) -- one row per present date."""
+def daily_profile(bars: DataFrame, symbols=None, checks: Sequence[Check] = ()) -> DataFrame:
+    """(symbol, date, n_rows, n_<flag>...) -- one row per present date, with
+    the daily aggregates that ``checks`` bring."""
     b = restrict_symbols(bars, symbols)
     aggs = [F.count(F.lit(1)).alias("n_rows")]
     aggs += [F.count_if(cond).alias(name) for name, cond in _flags().items()]
+    aggs += [agg.alias(name) for name, agg in _brought(checks, "daily").items()]
     return b.groupBy("symbol", "date").agg(*aggs)
 
 
@@ -136,10 +180,12 @@ def _gap_stats(per_day: DataFrame, shown: int | None = SHOWN) -> DataFrame:
     )
 
 
-def symbol_profile(bars: DataFrame, symbols=None, shown: int | None = SHOWN) -> DataFrame:
-    """One row per requested symbol with every input the four checks need;
-    ``missing_dates`` lists the first ``shown`` missing dates (None: all)."""
-    per_day = daily_profile(bars, symbols)
+def symbol_profile(bars: DataFrame, symbols=None, shown: int | None = SHOWN, checks: Sequence[Check] = ()) -> DataFrame:
+    """One row per requested symbol with every input the four checks need, and
+    what ``checks`` bring; ``missing_dates`` lists the first ``shown`` missing
+    dates (None: all)."""
+    per_day = daily_profile(bars, symbols, checks)
+    brought = _brought(checks, "by_symbol")
     flag_names = list(_flags())
     per_symbol = per_day.groupBy("symbol").agg(
         F.sum("n_rows").alias("n_rows"),
@@ -148,6 +194,7 @@ def symbol_profile(bars: DataFrame, symbols=None, shown: int | None = SHOWN) ->
         F.count_if(is_trading_day(F.col("date"))).alias("n_trading_present"),
         F.min("date").alias("first_date"),
         F.max("date").alias("latest_date"),
+        *[agg.alias(name) for name, agg in brought.items()],
     )
     gaps = _gap_stats(per_day, shown)
     if symbols is None:
@@ -169,6 +216,7 @@ def symbol_profile(bars: DataFrame, symbols=None, shown: int | None = SHOWN) ->
         .alias("n_missing"),
         F.coalesce("longest_gap", F.lit(0)).alias("longest_gap"),
         F.coalesce("missing_dates", F.array().cast("array<string>")).alias("missing_dates"),
+        *brought,
     )
 
 
@@ -299,17 +347,13 @@ def check_ohlc_consistency(bars: DataFrame, symbols=None, profile: DataFrame | N
     )
 
 
-#: A check: its name, and its columns (status, message, details) over the
-#: profile row of a symbol, given the as-of date as a Column.
-Check = tuple[str, Callable[[Column], dict[str, Column]]]
-
 #: The checks in the order they are reported; pass a longer or shorter
 #: sequence to ``run_checks`` to add, drop or reorder checks.
 DEFAULT_CHECKS: tuple[Check, ...] = (
-    (CHECK_ORDER[0], lambda as_of: _gaps_cols()),
-    (CHECK_ORDER[1], lambda as_of: _sanity_cols()),
-    (CHECK_ORDER[2], _stale_cols),
-    (CHECK_ORDER[3], lambda as_of: _ohlc_cols()),
+    Check(CHECK_ORDER[0], lambda as_of: _gaps_cols()),
+    Check(CHECK_ORDER[1], lambda as_of: _sanity_cols()),
+    Check(CHECK_ORDER[2], _stale_cols),
+    Check(CHECK_ORDER[3], lambda as_of: _ohlc_cols()),
 )
 
 
@@ -323,12 +367,13 @@ def run_checks(
 ) -> DataFrame:
     """(symbol, pos, check_name, status, message, details): the checks in
     order, produced from one profile row per symbol (no union of passes).
+    A ``profile`` that is given must hold what the checks bring.
 
     ``details`` is JSON text or NULL: the first ``shown`` missing dates of the
     gap check, the number of kinds of issues of the sanity check, and the
     latest date and days behind of the stale check.
     """
-    p = profile if profile is not None else symbol_profile(bars, symbols, shown)
+    p = profile if profile is not None else symbol_profile(bars, symbols, shown, checks)
     as_of = _as_of(as_of)
 
     def row(pos: int, name: str, cols: dict[str, Column]) -> Column:
@@ -337,7 +382,7 @@ def run_checks(
             *[cols.get(c, F.lit(None)).cast("string").alias(c) for c in ("status", "message", "details")],
         )
 
-    rows = F.array(*[row(i + 1, name, make(as_of)) for i, (name, make) in enumerate(checks)])
+    rows = F.array(*[row(i, check.name, check.columns(as_of)) for i, check in enumerate(_as_checks(checks), 1)])
     return p.select("symbol", F.explode(rows).alias("r")).select("symbol", "r.*")
 
 

@@ -408,6 +408,40 @@ def q_run_checks_suppliers(spark, sf):
     return checks.run_checks(ADAPTERS["sup"](spark, sf), as_of=RUN_AS_OF)
 
 
+def _wide_days() -> checks.Check:
+    """An added check with aggregates of its own: days on which a bar closed over 5% above its open."""
+    rise = (F.col("close") - F.col("open")) / F.col("open") * 100
+    n = F.coalesce("n_wide_days", F.lit(0).cast("bigint"))
+    return checks.Check(
+        "wide_days",
+        lambda as_of: {
+            "status": F.when(n == 0, F.lit("pass")).otherwise(F.lit("warn")),
+            "message": F.concat(n.cast("string"), F.lit(" wide days since "), F.coalesce(F.col("first_wide").cast("string"), F.lit("-"))),
+            "details": F.when(n > 0, F.concat(F.lit('{"days":'), F.col("n_days").cast("string"), F.lit("}"))),
+        },
+        daily={"widest_bar": F.max(F.when((F.col("open") > 0) & ~F.isnan("close"), rise))},
+        by_symbol={
+            "n_wide_days": F.count_if(F.col("widest_bar") > 5),
+            "first_wide": F.min(F.when(F.col("widest_bar") > 5, F.col("date"))),
+        },
+    )
+
+
+@register(
+    "run_checks_own",
+    f"""WITH {_profile_oracle("sup", False, None)},
+{_run_checks_cte(RUN_AS_OF)},
+days AS (SELECT symbol, date, max(CASE WHEN open > 0 AND NOT isnan(close) THEN (close - open) / open * 100 END) AS w FROM bars GROUP BY ALL),
+wide AS (SELECT symbol, count(*) FILTER (WHERE w > 5) AS n, min(date) FILTER (WHERE w > 5) AS first, count(*) AS n_days FROM days GROUP BY symbol)
+SELECT symbol, CAST(pos AS INTEGER) AS pos, check_name, status, message, details FROM rc
+UNION ALL
+SELECT symbol, 5, 'wide_days', CASE WHEN n = 0 THEN 'pass' ELSE 'warn' END,
+       n || ' wide days since ' || coalesce(CAST(first AS VARCHAR), '-'), CASE WHEN n > 0 THEN '{{"days":' || n_days || '}}' END FROM wide""",
+)
+def q_run_checks_own(spark, sf):
+    return checks.run_checks(ADAPTERS["sup"](spark, sf), as_of=RUN_AS_OF, checks=[*checks.DEFAULT_CHECKS, _wide_days()])
+
+
 @register(
     "validation_summary",
     _RUN_CHECKS_SQL

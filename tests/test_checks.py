@@ -7,10 +7,12 @@ import json
 import random
 
 import duckdb
-from conftest import BAR_DDL, bar, make_bars
+import pytest
+from conftest import BAR_DDL, WEEK, bar, make_bars
 from pyspark.sql import functions as F
 
 from barlake.operators import checks
+from barlake.sources import store
 
 
 def one(df):
@@ -156,3 +158,31 @@ def test_null_and_nan_prices(spark):
     assert one(checks.check_price_sanity(nothing))["status"] == one(checks.check_ohlc_consistency(nothing))["status"] == "pass"
     nan = make_bars(spark, [bar("2021-06-07", 5, 6, float("nan"), 5.5)])
     assert one(checks.check_price_sanity(nan))["n_high_low"] == 1  # NaN is above every number
+
+
+def _share_check(name="up_days"):
+    return checks.Check(
+        name,
+        lambda as_of: {"status": F.when(F.col(name) > 2, F.lit("warn")).otherwise(F.lit("pass")), "message": F.col(name).cast("string")},
+        daily={f"{name}_daily": F.count_if(F.col("close") > F.col("open"))},
+        by_symbol={name: F.sum(f"{name}_daily")},
+    )
+
+
+def test_a_check_brings_its_own_aggregates_in_one_scan(spark, tiers, week):
+    store.write_bars(week.union(week), tiers.store)
+    out = checks.run_checks(store.read_store(spark, tiers.store), as_of="2021-06-12", checks=[*checks.DEFAULT_CHECKS, _share_check()])
+    got = {r.check_name: r for r in out.collect()}
+    ups = sum(2 for r in WEEK if r[4] > r[1])
+    assert len(got) == 5 and got["up_days"].message == str(ups) and got["up_days"].pos == 5
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan[: plan.find("Initial Plan")].count("FileScan parquet") == 1
+
+
+def test_names_of_aggregates_must_be_free(spark, week):
+    with pytest.raises(ValueError, match="taken"):
+        checks.run_checks(week, checks=[_share_check(), _share_check()])
+    with pytest.raises(ValueError, match="taken"):
+        checks.run_checks(week, checks=[_share_check("n_flat")])
+    rows = checks.run_checks(week, "QRS,NONE", "2021-06-12", checks=[_share_check()]).collect()
+    assert {r.symbol: r.message for r in rows}["NONE"] is None
