@@ -13,9 +13,11 @@ and whatever their separators, and the key's owner can turn them back:
 * IPv4 addresses (octets up to 255), US social security numbers, phone
   numbers (international prefix and punctuation stay), the local part of
   e-mail addresses, cloud access keys, and values of eight or more
-  characters given to a name like token, key or password.
+  letters, digits and ``_+/-`` given to a name like token, key or password.
 
-Numbers that fail their validation are left alone; a short number beside a
+Not looked for: numbers with ``00`` for ``+``, dates with the month's name,
+passwords with other signs, bearer tokens without a name and a sign before them,
+and IPv4 octets with leading zeros. Numbers that fail their validation are left alone; a short number beside a
 card, or text after an IBAN of its country's length, hides neither.
 """
 
@@ -198,15 +200,26 @@ def _date(key: bytes, text: str, back: bool) -> str | None:
 
 
 def _ip(key: bytes, text: str, back: bool) -> str | None:
-    octets = [int(x) for x in text.split(".")]
-    if max(octets) > 255:
+    octets = text.split(".")
+    if any(int(x) > 255 or x != str(int(x)) for x in octets):
         return None
-    return ".".join(map(str, permute(key, "ip", octets, [256] * 4, back)))
+    return ".".join(map(str, permute(key, "ip", [int(x) for x in octets], [256] * 4, back)))
+
+
+# International calling codes of one and two digits; all others have three.
+_ONE_DIGIT_CODES = frozenset("17")
+_TWO_DIGIT_CODES = frozenset(
+    "20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 90 91 92 93 94 95 98".split()
+)
 
 
 def _phone(key: bytes, text: str, back: bool) -> str | None:
-    head = re.match(r"\+\d{1,3}[ .-]?(?=\D|\d)", text)
-    cut = head.end() if head else 0
+    """The calling code stays, by the table of codes, so that separators don't decide where it ends."""
+    cut = 0
+    if text[0] == "+":
+        cut = 2 if text[1] in _ONE_DIGIT_CODES else 3 if text[1:3] in _TWO_DIGIT_CODES else 4
+        if not text[1:cut].isdigit():
+            return None
     if not 7 <= sum(c.isdigit() for c in text[cut:]) <= 12:
         return None
     return text[:cut] + _digits(key, "phone", text[cut:], back)
@@ -234,7 +247,7 @@ def _iban_end(text: str) -> int:
 def _iban(key: bytes, text: str, back: bool) -> str | None:
     flat = text.replace(" ", "")
     number = lambda s: int("".join(str(int(c, 36)) for c in s))
-    if not 15 <= len(flat) <= 34 or number(flat[4:] + flat[:4]) % 97 != 1:
+    if not 15 <= len(flat) <= 34 or number(flat[4:] + flat[:4]) % 97 != 1 or not 2 <= int(flat[2:4]) <= 98:
         return None
     body = _letters(key, "iban", flat[4:], back)
     check = 98 - number(body + flat[:2] + "00") % 97
@@ -247,9 +260,26 @@ def _email(key: bytes, text: str, back: bool) -> str | None:
     return f"{_letters(key, 'email', local, back)}@{domain}" if local.strip(".") else None
 
 
+_ACCESS_KEY = re.compile(r"AKIA[0-9A-Z]{16}(?!\w)")
+
+
+def _shape(text: str) -> str:
+    """What a secret reads as: lower-case hexadecimal, an access key, or other."""
+    return "hex" if re.fullmatch(r"[0-9a-f]+", text) else "access" if _ACCESS_KEY.match(text) else "other"
+
+
 def _secret(key: bytes, text: str, back: bool) -> str | None:
-    """Lower-case hexadecimal values permute as one class."""
-    return _letters(key, "secret", text, back, ("0123456789abcdef",) if re.fullmatch(r"[0-9a-f]+", text) else _CLASSES)
+    """Lower-case hexadecimal values permute as one class, access keys after their
+    mark; all others are walked until they read as neither."""
+    shape = _shape(text)
+    if shape == "hex":
+        return _letters(key, "secret", text, back, ("0123456789abcdef",))
+    if shape == "access":
+        return text[:4] + _letters(key, "secret", text[4:20], back, ("0123456789" + _CLASSES[2],)) + text[20:]
+    while True:
+        text = _letters(key, "secret", text, back)
+        if _shape(text) == shape:
+            return text
 
 
 _CHANGE: dict[str, Callable[[bytes, str, bool], str | None]] = {
@@ -270,7 +300,6 @@ _IBAN = re.compile(r"[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\
 _LOCAL = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789._%+-")
 _DOMAIN = re.compile(r"@(?:[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?\.)+[A-Za-z]{2,}")
 _SECRET = re.compile(r"[=:]\s?([\"']?)([A-Za-z0-9_+/-]{8,})\1(?![\w])")
-_ACCESS_KEY = re.compile(r"AKIA([0-9A-Z]{16})(?!\w)")
 _NAMED = re.compile(r"(?i)token|key|secret|password|passwd|pwd|auth|credential")
 
 
@@ -309,7 +338,7 @@ def find(text: str) -> list[tuple[int, int, str]]:
     spans: list[tuple[int, int, str]] = []
     for m in _ACCESS_KEY.finditer(text):
         if not text[m.start() - 1 : m.start()].isalnum():
-            spans.append((m.start(1), m.end(1), "secret"))
+            spans.append((m.start(), m.end(), "secret"))
     if "=" in text or ":" in text:
         for m in _SECRET.finditer(text):
             if _NAMED.search(_name(text, m.start())):
