@@ -4,11 +4,12 @@ Words become symbols: insult, threat verb, intent, target, negation, report
 (reported speech), quote, boundary or other. Five small weighted transducers
 read the symbols of a clause: insults and threats emit weight, a target
 beside them raises it, a negation shortly before and reported speech or
-quotes lower it. A threat verb needs an intent before it ("I'll hurt ...") or
+quotes lower it. An insult without a target is a match too, of its plain
+weight. A threat verb needs an intent before it ("I'll hurt ...") or
 begins the clause as a command; the target may stand before or after it, and
-the verb's negation and report hold until then. They are composed once; a
-clause's score is its heaviest path (tropical semiring with max). A document's
-score is a logistic function of its matched clauses, not of isolated words.
+the verb's negation and report hold until then. They are composed once; the
+composition is deterministic, so each clause has one path, whose matches' weights
+add up. A document's score is a logistic function of its matched clauses.
 
 The grammar's shape is fixed. Learned from labelled rows are the weights of
 the insult words and the logistic function; both are fitted on at most
@@ -17,10 +18,10 @@ the insult words and the logistic function; both are fitted on at most
 
 from __future__ import annotations
 
+import hashlib
 import itertools
 import math
 import re
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -197,19 +198,46 @@ def features(text: str | None, words: dict[str, tuple[int, float]]) -> list[floa
     return [min(total, 12.0), best, min(plain, 8), min(matched, 8), math.log1p(200.0 * total / n), float(total > 0)]
 
 
-def learn_words(rows: list[tuple[str | None, int]]) -> dict[str, float]:
-    """Insult words and weights from labelled texts; equal texts count once."""
-    by = {0: Counter(), 1: Counter()}
-    n = Counter()
-    for text, label in {(t or "", y) for t, y in rows}:
-        by[label].update({w for w in tokens(text) if w[0].isalpha()})
-        n[label] += 1
-    out = {}
-    for word, c in by[1].items():
-        ratio = (c + 0.5) / (n[1] + 1) / ((by[0][word] + 0.5) / (n[0] + 1))
-        if c >= max(3, MIN_SHARE * n[1]) and ratio >= MIN_RATIO:
-            out[word] = min(math.log(ratio) / 3.0, 2.0)
-    return out
+def _words_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (text, y) as (digest of the text, y, word) for each distinct word; a null word stands for the text itself."""
+    for batch in batches:
+        for part, texts in chunks(batch):
+            keys, labels, words = [], [], []
+            for text, y in zip(texts, part.column(1).to_pylist(), strict=True):
+                own = [None, *sorted({w for w in tokens(text) if w[0].isalpha()})]
+                keys += [hashlib.blake2b((text or "").encode(), digest_size=16).digest()] * len(own)
+                labels += [y] * len(own)
+                words += own
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(labels, pa.int32()), pa.array(words, pa.string())], names=["key", "y", "word"])
+
+
+def learn_words(rows: DataFrame) -> dict[str, float]:
+    """Insult words and weights from labelled texts (text, y); equal texts count once.
+
+    Words are counted on the executors. A word must stand in at least 3 and in
+    MIN_SHARE of the toxic texts, so the words that come back are at most
+    1 / MIN_SHARE times those of a toxic text.
+    """
+    counts = rows.mapInArrow(_words_of, "key binary, y int, word string").distinct().groupBy("word").agg(
+        F.count_if(F.col("y") == 1).alias("bad"), F.count_if(F.col("y") == 0).alias("fine")
+    ).checkpoint()
+    texts = counts.where("word IS NULL").first()
+    if texts is None:
+        return {}
+    ratio = (F.col("bad") + 0.5) / (texts.bad + 1) / ((F.col("fine") + 0.5) / (texts.fine + 1))
+    often = counts.where(F.col("word").isNotNull() & (F.col("bad") >= max(3, MIN_SHARE * texts.bad)))
+    found = often.withColumn("ratio", ratio).where(F.col("ratio") >= MIN_RATIO).orderBy("word").collect()
+    return {r.word: min(math.log(r.ratio) / 3.0, 2.0) for r in found}
+
+
+def _measure(words: dict[str, tuple[int, float]]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part, texts in chunks(batch):
+                x = [features(t, words) for t in texts]
+                yield pa.RecordBatch.from_arrays([part.column(1), pa.array(x, pa.list_(pa.float64()))], names=["y", "x"])
+
+    return run
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, l2: float = 1.0, steps: int = 50) -> np.ndarray:
@@ -230,19 +258,21 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     """The model from the given labelled rows (the caller leaves out what it holds out).
 
     At most MAX_LABELLED rows, those with the smallest hash of the id, are
-    read. Null labels and ids without a document are ignored. Without rows
+    read; words are counted and texts measured on the executors, and the driver
+    fits a few numbers of each row. Null labels and ids without a document are ignored. Without rows
     of both kinds the listed words and a cautious fixed function are used.
     """
     own = labels.where(F.col(label_col).isin(0, 1)).select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("int").alias("y"))
     own = own.where("id IS NOT NULL").groupBy("id").agg(F.max("y").alias("y")).orderBy(F.xxhash64("id"), "id").limit(MAX_LABELLED)
     text = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    # A bounded side: at most MAX_LABELLED pairs of numbers.
-    rows = [(r.text, r.y) for r in text.join(F.broadcast(own), "id").select("text", "y").toLocalIterator()]
+    # A bounded side: at most MAX_LABELLED pairs of numbers. Their texts stay on the executors.
+    rows = text.join(F.broadcast(own), "id").select("text", "y").checkpoint()
     learned = learn_words(rows)
     words = lexicon(learned)
-    y = np.array([r[1] for r in rows], float)
-    if len(rows) and 0 < y.sum() < len(y):
-        weights = fit_logistic(np.array([features(t, words) for t, _ in rows]), y)
+    measured = sorted((r.y, *r.x) for r in rows.mapInArrow(_measure(words), "y int, x array<double>").collect())
+    y = np.array([r[0] for r in measured], float)
+    if len(measured) and 0 < y.sum() < len(y):
+        weights = fit_logistic(np.array([r[1:] for r in measured]), y)
     else:
         weights = np.array([0.5, 0.5, 0.5, 0.5, 0.2, 0.0, -3.0])
     return {"learned": learned, "weights": weights.tolist()}

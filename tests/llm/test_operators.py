@@ -401,7 +401,7 @@ def test_runs_are_levelled(spark):
 # ------------------------------------------------------------ context-tree weighting
 
 
-@pytest.mark.parametrize("depth", [2, 3, 6])
+@pytest.mark.parametrize("depth", [2, 3, 5, 6])
 def test_context_tree(spark, depth):
     rows = [(1, "the cat sat on the mat"), (2, "The dog  sat on\nthe log"), (3, None), (4, "abc abd é"), (5, ""), (6, "zzz the cat"), (7, "the cat sat on the mat")]
     got = {r.doc_id: r for r in ctw.score(brute.frame(spark, rows), F.col("doc_id") <= 4, depth=depth).collect()}
