@@ -1,10 +1,11 @@
-"""N-gram Jaccard join: a MinHash LSH forest, verified exactly.
-
-Every text is its set of five-word shingles. Each of ``trees`` tries holds,
-for every distinct set, a label of ``depth`` MinHash values. Two sets are
-candidates if their labels share a prefix in any trie. The prefix starts at
-the whole label and is shortened until the expected share of pairs at the
-threshold that meet, 1 - (1 - s**d)**trees, reaches the target recall.
+"""N-gram Jaccard join: banded MinHash LSH, verified exactly.
+
+Every text is its set of five-word shingles. Each of ``trees`` labels holds,
+for every distinct set, ``depth`` MinHash values. The longest prefix length d
+at which the expected share of pairs at the threshold that meet,
+1 - (1 - s**d)**trees, reaches the target recall is found once from the
+parameters; two sets are candidates if they share such a prefix in any tree.
+No trie is sorted or descended (the README says why).
 
 Equal sets are collapsed first, so thousands of copies are one entry. Every
 trie node gives its entries one edge each to its smallest entry (never all
