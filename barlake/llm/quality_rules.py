@@ -16,9 +16,13 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .names import quoted
+
 BUCKETS = 1 << 14
 ALPHA = 0.5
 THRESHOLD = -0.04
+#: Trusted ids that are broadcast at most (16 bytes each).
+MARKS_BROADCAST = 2_000_000
 
 # The six spaces of [\x20\x09-\x0D] and the symbols that are counted.
 _SPACES = ("\t", "\n", "\x0b", "\f", "\r", " ")
@@ -82,17 +86,18 @@ def fit_ratios(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text
     ``trusted`` has the column id_col; ids without a document are ignored.
     Without a trusted n-gram (or without documents) every ratio is 0.
     """
-    marks = trusted.select(F.col(id_col).cast("long").alias("__id"), F.lit(1).alias("__t")).where("__id IS NOT NULL").distinct()
-    own = docs.select(F.col(id_col).cast("long").alias("__id"), F.col(text_col).alias("text"))
-    # Counted for each (document's mark, slot): the marks are joined to ids alone, before the text is read.
-    marked = own.select("__id").distinct().join(marks, "__id").select(F.col("__id").alias("__good"))
+    marks = trusted.select(F.col(quoted(id_col)).cast("long").alias("__id"), F.lit(1).alias("__t")).where("__id IS NOT NULL").distinct()
+    own = docs.select(F.col(quoted(id_col)).cast("long").alias("__id"), F.col(quoted(text_col)).alias("text"))
+    # One pass: each n-gram counts for the raw side and, in a marked text, for the target too. Up to
+    # MARKS_BROADCAST marks go to the texts; beyond that, texts and marks are shuffled by id.
+    if marks.limit(MARKS_BROADCAST + 1).count() <= MARKS_BROADCAST:
+        marks = F.broadcast(marks)
     grams = _let("ws", _words(_text("text")), _grams(buckets))
-    slots = lambda d: d.select(F.explode(F.expr(grams)).alias("slot"))
-    raw = slots(own).groupBy("slot").agg(F.count("*").alias("r"))
-    good = slots(own.join(marked, F.col("__id") == F.col("__good"), "left_semi")).groupBy("slot").agg(F.count("*").alias("t"))
+    slots = own.join(marks, "__id", "left").select("__t", F.explode(F.expr(grams)).alias("slot"))
+    counts = slots.groupBy("slot").agg(F.count("*").alias("r"), F.count("__t").alias("t"))
     raw_n, good_n = [0] * buckets, [0] * buckets
-    for slot, r, t in raw.join(good, "slot", "left").collect():  # at most ``buckets`` rows
-        raw_n[slot], good_n[slot] = r, t or 0
+    for slot, r, t in counts.collect():  # at most ``buckets`` rows
+        raw_n[slot], good_n[slot] = r, t
     total, trust = sum(raw_n), sum(good_n)
     if not trust:
         return [0.0] * buckets
@@ -125,6 +130,6 @@ def score_rules(docs: DataFrame, ratios: list[float], text_col: str = "text", th
         'kept', NOT {failed} AND m.score >= {threshold!r}D)"""
     # One expression whose parts are bound inside it: a filter on the verdict that is pushed below
     # the projection takes all of it along once, and splits the text once.
-    row = _let("t", _text(f"`{text_col}`"), _let("ws", _words("t"), _let("m", counts, result)))
+    row = _let("t", _text(quoted(text_col)), _let("ws", _words("t"), _let("m", counts, result)))
     out = docs.select("*", F.expr(row).alias("__r"))
-    return out.select(*docs.columns, *[F.col(f"__r.{n}").alias(f"__{n}") for n in [*names, "base_failed", "kept"]])
+    return out.select(*map(quoted, docs.columns), *[F.col(f"__r.{n}").alias(f"__{n}") for n in [*names, "base_failed", "kept"]])
