@@ -389,12 +389,57 @@ def test_line_dedup_odd_rows(spark, odd, empty):
     assert line_dedup.dedup_lines(empty).count() == 0
 
 
+@pytest.mark.parametrize("hot_broadcast", [1000, 0])
+def test_hot_lines(spark, docs, hot_broadcast):
+    """Keys above hot_docs by broadcast and by salted copies, the others by their own join."""
+    out = line_dedup.dedup_lines(docs, hot_docs=7, hot_broadcast=hot_broadcast)
+    assert {r.doc_id: (r["__n_lines"], r["__n_dropped"], r["__kept"]) for r in out.collect()} == brute.line_dedup(ROWS)
+    assert max(brute.Counter(x for _, t in ROWS for x in set((t or "").split("\n")) if len(x) >= 40).values()) >= 7
+
+
+def test_names_with_dots(spark, docs):
+    odd = docs.select("doc_id", "text", F.col("word").alias("a.b"), F.col("score").alias("c`d"))
+    assert [r["__kept"] for r in line_dedup.dedup_lines(odd).orderBy("doc_id").collect()] == [r["__kept"] for r in line_dedup.dedup_lines(docs).orderBy("doc_id").collect()]
+    ratios = quality_rules.fit_ratios(odd, odd.select("doc_id"), buckets=8)
+    out = quality_rules.score_rules(odd, ratios)
+    assert out.columns[:4] == odd.columns and out.first()["a.b"] == "w"
+    named = docs.select(F.col("doc_id").alias("my.id"), F.col("text").alias("my.text"))
+    assert line_dedup.dedup_lines(named, "my.id", "my.text").count() == len(ROWS)
+    assert quality_rules.fit_ratios(named, named.select("`my.id`"), "my.id", "my.text", 8) == ratios
+
+
+def test_marks_beyond_the_broadcast_bound(spark, docs, monkeypatch):
+    marks = docs.where("doc_id < 40").select("doc_id")
+    want = quality_rules.fit_ratios(docs, marks, buckets=64)
+    monkeypatch.setattr(quality_rules, "MARKS_BROADCAST", 3)
+    assert quality_rules.fit_ratios(docs, marks, buckets=64) == want
+
+
+def test_runs_stay_sorted_in_buckets(spark):
+    """Batches and runs meet by bucket: no exchange of a run, one file for each bucket."""
+    runs = line_dedup.LineRuns(spark, fanout=9)
+    keys = spark.range(400).selectExpr("unhex(md5(string(id % 160))) key", "1000 - id doc")
+    for _ in range(3):
+        runs.add(keys)
+    for name in runs.runs():
+        files = spark.table(name).inputFiles()
+        assert len(files) == runs.parts == len({f.rsplit("_", 1)[1] for f in files})
+    a, b = map(spark.table, runs.runs()[:2])
+    plan = a.join(b.hint("merge"), "key", "full")._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Exchange" not in plan
+    assert runs.totals().agg(F.sum("n_docs"), F.count("last")).first() == (1200, 160)
+    assert len(spark.table(runs.runs()[0]).inputFiles()) == runs.parts
+    runs.close()
+
+
 def test_runs_are_levelled(spark):
     runs = line_dedup.LineRuns(spark, fanout=2)
     key = lambda names: spark.createDataFrame([(bytes([ord(c)] * 16), d) for c, d in names], "key binary, doc long")
     for batch in ([("a", 9), ("b", 9), ("a", 8)], [("a", 7), ("c", 6)], [("c", 5), ("a", 5)]):
         runs.add(key(batch))
     assert [len(level) for level in runs.levels] == [1, 1]
+    # Only the first run of a key carries its holder: the anti-join decides it.
+    assert {r.key[:1].decode(): r["last"] for r in spark.table(runs.runs()[0]).collect()} == {"a": None, "c": None}
     assert {r.key[:1].decode(): (r.n_docs, r["last"]) for r in runs.totals().collect()} == {"a": (4, 9), "b": (1, 9), "c": (2, 6)}
 
 
