@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barlake.llm import decontaminate, line_dedup, near_dup, queries, quality_rules, sentencepiece_fst
+from barlake.llm.names import quoted
 from barlake.session import scratch_path
 
 ORACLE_SQL = None
@@ -22,7 +23,7 @@ ORACLE_SQL = None
 def stage_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that a quality rule rejects go."""
     ratios = quality_rules.fit_ratios(docs, queries.trusted(spark, sf_dir))
-    return quality_rules.score_rules(docs, ratios).where("__kept").select(*docs.columns)
+    return quality_rules.score_rules(docs, ratios).where("__kept").select(*map(quoted, docs.columns))
 
 
 def stage_line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,7 +32,7 @@ def stage_line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     text = F.when(F.col("__n_dropped") > 0, F.col("__kept")).otherwise(F.col("text"))
     chars = F.when(F.col("__n_dropped") > 0, F.length("__kept").cast("long")).otherwise(F.col("n_chars"))
     new = {"text": text.alias("text"), "n_chars": chars.alias("n_chars")}
-    return out.select(*[new.get(c, F.col(c)) for c in docs.columns])
+    return out.select(*[new.get(c, F.col(quoted(c))) for c in docs.columns])
 
 
 def stage_near_dup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
