@@ -8,8 +8,8 @@ leftmost of equals) is its anchor, and equal strings have equal anchors at
 equal offsets. Neighbouring strings with one anchor form a span.
 
 1. Texts are packed into batches, written once to the shared folder with the
-   hashes of their anchors. Hash shards answer, one bit for each, whether an
-   anchor stands anywhere else; most text ends here.
+   hashes of their anchors. Hash shards answer whether an anchor stands
+   anywhere else; most text ends here.
 2. Each batch sorts the suffixes that start at its repeated anchors (the left
    context rides along), keeps the earliest of equal spans (later ones are
    cut at once, so a run has a span once however many copies there are) and
@@ -17,10 +17,15 @@ equal offsets. Neighbouring strings with one anchor form a span.
 3. A shard merges its runs with a loser tree that carries common-prefix
    lengths: heads with different known lengths are ordered without touching
    a byte, equal ones are compared beyond them only. Suffixes that share
-   their anchor are neighbours; the common-prefix lengths to the right and
-   the common-suffix lengths to the left bound the strings that can repeat,
-   and these are resolved exactly, the earliest one staying.
+   their anchor are neighbours; strings are equal where the merge's common
+   prefixes and the common suffixes of the left contexts, sorted once more,
+   reach far enough, and the earliest one stays.
 4. Each batch meets its cuts and gives its documents.
+
+An anchor with very many different surroundings would make one shard too
+large: from HOT spans on, as step 1 counts them, a batch sends the digests
+(128 bits) of the span's strings, each once, to shards of their own, which
+keep the earliest place of each. Both ways give the same cuts.
 """
 
 from __future__ import annotations
@@ -37,35 +42,42 @@ from pyspark.sql import functions as F
 
 from barlake.session import scratch_path
 
-from .packing import expand, grouped, pack, squeeze, unpack
+from .packing import expand, grouped, pack, pack_planes, squeeze, unpack, unpack_planes
 from .shingles import _BASE, _INVERSE, _power, mix
 
 LENGTH = 100
 GRAM = 40
 BATCH_BYTES = 4 << 20
+SEGMENT = 8 << 20  # bytes whose anchors are found at once: the arrays of a long text are no longer than this
+HOT = 10_000  # spans of one anchor, each counted once in a batch
+HOT_SHARDS = 16  # shards of hot strings for each shard of anchors
+HELD = 1 << 20  # places of hot strings that a shard reduces at once
 SCHEMA = "kind string, batch long, shard int, a binary, b binary"
-_PLACE = np.uint64((1 << 28) - 1)  # a batch's bytes are numbered with 28 bits: one text may have 256 MB
+_PLACE = np.uint64((1 << 28) - 1)  # a segment's bytes are numbered with 28 bits
 
 
 class Spans:
-    """The spans of a batch of texts: first and last start, anchor, and anchor hash."""
+    """The spans of a batch of texts: first and last start, anchor, anchor hash, and hash of all bytes.
+
+    Found a segment at a time; a span that crosses segments counts as two.
+    """
 
-    def __init__(self, texts: list[bytes]):
+    def __init__(self, texts: list[bytes], segment: int = SEGMENT):
         self.data = b"".join(texts)
-        n = len(self.data)
-        if n > int(_PLACE):
-            raise ValueError("a text of more than 256 MB")
         self.sizes = np.array([len(t) for t in texts], np.int64)
         self.ends = np.cumsum(self.sizes)
-        self.first = self.last = self.anchor = np.zeros(0, np.int64)
-        self.hash = np.zeros(0, np.uint64)
-        width = LENGTH - GRAM + 1
-        if n < LENGTH:
-            return
+        parts = [self._segment(s, min(s + segment, len(self.data) - LENGTH + 1)) for s in range(0, len(self.data) - LENGTH + 1, segment)]
+        none = (*[np.zeros(0, np.int64)] * 3, *[np.zeros(0, np.uint64)] * 2)
+        self.first, self.last, self.anchor, self.hash, self.content = (np.concatenate(c) for c in zip(none, *parts, strict=True))
+
+    def _segment(self, start: int, stop: int) -> tuple[np.ndarray, ...]:
+        """Spans of the strings that start in [start, stop)."""
+        data = np.frombuffer(self.data, np.uint8)[start : stop + LENGTH - 1]
+        n, windows, width = len(data), stop - start, LENGTH - GRAM + 1
         total = np.zeros(n + 1, np.uint64)
-        np.cumsum((np.frombuffer(self.data, np.uint8).astype(np.uint64) + np.uint64(1)) * _power(_BASE, n), out=total[1:])
-        grams = mix((total[GRAM:] - total[:-GRAM]) * _power(_INVERSE, n)[: n - GRAM + 1])
-        del total
+        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * _power(_BASE, n), out=total[1:])
+        back = _power(_INVERSE, n)
+        grams = mix((total[GRAM:] - total[:-GRAM]) * back[: n - GRAM + 1])
         m = len(grams)
         low = np.full(-(-m // width) * width, np.iinfo(np.uint64).max, np.uint64)
         low[:m] = (grams & ~_PLACE) | np.arange(m, dtype=np.uint64)
@@ -73,21 +85,29 @@ class Spans:
         blocks = low.reshape(-1, width)
         up = np.minimum.accumulate(blocks, axis=1).ravel()
         down = np.ascontiguousarray(np.minimum.accumulate(blocks[:, ::-1], axis=1)[:, ::-1]).ravel()
-        windows = n - LENGTH + 1
         anchor = (np.minimum(down[:windows], up[width - 1 : width - 1 + windows]) & _PLACE).astype(np.int64)
-        inside = np.zeros(n + 1, np.int8)
+        inside = np.zeros(windows + 1, np.int8)
         has = self.sizes >= LENGTH
-        np.add.at(inside, (self.ends - self.sizes)[has], 1)
-        np.add.at(inside, (self.ends - LENGTH + 1)[has], -1)
+        np.add.at(inside, np.clip((self.ends - self.sizes)[has], start, stop) - start, 1)
+        np.add.at(inside, np.clip((self.ends - LENGTH + 1)[has], start, stop) - start, -1)
         valid = np.flatnonzero(np.cumsum(inside)[:windows])
-        if not len(valid):
-            return
         at = anchor[valid]
-        new = np.concatenate(([True], (at[1:] != at[:-1]) | (valid[1:] != valid[:-1] + 1)))
+        new = np.ones(len(valid), bool)
+        new[1:] = (at[1:] != at[:-1]) | (valid[1:] != valid[:-1] + 1)
         begins = np.flatnonzero(new)
-        self.first, self.last = valid[begins], valid[np.append(begins[1:], len(valid)) - 1]
-        self.anchor = at[begins]
-        self.hash = grams[self.anchor] >> np.uint64(16)  # 48 bits: equal hashes of different grams cost work only
+        first, at = valid[begins], at[begins]
+        last = valid[np.append(begins[1:], len(valid))[: len(begins)] - 1]
+        content = mix((total[last + LENGTH] - total[first]) * back[first])
+        # 48 bits of an anchor's hash: equal hashes of different grams cost work only.
+        return first + start, last + start, at + start, grams[at] >> np.uint64(16), content
+
+    def anchors(self) -> tuple[np.ndarray, np.ndarray]:
+        """Sorted anchor hashes, and the different spans of each: at least 2 if it stands twice."""
+        hashes, which, n = np.unique(self.hash, return_inverse=True, return_counts=True)
+        many = np.flatnonzero(n[which] > 1)
+        _, one = np.unique(mix(self.hash[many] ^ mix(self.content[many])), return_index=True)
+        spans = np.bincount(which[many[one]], minlength=len(hashes))
+        return hashes, np.where(n > 1, np.maximum(spans, 2), 1).astype(np.uint32)
 
     def documents(self, places: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.ends, places, side="right")
@@ -103,9 +123,9 @@ def _ask(shards: int):
     def asked(batch: int, held: list) -> pa.RecordBatch:
         ids, texts = zip(*held, strict=True)
         spans = Spans(list(texts))
-        hashes, n = np.unique(spans.hash, return_counts=True)
+        hashes, n = spans.anchors()
         shard = _shard(hashes, shards)
-        rows = [("anchor", batch, int(s), pack(hashes[shard == s]), np.packbits(n[shard == s] > 1).tobytes()) for s in np.unique(shard)]
+        rows = [("anchor", batch, int(s), pack(hashes[shard == s]), pack_planes(n[shard == s])) for s in np.unique(shard)]
         sink = pa.BufferOutputStream()
         table = pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(spans.sizes)], names=["id", "size"])
         with pa.ipc.new_stream(sink, table.schema) as w:
@@ -141,16 +161,21 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], names=["kind", "batch", "shard", "a", "b"])
 
 
-def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """For each batch's anchors of a shard, one bit: it stands more than once."""
-    for shard, rows in grouped(batches, "shard"):
-        asked = [unpack(r["a"]) for r in rows]
-        hashes, n = np.unique(np.concatenate(asked), return_counts=True)
-        out = []
-        for r, own in zip(rows, asked, strict=True):
-            twice = np.unpackbits(np.frombuffer(r["b"], np.uint8), count=len(own)).astype(bool)
-            out.append(("bits", r["batch"], shard, np.packbits(twice | (n[np.searchsorted(hashes, own)] > 1)).tobytes(), b""))
-        yield _batch(out)
+def _repeated(hot: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """For each batch's anchors of a shard, one bit: it stands more than once; and if any is hot, one for that."""
+        for shard, rows in grouped(batches, "shard"):
+            asked = [unpack(r["a"]) for r in rows]
+            hashes, which = np.unique(np.concatenate(asked), return_inverse=True)
+            n = np.bincount(which, np.concatenate([unpack_planes(r["b"], np.uint32) for r in rows]))
+            out = []
+            for r, own in zip(rows, asked, strict=True):
+                spans = n[np.searchsorted(hashes, own)]
+                much = spans >= hot
+                out.append(("bits", r["batch"], shard, np.packbits(spans > 1).tobytes(), np.packbits(much).tobytes() if much.any() else b""))
+            yield _batch(out)
+
+    return run
 
 
 def front_code(records: list[tuple]) -> bytes:
@@ -249,39 +274,98 @@ def resolve(group: list[tuple]) -> Iterator[tuple[int, int, int]]:
 
     group: (run, common prefix with the one before, right, left, id, first), sorted by right.
     """
-    spans: dict[tuple[bytes, bytes], tuple] = {}
-    for run, _, right, left, doc, first in group:
-        key, order = (right, left), (doc, first)
-        held = spans.get(key)
-        if held is None or order < held[0]:
-            spans[key] = (order, run)
-            if held is None:
-                continue
-            order, run = held
-        yield run, order[1], order[1] + len(left) + len(right)
-    if len(spans) < 2:
+    place: dict[tuple[bytes, bytes], tuple] = {}
+    near: list[int] = []  # common prefix of each different record with the next one: the least on the way
+    low = LENGTH
+    for run, lcp, right, left, doc, first in group:
+        low = min(low, lcp)
+        new = (doc, first + len(left), run)
+        held = place.get((right, left))
+        if held is None:
+            if place:
+                near.append(low)
+            place[right, left], low = new, LENGTH
+            continue
+        if new < held:
+            place[right, left], new = new, held
+        yield new[2], new[1] - len(left), new[1] + len(right)
+    if not near:
         return
-    records = [(right, left, order, run) for (right, left), (order, run) in spans.items()]
-    # Longest common prefix to the right and suffix to the left with any other record: with a neighbour in order.
-    most = []
-    for part in ([r[0] for r in records], [r[1][::-1] for r in records]):
-        order = sorted(range(len(part)), key=part.__getitem__)
-        near = [common(part[a], part[b], 0) for a, b in itertools.pairwise(order)]
-        best = [0] * len(part)
-        for j, k in enumerate(order):
-            best[k] = max(near[j - 1] if j else 0, near[j] if j < len(near) else 0)
-        most.append(best)
-    strings: dict[bytes, tuple] = {}
-    for k, (right, left, order, run) in enumerate(records):
-        # A string with o bytes before the anchor needs o of them and LENGTH - o after to be shared.
-        for o in range(max(LENGTH - len(right), LENGTH - most[0][k]), min(len(left), most[1][k]) + 1):
-            string = left[len(left) - o :] + right[: LENGTH - o]
-            place = (order[0], order[1] + len(left) - o, run)
-            held = strings.setdefault(string, place)
-            if held is not place:
-                if place < held:
-                    strings[string], place = place, held
-                yield place[2], place[1], place[1] + LENGTH
+    records = [(len(right), len(left), at) for (right, left), at in place.items()]
+    lefts = [left[::-1] for _, left in place]
+    order = sorted(range(len(lefts)), key=lefts.__getitem__)
+    beside = [common(lefts[a], lefts[b], 0) for a, b in itertools.pairwise(order)]
+    # A string with o bytes before the anchor is shared by neighbours with o of them and LENGTH - o after in common.
+    for o in range(max(0, LENGTH - max(near)), max(beside) + 1):
+        right_class = list(itertools.accumulate((n < LENGTH - o for n in near), initial=0))
+        left_class = list(itertools.accumulate((n < o for n in beside), initial=0))
+        earliest: dict[tuple[int, int], tuple] = {}
+        for k, c in zip(order, left_class, strict=True):
+            after, before, at = records[k]
+            if before < o or after < LENGTH - o:
+                continue
+            key = right_class[k], c
+            held = earliest.setdefault(key, at)
+            if held is not at:
+                if at < held:
+                    earliest[key], at = at, held
+                yield at[2], at[1] - o, at[1] - o + LENGTH
+
+
+def _first_places(table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(the earliest row of each string, the other rows) of rows (digest, digest, id, first byte, batch)."""
+    high, low, doc, at, _ = table.T
+    order = np.lexsort((at, doc, low, high))
+    again = np.zeros(len(order), bool)
+    again[1:] = (high[order[1:]] == high[order[:-1]]) & (low[order[1:]] == low[order[:-1]])
+    return table[order[~again]], table[order[again]]
+
+
+def _places(digests: bytes | bytearray, doc: np.ndarray, at: np.ndarray, batch: int) -> np.ndarray:
+    return np.column_stack([np.frombuffer(digests, np.int64).reshape(-1, 2), doc, at, np.full(len(at), batch)])
+
+
+def _strings(batch: int, data: bytes, spans: dict[tuple, tuple], shards: int, cuts: list[tuple[int, int]]) -> list[tuple]:
+    """Rows of the strings of hot spans, each at its earliest place; the other places are cut."""
+    digests, docs, at, sizes = bytearray(), [], [], []
+    for (right, left), (doc, first) in spans.items():
+        both = left + right
+        sizes.append(len(both) - LENGTH + 1)
+        docs.append(doc)
+        at.append(np.arange(first, first + sizes[-1]))
+        digests += b"".join(hashlib.blake2b(both[k : k + LENGTH], digest_size=16).digest() for k in range(sizes[-1]))
+    if not sizes:
+        return []
+    table, late = _first_places(_places(digests, np.repeat(np.array(docs, np.int64), sizes), np.concatenate(at), batch))
+    cuts.extend((a, a + LENGTH) for a in late[:, 3].tolist())
+    shard = shards + table[:, 0] % (HOT_SHARDS * shards)
+    table = table[np.argsort(shard, kind="stable")]
+    return [
+        ("hot", batch, int(s), own[:, :2].tobytes(), pack_planes(own[:, 2:4].ravel()))
+        for s, own in zip(np.unique(shard), np.split(table, np.flatnonzero(np.diff(np.sort(shard))) + 1), strict=True)
+    ]
+
+
+def _earliest(rows: Iterator[dict], held: int) -> Iterator[pa.RecordBatch]:
+    """Cuts of all but the earliest place of each hot string: each string once and ``held`` new places are in memory."""
+
+    def reduced() -> Iterator[pa.RecordBatch]:
+        first, late = _first_places(np.concatenate(tables))
+        tables[:] = [first]
+        late = late[np.argsort(late[:, 4], kind="stable")]
+        parts = np.split(late, np.flatnonzero(np.diff(late[:, 4])) + 1) if len(late) else []
+        yield _batch([_cut_row(int(p[0, 4]), [(a, a + LENGTH) for a in p[:, 3].tolist()]) for p in parts])
+
+    tables: list[np.ndarray] = []
+    new = 0
+    for r in rows:
+        at = unpack_planes(r["b"], np.int64).reshape(-1, 2)
+        tables.append(_places(r["a"], at[:, 0], at[:, 1], r["batch"]))
+        new += len(at)
+        if new >= held:
+            yield from reduced()
+            new = 0
+    yield from reduced()
 
 
 def _send(shards: int):
@@ -292,17 +376,20 @@ def _send(shards: int):
             spans = Spans(texts)
             hashes = np.unique(spans.hash)
             shard = _shard(hashes, shards)
-            again = np.zeros(len(hashes), bool)
+            again, hot = np.zeros((2, len(hashes)), bool)
             for r in rows:
                 if r["kind"] == "bits":
                     own = np.flatnonzero(shard == r["shard"])
                     again[own] = np.unpackbits(np.frombuffer(r["a"], np.uint8), count=len(own))
-            take = np.flatnonzero(again[np.searchsorted(hashes, spans.hash)]) if len(hashes) else []
+                    if r["b"]:
+                        hot[own] = np.unpackbits(np.frombuffer(r["b"], np.uint8), count=len(own))
+            which = np.searchsorted(hashes, spans.hash)
+            take = np.flatnonzero(again[which])
             data = spans.data
-            docs = [ids[d] for d in spans.documents(spans.first[take])] if len(take) else []
+            docs = [ids[d] for d in spans.documents(spans.first[take])]
             by: dict[int, dict] = {}
             cuts: list[tuple[int, int]] = []
-            to = _shard(spans.hash[take], shards).tolist() if len(take) else []
+            to = np.where(hot[which[take]], -1, _shard(spans.hash[take], shards)).tolist()
             for doc, s, f, a, z in zip(docs, to, spans.first[take].tolist(), spans.anchor[take].tolist(), (spans.last[take] + LENGTH).tolist(), strict=True):
                 run = by.setdefault(s, {})
                 key, order = (data[a:z], data[f:a]), (doc, f)
@@ -313,7 +400,8 @@ def _send(shards: int):
                         continue
                     order = held
                 cuts.append((order[1], order[1] + z - f))
-            out = [
+            out = _strings(batch, data, by.pop(-1, {}), shards, cuts)
+            out += [
                 ("run", batch, s, front_code(sorted((right, left, *order) for (right, left), order in run.items())), b"")
                 for s, run in by.items()
             ]
@@ -335,8 +423,8 @@ def _cut_row(batch: int, cuts: list[tuple[int, int]], shard: int = -1) -> tuple:
     return ("cut", batch, shard, pack(flat), b"")
 
 
-def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for _, rows in grouped(batches, "shard"):
+def _merge(shards: int, held: int):
+    def merged(rows: list[dict]) -> pa.RecordBatch:
         passing = [tuple(r[c] for c in ("kind", "batch", "shard", "a", "b")) for r in rows if r["kind"] == "cut"]
         rows = [r for r in rows if r["kind"] == "run"]
         cuts: dict[int, list] = {}
@@ -348,7 +436,17 @@ def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                         cuts.setdefault(rows[r]["batch"], []).append((a, b))
                 group = []
             group.append((run, lcp, right, left, doc, first))
-        yield _batch(passing + [_cut_row(batch, own) for batch, own in cuts.items()])
+        return _batch(passing + [_cut_row(batch, own) for batch, own in cuts.items()])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = (r for batch in batches for r in batch.to_pylist())
+        for shard, own in itertools.groupby(rows, key=lambda r: r["shard"]):
+            if shard < shards:
+                yield merged(list(own))
+            else:
+                yield from _earliest(own, held)
+
+    return run
 
 
 def _finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -374,7 +472,7 @@ def _finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], names=["id", "n_bytes", "n_removed", "n_spans", "kept", "spans"])
 
 
-def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot: int = HOT, held: int = HELD) -> DataFrame:
     """One row of every document: (id_col, n_bytes, n_removed, n_spans, kept, spans).
 
     kept holds the remaining bytes, spans the start and end of each removed
@@ -382,6 +480,10 @@ def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     as empty. A null id gives no row. Rows that repeat an id are one
     document, the one with the greatest text. Texts of fewer than LENGTH
     bytes stay whole; an empty table gives no rows; other columns are not read.
+    A text longer than a batch is a batch of its own, its anchors found in
+    segments: a task holds a few copies of its bytes. Anchors of ``hot``
+    spans or more go by their strings, ``held`` places at a time; neither
+    number changes a result.
     """
     spark = docs.sparkSession
     shards = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
@@ -396,9 +498,9 @@ def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     def by(rows: DataFrame, column: str) -> DataFrame:
         return rows.repartition(shards, column).sortWithinPartitions(column, "batch")
 
-    bits = by(asked.where("kind = 'anchor'").select("batch", "shard", "a", "b"), "shard").mapInArrow(_repeated, SCHEMA)
+    bits = by(asked.where("kind = 'anchor'").select("batch", "shard", "a", "b"), "shard").mapInArrow(_repeated(hot), SCHEMA)
     sent = by(texts.union(bits), "batch").mapInArrow(_send(shards), SCHEMA)
-    cuts = by(sent, "shard").mapInArrow(_merge, SCHEMA)
+    cuts = by(sent, "shard").mapInArrow(_merge(shards, held), SCHEMA)
     done = by(texts.union(cuts), "batch").mapInArrow(
         _finish, "id long, n_bytes long, n_removed long, n_spans long, kept binary, spans array<long>"
     )

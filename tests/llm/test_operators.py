@@ -294,6 +294,34 @@ def test_suffix_dedup(monkeypatch, spark, empty):
     assert suffix_dedup.cut_repeats(empty).count() == 0
 
 
+def test_hot_anchors_go_by_their_strings(monkeypatch, spark):
+    """A text of 45 bytes with other surroundings in every document, and longer ones with few: cuts stay the same."""
+    rnd = random.Random(11)
+    word = lambda n: "".join(rnd.choice("abcdefgh") for _ in range(n))
+    head, tails, page = word(45), [word(80) for _ in range(4)], word(900)
+    rows = [(i, word(rnd.randrange(70)) + head + rnd.choice([word(90), rnd.choice(tails), page])) for i in range(120)]
+    rows += [(500 + i, page[: rnd.randrange(900)] + head + head + tails[0]) for i in range(10)]
+    want = brute.cut_repeats(rows)
+    monkeypatch.setattr(suffix_dedup, "BATCH_BYTES", 1500)
+    frame = brute.frame(spark, rows).persist()
+    for hot, held in ((2, 5), (8, 1000), (40, 1 << 20), (10_000, 1)):
+        got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, hashlib.sha256(r.kept).hexdigest()) for r in suffix_dedup.cut_repeats(frame, hot=hot, held=held).collect()}
+        assert got == want
+
+
+def test_spans_are_found_by_segments():
+    rnd = random.Random(12)
+    texts = [bytes(rnd.choice(b"ab") for _ in range(n)) for n in (0, 99, 100, 700, 30, 2500, 101)]
+    whole = suffix_dedup.Spans(texts)
+    anchors = lambda s: {p: (a, h) for f, z, a, h in zip(s.first.tolist(), s.last.tolist(), s.anchor.tolist(), s.hash.tolist(), strict=True) for p in range(f, z + 1)}
+    assert len(anchors(whole)) == 1 + 601 + 2401 + 2
+    for segment in (1, 7, 64, 1000, 3530):
+        assert anchors(suffix_dedup.Spans(texts, segment)) == anchors(whole)
+    counted = dict(zip(*(x.tolist() for x in suffix_dedup.Spans([b"x" * 60 + texts[5][:90], texts[5], texts[5]]).anchors()), strict=True))
+    assert set(counted.values()) >= {2} and max(counted.values()) <= 3
+    assert [len(x) for x in suffix_dedup.Spans([b"", b"short"]).anchors()] == [0, 0]
+
+
 def test_merge_of_front_coded_runs():
     rnd = random.Random(4)
     for _ in range(60):
