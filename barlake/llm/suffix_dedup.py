@@ -325,7 +325,7 @@ def _places(digests: bytes | bytearray, doc: np.ndarray, at: np.ndarray, batch:
     return np.column_stack([np.frombuffer(digests, np.int64).reshape(-1, 2), doc, at, np.full(len(at), batch)])
 
 
-def _strings(batch: int, data: bytes, spans: dict[tuple, tuple], shards: int, cuts: list[tuple[int, int]]) -> list[tuple]:
+def _strings(batch: int, spans: dict[tuple, tuple], shards: int, cuts: list[tuple[int, int]]) -> list[tuple]:
     """Rows of the strings of hot spans, each at its earliest place; the other places are cut."""
     digests, docs, at, sizes = bytearray(), [], [], []
     for (right, left), (doc, first) in spans.items():
@@ -400,7 +400,7 @@ def _send(shards: int):
                         continue
                     order = held
                 cuts.append((order[1], order[1] + z - f))
-            out = _strings(batch, data, by.pop(-1, {}), shards, cuts)
+            out = _strings(batch, by.pop(-1, {}), shards, cuts)
             out += [
                 ("run", batch, s, front_code(sorted((right, left, *order) for (right, left), order in run.items())), b"")
                 for s, run in by.items()

@@ -309,6 +309,18 @@ def test_hot_anchors_go_by_their_strings(monkeypatch, spark):
         assert got == want
 
 
+def test_strings_of_a_hot_anchor_spread_over_the_shards():
+    """One header of 45 bytes in 3,000 texts: no shard has much more than the median."""
+    rnd = random.Random(13)
+    some = lambda n: bytes(rnd.choice(b"abcdefgh") for _ in range(n))
+    head, cuts = some(45), []
+    spans = {(head + some(55), some(60)): (i, 0) for i in range(3000)}
+    rows = suffix_dedup._strings(7, spans, 4, cuts)
+    sizes = sorted(len(r[3]) // 16 for r in rows)
+    assert len(rows) == 4 * suffix_dedup.HOT_SHARDS and {r[2] for r in rows} == set(range(4, 4 + len(rows)))
+    assert not cuts and sum(sizes) == 61 * 3000 and sizes[-1] < 1.2 * sizes[len(sizes) // 2]
+
+
 def test_spans_are_found_by_segments():
     rnd = random.Random(12)
     texts = [bytes(rnd.choice(b"ab") for _ in range(n)) for n in (0, 99, 100, 700, 30, 2500, 101)]
