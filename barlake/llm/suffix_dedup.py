@@ -48,7 +48,7 @@ from .shingles import _BASE, _INVERSE, _power, mix
 LENGTH = 100
 GRAM = 40
 BATCH_BYTES = 4 << 20
-SEGMENT = 8 << 20  # bytes whose anchors are found at once: the arrays of a long text are no longer than this
+SEGMENT = 1 << 19  # bytes whose anchors are found at once, with about 100 bytes of arrays for each: a batch takes several
 HOT = 10_000  # spans of one anchor, each counted once in a batch
 HOT_SHARDS = 16  # shards of hot strings for each shard of anchors
 HELD = 1 << 20  # places of hot strings that a shard reduces at once

@@ -5,8 +5,10 @@ from __future__ import annotations
 import hashlib
 import math
 import random
+import tracemalloc
 
 import brute
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -546,3 +548,18 @@ def test_quality_where_every_document_has_a_label(spark, tmp_path):
     got = {r.doc_id: r for r in queries.op10_pu_quality(spark, str(tmp_path)).collect()}
     held = [i for i in good if got[i].held_out]
     assert len(held) > 200 and sum(got[i].predicted == good[i] for i in held) >= 0.95 * len(held)
+
+
+def test_spans_of_a_batch_take_little_memory():
+    # A worker finds a batch's anchors a segment at a time; two such workers share an executor.
+    rng = np.random.default_rng(5)
+    texts = [bytes(x) for x in np.split(rng.integers(97, 123, suffix_dedup.BATCH_BYTES, dtype=np.uint8), 1000 * np.arange(1, 4190))]
+    suffix_dedup.Spans(texts[:2])  # the powers, which stay
+    tracemalloc.start()
+    try:
+        spans = suffix_dedup.Spans(texts)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert len(spans.first) > 50_000
+    assert peak < 25 * suffix_dedup.BATCH_BYTES
