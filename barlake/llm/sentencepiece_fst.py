@@ -37,7 +37,7 @@ DEFAULT_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 #: Words whose path is kept by one worker, in each of two generations: when the newer one is
 #: full, it becomes the older one, and words that are met again move up.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 100_000
 #: Composed states kept by one worker; beyond, they are made afresh.
 STATES = 400_000
 #: Verdicts on pairs of pieces kept by one worker.
@@ -48,15 +48,17 @@ NORMAL, UNKNOWN, CONTROL, USER, BYTE = 1, 2, 3, 4, 6
 class Composed:
     """A state of the composition of pieces and merge rules, made when a text first reaches it.
 
-    It holds the pieces that are still open (trie node, piece before it; the
-    earliest first), the last piece of the finite path into this place (None:
-    no path ends here), and its arcs by character.
+    It holds the last piece of the finite path into this place (None: no path
+    ends here) and the pieces that are still open (number of the trie node,
+    piece before it, in turn; the earliest first) as one tuple, by which it is
+    also found, and its arcs by character.
     """
 
-    __slots__ = ("arcs", "ids", "last", "open", "size")
+    __slots__ = ("arcs", "ids", "key", "last", "size")
 
-    def __init__(self, last: str | None, open_: list, ids: tuple[int, ...]):
-        self.last, self.open, self.arcs = last, open_, {}
+    def __init__(self, key: tuple, ids: tuple[int, ...]):
+        last = key[0]
+        self.last, self.key, self.arcs = last, key, {}
         self.ids, self.size = ids, len(last or "")
 
 
@@ -87,12 +89,17 @@ class Transducer:
         self.characters = set("".join(self.id))
         if any(SPACE in p.lstrip(SPACE) for p in self.id):
             raise ValueError("a piece holds a space after a non-space: words are no units")
-        self.trie: dict = {}  # of the pieces; a node's piece stands under ""
+        self.trie: dict = {None: 0}  # of the pieces; a node's piece stands under "", its number under None
+        self.nodes = [self.trie]
         for p in self.id:
             node = self.trie
             for c in p:
-                node = node.setdefault(c, {})
+                if c not in node:
+                    node[c] = {None: len(self.nodes)}
+                    self.nodes.append(node[c])
+                node = node[c]
             node[""] = p
+        self.single = {p: (i,) for p, i in self.id.items()}  # one tuple for all states of a piece
         self.unit = re.compile(f"[\n]|{SPACE}*[^{SPACE}\n]+|{SPACE}+") if "\n" not in self.characters else re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
         self.rank = {p: -x for p, x in self.score.items()}
         self.outside = 10.0 - min(self.score.values(), default=0.0)
@@ -179,23 +186,24 @@ class Transducer:
     def _step(self, state: Composed, c: str) -> Composed:
         """The arc of the composed machine that reads c; made once, then kept at its state."""
         last, open_ = None, []
-        for node, before in state.open:  # longest piece first
-            node = node.get(c)
+        held = state.key
+        for k in range(1, len(held), 2):  # longest piece first
+            node = self.nodes[held[k]].get(c)
             if node is None:
                 continue
-            piece = node.get("")
+            before, piece = held[k + 1], node.get("")
             if piece is not None and last is None and self._finite(before, piece):
                 last = piece
-            if len(node) > (piece is not None):
-                open_.append((node, before))
+            if len(node) > 1 + (piece is not None):
+                open_ += (node[None], before)
         if last is None and c not in self.id and state.last is not None:
             last = c  # a character that is no piece
         if last is not None:
-            open_.append((self.trie, last))
-        key = (last, *((id(node), before) for node, before in open_))
+            open_ += (0, last)
+        key = (last, *open_)
         to = self.states.get(key)
         if to is None:
-            to = self.states[key] = Composed(last, open_, self.output(last or ""))
+            to = self.states[key] = Composed(key, self.output(last or ""))
         state.arcs[c] = to
         return to
 
@@ -251,13 +259,13 @@ class Transducer:
     def _forget(self) -> None:
         """A machine without composed states."""
         self.states: dict[tuple, Composed] = {}
-        self.start = Composed("", [(self.trie, "")], ())
+        self.start = Composed(("", 0, ""), ())
 
     def output(self, piece: str) -> tuple[int, ...]:
         """Ids of a piece, or of the bytes of a character that is none."""
-        i = self.id.get(piece)
-        if i is not None:
-            return (i,)
+        one = self.single.get(piece)
+        if one is not None:
+            return one
         return tuple(self.bytes[b] for b in piece.encode("utf-8", "surrogatepass")) if self.bytes else (self.unknown,)
 
     def path_ids(self, unit: str) -> tuple[int, ...]:

@@ -563,3 +563,19 @@ def test_spans_of_a_batch_take_little_memory():
         tracemalloc.stop()
     assert len(spans.first) > 50_000
     assert peak < 25 * suffix_dedup.BATCH_BYTES
+
+
+def test_composed_states_take_little_memory():
+    fst = sentencepiece_fst.Transducer(open(sentencepiece_fst.DEFAULT_MODEL, "rb").read())
+    rng = np.random.default_rng(6)
+    pieces = [p for p in fst.id if p.isalpha()]
+    words = ["".join(pieces[i] for i in rng.integers(0, len(pieces), 4)) for _ in range(4000)]
+    tracemalloc.start()
+    try:
+        for w in words:
+            fst._bpe_trail(w)
+        held = tracemalloc.get_traced_memory()[0]
+    finally:
+        tracemalloc.stop()
+    assert len(fst.states) > 5_000
+    assert held < 900 * len(fst.states)  # pairs and spines included; 1,300 with the open pieces in lists and in keys of their own
