@@ -229,31 +229,29 @@ def xval_matrix(bars: DataFrame, sources, symbols=None) -> DataFrame:
     # Without a symbol list every symbol is reported, those of other sources with 0 rows: they are
     # kept in the one scan, not looked up by another.
     s = _scoped(bars, sources, symbols, None, None, cols=["close"], others=symbols is None)
-    # Distinct closes with their numbers (other sources only count), combined before the shuffle.
-    close = F.when(F.col("pos").isin(1, 2), F.col("close"))
-    cells = s.groupBy("symbol", "date", "pos", close.alias("close")).agg(F.count(F.lit(1)).alias("w"))
+    # Distinct closes with their numbers, combined before the shuffle. Other sources only count: theirs are one cell without a date.
+    met = F.col("pos").isin(1, 2)
+    cells = s.groupBy("symbol", F.when(met, F.col("date")).alias("date"), "pos", F.when(met, F.col("close")).alias("close")).agg(F.count(F.lit(1)).alias("w"))
     # |a - b| / a * 100 is greatest at the b farthest from a > 0 (or 0) and at the nearest to a < 0, where it is
-    # negative: the least and greatest b of the date, and the neighbours of a in order, are all it takes.
+    # negative: the least and greatest b of the date, and the neighbours of a in order, are all it takes. One order
+    # serves all of a date's windows, and its first cell counts for the date, so that cells are sorted once and
+    # no table of dates is held beside them.
     b = F.when((F.col("pos") == 2) & ~F.isnan("close"), F.col("close"))
-    date = Window.partitionBy("symbol", "date")
-    order = date.orderBy("close", "pos")
+    order = Window.partitionBy("symbol", "date").orderBy("close", "pos")
+    date = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     found = cells.withColumn("b", b).select(
-        "symbol", "date", "pos", "close", "w",
+        "symbol", "pos", "close", "w",
         F.min("b").over(date).alias("low"), F.max("b").over(date).alias("high"),
         F.expr("lag(b) IGNORE NULLS").over(order).alias("before"), F.expr("lead(b) IGNORE NULLS").over(order).alias("after"),
+        F.row_number().over(order).alias("nth"), *[F.bool_or(F.col("pos") == i).over(date).alias(f"has{i}") for i in (1, 2)],
     )
     diffs = [nan_to_null(pct_diff(F.col("close"), F.col(c))) for c in ("low", "high", "before", "after")]
     diff = F.when(F.col("pos") == 1, F.greatest(*diffs))
-    has1, has2 = F.col("n1") > 0, F.col("n2") > 0
-    counts = [f"n{i + 1}" for i in range(len(sources))]
-    per_date = found.groupBy("symbol", "date").agg(
-        *[F.sum(F.when(F.col("pos") == i + 1, F.col("w")).otherwise(F.lit(0))).alias(c) for i, c in enumerate(counts)], F.max(diff).alias("diff")
-    )
-    per_symbol = per_date.groupBy("symbol").agg(
-        *[F.sum(c).alias(f"rows_{src}") for c, src in zip(counts, sources, strict=True)],
-        F.count_if(has1 & has2).alias("_common"),
-        F.count_if(has1 | has2).alias("_union"),
-        F.max("diff").alias("max_close_diff_pct"),
+    per_symbol = found.groupBy("symbol").agg(
+        *[F.sum(F.when(F.col("pos") == i + 1, F.col("w")).otherwise(F.lit(0))).alias(f"rows_{src}") for i, src in enumerate(sources)],
+        F.count_if(F.expr("nth = 1 AND has1 AND has2")).alias("_common"),
+        F.count_if(F.expr("nth = 1 AND (has1 OR has2)")).alias("_union"),
+        F.max(diff).alias("max_close_diff_pct"),
     )
     first, second = f"rows_{sources[0]}", f"rows_{sources[1]}"
     both = (F.col(first) > 0) & (F.col(second) > 0)

@@ -119,6 +119,17 @@ def test_bars_are_scanned_once(spark, tiers, name):
     assert final.count("FileScan parquet") == 1, final
 
 
+def test_the_matrix_sorts_its_cells_once(spark):
+    others = make_bars(spark, WEEK, source="other").union(make_bars(spark, WEEK, source="third"))
+    df = crossval.xval_matrix(two_sources(spark).union(others), "yfinance, stooq, third")
+    (row,) = df.collect()
+    assert (row.rows_yfinance, row.rows_stooq, row.rows_third, row.overlap_pct, row.max_close_diff_pct) == (4, 4, 5, 60.0, 0.0)
+    final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert final.count("Sort [") == final.count("Window [") == 1, final
+    # No table of dates: the cells and the symbols are all that is aggregated.
+    assert {k.split("]")[0].count(",") for k in final.split("HashAggregate(keys=[")[1:]} == {0, 3}, final
+
+
 def test_a_source_named_twice_counts_once(spark):
     bars = make_bars(spark, WEEK, source="p").union(make_bars(spark, WEEK[:3], source="q"))
     got = crossval.xval_matrix(bars, "p, q,p").first()
