@@ -26,6 +26,8 @@ HIVE, BUCKETED = "hive", "bucketed"
 BUCKET_COLUMNS = ["source", "year", "bucket"]
 #: Default number of symbol buckets in each (source, year) of the bucketed layout.
 BUCKETS = 64
+#: (symbol, source, year) slices of a write that are broadcast at most (about 100 bytes each); more are joined by a shuffle.
+SLICES_BROADCAST = 1_000_000
 
 
 def dataset_path(processed_dir: str, dataset: str = DEFAULT_DATASET) -> str:
@@ -129,7 +131,7 @@ def write_bars(
     spark, path = df.sparkSession, dataset_path(processed_dir, dataset)
     stored = _commit_layout(spark, processed_dir, dataset, layout, buckets)
     stage = scratch_path(spark, "stage", unique=True)
-    _store_frame(df).write.parquet(stage)
+    _store_frame(df).write.option("compression", "zstd").parquet(stage)
     staged = spark.read.schema(STORE_SCHEMA).parquet(stage)
     rows, columns, order = staged, PARTITION_COLUMNS, ["date"]
     if stored["layout"] == BUCKETED:
@@ -137,10 +139,14 @@ def write_bars(
         rows = staged.withColumn("bucket", _bucket(stored["buckets"]))
         if has_parquet(spark, path):
             old = _read(spark, path, BUCKETED)
-            touched = rows.select(*BUCKET_COLUMNS).distinct()
-            kept = old.join(touched, BUCKET_COLUMNS, "left_semi").join(rows.select(*PARTITION_COLUMNS).distinct(), PARTITION_COLUMNS, "left_anti")
+            # Directories, which the commit of the write lists in any case: broadcast, so that rows of others aren't shuffled.
+            touched = F.broadcast(rows.select(*BUCKET_COLUMNS).distinct())
+            slices = rows.select(*PARTITION_COLUMNS).distinct()
+            if slices.limit(SLICES_BROADCAST + 1).count() <= SLICES_BROADCAST:
+                slices = F.broadcast(slices)
+            kept = old.join(touched, BUCKET_COLUMNS, "left_semi").join(slices, PARTITION_COLUMNS, "left_anti")
             again = scratch_path(spark, "stage", unique=True)
-            kept.select(*rows.columns).write.parquet(again)  # the store's own files are about to be replaced
+            kept.select(*rows.columns).write.option("compression", "zstd").parquet(again)  # the store's own files are about to be replaced
             rows = rows.unionByName(spark.read.schema(rows.schema).parquet(again))
     (
         rows.hint("rebalance", *columns)

@@ -42,6 +42,29 @@ def test_a_shorter_refetch_replaces_its_slices_only(spark, tiers, layout):
     assert spark.sql("SELECT count(*) FROM daily_ohlcv WHERE symbol = 'QRS'").first()[0] == 3
 
 
+@pytest.mark.parametrize("bound", [1_000_000, 1])
+def test_a_refetch_finds_the_rows_that_stay_without_a_shuffle(spark, tiers, monkeypatch, bound):
+    # As for tables beyond Spark's own bound: nothing is broadcast unless it is asked for.
+    monkeypatch.setattr(store, "SLICES_BROADCAST", bound, raising=False)
+    bars = make_bars(spark, WEEK)
+    for name in ("AB", "CD", "EF"):
+        bars = bars.union(make_bars(spark, WEEK, symbol=name))
+    joined, plain = [], type(bars).join
+    monkeypatch.setattr(type(bars), "join", lambda *a: joined.append(plain(*a)) or joined[-1])
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        store.write_bars(bars, tiers.store, layout=store.BUCKETED, buckets=2)
+        store.write_bars(make_bars(spark, WEEK[3:]).union(make_bars(spark, WEEK[:1], symbol="EF")), tiers.store)
+        plan = joined[-1]._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    counts = {r.symbol: r.rows for r in store.partition_counts(spark, tiers.store).collect()}
+    assert counts == {"QRS": 2, "AB": 5, "CD": 5, "EF": 1}
+    assert plan.count("BroadcastHashJoin") == (2 if bound > 1 else 1), plan
+    assert plan.count("SortMergeJoin") == (0 if bound > 1 else 1), plan
+
+
 def test_unknown_layout(tiers, week):
     with pytest.raises(ValueError, match="Available"):
         store.write_bars(week, tiers.store, layout="flat")
